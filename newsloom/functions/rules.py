@@ -45,6 +45,9 @@ Xã hội: giáo dục, trường học, sinh viên, học sinh, văn hóa, ngh
 Thế giới: mỹ, trung quốc, nga, châu âu, liên hiệp quốc, biden, trump, ukraine, war, nato, asean, united states, china, russia, europe, un, conflict
 """
 
+# Text a rules table may hold.
+RULES_BYTES = 64 * 1024 * 1024
+
 
 @dataclass(frozen=True)
 class RuleSet:
@@ -67,6 +70,22 @@ class RuleSet:
         flat = [(i, cat, kw) for i, (cat, words) in enumerate(self.categories) for kw in words]
         return [(i, cat, n, kw) for n, (i, cat, kw) in enumerate(flat)]
 
+    @classmethod
+    def from_table(cls, rules: DataFrame, default: str = DEFAULT_CATEGORY) -> "RuleSet":
+        """Read a rules table ``(cat_ord, category, kw_ord, keyword)``.
+
+        The rules go to every task with the matching function, so the table's
+        size is checked before it is read to the driver.
+        """
+        text = F.octet_length("keyword") + F.octet_length("category")
+        size = rules.agg(F.sum(text)).first()[0] or 0
+        if size > RULES_BYTES:
+            raise ValueError(f"the rules hold {size} bytes of text, more than {RULES_BYTES}")
+        words: dict[tuple[int, str], list[str]] = {}
+        for row in rules.orderBy("cat_ord", "kw_ord").collect():
+            words.setdefault((row["cat_ord"], row["category"]), []).append(row["keyword"])
+        return cls(tuple((category, tuple(kws)) for (_, category), kws in words.items()), default)
+
     def keywords(self) -> list[str]:
         """All keywords in rule order, repeats removed."""
         return list(dict.fromkeys(row[3] for row in self.rows()))
@@ -152,25 +171,3 @@ def scored_category(scores: Column, rules: RuleSet = SCORED_RULES) -> Column:
     """The category with most hits; the earlier one on a tie; the default for none."""
     best = F.array_max(scores)
     return F.when(best["score"] > 0, best["category"]).otherwise(F.lit(rules.default))
-
-
-# A rules table is handed to every task as one array value, so its size is checked.
-RULE_TABLE_BYTES = 64 * 1024 * 1024
-
-
-def rules_array(rules: DataFrame) -> Column:
-    """A rules table ``(cat_ord, category, kw_ord, keyword)`` as one ordered array.
-
-    It comes as a scalar subquery, so articles meet it without a join and no
-    (article, rule) pairs are made.
-    """
-    size = rules.agg(F.sum(F.octet_length("keyword") + F.octet_length("category"))).first()[0] or 0
-    if size > RULE_TABLE_BYTES:
-        raise ValueError(f"the rules table holds {size} bytes of text, more than {RULE_TABLE_BYTES}")
-    entry = F.struct("cat_ord", "kw_ord", "keyword", "category")
-    return rules.agg(F.sort_array(F.collect_list(entry)).alias("rules")).scalar()
-
-
-def table_hits(text: Column, rules: Column) -> Column:
-    """Rule entries of ``rules_array`` that hit ``text``, in rule order."""
-    return F.filter(rules, lambda e: F.contains(text, e["keyword"]))

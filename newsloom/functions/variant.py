@@ -6,9 +6,10 @@ three different inputs. A VARIANT keeps them apart; a struct would not.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.functions.once import computed
 from newsloom.functions.text import strip
 
 JSON_BLANKS = " \t\n\r"
@@ -24,6 +25,14 @@ def field(message: Column, name: str) -> Column:
     return F.try_variant_get(message, f"$['{name}']", "variant")
 
 
+def read_objects(messages: DataFrame, names: list[str]) -> DataFrame:
+    """Add the parsed JSON text ``_m`` of ``value``, ``_is_object``, and the fields ``names``
+    as VARIANT columns ``_<name>``."""
+    parsed = computed(messages, _m=F.try_parse_json("value"))
+    fields = {f"_{name}": field(F.col("_m"), name) for name in names}
+    return computed(parsed, _is_object=is_object(F.col("value"), F.col("_m")), **fields)
+
+
 def absent(v: Column) -> Column:
     return v.isNull()
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions import variant as V
@@ -10,7 +10,7 @@ from newsloom.functions.text import strip
 from newsloom.schemas import STORAGE_ROW, columns
 
 # Storage columns whose message field has another name.
-RENAMED = {"published_at_source": "_published_at_source"}
+RENAMED = {"published_at_source": "_published_at_source", "raw_payload_json": "raw_payload"}
 TEXT_COLUMNS = (
     "article_id source matched_feed_name title summary url published_at ingested_at category raw_hash "
     "published_at_source"
@@ -23,16 +23,16 @@ def storage_rows(messages: DataFrame) -> DataFrame:
     Messages that are no JSON objects are left out. A null field is stored as
     an empty text.
     """
-    parsed = messages.withColumn("_m", F.try_parse_json("value"))
-    objects = parsed.filter(V.is_object(F.col("value"), F.col("_m")))
+    names = [RENAMED.get(c, c) for c in columns(STORAGE_ROW)[:-3]]
+    objects = V.read_objects(messages, names).filter("_is_object")
 
-    def field(name: str):
-        return V.field(F.col("_m"), RENAMED.get(name, name))
+    def field(name: str) -> Column:
+        return F.col("_" + RENAMED.get(name, name))
 
     values = {name: strip(V.text_or(field(name))) for name in TEXT_COLUMNS}
     values |= {name: V.text_list(field(name)) for name in ("keywords", "matched_keywords")}
     values |= {name: V.truthy(field(name)) for name in ("is_duplicate", "should_alert")}
-    values["raw_payload_json"] = V.json_text(field("raw_payload"))
+    values["raw_payload_json"] = V.json_text(field("raw_payload_json"))
     values["source_topic"] = F.col("topic")
     values["kafka_partition"] = F.col("partition").cast("long")
     values["kafka_offset"] = F.col("offset").cast("long")

@@ -397,7 +397,7 @@ def escape(e: str) -> str:
 
 def unescape(e: str) -> str:
     """Only the references that occur in the tables."""
-    for entity, char in (("&copy;", "©"), ("&quot;", '"'), ("&#x27;", "'"), ("&#39;", "'"), ("&nbsp;", "\xa0"),
+    for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&#x27;", "'"), ("&#39;", "'"), ("&nbsp;", "\xa0"),
                          ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
         e = f"replace({e}, {lit(entity)}, {lit(char)})"
     return e

@@ -84,14 +84,11 @@ def extract_keywords(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def classify_rules_table(spark: SparkSession, sf: str) -> DataFrame:
     """Rules kept as a table instead of constants."""
-    rules = R.rules_array(R.RuleSet.from_text(X.SPREAD_RULES).table(spark))
+    rules = R.RuleSet.from_table(R.RuleSet.from_text(X.SPREAD_RULES).table(spark))
     rows = X.raw_news(spark, sf).select("doc_id", R.match_text(F.col("title"), F.col("content")).alias("t"))
-    hits = rows.select("doc_id", R.table_hits(F.col("t"), rules).alias("hits"))
-    return hits.select(
-        "doc_id",
-        F.coalesce(F.get("hits", 0)["category"], F.lit(R.DEFAULT_CATEGORY)).alias("category"),
-        F.array_join(F.slice(F.array_distinct(F.col("hits.keyword")), 1, R.KEYWORD_LIMIT), "|").alias("keywords"),
-    )
+    hits = rows.select("doc_id", R.hits_in_order(F.col("t"), rules).alias("hits"))
+    return hits.select("doc_id", R.first_match_category(F.col("hits"), rules).alias("category"),
+                       F.array_join(R.top_keywords(F.col("hits")), "|").alias("keywords"))
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -113,8 +110,8 @@ def category_scores(spark: SparkSession, sf: str) -> DataFrame:
     positive = F.filter("scores", lambda s: s["score"] > 0)
     ranked = F.sort_array(positive, asc=False)
     rows = scored(spark, sf).select("doc_id", F.posexplode(ranked).alias("i", "s"))
-    return rows.select("doc_id", F.col("s.category").alias("category"), F.col("s.score").alias("score"),
-                       (F.col("i") + 1).alias("rank"))
+    return rows.select("doc_id", F.col("s.category").alias("category"), F.col("s.score").cast("long").alias("score"),
+                       (F.col("i") + 1).cast("long").alias("rank"))
 
 
 @query
@@ -483,14 +480,14 @@ def stored_latest(spark: SparkSession, sf: str) -> DataFrame:
         "ORDER BY kafka_offset DESC, kafka_partition DESC LIMIT 10")
 
 
-def documents_stream(spark: SparkSession, sf: str) -> DataFrame:
-    path = f"{sf}/documents.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path).select("doc_id", "source", "text")
+def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table as a stream of its files. The path is a pattern, so it may be a file or a folder."""
+    schema = X.table(spark, sf, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf}/[{name[0]}]{name[1:]}.parquet")
 
 
-def events_stream(spark: SparkSession, sf: str) -> DataFrame:
-    path = f"{sf}/events.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+def news_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return X.with_news_columns(stream_of(spark, sf, "documents").select("doc_id", "source", "text"))
 
 
 def finished(rows: DataFrame, name: str) -> DataFrame:
@@ -504,21 +501,21 @@ def finished(rows: DataFrame, name: str) -> DataFrame:
 @query
 def stream_first(spark: SparkSession, sf: str) -> DataFrame:
     """Streaming form of dedup_first; which of two equal articles comes through is left open."""
-    rows = articles.with_raw_hash(X.with_news_columns(documents_stream(spark, sf)).select("url", "title"))
+    rows = articles.with_raw_hash(news_stream(spark, sf).select("url", "title"))
     return finished(state.first_stream(rows, "raw_hash"), "stream_first").select("raw_hash")
 
 
 @query
 def stream_window(spark: SparkSession, sf: str) -> DataFrame:
     """Bounded first-in-first-out window as a stream."""
-    rows = articles.with_raw_hash(X.with_news_columns(documents_stream(spark, sf)).select("doc_id", "url", "title", "pos"))
+    rows = articles.with_raw_hash(news_stream(spark, sf).select("doc_id", "url", "title", "pos"))
     return finished(state.window_stream(rows, "raw_hash", size=1_000_000, buckets=8), "stream_window").select("doc_id", "raw_hash")
 
 
 @query
 def stream_ttl(spark: SparkSession, sf: str) -> DataFrame:
     """Streaming form of dedup_ttl."""
-    rows = events_stream(spark, sf).select(
+    rows = stream_of(spark, sf, "events").select(
         "event_id", "user_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("seconds"))
     return finished(state.ttl_stream(rows, "user_id", "seconds", "event_id", 6 * 3600), "stream_ttl")
 
@@ -526,7 +523,7 @@ def stream_ttl(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def stream_processor(spark: SparkSession, sf: str) -> DataFrame:
     """The streaming processor over JSON messages, exact window with one bucket."""
-    envelope = X.messages(X.with_news_columns(documents_stream(spark, sf)))
+    envelope = X.messages(news_stream(spark, sf))
     rows = jobs.processed_stream(envelope, window=1_000_000, now=fixed_now())
     return finished(rows, "stream_processor").select(
         doc_id(), "article_id", "raw_hash", "title", "summary", "category", joined("keywords"), "published_at",

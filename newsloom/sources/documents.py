@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.functions.once import computed
 from newsloom.functions.text import first_non_empty, strip
 from newsloom.functions.times import feed_date
 from newsloom.operators.alerts import tag_articles
@@ -52,7 +53,7 @@ def fetched(documents: DataFrame) -> DataFrame:
 def parse_documents(documents: DataFrame) -> DataFrame:
     """Add the parsed document ``_doc``. A broken one has ``_doc._corrupt_record``."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    return documents.withColumn("_doc", F.from_xml("body", DOCUMENT_XML, options))
+    return computed(documents, _doc=F.from_xml("body", DOCUMENT_XML, options))
 
 
 def is_broken(doc: Column) -> Column:

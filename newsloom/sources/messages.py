@@ -17,12 +17,13 @@ RAW_FIELDS = (
     "id title content summary url source matched_feed_name timestamp published_ts should_alert matched_keywords"
 ).split()
 
+ALERT_FIELDS = "article_id id title summary content url source category keywords should_alert".split()
+
 
 def parse_raw_news(messages: DataFrame) -> DataFrame:
     """Add the parsed message ``_m``, its fields ``_<name>`` as VARIANT and the ``reason``
     a message cannot be processed for (null for good ones)."""
-    parsed = messages.withColumn("_m", F.try_parse_json("value"))
-    fields = parsed.select("*", *[V.field(F.col("_m"), n).alias(f"_{n}") for n in RAW_FIELDS])
+    fields = V.read_objects(messages, RAW_FIELDS)
     body = F.when(V.absent(F.col("_content")), F.col("_summary")).otherwise(F.col("_content"))
     fields = fields.withColumn("_body", body)
 
@@ -35,7 +36,7 @@ def parse_raw_news(messages: DataFrame) -> DataFrame:
     broken = not_text("_url") | not_text("_title") | not_text("_body") | F.coalesce(V.is_nested(F.col("_time")), F.lit(False))
     reason = (
         F.when(F.col("_m").isNull(), BAD_JSON)
-        .when(~V.is_object(F.col("value"), F.col("_m")), NOT_AN_OBJECT)
+        .when(~F.col("_is_object"), NOT_AN_OBJECT)
         .when(~V.truthy(F.col("_url")), MISSING_URL)
         .when(broken, PROCESS_ERROR)
     )
@@ -106,21 +107,17 @@ def processed_news(messages: DataFrame) -> DataFrame:
     ``should_alert`` is null where the key is absent; ``summary`` is null where
     it is absent, so the content is used instead.
     """
-    parsed = messages.withColumn("_m", F.try_parse_json("value"))
-    objects = parsed.filter(V.is_object(F.col("value"), F.col("_m")))
-
-    def field(name: str) -> Column:
-        return V.field(F.col("_m"), name)
+    objects = V.read_objects(messages, ALERT_FIELDS).filter("_is_object")
 
     def text(name: str) -> Column:
-        return F.when(~V.absent(field(name)), V.text_or(field(name))).alias(name)
+        v = F.col(f"_{name}")
+        return F.when(~V.absent(v), V.text_or(v)).alias(name)
 
-    flag = field("should_alert")
-    key = F.when(V.absent(field("article_id")), V.as_text(field("id"))).otherwise(V.as_text(field("article_id")))
+    flag, key = F.col("_should_alert"), F.col("_article_id")
     return objects.select(
-        key.alias("article_id"),
+        F.when(V.absent(key), V.as_text(F.col("_id"))).otherwise(V.as_text(key)).alias("article_id"),
         *[text(n) for n in ("title", "summary", "content", "url", "source", "category")],
-        V.text_list(field("keywords")).alias("keywords"),
+        V.text_list(F.col("_keywords")).alias("keywords"),
         F.when(~V.absent(flag), V.truthy(flag)).alias("should_alert"),
         F.col("topic").alias("source_topic"),
         F.col("partition").cast("long").alias("kafka_partition"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -92,18 +92,17 @@ def append_new(rows: DataFrame, table: str, iceberg: bool = False) -> int:
     Rows are sorted by position within their tasks, which keeps the offset
     range of every file narrow for the check of the next batch.
     """
-    from pyspark.sql import Observation
-
     spark = rows.sparkSession
     count = Observation()
     # The batch is used twice: for its offset range and for the append.
     rows = rows.persist()
     try:
         fresh = unstored(rows, spark.table(table)).sortWithinPartitions("kafka_partition", "kafka_offset")
-        writer = fresh.observe(count, F.count("*").alias("n")).writeTo(table)
+        counted = fresh.observe(count, F.count("*").alias("n"))
         if iceberg:
-            writer = writer.option("snapshot-property.ingest.source", "newsloom")
-        writer.append()
+            counted.writeTo(table).option("snapshot-property.ingest.source", "newsloom").append()
+        else:
+            counted.write.format("parquet").mode("append").saveAsTable(table)
         return int(count.get["n"])
     finally:
         rows.unpersist()

@@ -23,7 +23,7 @@ from newsloom.sources import documents, messages
 from newsloom.sources.tables import append_new
 from newsloom.streaming.metrics import observe_outcomes
 from newsloom.streaming.state import (
-    CRAWLER_WINDOW, PROCESSOR_WINDOW, first_stream, ttl_stream, window_stream,
+    CRAWLER_WINDOW, PROCESSOR_WINDOW, STATE_RETENTION_SECONDS, first_stream, ttl_stream, window_stream,
 )
 
 # Crawl interval, writer batch, writer interval, seconds between alerts.
@@ -116,15 +116,16 @@ def start_quarantine(envelope: DataFrame, out: str, run: Run) -> StreamingQuery:
     return run.start(quarantine_stream(envelope).writeStream.format("parquet").option("path", out))
 
 
-def alt_stream(envelope: DataFrame, now: Column | None = None) -> DataFrame:
+def alt_stream(envelope: DataFrame, now: Column | None = None, retention: int | None = None) -> DataFrame:
     """The alternative job: time-to-live dedup by url, then scoring."""
     raw = messages.raw_news(messages.parse_raw_news(envelope))
     keyed = alt_candidates(raw).withColumn("url_hash", url_fingerprint(F.col("url")))
-    return alt_normalize(ttl_stream(keyed, "url_hash", "timestamp"), now=now)
+    return alt_normalize(ttl_stream(keyed, "url_hash", "timestamp", retention=retention), now=now)
 
 
 def start_alt_processor(envelope: DataFrame, out: str, run: Run, **options) -> StreamingQuery:
-    rows = alt_stream(envelope, **options).drop("pos")
+    retention = STATE_RETENTION_SECONDS if run.every else None
+    rows = alt_stream(envelope, retention=retention, **options).drop("pos")
     return run.start(_json_sink(rows, out, "id"))
 
 

@@ -18,8 +18,8 @@ from pyspark.sql.types import StructType
 
 from newsloom.operators.dedup import TTL_SECONDS
 
-# State of a url is dropped this long after its last write, which must exceed
-# the time a message can stay in its topic before it is read.
+# Default expiry of a url's state in a query that runs on. It exceeds the time a
+# message can stay in its topic before it is read.
 STATE_RETENTION_SECONDS = 48 * 3600
 
 # Hashes remembered by the processor and by the crawler.
@@ -30,12 +30,12 @@ CRAWLER_WINDOW = 50_000
 class TtlProcessor(StatefulProcessor):
     """Keep a row when it lies more than ``ttl`` seconds behind the last kept row of its key."""
 
-    def __init__(self, seconds: str, pos: str, ttl: int):
-        self.seconds, self.pos, self.ttl = seconds, pos, ttl
+    def __init__(self, seconds: str, pos: str, ttl: int, retention: int | None):
+        self.seconds, self.pos, self.ttl, self.retention = seconds, pos, ttl, retention
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        retention = max(STATE_RETENTION_SECONDS, self.ttl) * 1000
-        self.anchor = handle.getValueState("anchor", "anchor long", ttlDurationMs=retention)
+        expiry = self.retention * 1000 if self.retention else None
+        self.anchor = handle.getValueState("anchor", "anchor long", ttlDurationMs=expiry)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         stored = self.anchor.get() if self.anchor.exists() else None
@@ -98,10 +98,19 @@ class WindowProcessor(StatefulProcessor):
         pass
 
 
-def ttl_stream(rows: DataFrame, key: str, seconds: str, pos: str = "pos", ttl: int = TTL_SECONDS) -> DataFrame:
-    """Rows of a stream accepted by a time-to-live window with a fixed anchor, by event time."""
+def ttl_stream(rows: DataFrame, key: str, seconds: str, pos: str = "pos", ttl: int = TTL_SECONDS,
+               retention: int | None = None) -> DataFrame:
+    """Rows of a stream accepted by a time-to-live window with a fixed anchor, by event time.
+
+    ``retention`` drops the state of a key so many seconds of processing time
+    after its last change. Spark then plans batches without data as well, so
+    give none for a query that should stop when it has read everything.
+    """
+    if retention is not None and retention < ttl:
+        raise ValueError(f"state kept for {retention} seconds cannot serve a window of {ttl}")
     return rows.groupBy(key).transformWithStateInPandas(
-        TtlProcessor(seconds, pos, ttl), outputStructType=rows.schema, outputMode="Append", timeMode="ProcessingTime")
+        TtlProcessor(seconds, pos, ttl, retention), outputStructType=rows.schema, outputMode="Append",
+        timeMode="ProcessingTime" if retention else "None")
 
 
 def ttl_stream_built_in(rows: DataFrame, key: str, event_time: str, ttl: int = TTL_SECONDS) -> DataFrame:
