@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,10 +23,12 @@ ZONES = (
 # A number as text, in the grammar the source language accepts for floats.
 NUMBER_TEXT = r"^[+-]?([0-9](_?[0-9])*\.?([0-9](_?[0-9])*)?|\.[0-9](_?[0-9])*)([eE][+-]?[0-9](_?[0-9])*)?$"
 
+# Day, month name, year, hour, minute, second, zone.
 RFC_DATE = (
-    r"(\d{1,2})\s+([A-Za-z]{3})[a-z]*\.?\s+(\d{4}|\d{2})"
-    r"(?:\s+(\d{1,2}):(\d{2})(?::(\d{2}))?)?\s*([+-]\d{2}:?\d{2}|[A-Za-z]+)?\s*$"
+    r"^(?:[A-Za-z]+\.?,?\s*)?(\d{1,2})\s+([A-Za-z]{3})[a-z]*\.?\s+(\d{4}|\d{2})"
+    r"(?:\s+(\d{1,2}):(\d{2})(?::(\d{2}))?)?\s*([+-]\d{2}:?\d{2}|[A-Za-z]+)?$"
 )
+# Year, month, day, hour, minute, second, zone.
 ISO_DATE = (
     r"^(\d{4})-(\d{2})(?:-(\d{2}))?"
     r"(?:[Tt ](\d{2}):(\d{2})(?::(\d{2})(?:[.,]\d+)?)?)?\s*([+-]\d{2}:?\d{2}|[Zz])?$"
@@ -69,23 +73,37 @@ def _epoch(y: Column, mo: Column, d: Column, h: Column, mi: Column, s: Column, z
     return F.unix_seconds(utc) - _offset_seconds(zone)
 
 
-def feed_date(text: Column) -> Column:
-    """Feed date text (RFC 822 or ISO 8601) as epoch seconds, null when unreadable."""
-    t = strip(text)
+def _groups(text: Column, pattern: str) -> Column:
+    """The seven groups of a date pattern, by one match; a text that does not match comes back whole."""
+    return F.split(F.regexp_replace(text, pattern, "$1|$2|$3|$4|$5|$6|$7"), r"\|")
+
 
-    def part(pattern: str, i: int) -> Column:
-        return F.regexp_extract(t, pattern, i)
+def _whole(part: Column, missing: int | None = 0) -> Column:
+    value = part.try_cast("int")
+    return value if missing is None else F.coalesce(value, F.lit(missing))
 
-    def num(pattern: str, i: int, missing: int | None = 0) -> Column:
-        value = part(pattern, i).try_cast("int")
-        return value if missing is None else F.coalesce(value, F.lit(missing))
 
-    year = num(RFC_DATE, 3, None)
+def _rfc_epoch(g: Column) -> Column:
+    year = _whole(g[2], None)
     full_year = F.when(year >= 100, year).when(year < 69, year + 2000).otherwise(year + 1900)
     month_names = [(m, i) for i, m in enumerate(MONTHS.split(), start=1)]
-    month = F.try_element_at(_lookup(month_names), F.lower(part(RFC_DATE, 2)))
-    rfc = _epoch(full_year, month, num(RFC_DATE, 1, None), num(RFC_DATE, 4), num(RFC_DATE, 5),
-                 num(RFC_DATE, 6), part(RFC_DATE, 7))
-    iso = _epoch(num(ISO_DATE, 1, None), num(ISO_DATE, 2, None), num(ISO_DATE, 3, 1), num(ISO_DATE, 4),
-                 num(ISO_DATE, 5), num(ISO_DATE, 6), part(ISO_DATE, 7))
-    return F.when(t.rlike(ISO_DATE), iso).when(t.rlike(RFC_DATE), rfc)
+    month = F.try_element_at(_lookup(month_names), F.lower(g[1]))
+    return _epoch(full_year, month, _whole(g[0], None), _whole(g[3]), _whole(g[4]), _whole(g[5]), g[6])
+
+
+def _iso_epoch(g: Column) -> Column:
+    return _epoch(_whole(g[0], None), _whole(g[1], None), _whole(g[2], 1), _whole(g[3]), _whole(g[4]),
+                  _whole(g[5]), g[6])
+
+
+def feed_date(text: Column) -> Column:
+    """Feed date text (RFC 822 or ISO 8601) as epoch seconds, null when unreadable."""
+
+    def by(t: Column, pattern: str, epoch: Callable[[Column], Column]) -> Column:
+        # A one-element transform gives the groups a name, so each text is matched once.
+        return F.transform(F.array(_groups(t, pattern)), lambda g: F.when(F.size(g) == 7, epoch(g)))[0]
+
+    def read(t: Column) -> Column:
+        return F.when(t.rlike(r"^\d{4}-"), by(t, ISO_DATE, _iso_epoch)).otherwise(by(t, RFC_DATE, _rfc_epoch))
+
+    return F.transform(F.array(strip(text)), read)[0]

@@ -8,6 +8,8 @@ time is taken from.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,9 @@ from newsloom.functions.text import article_id, article_summary, raw_hash, short
 from newsloom.functions.times import epoch_iso, now_iso
 from newsloom.operators.dedup import TTL_SECONDS, first_of_each, ttl_first, ttl_positions
 
+# Category from title and content.
+Classifier = Callable[[Column, Column], Column]
+
 FROM_FEED, FROM_INGESTION = "rss", "ingestion_fallback"
 
 
@@ -42,14 +47,18 @@ def with_raw_hash(articles: DataFrame) -> DataFrame:
     return articles.withColumn("raw_hash", raw_hash(F.col("url"), F.col("title")))
 
 
-def normalize(unique: DataFrame, rules: R.RuleSet = R.FIRST_MATCH_RULES, now: Column | None = None) -> DataFrame:
+def normalize(unique: DataFrame, rules: R.RuleSet = R.FIRST_MATCH_RULES, now: Column | None = None,
+              classifier: Classifier | None = None) -> DataFrame:
     """processed_news columns (and ``pos``) of articles that have their ``raw_hash``.
 
     Only projections, so it serves batch and streaming plans. It runs after the
-    duplicates are gone: classification is the expensive step.
+    duplicates are gone: classification is the expensive step. ``classifier``
+    replaces the rules for the category, for instance by a model.
     """
     text = R.match_text(F.col("title"), F.col("content"))
     ingested = now_iso(now)
+    category = classifier(F.col("title"), F.col("content")) if classifier else \
+        R.first_match_category(F.col("_hits"), rules)
     classified = (
         unique.withColumn("_text", text)
         .withColumn("_hits", R.hits_in_order(F.col("_text"), rules))
@@ -65,7 +74,7 @@ def normalize(unique: DataFrame, rules: R.RuleSet = R.FIRST_MATCH_RULES, now: Co
         epoch_iso(F.col("seconds"), ingested).alias("published_at"),
         F.col("time_source").alias("_published_at_source"),
         ingested.alias("ingested_at"),
-        R.first_match_category(F.col("_hits"), rules).alias("category"),
+        category.alias("category"),
         "raw_hash",
         F.lit(False).alias("is_duplicate"),
         "should_alert",
@@ -75,10 +84,10 @@ def normalize(unique: DataFrame, rules: R.RuleSet = R.FIRST_MATCH_RULES, now: Co
     )
 
 
-def process_articles(articles: DataFrame, rules: R.RuleSet = R.FIRST_MATCH_RULES,
-                     now: Column | None = None) -> DataFrame:
+def process_articles(articles: DataFrame, rules: R.RuleSet = R.FIRST_MATCH_RULES, now: Column | None = None,
+                     classifier: Classifier | None = None) -> DataFrame:
     """Whole batch step: drop repeated (url, title) pairs, then classify and normalise."""
-    return normalize(first_of_each(with_raw_hash(articles), "raw_hash"), rules, now)
+    return normalize(first_of_each(with_raw_hash(articles), "raw_hash"), rules, now, classifier)
 
 
 def alt_candidates(raw: DataFrame) -> DataFrame:
@@ -117,16 +126,14 @@ def alt_process_articles(raw: DataFrame, rules: R.RuleSet = R.SCORED_RULES, now:
     return alt_normalize(ttl_first(keyed, "url_hash", "timestamp", ttl=ttl), rules, now)
 
 
-def processor_counters(articles: DataFrame, errors: DataFrame) -> DataFrame:
-    """One row: total, published, dropped_duplicates, errors."""
-    good = with_raw_hash(articles).agg(F.count("*").alias("good"), F.count_distinct("raw_hash").alias("published"))
-    bad = errors.agg(F.count("*")).scalar()
-    return good.select(
-        (F.col("good") + bad).alias("total"),
-        "published",
-        (F.col("good") - F.col("published")).alias("dropped_duplicates"),
-        bad.alias("errors"),
-    )
+def processor_counters(messages: DataFrame) -> DataFrame:
+    """One row: total, published, dropped_duplicates, errors. ``messages`` has a ``reason``
+    for bad messages and a ``raw_hash`` for good ones."""
+    counts = messages.agg(
+        F.count("*").alias("total"), F.count_distinct("raw_hash").alias("published"),
+        F.count("raw_hash").alias("_good"), F.count("reason").alias("errors"))
+    return counts.select("total", "published", (F.col("_good") - F.col("published")).alias("dropped_duplicates"),
+                         "errors")
 
 
 def alt_counters(raw: DataFrame, ttl: int = TTL_SECONDS) -> DataFrame:

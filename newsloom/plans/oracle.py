@@ -295,19 +295,19 @@ add("backfill_total", f"{WITH_NEWS}, {backfill(None, Q.TOTAL, None)} SELECT feed
 add("backfill_counters", f"{WITH_NEWS}, {backfill(Q.PER_FEED, Q.TOTAL, Q.DAYS)}, {counters(Q.TOTAL)} SELECT * FROM counted")
 add("backfill_totals", f"""{WITH_NEWS}, {backfill(Q.PER_FEED, None, Q.DAYS)}, {counters(None)}
 SELECT * FROM counted UNION ALL
-SELECT NULL, sum(published), sum(skip_old), sum(skip_per_feed_limit) FROM counted""")
+SELECT NULL, CAST(sum(published) AS BIGINT), CAST(sum(skip_old) AS BIGINT), CAST(sum(skip_per_feed_limit) AS BIGINT) FROM counted""")
 
 LINES = f"""
 doc_lines AS (
   SELECT n.*, unnest(string_split(content, chr(10))) AS line, generate_subscripts(string_split(content, chr(10)), 1) - 1 AS i
   FROM news n WHERE doc_id % 11 <> 0 AND doc_id % 13 <> 0),
 items AS (
-  SELECT doc_id, i AS entry_pos, url || '/' || i AS url, {strip('line')} AS title, {strip("replace(line, ']]>', '')")} AS content,
+  SELECT doc_id, CAST(i AS INTEGER) AS entry_pos, url || '/' || i AS url, {strip('line')} AS title, {strip("replace(line, ']]>', '')")} AS content,
          CASE WHEN i % 2 = 0 THEN ts + i * 3600 END AS published_ts, source, ts
   FROM doc_lines)"""
 ATOM = f"""
 atoms AS (
-  SELECT doc_id, 0 AS entry_pos, url, {strip('title')} AS title, {strip('content')} AS content, ts - 7 * 3600 AS published_ts,
+  SELECT doc_id, CAST(0 AS INTEGER) AS entry_pos, url, {strip('title')} AS title, {strip('content')} AS content, ts - 7 * 3600 AS published_ts,
          source, ts FROM news)"""
 add("rss_entries", f"{WITH_NEWS}, {LINES} SELECT doc_id, entry_pos, url, title, content, published_ts FROM items")
 add("atom_entries", f"{WITH_NEWS}, {ATOM} SELECT doc_id, entry_pos, url, title, content, published_ts FROM atoms")
@@ -379,9 +379,10 @@ SELECT (SELECT count(*) FROM alt) AS processed, (SELECT count(*) FROM cells) - (
        (SELECT count(*) FROM news) - (SELECT count(*) FROM cells) AS filtered""")
 
 add("storage_rows", f"""{WITH_PROCESSED}
-SELECT article_id, source, matched_feed_name, title, summary, url, published_at, ingested_at, category, raw_hash,
+SELECT article_id, p.source, matched_feed_name, p.title, summary, p.url, published_at, ingested_at, category, p.raw_hash,
        is_duplicate, should_alert, _published_at_source AS published_at_source, 'processed_news' AS source_topic,
-       part AS kafka_partition, off AS kafka_offset, keywords, '' AS matched_keywords FROM processed""")
+       p.part AS kafka_partition, p.off AS kafka_offset, keywords, '' AS matched_keywords, f.content AS payload_content
+FROM processed p JOIN firsts f USING (doc_id)""")
 LATEST = f"""{WITH_PROCESSED}
 SELECT article_id, source, title, published_at, should_alert, off AS kafka_offset
 FROM processed ORDER BY off DESC, part DESC LIMIT 10"""

@@ -367,7 +367,7 @@ def process_messages(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def processor_counters(spark: SparkSession, sf: str) -> DataFrame:
     parsed = messages.parse_raw_news(X.raw_messages(spark, sf))
-    return articles.processor_counters(messages.articles(parsed), messages.quarantine(parsed))
+    return articles.processor_counters(messages.checked(parsed))
 
 
 @query
@@ -388,12 +388,11 @@ def alt_counters(spark: SparkSession, sf: str) -> DataFrame:
 
 def processed_messages(spark: SparkSession, sf: str) -> DataFrame:
     """processed_news messages, keyed by article, at the positions of their raw messages."""
-    rows = processed(spark, sf)
-    value = F.to_json(F.struct(*[c for c in rows.columns if c != "pos"]), {"ignoreNullFields": "false"})
-    return rows.select(
-        F.lit("processed_news").alias("topic"), F.shiftright("pos", 48).cast("int").alias("partition"),
-        F.col("pos").bitwiseAND(dedup.OFFSET_LIMIT - 1).alias("offset"),
-        F.col("article_id").alias("key"), value.alias("value"))
+    place = {
+        "topic": F.lit("processed_news"), "partition": F.shiftright("pos", 48).cast("int"),
+        "offset": F.col("pos").bitwiseAND(dedup.OFFSET_LIMIT - 1),
+    }
+    return messages.to_messages(processed(spark, sf), "article_id", ("raw_payload",), place)
 
 
 @query
@@ -402,7 +401,8 @@ def storage_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = storage.storage_rows(processed_messages(spark, sf))
     return rows.select(
         *[c for c in rows.columns if c not in ("keywords", "matched_keywords", "raw_payload_json")],
-        joined("keywords"), joined("matched_keywords"))
+        joined("keywords"), joined("matched_keywords"),
+        F.try_variant_get(F.parse_json("raw_payload_json"), "$.content", "string").alias("payload_content"))
 
 
 @query
@@ -522,9 +522,9 @@ def stream_ttl(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_processor(spark: SparkSession, sf: str) -> DataFrame:
-    """The streaming processor over JSON messages, exact window with one bucket."""
+    """The streaming processor over JSON messages."""
     envelope = X.messages(news_stream(spark, sf))
-    rows = jobs.processed_stream(envelope, window=1_000_000, now=fixed_now())
+    rows = jobs.processed_stream(envelope, window=1_000_000, buckets=8, now=fixed_now())
     return finished(rows, "stream_processor").select(
         doc_id(), "article_id", "raw_hash", "title", "summary", "category", joined("keywords"), "published_at",
         "should_alert")

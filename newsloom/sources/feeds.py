@@ -55,6 +55,9 @@ def load_feeds(spark: SparkSession, path: str) -> DataFrame:
     if not isinstance(registry, dict) or not isinstance(registry.get("feeds"), list):
         raise ValueError(f"{path}: needs a top-level list named feeds")
     rows = [_row(i, entry, file) for i, entry in enumerate(registry["feeds"])]
+    names = [row[1] for row in rows]
+    if len(set(names)) < len(names):
+        raise ValueError(f"{path}: feed names must differ, documents are matched to feeds by name")
     return enabled_feeds(spark.createDataFrame(rows, FEEDS))
 
 

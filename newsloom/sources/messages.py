@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions import variant as V
-from newsloom.functions.text import strip
+from newsloom.functions.text import raw_hash, strip
 from newsloom.functions.times import number_from_text
 from newsloom.operators.articles import FROM_FEED, FROM_INGESTION
 from newsloom.operators.dedup import position
@@ -125,10 +125,20 @@ def processed_news(messages: DataFrame) -> DataFrame:
     )
 
 
-def to_messages(rows: DataFrame, key: str, topic: str | None = None) -> DataFrame:
-    """Rows as ``(key, value)`` with every field in the JSON, nulls included."""
-    value = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    columns = [F.col(key).cast("string").alias("key"), value.alias("value")]
-    if topic is not None:
-        columns.append(F.lit(topic).alias("topic"))
-    return rows.select(*columns)
+def checked(parsed: DataFrame) -> DataFrame:
+    """``reason`` of bad messages and ``raw_hash`` of good ones, for counters."""
+    key = raw_hash(_text("_url"), _text("_title"))
+    return parsed.select("reason", F.when(F.col("reason").isNull(), key).alias("raw_hash"))
+
+
+def to_messages(rows: DataFrame, key: str, json_columns: tuple[str, ...] = (), beside: dict[str, Column] | None = None) -> DataFrame:
+    """Rows as ``(key, value)`` with every field in the JSON, nulls included.
+
+    ``json_columns`` hold JSON text that becomes part of the document instead of
+    a quoted text. Columns of ``beside`` stand next to the value, not in it.
+    """
+    beside = beside or {}
+    fields = [F.parse_json(c).alias(c) if c in json_columns else F.col(c) for c in rows.columns if c not in ("pos",)]
+    value = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    return rows.select(*[c.alias(n) for n, c in beside.items()],
+                       F.col(key).cast("string").alias("key"), value.alias("value"))

@@ -83,8 +83,8 @@ def alert_pace(interval: float = ALERT_SECONDS, trigger_seconds: int = 60) -> tu
     return f"{trigger_seconds} seconds", int(trigger_seconds / interval)
 
 
-def _json_sink(rows: DataFrame, path: str, key: str) -> DataStreamWriter:
-    return messages.to_messages(rows, key).writeStream.format("json").option("path", path)
+def _json_sink(rows: DataFrame, path: str, key: str, json_columns: tuple[str, ...] = ()) -> DataStreamWriter:
+    return messages.to_messages(rows, key, json_columns).writeStream.format("json").option("path", path)
 
 
 # Processing -------------------------------------------------------------------------------
@@ -107,8 +107,8 @@ def quarantine_stream(envelope: DataFrame) -> DataFrame:
 
 def start_processor(envelope: DataFrame, out: str, run: Run, **options) -> StreamingQuery:
     """raw_news envelope to processed_news messages, JSON files below ``out``."""
-    rows = processed_stream(envelope, **options).drop("pos")
-    return run.start(_json_sink(rows, out, "article_id"))
+    rows = processed_stream(envelope, **options)
+    return run.start(_json_sink(rows, out, "article_id", ("raw_payload",)))
 
 
 def start_quarantine(envelope: DataFrame, out: str, run: Run) -> StreamingQuery:
@@ -125,7 +125,7 @@ def alt_stream(envelope: DataFrame, now: Column | None = None, retention: int |
 
 def start_alt_processor(envelope: DataFrame, out: str, run: Run, **options) -> StreamingQuery:
     retention = STATE_RETENTION_SECONDS if run.every else None
-    rows = alt_stream(envelope, retention=retention, **options).drop("pos")
+    rows = alt_stream(envelope, retention=retention, **options)
     return run.start(_json_sink(rows, out, "id"))
 
 
