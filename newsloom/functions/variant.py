@@ -25,12 +25,16 @@ def field(message: Column, name: str) -> Column:
     return F.try_variant_get(message, f"$['{name}']", "variant")
 
 
+def with_fields(parsed: DataFrame, names: list[str]) -> DataFrame:
+    """Add the fields ``names`` of the message ``_m`` as VARIANT columns ``_<name>``."""
+    return computed(parsed, **{f"_{name}": field(F.col("_m"), name) for name in names})
+
+
 def read_objects(messages: DataFrame, names: list[str]) -> DataFrame:
     """Add the parsed JSON text ``_m`` of ``value``, ``_is_object``, and the fields ``names``
     as VARIANT columns ``_<name>``."""
     parsed = computed(messages, _m=F.try_parse_json("value"))
-    fields = {f"_{name}": field(F.col("_m"), name) for name in names}
-    return computed(parsed, _is_object=is_object(F.col("value"), F.col("_m")), **fields)
+    return with_fields(parsed.withColumn("_is_object", is_object(F.col("value"), F.col("_m"))), names)
 
 
 def absent(v: Column) -> Column:

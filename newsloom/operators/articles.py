@@ -21,13 +21,18 @@ from newsloom.operators.dedup import TTL_SECONDS, first_of_each, ttl_first, ttl_
 # Category from title and content.
 Classifier = Callable[[Column, Column], Column]
 
+# Columns that come with a row and are no part of the message.
+BOOKKEEPING = ("pos", "raw_hash")
+
 FROM_FEED, FROM_INGESTION = "rss", "ingestion_fallback"
 
 
 def article_frame(raw: DataFrame, payload: Column | None = None) -> DataFrame:
-    """Article frame of a typed ``raw_news`` table that has a ``pos`` column."""
-    payload = F.to_json(F.struct(*[c for c in raw.columns if c != "pos"]), {"ignoreNullFields": "false"}) \
-        if payload is None else payload
+    """Article frame of a typed ``raw_news`` table that has a ``pos`` column; other columns
+    than the payload's, such as ``raw_hash``, stay."""
+    fields = [c for c in raw.columns if c not in BOOKKEEPING]
+    if payload is None:
+        payload = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     return raw.filter(F.col("url") != "").select(
         strip(F.col("url")).alias("url"),
         strip(F.coalesce("title", F.lit(""))).alias("title"),
@@ -39,12 +44,12 @@ def article_frame(raw: DataFrame, payload: Column | None = None) -> DataFrame:
         F.coalesce("should_alert", F.lit(False)).alias("should_alert"),
         F.coalesce("matched_keywords", F.array().cast("array<string>")).alias("matched_keywords"),
         payload.alias("raw_payload"),
-        "pos",
+        *[c for c in raw.columns if c in BOOKKEEPING],
     )
 
 
-def with_raw_hash(articles: DataFrame) -> DataFrame:
-    return articles.withColumn("raw_hash", raw_hash(F.col("url"), F.col("title")))
+def with_raw_hash(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("raw_hash", raw_hash(F.col("url"), F.coalesce("title", F.lit(""))))
 
 
 def normalize(unique: DataFrame, rules: R.RuleSet = R.FIRST_MATCH_RULES, now: Column | None = None,
@@ -84,10 +89,16 @@ def normalize(unique: DataFrame, rules: R.RuleSet = R.FIRST_MATCH_RULES, now: Co
     )
 
 
-def process_articles(articles: DataFrame, rules: R.RuleSet = R.FIRST_MATCH_RULES, now: Column | None = None,
+def process_articles(raw: DataFrame, rules: R.RuleSet = R.FIRST_MATCH_RULES, now: Column | None = None,
                      classifier: Classifier | None = None) -> DataFrame:
-    """Whole batch step: drop repeated (url, title) pairs, then classify and normalise."""
-    return normalize(first_of_each(with_raw_hash(articles), "raw_hash"), rules, now, classifier)
+    """Whole batch step over typed raw_news rows: drop repeated (url, title) pairs, then
+    classify and normalise.
+
+    The rows are shuffled once, as they came; trimmed texts and the payload,
+    which hold the content again, are made afterwards.
+    """
+    unique = first_of_each(with_raw_hash(raw.filter(F.col("url") != "")), "raw_hash")
+    return normalize(article_frame(unique), rules, now, classifier)
 
 
 def alt_candidates(raw: DataFrame) -> DataFrame:
@@ -140,10 +151,10 @@ def alt_counters(raw: DataFrame, ttl: int = TTL_SECONDS) -> DataFrame:
     """One row: processed, duplicates, filtered."""
     keyed = alt_candidates(raw).select("pos", "timestamp", url_fingerprint(F.col("url")).alias("url_hash"))
     accepted = ttl_positions(keyed, "url_hash", "timestamp", ttl=ttl).agg(F.count("*").alias("processed"))
-    seen = raw.agg(F.count_if((F.col("url") != "") & (F.col("title") != ""))).scalar()
-    total = raw.agg(F.count("*")).scalar()
+    usable = F.count_if((F.col("url") != "") & (F.col("title") != "")).alias("usable")
+    read = raw.agg(F.struct(F.count("*").alias("total"), usable)).scalar()
     return accepted.select(
         "processed",
-        (seen - F.col("processed")).alias("duplicates"),
-        (total - seen).alias("filtered"),
+        (read["usable"] - F.col("processed")).alias("duplicates"),
+        (read["total"] - read["usable"]).alias("filtered"),
     )

@@ -33,10 +33,9 @@ def _blocks(rows: DataFrame, feed: str, pos: str) -> DataFrame:
     return counts.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
 
 
-def feed_quotas(eligible: DataFrame, feed: str, per_feed: int | None, total: int | None) -> DataFrame:
-    """Per feed: eligible rows, rows wanted under the per-feed limit, rows wanted by
-    earlier feeds, and the quota left after the total limit. One row a feed."""
-    counts = eligible.groupBy(feed).agg(F.count("*").alias("eligible"))
+def feed_quotas(counts: DataFrame, feed: str, per_feed: int | None, total: int | None) -> DataFrame:
+    """Add to the ``eligible`` rows per feed those wanted under the per-feed limit, those
+    wanted by earlier feeds, and the quota left after the total limit. One row a feed."""
     wanted = counts.withColumn("wanted", F.least("eligible", F.lit(per_feed)) if per_feed else F.col("eligible"))
     # Feeds are a registry-sized list, so one window over them all is small.
     order = Window.orderBy(feed).rowsBetween(Window.unboundedPreceding, -1)
@@ -80,9 +79,8 @@ def select_backfill(rows: DataFrame, now: int, per_feed: int | None = None, tota
     eligible = rows.filter(recent_enough(F.col("published_ts"), now, days))
     if per_feed is None and total is None:
         return eligible
-    narrow = eligible.select(feed, pos)
-    quotas = feed_quotas(narrow, feed, per_feed, total)
-    return first_rows(eligible, quotas, feed, pos)
+    counts = eligible.groupBy(feed).agg(F.count("*").alias("eligible"))
+    return first_rows(eligible, feed_quotas(counts, feed, per_feed, total), feed, pos)
 
 
 def backfill_counters(rows: DataFrame, now: int, per_feed: int | None = None, total: int | None = None,
@@ -94,10 +92,10 @@ def backfill_counters(rows: DataFrame, now: int, per_feed: int | None = None, to
     """
     fresh = recent_enough(F.col("published_ts"), now, days)
     narrow = rows.select(feed, pos, fresh.alias("_fresh"))
-    ages = narrow.groupBy(feed).agg(F.count_if(~F.col("_fresh")).alias("old"))
-    eligible = narrow.filter("_fresh").drop("_fresh")
-    quotas = feed_quotas(eligible, feed, per_feed, total)
-    feeds = ages.join(quotas, feed, "left").na.fill(0, ["eligible", "wanted", "quota"])
+    counts = narrow.groupBy(feed).agg(
+        F.count_if("_fresh").alias("eligible"), F.count_if(~F.col("_fresh")).alias("old"))
+    # Used several times below, and no longer than the registry.
+    feeds = feed_quotas(counts, feed, per_feed, total).persist()
     if total is None:
         return feeds.select(
             feed,
@@ -106,9 +104,9 @@ def backfill_counters(rows: DataFrame, now: int, per_feed: int | None = None, to
             (F.col("eligible") - F.col("wanted")).alias("skip_per_feed_limit"),
         )
     # The feed that stops the run, and the row at which it stops.
-    stopping = quotas.filter("quota < wanted").agg(F.min(feed).alias(feed))
-    limits = quotas.join(stopping, feed).select(feed, (F.col("quota") + 1).alias("quota"))
-    stop = first_rows(eligible, limits, feed, pos).groupBy(feed).agg(F.max(pos).alias("_stop"))
+    stopping = feeds.filter("quota < wanted").agg(F.min(feed).alias(feed))
+    limits = feeds.join(stopping, feed).select(feed, (F.col("quota") + 1).alias("quota"))
+    stop = first_rows(narrow.filter("_fresh"), limits, feed, pos).groupBy(feed).agg(F.max(pos).alias("_stop"))
     seen_old = (
         narrow.filter(~F.col("_fresh")).join(stop, feed)
         .groupBy(feed).agg(F.count_if(F.col(pos) < F.col("_stop")).alias("_old"))

@@ -372,7 +372,7 @@ WITH_ALT = f"WITH RECURSIVE {NEWS}, {KEYED}, {ALT}"
 add("alt_process_articles", f"""{WITH_ALT}, {hits('s', 'alt', R.SCORED_RULES, 't')}, {labels('s')}, {scored('s')}
 SELECT CAST(a.doc_id AS VARCHAR) AS id, title, {short_summary('title', 'body')} AS summary, url,
        coalesce(l.keywords, '') AS keywords, coalesce(b.category, {lit(R.DEFAULT_CATEGORY)}) AS category, source,
-       ts AS timestamp, {X.NOW} AS processed_at
+       ts AS timestamp, CAST({X.NOW} AS BIGINT) AS processed_at
 FROM alt a LEFT JOIN s_labels l ON l.doc_id = a.doc_id LEFT JOIN (SELECT * FROM s_scores WHERE rank = 1) b ON b.doc_id = a.doc_id""")
 add("alt_counters", f"""{WITH_ALT}
 SELECT (SELECT count(*) FROM alt) AS processed, (SELECT count(*) FROM cells) - (SELECT count(*) FROM alt) AS duplicates,

@@ -55,8 +55,7 @@ def doc_id() -> Column:
 
 
 def processed(spark: SparkSession, sf: str) -> DataFrame:
-    frame = articles.article_frame(X.typed_raw_news(spark, sf))
-    return articles.process_articles(frame, now=fixed_now())
+    return articles.process_articles(X.typed_raw_news(spark, sf), now=fixed_now())
 
 
 @query
@@ -358,8 +357,8 @@ def parsed_messages(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def process_messages(spark: SparkSession, sf: str) -> DataFrame:
     """The processor from JSON messages to processed rows."""
-    good = messages.articles(messages.parse_raw_news(X.raw_messages(spark, sf)))
-    return articles.process_articles(good, now=fixed_now()).select(
+    parsed = messages.parse_raw_news(X.raw_messages(spark, sf))
+    return messages.process_messages(parsed, now=fixed_now()).select(
         doc_id(), "article_id", "raw_hash", "title", "summary", "category", joined("keywords"), "published_at",
         "should_alert")
 
@@ -416,7 +415,7 @@ def alert_outbox(spark: SparkSession, sf: str) -> DataFrame:
     """Alert messages for the articles whose feed rules ask for one."""
     rows = X.typed_raw_news(spark, sf).drop("should_alert", "matched_keywords")
     tagged = alerts.tag_articles(rows, registry(spark, sf))
-    done = articles.process_articles(articles.article_frame(tagged, F.lit("")), now=fixed_now())
+    done = articles.process_articles(tagged, now=fixed_now())
     return alerts.alert_outbox(done, keep=("article_id",))
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from newsloom.functions import variant as V
 from newsloom.functions.text import raw_hash, strip
 from newsloom.functions.times import number_from_text
-from newsloom.operators.articles import FROM_FEED, FROM_INGESTION
-from newsloom.operators.dedup import position
+from newsloom.functions.rules import FIRST_MATCH_RULES, RuleSet
+from newsloom.operators.articles import FROM_FEED, FROM_INGESTION, normalize
+from newsloom.operators.dedup import first_of_each, position
 
 BAD_JSON, NOT_AN_OBJECT, MISSING_URL, PROCESS_ERROR = "bad_json", "not_an_object", "missing_url", "process_error"
 
@@ -20,18 +21,22 @@ RAW_FIELDS = (
 ALERT_FIELDS = "article_id id title summary content url source category keywords should_alert".split()
 
 
+def _raw_fields(rows: DataFrame) -> DataFrame:
+    """Add what the message ``_m`` says: its fields, the body and the time value."""
+    fields = V.with_fields(rows, RAW_FIELDS)
+    body = F.when(V.absent(F.col("_content")), F.col("_summary")).otherwise(F.col("_content"))
+    time = F.when(V.given(F.col("_published_ts")), F.col("_published_ts")).otherwise(F.col("_timestamp"))
+    return fields.withColumns({"_body": body, "_time": time})
+
+
 def parse_raw_news(messages: DataFrame) -> DataFrame:
     """Add the parsed message ``_m``, its fields ``_<name>`` as VARIANT and the ``reason``
     a message cannot be processed for (null for good ones)."""
-    fields = V.read_objects(messages, RAW_FIELDS)
-    body = F.when(V.absent(F.col("_content")), F.col("_summary")).otherwise(F.col("_content"))
-    fields = fields.withColumn("_body", body)
+    fields = _raw_fields(V.read_objects(messages, []))
 
     def not_text(name: str) -> Column:
         return ~V.absent(F.col(name)) & ~V.is_text(F.col(name))
 
-    time = F.when(V.given(F.col("_published_ts")), F.col("_published_ts")).otherwise(F.col("_timestamp"))
-    fields = fields.withColumn("_time", time)
     # A list or an object as time is an error, unlike a text that is no number.
     broken = not_text("_url") | not_text("_title") | not_text("_body") | F.coalesce(V.is_nested(F.col("_time")), F.lit(False))
     reason = (
@@ -60,10 +65,10 @@ def _text(name: str) -> Column:
     return F.coalesce(F.try_variant_get(F.col(name), "$", "string"), F.lit(""))
 
 
-def articles(parsed: DataFrame) -> DataFrame:
-    """Article frame (see ``operators.articles``) of the good messages."""
+def article_columns() -> list[Column]:
+    """The article frame (see ``operators.articles``) of a message, without ``pos``."""
     source = V.text_or(F.col("_source"))
-    return parsed.filter("reason IS NULL").select(
+    return [
         strip(_text("_url")).alias("url"),
         strip(_text("_title")).alias("title"),
         strip(_text("_body")).alias("content"),
@@ -74,8 +79,34 @@ def articles(parsed: DataFrame) -> DataFrame:
         V.truthy(F.col("_should_alert")).alias("should_alert"),
         V.text_list(F.col("_matched_keywords")).alias("matched_keywords"),
         F.to_json("_m").alias("raw_payload"),
-        position(F.col("partition"), F.col("offset")).alias("pos"),
-    )
+    ]
+
+
+def keyed(parsed: DataFrame, *carried: str) -> DataFrame:
+    """``raw_hash``, ``pos`` and the ``carried`` columns of the good messages."""
+    return parsed.filter("reason IS NULL").select(
+        raw_hash(_text("_url"), _text("_title")).alias("raw_hash"),
+        position(F.col("partition"), F.col("offset")).alias("pos"), *carried)
+
+
+def articles(parsed: DataFrame) -> DataFrame:
+    """Article frame of all good messages, repeats included."""
+    pos = position(F.col("partition"), F.col("offset")).alias("pos")
+    return parsed.filter("reason IS NULL").select(*article_columns(), pos)
+
+
+def unpacked(unique: DataFrame) -> DataFrame:
+    """Article frame, ``raw_hash`` and ``pos`` of messages ``_m`` that are known to be good."""
+    return _raw_fields(unique).select(*article_columns(), "raw_hash", "pos")
+
+
+def process_messages(parsed: DataFrame, rules: RuleSet = FIRST_MATCH_RULES, now: Column | None = None) -> DataFrame:
+    """Whole batch step over parsed raw_news messages.
+
+    Only key, position and the parsed message are shuffled; the fields, some
+    of which repeat its content, are taken out of the survivors.
+    """
+    return normalize(unpacked(first_of_each(keyed(parsed, "_m"), "raw_hash")), rules, now)
 
 
 def raw_news(parsed: DataFrame) -> DataFrame:
@@ -131,14 +162,15 @@ def checked(parsed: DataFrame) -> DataFrame:
     return parsed.select("reason", F.when(F.col("reason").isNull(), key).alias("raw_hash"))
 
 
-def to_messages(rows: DataFrame, key: str, json_columns: tuple[str, ...] = (), beside: dict[str, Column] | None = None) -> DataFrame:
+def to_messages(rows: DataFrame, key: str, json_columns: tuple[str, ...] = (),
+                beside: dict[str, Column] | None = None) -> DataFrame:
     """Rows as ``(key, value)`` with every field in the JSON, nulls included.
 
     ``json_columns`` hold JSON text that becomes part of the document instead of
     a quoted text. Columns of ``beside`` stand next to the value, not in it.
     """
     beside = beside or {}
-    fields = [F.parse_json(c).alias(c) if c in json_columns else F.col(c) for c in rows.columns if c not in ("pos",)]
+    fields = [F.parse_json(c).alias(c) if c in json_columns else F.col(c) for c in rows.columns if c != "pos"]
     value = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     return rows.select(*[c.alias(n) for n, c in beside.items()],
                        F.col(key).cast("string").alias("key"), value.alias("value"))

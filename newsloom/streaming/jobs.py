@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from newsloom.functions.once import computed
 from newsloom.functions.text import url_fingerprint
 from newsloom.operators.alerts import alert_outbox
-from newsloom.operators.articles import alt_candidates, alt_normalize, normalize, with_raw_hash
+from newsloom.operators.articles import alt_candidates, alt_normalize, normalize
 from newsloom.operators.outcomes import NO_TIME, OLD, PUBLISHED, REPEATED, realtime_outcome
 from newsloom.operators.storage import storage_rows
 from newsloom.session import shared_dir
@@ -93,12 +94,13 @@ def _json_sink(rows: DataFrame, path: str, key: str, json_columns: tuple[str, ..
 def processed_stream(envelope: DataFrame, window: int | None = PROCESSOR_WINDOW, buckets: int = 1,
                      now: Column | None = None) -> DataFrame:
     """processed_news rows of a raw_news stream. ``window=None`` remembers every hash."""
-    keyed = with_raw_hash(messages.articles(messages.parse_raw_news(envelope)))
+    # The state functions see the message text only; it is parsed again behind them.
+    keyed = messages.keyed(messages.parse_raw_news(envelope), "value")
     if window is None:
         unique = first_stream(keyed, "raw_hash")
     else:
         unique = window_stream(keyed, "raw_hash", size=window, buckets=buckets)
-    return normalize(unique, now=now)
+    return normalize(messages.unpacked(computed(unique, _m=F.parse_json("value"))), now=now)
 
 
 def quarantine_stream(envelope: DataFrame) -> DataFrame:
