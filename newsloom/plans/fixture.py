@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.html import escape
+from newsloom.functions.once import computed
 from newsloom.functions.text import url_fingerprint
 from newsloom.operators.dedup import position
 
@@ -116,19 +117,18 @@ def messages(news: DataFrame, topic: str = "raw_news") -> DataFrame:
         .when(k == 13, F.lit(',"should_alert":"false"}')).when(k == 15, F.lit(',"title":15}'))
         .when(k == 16, F.lit(',"url":0}')).when(k == 17, F.lit(',"should_alert":[]}'))
     )
-    # The JSON text is a column of its own, because it is used several times.
-    built = news.withColumn("value", F.to_json(fields))
-    opened = F.expr("substring(value, 1, length(value) - 1)")
+    built = computed(news, json=F.to_json(fields))
+    opened = F.expr("substring(json, 1, length(json) - 1)")
     value = (
-        F.when(k == 1, F.expr("substring(value, 1, length(value) - 3)"))
-        .when(k == 2, F.concat(F.lit(" ["), F.col("value"), F.lit("]")))
+        F.when(k == 1, F.expr("substring(json, 1, length(json) - 3)"))
+        .when(k == 2, F.concat(F.lit(" ["), F.col("json"), F.lit("]")))
         .when(extra.isNotNull(), F.concat(opened, extra))
-        .otherwise(F.col("value"))
+        .otherwise(F.col("json"))
     )
-    built = built.withColumn("value", value)
     return built.select(
         F.lit(topic).alias("topic"), "partition", "offset",
-        F.timestamp_seconds("timestamp").alias("timestamp"), F.col("doc_id").cast("string").alias("key"), "value")
+        F.timestamp_seconds("timestamp").alias("timestamp"), F.col("doc_id").cast("string").alias("key"),
+        value.alias("value"))
 
 
 def raw_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -136,21 +136,21 @@ def raw_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rss_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """One RSS document per row of ``documents``, with one item per line of its text."""
-    lines = F.split("content", "\n")
-    item = lambda line, i: F.concat(
-        F.lit("<item><title>"), escape(line), F.lit("</title><link> "), escape(F.col("url")), F.lit("/"),
-        i.cast("string"), F.lit(" </link><description><![CDATA["), F.replace(line, F.lit("]]>"), F.lit("")),
-        F.lit("]]></description>"), F.when(i % 2 == 0, F.concat(F.lit("<pubDate>"), _rfc(i), F.lit("</pubDate>")))
-        .otherwise(F.lit("")), F.lit("</item>"))
+    """One RSS document per row of ``documents``, with one item per line of its text. One
+    document in 11 was not fetched, one in 13 is cut short."""
+    def item(line: Column, i: Column) -> Column:
+        date = F.when(i % 2 == 0, F.concat(F.lit("<pubDate>"), _rfc(i), F.lit("</pubDate>"))).otherwise(F.lit(""))
+        return F.concat(F.lit("<item><title>"), line, F.lit("</title><link> "), F.col("link"), F.lit("/"), i.cast("string"),
+                        F.lit(" </link><description>"), line, F.lit("</description>"), date, F.lit("</item>"))
+
+    lines = raw_news(spark, sf).withColumns({"lines": F.split(escape(F.col("content")), "\n"), "link": escape(F.col("url"))})
     body = F.concat(F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>t</title>'),
-                    F.array_join(F.transform(lines, item), ""), F.lit("</channel></rss>"))
-    return raw_news(spark, sf).select(
-        F.col("source").alias("feed_name"), (F.when(F.col("doc_id") % 11 == 0, 404).otherwise(200)).alias("status"),
-        # One document in 13 is cut short.
-        F.when(F.col("doc_id") % 13 == 0, F.substring(body, F.lit(1), F.length(body) - 5)).otherwise(body).alias("body"),
-        F.timestamp_seconds("timestamp").alias("fetched_at"), "doc_id",
-    )
+                    F.array_join(F.transform("lines", item), ""), F.lit("</channel></rss>"))
+    built = computed(lines, body=body)
+    cut = F.when(F.col("doc_id") % 13 == 0, F.expr("substring(body, 1, length(body) - 5)")).otherwise(F.col("body"))
+    return built.select(
+        F.col("source").alias("feed_name"), F.when(F.col("doc_id") % 11 == 0, 404).otherwise(200).alias("status"),
+        cut.alias("body"), F.timestamp_seconds("timestamp").alias("fetched_at"), "doc_id")
 
 
 def _rfc(hours: Column) -> Column:

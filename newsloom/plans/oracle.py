@@ -302,7 +302,7 @@ doc_lines AS (
   SELECT n.*, unnest(string_split(content, chr(10))) AS line, generate_subscripts(string_split(content, chr(10)), 1) - 1 AS i
   FROM news n WHERE doc_id % 11 <> 0 AND doc_id % 13 <> 0),
 items AS (
-  SELECT doc_id, CAST(i AS INTEGER) AS entry_pos, url || '/' || i AS url, {strip('line')} AS title, {strip("replace(line, ']]>', '')")} AS content,
+  SELECT doc_id, CAST(i AS INTEGER) AS entry_pos, url || '/' || i AS url, {strip('line')} AS title, {strip('line')} AS content,
          CASE WHEN i % 2 = 0 THEN ts + i * 3600 END AS published_ts, source, ts
   FROM doc_lines)"""
 ATOM = f"""

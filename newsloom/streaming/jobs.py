@@ -20,7 +20,7 @@ from newsloom.operators.articles import alt_candidates, alt_normalize, normalize
 from newsloom.operators.outcomes import NO_TIME, OLD, PUBLISHED, REPEATED, realtime_outcome
 from newsloom.operators.storage import storage_rows
 from newsloom.session import shared_dir
-from newsloom.sources import documents, messages
+from newsloom.sources import documents, messages, topics
 from newsloom.sources.tables import append_new
 from newsloom.streaming.metrics import observe_outcomes
 from newsloom.streaming.state import (
@@ -84,8 +84,12 @@ def alert_pace(interval: float = ALERT_SECONDS, trigger_seconds: int = 60) -> tu
     return f"{trigger_seconds} seconds", int(trigger_seconds / interval)
 
 
-def _json_sink(rows: DataFrame, path: str, key: str, json_columns: tuple[str, ...] = ()) -> DataStreamWriter:
-    return messages.to_messages(rows, key, json_columns).writeStream.format("json").option("path", path)
+def _send(rows: DataFrame, out: str, key: str, servers: str | None, json_columns: tuple[str, ...] = ()) -> DataStreamWriter:
+    """Messages to the Kafka topic ``out``, or without servers to JSON files below it."""
+    sent = messages.to_messages(rows, key, json_columns)
+    if servers:
+        return topics.kafka_sink(sent, servers, out)
+    return sent.writeStream.format("json").option("path", out)
 
 
 # Processing -------------------------------------------------------------------------------
@@ -107,10 +111,10 @@ def quarantine_stream(envelope: DataFrame) -> DataFrame:
     return messages.quarantine(messages.parse_raw_news(envelope))
 
 
-def start_processor(envelope: DataFrame, out: str, run: Run, **options) -> StreamingQuery:
-    """raw_news envelope to processed_news messages, JSON files below ``out``."""
+def start_processor(envelope: DataFrame, out: str, run: Run, servers: str | None = None, **options) -> StreamingQuery:
+    """raw_news envelope to processed_news messages, keyed by article id."""
     rows = processed_stream(envelope, **options)
-    return run.start(_json_sink(rows, out, "article_id", ("raw_payload",)))
+    return run.start(_send(rows, out, "article_id", servers, ("raw_payload",)))
 
 
 def start_quarantine(envelope: DataFrame, out: str, run: Run) -> StreamingQuery:
@@ -125,10 +129,11 @@ def alt_stream(envelope: DataFrame, now: Column | None = None, retention: int |
     return alt_normalize(ttl_stream(keyed, "url_hash", "timestamp", retention=retention), now=now)
 
 
-def start_alt_processor(envelope: DataFrame, out: str, run: Run, **options) -> StreamingQuery:
+def start_alt_processor(envelope: DataFrame, out: str, run: Run, servers: str | None = None,
+                        **options) -> StreamingQuery:
     retention = STATE_RETENTION_SECONDS if run.every else None
     rows = alt_stream(envelope, retention=retention, **options)
-    return run.start(_json_sink(rows, out, "id"))
+    return run.start(_send(rows, out, "id", servers))
 
 
 # Crawling ---------------------------------------------------------------------------------
@@ -148,12 +153,13 @@ def crawl_stream(docs: DataFrame, feeds: DataFrame, startup_ts: int, window: int
     return observe_outcomes(labelled, "crawl", "outcome", (PUBLISHED, OLD, NO_TIME, REPEATED)).drop("_repeated")
 
 
-def start_crawler(docs: DataFrame, feeds: DataFrame, out: str, run: Run, startup_ts: int, **options) -> StreamingQuery:
+def start_crawler(docs: DataFrame, feeds: DataFrame, out: str, run: Run, startup_ts: int, servers: str | None = None,
+                  **options) -> StreamingQuery:
     """Landing documents to raw_news messages. ``startup_ts`` is fixed when the query is
     created; keep it with the query's settings so a restart uses the same one."""
     rows = crawl_stream(docs, feeds, startup_ts, **options).filter(F.col("outcome") == PUBLISHED)
     rows = rows.drop("outcome", "url_hash", "pos", "feed_ord", "entry_pos")
-    return run.start(_json_sink(rows, out, "id"))
+    return run.start(_send(rows, out, "id", servers))
 
 
 # Storing and alerting ---------------------------------------------------------------------
@@ -168,10 +174,13 @@ def start_store(envelope: DataFrame, table: str, run: Run, iceberg: bool = False
     return run.start(storage_rows(envelope).writeStream.foreachBatch(append))
 
 
-def start_alerts(envelope: DataFrame, out: str, run: Run, only_matched: bool = True) -> StreamingQuery:
-    """Formatted alert messages into an outbox table, for a sender outside Spark."""
+def start_alerts(envelope: DataFrame, out: str, run: Run, only_matched: bool = True,
+                 servers: str | None = None) -> StreamingQuery:
+    """Formatted alert messages into an outbox (a topic or a Parquet folder), for a sender outside Spark."""
     keep = ("article_id", "source_topic", "kafka_partition", "kafka_offset")
     rows = alert_outbox(messages.processed_news(envelope), only_matched, keep)
+    if servers:
+        return run.start(_send(rows, out, "article_id", servers))
     return run.start(rows.writeStream.format("parquet").option("path", out))
 
 
