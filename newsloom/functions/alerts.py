@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from newsloom.functions.html import escape, preview
-from newsloom.functions.text import ELLIPSIS, strip
+from newsloom.functions.text import ELLIPSIS, constant_map, strip
 
 # Fixed values of the message: source icons, line marks, lengths.
 SOURCE_ICONS = {
@@ -39,8 +39,7 @@ def feed_alert(text: Column, include: Column, exclude: Column) -> Column:
 
 def icon(source: Column, icons: dict[str, str] | None = None, default: str = DEFAULT_ICON) -> Column:
     pairs = SOURCE_ICONS if icons is None else icons
-    table = F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
-    return F.coalesce(F.try_element_at(table, source), F.lit(default))
+    return F.coalesce(F.try_element_at(constant_map(pairs), source), F.lit(default))
 
 
 def shorten_preview(c: Column, limit: int = PREVIEW_LENGTH) -> Column:

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.functions.text import constant_array, constant_map
+
 try:
     import ahocorasick
 except ImportError:  # the JVM look-up gives the same hits
@@ -111,10 +113,8 @@ ONE_BY_ONE = 24
 
 def keyword_hits(text: Column, keywords: list[str]) -> Column:
     """The keywords that occur in ``text``, in list order; the list has no repeats."""
-    if not keywords:
-        return F.array().cast("array<string>")
     if len(keywords) <= ONE_BY_ONE or ahocorasick is None:
-        return F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(text, k))
+        return F.filter(constant_array(keywords), lambda k: F.contains(text, k))
     return _one_pass(tuple(keywords))(text)
 
 
@@ -146,8 +146,7 @@ def first_match_category(hits: Column, rules: RuleSet = FIRST_MATCH_RULES) -> Co
     owner: dict[str, str] = {}
     for _, category, _, keyword in rules.rows():
         owner.setdefault(keyword, category)
-    by_keyword = F.create_map(*[F.lit(x) for pair in owner.items() for x in pair])
-    return F.coalesce(F.try_element_at(by_keyword, F.get(hits, 0)), F.lit(rules.default))
+    return F.coalesce(F.try_element_at(constant_map(owner), F.get(hits, 0)), F.lit(rules.default))
 
 
 def top_keywords(hits: Column, limit: int = KEYWORD_LIMIT) -> Column:
@@ -159,7 +158,7 @@ def category_scores(hits: Column, rules: RuleSet = SCORED_RULES) -> Column:
     listed in several categories counts in each."""
     return F.array(*[
         F.struct(
-            F.size(F.array_intersect(F.array(*[F.lit(w) for w in words]), hits)).alias("score"),
+            F.size(F.array_intersect(constant_array(words), hits)).alias("score"),
             F.lit(-i).alias("order"),
             F.lit(category).alias("category"),
         )

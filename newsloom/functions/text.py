@@ -6,6 +6,8 @@ batch and streaming plans alike.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,6 +28,21 @@ ELLIPSIS = "…"
 WHITESPACE_CLASS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
+SEPARATOR = "\x1f"
+
+
+def constant_array(words: Sequence[str]) -> Column:
+    """An array of constants, folded by the optimizer. Building it from one literal
+    spares a call to the JVM per word."""
+    if not words:
+        return F.array().cast("array<string>")
+    return F.split(F.lit(SEPARATOR.join(words)), SEPARATOR)
+
+
+def constant_map(pairs: Mapping[str, str]) -> Column:
+    return F.map_from_arrays(constant_array(list(pairs)), constant_array(list(pairs.values())))
+
+
 def strip(c: Column) -> Column:
     """Remove Unicode white space from both ends (``trim`` alone takes only blanks)."""
     return F.trim(c, F.lit(WHITESPACE))

@@ -54,8 +54,9 @@ def number_from_text(c: Column) -> Column:
     return F.when(text.rlike(NUMBER_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
 
 
-def _lookup(pairs: list[tuple[str, int]]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in pairs for x in pair])
+def _lookup(pairs: dict[str, int]) -> Column:
+    """A constant map; the names are the fixed ones above."""
+    return F.expr("map(" + ", ".join(f"'{name}', {number}" for name, number in pairs.items()) + ")")
 
 
 def _offset_seconds(zone: Column) -> Column:
@@ -63,8 +64,8 @@ def _offset_seconds(zone: Column) -> Column:
     digits = F.replace(zone, F.lit(":"), F.lit(""))
     minutes = F.substring(digits, 2, 2).try_cast("int") * 60 + F.substring(digits, 4, 2).try_cast("int")
     signed = F.when(F.startswith(zone, F.lit("-")), -minutes).otherwise(minutes)
-    names = [(z.split()[0], int(z.split()[1])) for z in ZONES.split(", ")]
-    named = F.try_element_at(_lookup(names), F.lower(zone))
+    zones = {name: int(minutes) for name, minutes in (z.split() for z in ZONES.split(", "))}
+    named = F.try_element_at(_lookup(zones), F.lower(zone))
     return F.coalesce(F.when(zone.rlike(r"^[+-]"), signed), named, F.lit(0)) * 60
 
 
@@ -86,8 +87,8 @@ def _whole(part: Column, missing: int | None = 0) -> Column:
 def _rfc_epoch(g: Column) -> Column:
     year = _whole(g[2], None)
     full_year = F.when(year >= 100, year).when(year < 69, year + 2000).otherwise(year + 1900)
-    month_names = [(m, i) for i, m in enumerate(MONTHS.split(), start=1)]
-    month = F.try_element_at(_lookup(month_names), F.lower(g[1]))
+    months = {name: i for i, name in enumerate(MONTHS.split(), start=1)}
+    month = F.try_element_at(_lookup(months), F.lower(g[1]))
     return _epoch(full_year, month, _whole(g[0], None), _whole(g[3]), _whole(g[4]), _whole(g[5]), g[6])
 
 

@@ -16,6 +16,10 @@ SESSION_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Settings a session must be started with. Without the call site of every
+# expression, plans are built in half the time.
+LAUNCH_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply ``SESSION_CONF`` to a running session."""
@@ -34,7 +38,7 @@ def local_session(cores: str = "*", app: str = "newsloom", **conf: str) -> Spark
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
     )
-    for key, value in {**SESSION_CONF, **conf}.items():
+    for key, value in {**SESSION_CONF, **LAUNCH_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

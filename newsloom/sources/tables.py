@@ -89,15 +89,17 @@ def append_new(rows: DataFrame, table: str, iceberg: bool = False) -> int:
     """Append the rows whose topic position is not stored yet and return their number.
 
     A batch that is delivered again after a failure therefore adds nothing.
-    Rows are sorted by position within their tasks, which keeps the offset
-    range of every file narrow for the check of the next batch.
+    Rows are written in ranges of offsets. That keeps the range of every file
+    narrow for the check of the next batch, and lets AQE merge small ranges
+    into files of a sensible size.
     """
     spark = rows.sparkSession
     count = Observation()
     # The batch is used twice: for its offset range and for the append.
     rows = rows.persist()
     try:
-        fresh = unstored(rows, spark.table(table)).sortWithinPartitions("kafka_partition", "kafka_offset")
+        fresh = unstored(rows, spark.table(table)).repartitionByRange("kafka_offset")
+        fresh = fresh.sortWithinPartitions("kafka_offset", "kafka_partition")
         counted = fresh.observe(count, F.count("*").alias("n"))
         if iceberg:
             counted.writeTo(table).option("snapshot-property.ingest.source", "newsloom").append()
