@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from newsloom.operators.outcomes import latest_urls
 from newsloom.operators.storage import unstored
-from newsloom.schemas import STORAGE_ROW
+from newsloom.schemas import SEEN_URLS, STORAGE_ROW
 
 # Table properties.
 ICEBERG_PROPERTIES = {
@@ -110,6 +112,21 @@ def append_new(rows: DataFrame, table: str, iceberg: bool = False) -> int:
         rows.unpersist()
 
 
+def load_seen(spark: SparkSession, path: str, size: int) -> DataFrame:
+    """The ``size`` latest registered urls; none when nothing was saved or files are unreadable."""
+    try:
+        saved = spark.read.schema(SEEN_URLS).option("ignoreCorruptFiles", True).parquet(path)
+    except AnalysisException:
+        saved = spark.createDataFrame([], SEEN_URLS)
+    first = saved.groupBy("url_hash").agg(F.min("seq").alias("seq"))
+    return latest_urls(first, size)
+
+
+def save_seen(registered: DataFrame, path: str) -> None:
+    """Add the urls of a crawl; a url keeps the place of its first registration."""
+    registered.select("url_hash", "seq").write.mode("append").parquet(path)
+
+
 def scan(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 

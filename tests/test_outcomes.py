@@ -1,4 +1,5 @@
 from newsloom.operators import outcomes as O
+from newsloom.sources import tables
 
 SCHEMA = "url string, published_ts long, pos long"
 
@@ -21,3 +22,13 @@ def test_order_of_checks(spark):
 def test_latest_urls(spark):
     seen = spark.createDataFrame([(f"h{i}", i) for i in range(20)], "url_hash string, seq long")
     assert {r["url_hash"] for r in O.latest_urls(seen, 3).collect()} == {"h19", "h18", "h17"}
+
+
+def test_saved_urls(spark, tmp_path):
+    path = str(tmp_path / "seen")
+    assert tables.load_seen(spark, path, 5).count() == 0
+    tables.save_seen(spark.createDataFrame([("a", 1), ("b", 2)], "url_hash string, seq long"), path)
+    tables.save_seen(spark.createDataFrame([("a", 9), ("c", 3)], "url_hash string, seq long"), path)
+    assert {r["url_hash"] for r in tables.load_seen(spark, path, 2).collect()} == {"b", "c"}
+    (tmp_path / "seen" / "part-broken.parquet").write_bytes(b"not parquet")
+    assert tables.load_seen(spark, path, 5).count() == 3
