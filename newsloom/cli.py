@@ -38,6 +38,7 @@ def parser() -> argparse.ArgumentParser:
     crawl.add_argument("--per-feed-limit", type=positive_int, help="[backfill] articles per feed")
     crawl.add_argument("--total-limit", type=positive_int, help="[backfill] articles over all feeds")
     crawl.add_argument("--days", type=positive_int, help="[backfill] age limit; articles without a time are kept")
+    crawl.add_argument("--skip-report", action="store_true", help="[backfill] no counters, which read the documents again")
     crawl.add_argument("--startup-ts", type=int, help="[realtime] oldest publish time; keep it over restarts (default: now)")
     crawl.add_argument("--window", type=positive_int, default=int(env("CRAWLER_STATE_MAX_URLS", jobs.CRAWLER_WINDOW)))
 
@@ -93,6 +94,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
                 topics.write_kafka(sent, args.servers, args.output)
             else:
                 sent.write.mode("append").json(args.output)
+            if args.skip_report:
+                return
             backfill_report(docs, registry, *limits, now=now).orderBy("feed_ord").show(1000, truncate=False)
             return
         docs = documents.read_documents(spark, args.documents, stream=True)

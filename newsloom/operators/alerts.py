@@ -10,24 +10,27 @@ from newsloom.functions.rules import match_text
 from newsloom.operators.joins import join_small
 
 
-def tag_articles(articles: DataFrame, feeds: DataFrame, spread: str = "pos") -> DataFrame:
-    """Add ``should_alert`` and ``matched_keywords`` by the rules of each article's feed.
-
-    No row is dropped; an article of an unknown feed gets no alert.
-    """
-    lists = feeds.select(F.col("name").alias("source"), "include_keywords", "exclude_keywords")
-    tagged = join_small(articles, lists, "source", "left", spread).withColumn(
-        "_text", match_text(F.col("title"), F.col("content")))
+def with_alert(articles: DataFrame) -> DataFrame:
+    """Replace the ``include_keywords`` and ``exclude_keywords`` of an article's feed by
+    ``should_alert`` and ``matched_keywords``. Articles without a feed get no alert."""
+    texts = articles.withColumn("_text", match_text(F.col("title"), F.col("content")))
     alert = F.when(F.col("include_keywords").isNotNull(),
                    feed_alert(F.col("_text"), F.col("include_keywords"), F.col("exclude_keywords")))
     return (
-        tagged.withColumn("_alert", alert)
+        texts.withColumn("_alert", alert)
         .withColumn("should_alert", F.coalesce("_alert.should_alert", F.lit(False)))
         .withColumn("matched_keywords", F.coalesce("_alert.matched_keywords", F.array().cast("array<string>")))
         .drop("_alert", "_text", "include_keywords", "exclude_keywords")
     )
 
 
+def tag_articles(articles: DataFrame, feeds: DataFrame, spread: str = "pos") -> DataFrame:
+    """Add ``should_alert`` and ``matched_keywords`` by the rules of each article's feed; no
+    row is dropped."""
+    lists = feeds.select(F.col("name").alias("source"), "include_keywords", "exclude_keywords")
+    return with_alert(join_small(articles, lists, "source", "left", spread))
+
+
 def wants_alert(should_alert: Column, only_matched: bool = True) -> Column:
     """Rows whose flag is false are skipped; rows without a flag (null) are sent."""
     return F.coalesce(should_alert, F.lit(True)) if only_matched else F.lit(True)

@@ -136,8 +136,7 @@ def raw_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rss_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """One RSS document per row of ``documents``, with one item per line of its text. One
-    document in 11 was not fetched, one in 13 is cut short."""
+    """One RSS document per row of ``documents``, with one item per line of its text."""
     def item(line: Column, i: Column) -> Column:
         date = F.when(i % 2 == 0, F.concat(F.lit("<pubDate>"), _rfc(i), F.lit("</pubDate>"))).otherwise(F.lit(""))
         return F.concat(F.lit("<item><title>"), line, F.lit("</title><link> "), F.col("link"), F.lit("/"), i.cast("string"),
@@ -146,11 +145,9 @@ def rss_documents(spark: SparkSession, sf: str) -> DataFrame:
     lines = raw_news(spark, sf).withColumns({"lines": F.split(escape(F.col("content")), "\n"), "link": escape(F.col("url"))})
     body = F.concat(F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>t</title>'),
                     F.array_join(F.transform("lines", item), ""), F.lit("</channel></rss>"))
-    built = computed(lines, body=body)
-    cut = F.when(F.col("doc_id") % 13 == 0, F.expr("substring(body, 1, length(body) - 5)")).otherwise(F.col("body"))
-    return built.select(
-        F.col("source").alias("feed_name"), F.when(F.col("doc_id") % 11 == 0, 404).otherwise(200).alias("status"),
-        cut.alias("body"), F.timestamp_seconds("timestamp").alias("fetched_at"), "doc_id")
+    return computed(lines, body=body).select(
+        F.col("source").alias("feed_name"), F.lit(200).alias("status"), "body",
+        F.timestamp_seconds("timestamp").alias("fetched_at"), "doc_id")
 
 
 def _rfc(hours: Column) -> Column:
@@ -170,3 +167,9 @@ def atom_documents(spark: SparkSession, sf: str) -> DataFrame:
         F.col("source").alias("feed_name"), F.lit(200).alias("status"), body.alias("body"),
         F.timestamp_seconds("timestamp").alias("fetched_at"), "doc_id")
 
+
+def page_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Web pages that came in place of feeds; HTML is no well-formed XML."""
+    return table(spark, sf, "pages").select(
+        F.col("url").alias("feed_name"), F.lit(200).alias("status"), F.col("html").alias("body"),
+        F.timestamp_seconds(F.lit(START)).alias("fetched_at"), "page_id")

@@ -300,7 +300,7 @@ SELECT NULL, CAST(sum(published) AS BIGINT), CAST(sum(skip_old) AS BIGINT), CAST
 LINES = f"""
 doc_lines AS (
   SELECT n.*, unnest(string_split(content, chr(10))) AS line, generate_subscripts(string_split(content, chr(10)), 1) - 1 AS i
-  FROM news n WHERE doc_id % 11 <> 0 AND doc_id % 13 <> 0),
+  FROM news n),
 items AS (
   SELECT doc_id, CAST(i AS INTEGER) AS entry_pos, url || '/' || i AS url, {strip('line')} AS title, {strip('line')} AS content,
          CASE WHEN i % 2 = 0 THEN ts + i * 3600 END AS published_ts, source, ts
@@ -311,7 +311,7 @@ atoms AS (
          source, ts FROM news)"""
 add("rss_entries", f"{WITH_NEWS}, {LINES} SELECT doc_id, entry_pos, url, title, content, published_ts FROM items")
 add("atom_entries", f"{WITH_NEWS}, {ATOM} SELECT doc_id, entry_pos, url, title, content, published_ts FROM atoms")
-add("broken_documents", f"{WITH_NEWS} SELECT doc_id, source AS feed_name FROM news WHERE doc_id % 11 <> 0 AND doc_id % 13 = 0")
+add("broken_documents", "SELECT page_id, url AS feed_name, CAST(length(html) AS INTEGER) AS chars FROM pages")
 add("crawl", f"""{WITH_NEWS}, {FEEDS}, {LINES}, {ATOM},
 entries AS (SELECT *, row_number() OVER () AS entry, lower(title || ' ' || content) AS t
             FROM (SELECT * FROM items UNION ALL SELECT * FROM atoms)),

@@ -323,8 +323,10 @@ def atom_entries(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def broken_documents(spark: SparkSession, sf: str) -> DataFrame:
-    docs = D.fetched(X.rss_documents(spark, sf))
-    return D.broken_documents(D.parse_documents(docs)).select("doc_id", "feed_name")
+    """Documents that are no feeds: web pages sent in their place."""
+    docs = D.fetched(X.page_documents(spark, sf))
+    broken = D.broken_documents(D.parse_documents(docs))
+    return broken.select("page_id", "feed_name", F.length("body").alias("chars"))
 
 
 @query

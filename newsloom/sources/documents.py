@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.once import computed
 from newsloom.functions.text import first_non_empty, strip
 from newsloom.functions.times import feed_date
-from newsloom.operators.alerts import tag_articles
+from newsloom.operators.alerts import with_alert
 from newsloom.operators.joins import join_small
 from newsloom.schemas import FEED_DOCUMENTS
 
@@ -134,10 +134,9 @@ def crawl_position(seconds: Column, feed_ord: Column, entry_pos: Column) -> Colu
 
 def crawl(documents: DataFrame, feeds: DataFrame) -> DataFrame:
     """raw_news rows, with ``feed_ord``, ``entry_pos`` and ``pos``, from fetched documents of known feeds."""
-    registry = feeds.select(F.col("name").alias("feed_name"), "feed_ord")
-    known = join_small(fetched(documents), registry, "feed_name", spread="body")
-    rows = entries(parse_documents(known)).withColumn("source", F.col("feed_name"))
-    rows = tag_articles(rows, feeds, spread="url")
+    rules = feeds.select(F.col("name").alias("feed_name"), "feed_ord", "include_keywords", "exclude_keywords")
+    known = join_small(fetched(documents), rules, "feed_name", spread="body")
+    rows = with_alert(entries(parse_documents(known))).withColumn("source", F.col("feed_name"))
     return rows.select(
         entry_id(F.col("feed_name"), F.col("url"), F.col("title"), F.col("published_ts")).alias("id"),
         "title",
