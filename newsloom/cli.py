@@ -110,7 +110,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         queries = [jobs.start_alt_processor(source(spark, args), run=progress, **where)]
     elif args.command == "store":
         config = tables.TableConfig(args.warehouse, args.namespace, args.table, args.catalog, args.format)
-        queries = [jobs.start_store(source(spark, args), tables.create_table(spark, config), progress, args.format == "iceberg")]
+        table = tables.create_table(spark, config)
+        queries = [jobs.start_store(source(spark, args), table, progress, args.format == "iceberg")]
     else:
         scoped = jobs.scoped(progress, args.mode, not args.shared_progress)
         stream = source(spark, args, jobs.starting_offsets(args.mode))

@@ -116,8 +116,10 @@ def alt_normalize(unique: DataFrame, rules: R.RuleSet = R.SCORED_RULES, now: Col
         .withColumn("_hits", R.hits_in_order(F.col("_text"), rules))
         .withColumn("_scores", R.category_scores(F.col("_hits"), rules))
     )
+    # A row without an id gets one that stays the same when a task runs again.
+    own_id = F.substring(F.sha2(F.concat_ws("|", "url", F.col("pos").cast("string")), 256), 1, 32)
     return scored.select(
-        F.coalesce("id", F.uuid()).alias("id"),
+        F.coalesce("id", own_id).alias("id"),
         "title",
         short_summary(F.col("title"), F.col("_body")).alias("summary"),
         "url",

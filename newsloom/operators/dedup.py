@@ -68,39 +68,34 @@ def unseen(rows: DataFrame, seen: DataFrame, key: str) -> DataFrame:
 def _accept(ttl: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Walk (key, second) rows sorted by both and keep the accepted ones.
 
-    The anchor is the last accepted second; a second is accepted when it lies
-    more than ``ttl`` behind the anchor. Only the anchor is carried over from
-    batch to batch.
+    The anchor of a key is its last accepted second; the next accepted one is
+    the first more than ``ttl`` behind it. All keys of a batch jump at once.
+    Only the last key and its anchor are carried over to the next batch.
     """
     key, anchor = None, 0
     for batch in batches:
         if batch.empty:
             continue
-        keys = batch["key"].to_numpy()
-        seconds = batch["second"].to_numpy()
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        keys, seconds = batch["key"].to_numpy(), batch["second"].to_numpy()
+        begins = np.r_[True, keys[1:] != keys[:-1]]
+        starts = np.flatnonzero(begins)
         ends = np.r_[starts[1:], len(keys)]
-        keep = np.zeros(len(keys), dtype=bool)
-        fresh = starts if keys[0] != key else starts[1:]
-        keep[fresh] = True
-        # Only keys that stretch over more than one ttl need a walk.
-        walk = seconds[ends - 1] - seconds[starts] > ttl
-        walk[0] |= keys[0] == key
-        for start, end in zip(starts[walk], ends[walk]):
-            if keep[start]:
-                last = seconds[start]
-            else:
-                last = anchor
-            i = start + np.searchsorted(seconds[start:end], last + ttl, side="right")
-            while i < end:
-                keep[i] = True
-                last = seconds[i]
-                i += np.searchsorted(seconds[i:end], last + ttl, side="right")
-            if end == len(keys):
-                anchor = last
-        if not walk[-1]:
-            anchor = seconds[starts[-1]]
-        key = keys[-1]
+        last = seconds[starts]
+        keep = begins.copy()
+        if keys[0] == key:
+            keep[0], last[0] = False, anchor
+        # Keys laid out one behind the other on one line, too far apart to reach the next by a jump.
+        low = seconds.min()
+        stride = seconds.max() - low + ttl + 1
+        line = (np.cumsum(begins) - 1) * stride + seconds - low
+        walking = np.arange(len(starts))
+        while walking.size:
+            at = np.searchsorted(line, walking * stride + last[walking] - low + ttl, side="right")
+            inside = at < ends[walking]
+            walking, at = walking[inside], at[inside]
+            keep[at] = True
+            last[walking] = seconds[at]
+        key, anchor = keys[-1], last[-1]
         yield batch.loc[keep, ["pos"]]
 
 

@@ -44,8 +44,8 @@ def latest_rows(table: DataFrame, n: int = 10) -> DataFrame:
     return table.orderBy(F.desc("kafka_offset"), F.desc("kafka_partition")).limit(n)
 
 
-def unstored(rows: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows whose (topic, partition, offset) is not stored yet.
+def unstored(rows: DataFrame, stored: DataFrame) -> DataFrame | None:
+    """Rows whose (topic, partition, offset) is not stored yet; None for no rows at all.
 
     The stored side is cut to the offset range of ``rows`` first. Appended
     files hold narrow offset ranges, so the range filter skips nearly all of
@@ -53,7 +53,7 @@ def unstored(rows: DataFrame, stored: DataFrame) -> DataFrame:
     """
     low, high = rows.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
     if low is None:
-        return rows
+        return None
     keys = ["source_topic", "kafka_partition", "kafka_offset"]
     known = stored.filter(F.col("kafka_offset").between(low, high)).select(*keys)
     return rows.join(known, keys, "left_anti")

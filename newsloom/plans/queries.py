@@ -510,7 +510,8 @@ def stream_first(spark: SparkSession, sf: str) -> DataFrame:
 def stream_window(spark: SparkSession, sf: str) -> DataFrame:
     """Bounded first-in-first-out window as a stream."""
     rows = articles.with_raw_hash(news_stream(spark, sf).select("doc_id", "url", "title", "pos"))
-    return finished(state.window_stream(rows, "raw_hash", size=1_000_000, buckets=8), "stream_window").select("doc_id", "raw_hash")
+    kept = state.window_stream(rows, "raw_hash", size=1_000_000, buckets=8)
+    return finished(kept, "stream_window").select("doc_id", "raw_hash")
 
 
 @query

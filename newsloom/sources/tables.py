@@ -100,9 +100,11 @@ def append_new(rows: DataFrame, table: str, iceberg: bool = False) -> int:
     # The batch is used twice: for its offset range and for the append.
     rows = rows.persist()
     try:
-        fresh = unstored(rows, spark.table(table)).repartitionByRange("kafka_offset")
-        fresh = fresh.sortWithinPartitions("kafka_offset", "kafka_partition")
-        counted = fresh.observe(count, F.count("*").alias("n"))
+        fresh = unstored(rows, spark.table(table))
+        if fresh is None:
+            return 0
+        ranges = fresh.repartitionByRange("kafka_offset").sortWithinPartitions("kafka_offset", "kafka_partition")
+        counted = ranges.observe(count, F.count("*").alias("n"))
         if iceberg:
             counted.writeTo(table).option("snapshot-property.ingest.source", "newsloom").append()
         else:

@@ -57,7 +57,8 @@ def test_article_fields(spark):
 
 
 def test_truthiness_lists_and_json(rows_of):
-    values = [None, False, True, 0, 0.0, 1, "", "false", [], [0], {}, {"b": 1, "a": [None, "é"]}, " ", "two words", [1, None, True, "x"]]
+    values = [None, False, True, 0, 0.0, 1, "", "false", [], [0], {}, {"b": 1, "a": [None, "é"]}, " ", "two words",
+              [1, None, True, "x"]]
     m = F.try_parse_json("s")
     v = V.field(m, "v")
     data = [(json.dumps({"v": x}, ensure_ascii=False),) for x in values] + [("{}",)]
@@ -67,7 +68,10 @@ def test_truthiness_lists_and_json(rows_of):
     def listed(x):
         if x is None or (isinstance(x, str) and not x.strip()):
             return []
-        return [str(i) for i in x if i is not None] if isinstance(x, list) else [json.dumps(x, separators=(",", ":"), sort_keys=True, ensure_ascii=False) if isinstance(x, dict) else str(x)]
+        if isinstance(x, list):
+            return [str(i) for i in x if i is not None]
+        compact = {"separators": (",", ":"), "sort_keys": True, "ensure_ascii": False}
+        return [json.dumps(x, **compact) if isinstance(x, dict) else str(x)]
 
     assert [r[1] for r, x in zip(got, values) if x != 0.0 or isinstance(x, (bool, int))] == \
         [listed(x) for x in values if x != 0.0 or isinstance(x, (bool, int))]
@@ -83,5 +87,6 @@ def test_json_text_keeps_payload_an_object(spark):
 
 
 def test_absent_flag_stays_absent(spark):
-    rows = M.processed_news(envelope(spark, [{"title": "a", "should_alert": 0}, {"title": "b"}, {"title": "c", "should_alert": "no"}]))
+    values = [{"title": "a", "should_alert": 0}, {"title": "b"}, {"title": "c", "should_alert": "no"}]
+    rows = M.processed_news(envelope(spark, values))
     assert [r["should_alert"] for r in rows.orderBy("kafka_offset").collect()] == [False, None, True]
