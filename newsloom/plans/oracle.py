@@ -399,9 +399,10 @@ def escape(e: str) -> str:
 def unescape(e: str) -> str:
     """Only the references that occur in the tables."""
     for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&#x27;", "'"), ("&#39;", "'"), ("&nbsp;", "\xa0"),
-                         ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+                         ("&lt;", "<"), ("&gt;", ">")):
         e = f"replace({e}, {lit(entity)}, {lit(char)})"
-    return e
+    # A text cut short may end the last one without its semicolon.
+    return f"regexp_replace({e}, '&amp;?', '&', 'g')"
 
 
 def preview(e: str) -> str:
