@@ -163,8 +163,8 @@ def atom_documents(spark: SparkSession, sf: str) -> DataFrame:
               '<link href="'), escape(F.col("url")), F.lit('"/><title>'), escape(F.col("title")),
         F.lit('</title><summary type="html">'), escape(F.col("content")), F.lit("</summary><updated>"), updated,
         F.lit("</updated></entry></feed>"))
-    return raw_news(spark, sf).select(
-        F.col("source").alias("feed_name"), F.lit(200).alias("status"), body.alias("body"),
+    return computed(raw_news(spark, sf), body=body).select(
+        F.col("source").alias("feed_name"), F.lit(200).alias("status"), "body",
         F.timestamp_seconds("timestamp").alias("fetched_at"), "doc_id")
 
 
