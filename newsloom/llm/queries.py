@@ -5,19 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import simhash
+from newsloom.llm import simhash, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = toxicity.fit_labels(docs, _table(spark, folder, "labels"))
+    rated = docs.select("doc_id", toxicity.scores("text", model).alias("found"))
+    score = F.col("found.score")
+    return rated.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), score.alias("score"),
+                        (score >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+                        F.size("found.passages").alias("n_passages"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 REGISTRY = {
+    "op4_toxicity": op4_toxicity,
     "op10_simhash": op10_simhash,
 }
 
