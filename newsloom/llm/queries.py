@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import simhash, toxicity
+from newsloom.llm import pii, simhash, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    trees = pii.fit(docs)
+    found = pii.with_spans(docs, trees)
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     model = toxicity.fit_labels(docs, _table(spark, folder, "labels"))
@@ -28,6 +37,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_pii": op1_pii,
     "op4_toxicity": op4_toxicity,
     "op10_simhash": op10_simhash,
 }
