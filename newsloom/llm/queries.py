@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import pii, simhash, toxicity
+from newsloom.llm import mixing, pii, simhash, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
 
 
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(_table(spark, folder, "documents")).drop("copies")
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     model = toxicity.fit_labels(docs, _table(spark, folder, "labels"))
@@ -38,6 +42,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 REGISTRY = {
     "op1_pii": op1_pii,
+    "op2_mixing": op2_mixing,
     "op4_toxicity": op4_toxicity,
     "op10_simhash": op10_simhash,
 }
