@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import mixing, pii, simhash, toxicity
+from newsloom.llm import mixing, packing, pii, sharding, simhash, tokens, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,6 +25,15 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(_table(spark, folder, "documents")).drop("copies")
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, folder, "documents"))
+
+
+def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+    return sharding.placed(docs, F.col("doc_id")).select("doc_id", "slot", "shard", "n_bytes")
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     model = toxicity.fit_labels(docs, _table(spark, folder, "labels"))
@@ -35,6 +44,13 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
                         F.size("found.passages").alias("n_passages"))
 
 
+def op6_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    found = tokens.round_trip(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
@@ -43,7 +59,10 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 REGISTRY = {
     "op1_pii": op1_pii,
     "op2_mixing": op2_mixing,
+    "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
+    "op5_sharding": op5_sharding,
+    "op6_tokens": op6_tokens,
     "op10_simhash": op10_simhash,
 }
 
