@@ -4,22 +4,53 @@ from __future__ import annotations
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import newsloom
-from newsloom.llm import simhash
+from newsloom.functions.once import computed
+from newsloom.llm import mixing, packing, pii, simhash, toxicity
 from newsloom.llm.shared import saved
 
 # Executors may not have the package installed: send its functions by value.
 cloudpickle.register_pickle_by_value(newsloom)
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity stays below the threshold. The scores are learned from the labels of the documents at hand."""
+    model = toxicity.fit_labels(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rated = docs.withColumn("_toxicity", toxicity.scores("text", model))
+    return rated.filter(F.col("_toxicity.score") < toxicity.THRESHOLD).select(*docs.columns)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
     return simhash.keep_first(docs)
 
 
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; each personal span is replaced by its kind, and ``n_chars`` follows. A null text stays null."""
+    found = pii.with_spans(docs, pii.fit(docs), into="_spans")
+    masked = computed(found, _masked=pii.redact(F.col("text"), F.col("_spans")))
+    changed = {"text": F.col("_masked"), "n_chars": F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("_masked").cast("long"))}
+    return masked.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return mixing.mixed(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, placed in sequences; copies of a document never share one."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
+    ("toxicity", drop_toxic),
     ("near_duplicates", drop_near_duplicates),
+    ("personal_data", mask_personal_data),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 
 # The stages have no SQL form; tests hold them against plain-Python versions.

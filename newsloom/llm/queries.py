@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import mixing, packing, pii, sharding, simhash, tokens, toxicity
+from newsloom.llm import chunks, mixing, packing, pii, sharding, simhash, suffixes, tokens, toxicity, vectors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -51,6 +51,19 @@ def op6_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op7_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.repeated(_table(spark, folder, "documents"))
+
+
+def op8_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return chunks.fingerprinted(_table(spark, folder, "documents"))
+
+
+def op9_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+    return vectors.nearest_of_every(rows)
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
@@ -63,6 +76,9 @@ REGISTRY = {
     "op4_toxicity": op4_toxicity,
     "op5_sharding": op5_sharding,
     "op6_tokens": op6_tokens,
+    "op7_suffixes": op7_suffixes,
+    "op8_chunks": op8_chunks,
+    "op9_vectors": op9_vectors,
     "op10_simhash": op10_simhash,
 }
 
