@@ -18,8 +18,8 @@ cloudpickle.register_pickle_by_value(newsloom)
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity stays below the threshold. The scores are learned from the labels of the documents at hand."""
     model = toxicity.fit_labels(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rated = docs.withColumn("_toxicity", toxicity.scores("text", model))
-    return rated.filter(F.col("_toxicity.score") < toxicity.THRESHOLD).select(*docs.columns)
+    rated = docs.select(F.struct("*").alias("row"), toxicity.scores("text", model).alias("found"))
+    return rated.filter(F.col("found.score") < toxicity.THRESHOLD).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,10 +29,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; each personal span is replaced by its kind, and ``n_chars`` follows. A null text stays null."""
-    found = pii.with_spans(docs, pii.fit(docs), into="_spans")
-    masked = computed(found, _masked=pii.redact(F.col("text"), F.col("_spans")))
-    changed = {"text": F.col("_masked"), "n_chars": F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("_masked").cast("long"))}
-    return masked.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+    own = {c: f"own_{i}" for i, c in enumerate(docs.columns)}
+    text, size = F.col(own["text"]), F.col(own["n_chars"])
+    rows = pii.with_spans(docs.toDF(*own.values()), pii.fit(docs), text=own["text"])
+    rows = computed(rows, masked=pii.redact(text, F.col("spans")))
+    changed = {"text": F.col("masked"), "n_chars": F.when(text.isNull(), size).otherwise(F.length("masked").cast("long"))}
+    return rows.select(*[changed.get(c, F.col(name)).alias(c) for c, name in own.items()])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,9 +61,9 @@ def _uniform(doc_id: str, seed: int) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(doc_id)), 12) + 0.5) / F.lit(float(1 << 52))
 
 
-def _rank(doc_id: str, seed: int, part: str = "part") -> Column:
+def _rank(doc_id: str, seed: int) -> Column:
     """Pareto rank, drawn into 0..1: q / (1 + q) for q = odds of the random number over odds of ``part``."""
-    u, p = _uniform(doc_id, seed), F.col(part)
+    u, p = _uniform(doc_id, seed), F.col("part")
     return u * (1 - p) / (u * (1 - p) + (1 - u) * p)
 
 
@@ -131,10 +131,10 @@ def _joined(rows: DataFrame, small: DataFrame) -> DataFrame:
     return rows.join(side, F.col("source").eqNullSafe(F.col("_source")) & (F.col("level") == F.col("_level"))).drop("_source", "_level")
 
 
-def _copies(seed: int, prefix: str = "") -> Column:
-    rank = _rank("doc_id", seed, f"{prefix}part")
-    more = (F.col(f"{prefix}part") > 0) & ((rank < F.col(f"{prefix}low")) | (rank <= F.col(f"{prefix}high")) | (rank == F.col(f"{prefix}extra")))
-    return F.col(f"{prefix}certain") + more.cast("long")
+def _copies(seed: int) -> Column:
+    rank = _rank("doc_id", seed)
+    more = (F.col("part") > 0) & ((rank < F.col("low")) | (rank <= F.col("high")) | (rank == F.col("extra")))
+    return F.col("certain") + more.cast("long")
 
 
 def sizes(docs: DataFrame, importance: Column | None = None) -> DataFrame:
@@ -156,9 +156,6 @@ def taken(docs: DataFrame, importance: Column | None = None, seed: int = SEED) -
 
 def mixed(docs: DataFrame, importance: Column | None = None, seed: int = SEED) -> DataFrame:
     """The documents, each as often as the mix takes it; all columns kept."""
-    side = plan(sizes(docs, importance), seed=seed)
-    side = side.select(*[F.col(c).alias(f"_mix_{c}") for c in side.columns])
-    rows = docs.select("*", level_of(importance).alias("_mix_own"))
-    rows = rows.join(side, F.col("source").eqNullSafe(F.col("_mix_source")) & (F.col("_mix_own") == F.col("_mix_level")))
-    rows = rows.select(*docs.columns, _copies(seed, "_mix_").alias("_mix_times")).filter("_mix_times > 0")
-    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_times"))).alias("_mix_n")).drop("_mix_n")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "source", level_of(importance).alias("level"))
+    rows = _joined(rows, plan(sizes(docs, importance), seed=seed)).select("row", _copies(seed).alias("times")).filter("times > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("row.*")

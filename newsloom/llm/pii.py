@@ -305,7 +305,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
     size = docs.count()
     if size > sample:
         docs = docs.filter(F.pmod(F.xxhash64(doc_id, F.lit(3)), F.lit(1 << 30)) < int((1 << 30) * sample / size))
-    found = _with_proposals(_with_base(docs.select(text), text), True).select(F.explode("_proposed").alias("p"))
+    found = _with_proposals(_with_base(docs.select(F.col(text).alias("_given")), "_given"), True).select(F.explode("_proposed").alias("p"))
     counted = found.groupBy(F.col("p.features").alias("features")).agg(F.sum(F.col("p.confirmed").cast("long")).alias("yes"), F.sum((~F.col("p.confirmed")).cast("long")).alias("no"))
     return boost(sorted((tuple(r.features), r.yes, r.no) for r in counted.collect()))
 
@@ -319,13 +319,15 @@ def with_spans(docs: DataFrame, trees: Trees, text: str = "text", into: str = "s
     independent; an added one overlaps no base span and no added one of a higher score. A column
     of ``docs`` named ``into`` is replaced; the others stay.
     """
-    columns = [c for c in docs.columns if c != into]
-    rows = _with_base(docs, text)
+    # Under names of their own, the given columns cannot clash with the steps'.
+    own = {c: f"_own_{i}" for i, c in enumerate(docs.columns)}
+    kept = [F.col(name).alias(c) for c, name in own.items() if c != into]
+    rows = _with_base(docs.toDF(*own.values()), own[text])
     base = F.flatten(F.array(*[F.transform(f"_base_{k}", lambda m: F.struct(
         F.lit(KINDS.index(k)).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), F.lit(True).alias("base"))) for k in KINDS]))
     bounds = F.array(*[F.lit(min(t, 1e300)) for t in trees.thresholds])
     if all(t == math.inf for t in trees.thresholds):
-        return computed(rows, _spans=F.array_sort(base)).select(*columns, F.col("_spans").alias(into))
+        return computed(rows, _spans=F.array_sort(base)).select(*kept, F.col("_spans").alias(into))
     rows = _with_proposals(rows, False)
     rated = F.transform("_proposed", lambda p: F.struct((-trees.column(p["features"])).alias("low"), p["kind"].alias("kind"), p["start"].alias("start"), p["end"].alias("end")))
     rows = computed(rows, _above=F.array_sort(F.filter(rated, lambda p: -p["low"] >= F.get(bounds, p["kind"]))))
@@ -334,7 +336,7 @@ def with_spans(docs: DataFrame, trees: Trees, text: str = "text", into: str = "s
     added = F.aggregate("_above", empty, lambda acc, p: F.when(
         F.exists(acc, lambda t: (t["start"] < p["end"]) & (p["start"] < t["end"])), acc).otherwise(
         F.concat(acc, F.array(F.struct(p["kind"].alias("kind"), p["start"].alias("start"), p["end"].alias("end"), F.lit(False).alias("base"))))))
-    return computed(rows, _spans=F.array_sort(F.concat(base, added))).select(*columns, F.col("_spans").alias(into))
+    return computed(rows, _spans=F.array_sort(F.concat(base, added))).select(*kept, F.col("_spans").alias(into))
 
 
 def joined(found: Column) -> Column:

@@ -24,6 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from newsloom.llm.components import components, local_roots
 from newsloom.llm.shared import saved
@@ -186,18 +187,17 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     Rows of one fingerprint are cut to one in the map tasks, so a large group
     of copies does not travel.
     """
-    from pyspark.sql.window import Window
-
-    order = Window.partitionBy("_fp").orderBy(F.col(doc_id).asc_nulls_last(), F.col(text).asc_nulls_last())
-    wide = docs.withColumn("_fp", fingerprints(text)).withColumn("_rank", F.row_number().over(order)).filter("_rank = 1")
-    wide = saved(wide.drop("_rank"), "one-a-fingerprint")
-    first = wide.select(F.col("_fp").alias("fp"), F.col(doc_id).alias("first"))
+    order = Window.partitionBy("fp").orderBy(F.col("first").asc_nulls_last(), F.col("text").asc_nulls_last())
+    wide = docs.select(F.struct("*").alias("row"), fingerprints(text).alias("fp"), F.col(doc_id).alias("first"), F.col(text).alias("text"))
+    wide = wide.withColumn("rank", F.row_number().over(order)).filter("rank = 1")
+    wide = saved(wide.select("row", "fp", "first"), "one-a-fingerprint")
+    first = wide.select("fp", "first")
     named = first.join(roots(first).withColumnRenamed("node", "fp"), "fp", "left")
     named = saved(named.withColumn("root", F.coalesce("root", "fp")), "rooted")
     # The member with the smallest id stays; a null id comes last.
     best = named.groupBy("root").agg(F.min(F.struct(F.col("first").isNull().alias("a"), "first", "fp")).alias("best"))
-    gone = named.join(best, "root").filter(F.col("fp") != F.col("best.fp")).select(F.col("fp").alias("_fp"))
-    return wide.join(gone, "_fp", "left_anti").drop("_fp")
+    gone = named.join(best, "root").filter(F.col("fp") != F.col("best.fp")).select("fp")
+    return wide.join(gone, "fp", "left_anti").select("row.*")
 
 
 def hexadecimal(fp: Column) -> Column:
