@@ -11,9 +11,9 @@ passage of ``PASSAGE`` words holds at least one with ``RIGHT`` words of it to it
    that very many documents share spreads over many tasks.
 2. Neighbours are compared. Equal surroundings in two documents: all of it repeats. Equal
    first words only: the match is to be extended.
-3. To extend to the left and right, one suffix of each kind of surroundings (its
-   text is fetched by document) emits its passages one by one, and those that another
-   kind emits too repeat.
+3. To extend to the left and right, one suffix of each kind of surroundings, or one of each of two
+   documents that share it, emits its passages one by one (the texts are fetched by document), and
+   those that two documents emit repeat.
 
 Every repeated passage of ``PASSAGE`` words is found, whatever it overlaps, and no pairs are
 made: a passage that m documents share costs m rows.
@@ -132,7 +132,7 @@ class Neighbours:
         if not self.shared and self.held and row[0] != self.held[0][0]:
             self.shared = True
             self.whole += self.held
-            del self.held[1:]
+            self.held[1:] = [row]  # two documents stand for all of this kind
         if self.shared:
             self.whole.append(row)
         else:
