@@ -46,9 +46,10 @@ MAGIC = b"NLTK"
 HEADER = "<4sHIIIQIIII"
 ADJACENT = re.compile(r"\s\s")
 PIECES = re.compile(r"(?<=\S)(?= )")
-REMEMBERED = 400_000     # words whose ids a worker keeps
-LONGEST = 64             # characters of a word that is kept
-GULP = 2_000_000         # characters tokenized at a time
+MARKS = ".,;:!?"
+REMEMBERED = 600_000     # words whose ids a worker keeps
+LONGEST = 64             # characters a remembered word has on average, at most
+GULP = 1_000_000         # characters tokenized at a time
 
 
 # --- tokenizing ---------------------------------------------------------------------------------------------------------
@@ -58,20 +59,18 @@ def _worker() -> dict:
     return sys.modules.setdefault("newsloom_worker", types.ModuleType("newsloom_worker")).__dict__
 
 
-def pieces(text: str) -> list[str]:
-    """Parts of a text that tokenize alike alone and together: cut before each blank that follows a character which is no space.
+def lines(text: str) -> list[list[str]]:
+    """Parts of a text that tokenize alike alone and together: lines, and their words.
 
-    The byte-level pattern never joins a blank to what comes before it, so no token
-    crosses a cut. All but the first part lack their leading blank.
+    The byte-level pattern never joins a blank to what comes before it, and takes a
+    line feed between other characters alone, so no token crosses a cut. All but the first word of a line lack
+    their leading blank. A text with white space in a row is one line, cut before
+    blanks that follow a character which is no space.
     """
     if not ADJACENT.search(text):
-        return text.split(" ") if not text[:1].isspace() else _slow(text)
-    return _slow(text)
-
-
-def _slow(text: str) -> list[str]:
+        return [line.split(" ") for line in text.split("\n")]
     first, *rest = PIECES.split(text)
-    return [first, *(p[1:] for p in rest)]
+    return [[first, *(p[1:] for p in rest)]]
 
 
 class Encoder:
@@ -81,33 +80,47 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.dtype = Tokenizer.from_str(tokenizer), dtype
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {}
-
-    def _learn(self, known: dict[str, bytes], words: set[str], blank: str) -> dict[str, bytes]:
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(words)
-        found = self.tokenizer.encode_batch([blank + w for w in new], add_special_tokens=False)
-        ids = {w: np.array(e.ids, dtype=self.dtype).tobytes() for w, e in zip(new, found)}
-        known.update((w, i) for w, i in ids.items() if len(w) <= LONGEST)
-        return {w: i for w, i in ids.items() if len(w) > LONGEST}
+        self.known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}  # by what stands before the word
+        self.feed = self._ids(["\n"])[0]
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        if self.dtype == "<u2":
+            return [struct.pack(f"<{len(ids)}H", *ids) for ids in (e.ids for e in found)]
+        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
+
+    def _learn(self, blank: str, words: set[str]) -> dict[str, bytes]:
+        """Ids of all the words, from memory where they are known.
+
+        A mark that ends a word of letters is a token apart, so words that differ in it share the rest.
+        """
+        known = self.known[blank]
+        new = {w for w in words if w not in known}
+        if not new:
+            return known
+        ends = {w: core for w in new if (core := w.rstrip(MARKS)) != w and core and core[-1] < "\u0250" and core[-1].isalnum()}
+        whole = list({w for w in new if w not in ends} | {core for core in ends.values() if core not in known})
+        if len(known) + len(whole) + len(ends) > REMEMBERED:  # forget what is not used now
+            known = self.known[blank] = {w: known[w] for w in words | set(ends.values()) if w in known}
+        found = dict(zip(whole, self._ids([blank + w for w in whole])))
+        marks = list({w[len(core):] for w, core in ends.items()})
+        tails = dict(zip(marks, self._ids(marks)))
+        found.update({w: (found.get(core) or known[core]) + tails[w[len(core):]] for w, core in ends.items()})
+        if sum(map(len, found)) > LONGEST * (len(found) + 1000):  # long ones are not remembered
+            known.update((w, i) for w, i in found.items() if len(w) <= LONGEST)
+            return {**known, **found}
+        known.update(found)
+        return known
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [pieces(t) for t in texts]
-        long_first = self._learn(self.first, {p[0] for p in parts}, "")
-        rest: set[str] = set()
-        for p in parts:
-            rest.update(p[1:])
-        long_rest = self._learn(self.rest, rest, " ")
-        first = {**self.first, **long_first} if long_first else self.first
-        known = self.rest
-        out = []
-        for p in parts:
-            tail = map(known.__getitem__, p[1:]) if not long_rest else (known.get(w) or long_rest.get(w, b"") for w in p[1:])
-            out.append(first[p[0]] + b"".join(tail))
-        return out
+        parts = [lines(t) for t in texts]
+        first, rest = set(), set()
+        for part in parts:
+            for words in part:
+                first.add(words[0])
+                rest.update(words[1:])
+        first, rest = self._learn("", first).__getitem__, self._learn(" ", rest).__getitem__
+        return [self.feed.join([first(words[0]) + b"".join(map(rest, words[1:])) for words in part]) for part in parts]
 
 
 def _encoder(tokenizer: str, dtype: str) -> Encoder:
