@@ -62,11 +62,13 @@ def is_nested(v: Column) -> Column:
 def as_text(v: Column) -> Column:
     """A scalar as text (``True``/``False`` for booleans), a list or object as JSON;
     null when absent or null."""
-    flag = F.try_variant_get(v, "$", "boolean")
+    flag, text = F.try_variant_get(v, "$", "boolean"), F.try_variant_get(v, "$", "string")
+    # A whole number that fits in a long is no decimal, so a short decimal without a point was written with a zero behind one.
     return (
         F.when(kind(v) == "BOOLEAN", F.when(flag, F.lit("True")).otherwise(F.lit("False")))
         .when(is_nested(v), F.to_json(v))
-        .otherwise(F.try_variant_get(v, "$", "string"))
+        .when(kind(v).startswith("DECIMAL") & ~text.contains(".") & (F.length(text) <= 18), F.concat(text, F.lit(".0")))
+        .otherwise(text)
     )
 
 

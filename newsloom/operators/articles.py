@@ -106,6 +106,12 @@ def alt_candidates(raw: DataFrame) -> DataFrame:
     return raw.filter((F.col("url") != "") & (F.col("title") != ""))
 
 
+def arrival_seconds(raw: DataFrame, now: Column | None = None) -> Column:
+    """The time a row counts from in the time-to-live window: its own, else that of its envelope, else the current one."""
+    known = [F.col(c) for c in ("timestamp", "sent_at") if c in raw.columns]
+    return F.coalesce(*known, F.unix_seconds(F.current_timestamp() if now is None else now))
+
+
 def alt_normalize(unique: DataFrame, rules: R.RuleSet = R.SCORED_RULES, now: Column | None = None) -> DataFrame:
     """The alternative job's columns (and ``pos``)."""
     seconds = F.unix_seconds(F.current_timestamp() if now is None else now)
@@ -135,8 +141,9 @@ def alt_normalize(unique: DataFrame, rules: R.RuleSet = R.SCORED_RULES, now: Col
 def alt_process_articles(raw: DataFrame, rules: R.RuleSet = R.SCORED_RULES, now: Column | None = None,
                          ttl: int = TTL_SECONDS) -> DataFrame:
     """Whole batch step of the alternative job: time-to-live dedup by url, then scoring."""
-    keyed = alt_candidates(raw).withColumn("url_hash", url_fingerprint(F.col("url")))
-    return alt_normalize(ttl_first(keyed, "url_hash", "timestamp", ttl=ttl), rules, now)
+    seen = alt_candidates(raw)
+    keyed = seen.withColumns({"url_hash": url_fingerprint(F.col("url")), "arrival": arrival_seconds(seen, now)})
+    return alt_normalize(ttl_first(keyed, "url_hash", "arrival", ttl=ttl), rules, now)
 
 
 def processor_counters(messages: DataFrame) -> DataFrame:
@@ -149,10 +156,10 @@ def processor_counters(messages: DataFrame) -> DataFrame:
                          "errors")
 
 
-def alt_counters(raw: DataFrame, ttl: int = TTL_SECONDS) -> DataFrame:
+def alt_counters(raw: DataFrame, ttl: int = TTL_SECONDS, now: Column | None = None) -> DataFrame:
     """One row: processed, duplicates, filtered."""
-    keyed = alt_candidates(raw).select("pos", "timestamp", url_fingerprint(F.col("url")).alias("url_hash"))
-    accepted = ttl_positions(keyed, "url_hash", "timestamp", ttl=ttl).agg(F.count("*").alias("processed"))
+    keyed = alt_candidates(raw).select("pos", arrival_seconds(raw, now).alias("arrival"), url_fingerprint(F.col("url")).alias("url_hash"))
+    accepted = ttl_positions(keyed, "url_hash", "arrival", ttl=ttl).agg(F.count("*").alias("processed"))
     usable = F.count_if((F.col("url") != "") & (F.col("title") != "")).alias("usable")
     read = raw.agg(F.struct(F.count("*").alias("total"), usable)).scalar()
     return accepted.select(

@@ -1,9 +1,9 @@
 """Duplicate removal over a whole table.
 
-Rows carry ``pos``, a unique long that gives their arrival order. One key may
+Rows carry ``pos``, a number that gives their arrival order. One key may
 own a large share of all rows, so no operator here brings all rows of a key
 into one task: keys are reduced in the map tasks first, and what is found out
-about a row is joined back by ``pos``, which never repeats.
+about a row is joined back by ``pos``.
 """
 
 from __future__ import annotations
@@ -19,19 +19,25 @@ from pyspark.sql.window import Window
 # Fixed value: seconds a url stays blocked in the alternative job.
 TTL_SECONDS = 600
 
-PARTITION_LIMIT = 1 << 15
-OFFSET_LIMIT = 1 << 48
+POSITION = "decimal(38,0)"
+OFFSETS = 10 ** 19  # more than the largest long
 
 
 def position(partition: Column, offset: Column) -> Column:
-    """(partition, offset) packed in one long that sorts the same way.
+    """(partition, offset) as one number that sorts the same way, for all ints and longs from 0 on.
 
-    A long minimum is kept in the hash aggregate's fixed-width buffer, a struct
-    is not. Values beyond 2^15 partitions or 2^48 offsets raise an error.
+    A decimal's minimum is kept in the hash aggregate's fixed-width buffer, a struct's
+    is not. A message without a partition or an offset raises an error that says so.
     """
-    packed = F.shiftleft(partition.cast("long"), 48).bitwiseOR(offset.cast("long"))
-    fits = partition.between(0, PARTITION_LIMIT - 1) & offset.between(0, OFFSET_LIMIT - 1)
-    return F.when(fits, packed).otherwise(F.raise_error(F.lit("partition or offset too large to pack")).cast("long"))
+    number = partition.cast("decimal(10,0)") * F.lit(str(OFFSETS)).cast("decimal(20,0)") + offset.cast("decimal(20,0)")
+    missing = F.raise_error(F.lit("a message has no partition or no offset")).cast(POSITION)
+    return F.when(partition.isNull() | offset.isNull(), missing).otherwise(number.cast(POSITION))
+
+
+def place_of(pos: Column) -> tuple[Column, Column]:
+    """Partition (int) and offset (long) of a :func:`position`."""
+    digits = F.lpad(pos.cast("string"), 38, "0")
+    return F.substring(digits, 1, 19).cast("int"), F.substring(digits, 20, 19).cast("long")
 
 
 def first_of_each(rows: DataFrame, key: str, pos: str = "pos") -> DataFrame:
@@ -55,8 +61,19 @@ def flag_repeats(rows: DataFrame, key: str, pos: str = "pos", seen: DataFrame |
     firsts = first_positions(rows, key, pos)
     if seen is not None:
         firsts = unseen(firsts, seen, key)
-    marks = firsts.select(pos, F.lit(False).alias(flag))
-    return rows.join(marks, pos, "left").withColumn(flag, F.coalesce(flag, F.lit(True)))
+    return _flagged(rows, firsts, pos, flag)
+
+
+def _flagged(rows: DataFrame, firsts: DataFrame, pos: str, flag: str) -> DataFrame:
+    """Mark the rows whose ``pos`` is not among ``firsts``.
+
+    A row stays a row, whatever the positions: of rows that share one, which only copies of a
+    whole message or document do, the first counts. The rows lie by ``pos`` after the join, so
+    counting them needs no shuffle of its own.
+    """
+    marks = firsts.select(pos, F.lit(False).alias(flag)).distinct()
+    same = F.row_number().over(Window.partitionBy(pos).orderBy(pos)) > 1
+    return rows.join(marks, pos, "left").withColumn(flag, F.coalesce(flag, F.lit(True)) | same)
 
 
 def unseen(rows: DataFrame, seen: DataFrame, key: str) -> DataFrame:
@@ -108,20 +125,23 @@ def ttl_positions(rows: DataFrame, key: str, seconds: str, pos: str = "pos", ttl
 
     Rows of one second collapse into one in the map tasks, so a key brings at
     most one row for every second of the time range into the sorted walk, and
-    the walk itself holds one Arrow batch.
+    the walk itself holds one Arrow batch. A row without a time is in no window: it is accepted and
+    touches no other row.
     """
-    cells = rows.groupBy(F.col(key).alias("key"), F.col(seconds).alias("second")).agg(F.min(pos).alias("pos"))
+    timed = rows.filter(F.col(seconds).isNotNull())
+    cells = timed.groupBy(F.col(key).alias("key"), F.col(seconds).alias("second")).agg(F.min(pos).alias("pos"))
     ordered = cells.repartition("key").sortWithinPartitions("key", "second")
-    accepted = ordered.mapInPandas(lambda batches: _accept(ttl, batches), "pos long")
-    return accepted.withColumnRenamed("pos", pos)
+    kind = rows.schema[pos].dataType.simpleString()
+    accepted = ordered.mapInPandas(lambda batches: _accept(ttl, batches), f"pos {kind}")
+    untimed = rows.filter(F.col(seconds).isNull()).select(pos)
+    return accepted.withColumnRenamed("pos", pos).unionByName(untimed)
 
 
 def ttl_first(rows: DataFrame, key: str, seconds: str, pos: str = "pos", ttl: int = TTL_SECONDS) -> DataFrame:
     """The rows accepted by :func:`ttl_positions`."""
-    return rows.join(ttl_positions(rows, key, seconds, pos, ttl), pos, "left_semi")
+    return ttl_flags(rows, key, seconds, pos, ttl, "_late").filter("not _late").drop("_late")
 
 
 def ttl_flags(rows: DataFrame, key: str, seconds: str, pos: str = "pos", ttl: int = TTL_SECONDS,
               flag: str = "is_duplicate") -> DataFrame:
-    marks = ttl_positions(rows, key, seconds, pos, ttl).withColumn(flag, F.lit(False))
-    return rows.join(marks, pos, "left").withColumn(flag, F.coalesce(flag, F.lit(True)))
+    return _flagged(rows, ttl_positions(rows, key, seconds, pos, ttl), pos, flag)

@@ -5,24 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a side may have to be sent to every executor, and the number of parts a
+# Bytes a side may have, as JSON, to be sent to every executor, and the number of parts a
 # hot key is spread over when it may not.
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 32
 
 
 def join_small(rows: DataFrame, small: DataFrame, on: str, how: str = "inner", spread: str = "pos",
-               max_rows: int = BROADCAST_ROWS) -> DataFrame:
+               max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join ``rows`` with ``small``, which has one row per ``on`` value.
 
-    ``small`` is broadcast when a count shows that it has at most ``max_rows``
-    rows; it is kept in storage so the count does not compute it twice. A
+    ``small`` is broadcast when its rows, measured first, have at most ``max_bytes``. A
     larger one is joined by shuffle: ``rows`` are spread over ``SALTS`` parts of
     every key by the hash of their ``spread`` column and ``small`` is repeated
     for each part, so a hot key does not end in one task.
     """
-    small = small.persist()
-    if small.limit(max_rows + 1).count() <= max_rows:
+    size = small.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
+    if (size or 0) <= max_bytes:
         return rows.join(F.broadcast(small), on, how)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
     parts = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))

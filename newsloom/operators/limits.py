@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 from pyspark.sql.window import Window
 
 from newsloom.operators.joins import join_small
 
 DAY = 86400
 
-# Positions are counted in blocks of 2^16 first; only rows of the one block per
-# feed in which a limit falls are ranked.
+# Positions are counted in blocks first; only rows of the one block per feed in which a limit falls
+# are ranked. A block is 2^16 positions, or the entries of one document.
 BLOCK_BITS = 16
+ENTRIES = 10 ** 8
 
 
 def recent_enough(published_ts: Column, now: int, days: int | None) -> Column:
@@ -22,13 +24,15 @@ def recent_enough(published_ts: Column, now: int, days: int | None) -> Column:
     return published_ts.isNull() | (published_ts >= now - days * DAY)
 
 
-def _block(pos: str) -> Column:
+def _block(rows: DataFrame, pos: str) -> Column:
+    if isinstance(rows.schema[pos].dataType, DecimalType):  # feed_position
+        return F.floor(F.col(pos) / F.lit(ENTRIES).cast("decimal(9,0)")).alias("block")
     return F.shiftright(F.col(pos).cast("long"), BLOCK_BITS).alias("block")
 
 
 def _blocks(rows: DataFrame, feed: str, pos: str) -> DataFrame:
     """Rows per (feed, block) and the rows of the feed in earlier blocks."""
-    counts = rows.groupBy(feed, _block(pos)).agg(F.count("*").alias("n"))
+    counts = rows.groupBy(feed, _block(rows, pos)).agg(F.count("*").alias("n"))
     order = Window.partitionBy(feed).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
 
@@ -49,9 +53,9 @@ def feed_quotas(counts: DataFrame, feed: str, per_feed: int | None, total: int |
 def first_rows(rows: DataFrame, quotas: DataFrame, feed: str, pos: str) -> DataFrame:
     """The first ``quota`` rows of every feed by ``pos``.
 
-    The block counts tell in which block a feed's quota ends. Rows before it
-    are kept unranked, rows behind it are dropped in the scan, and the ranking
-    sees at most one block of rows per task group, whatever the feed's size.
+    The block counts tell in which block a feed's quota ends. Only feed and position of the rows
+    of that block are ranked; what comes out is one last position a feed, and the
+    rows up to it are kept in the scan. Whole rows are not shuffled.
     """
     cuts = (
         _blocks(rows, feed, pos)
@@ -61,15 +65,16 @@ def first_rows(rows: DataFrame, quotas: DataFrame, feed: str, pos: str) -> DataF
         .agg(F.max(F.struct("block", (F.col("quota") - F.col("before")).alias("left"))).alias("cut"))
         .select(feed, F.col("cut.block").alias("_cut"), F.col("cut.left").alias("_left"))
     )
-    rank = F.row_number().over(Window.partitionBy(feed, "_block").orderBy(pos))
-    return (
-        join_small(rows, cuts, feed, spread=pos)
-        .withColumn("_block", _block(pos))
-        .filter("_block <= _cut")
+    rank = F.row_number().over(Window.partitionBy(feed).orderBy(pos))
+    ends = (
+        join_small(rows.select(feed, pos, _block(rows, pos)), cuts, feed, spread=pos)
+        .filter("block = _cut")
         .withColumn("_rank", rank)
-        .filter("_block < _cut OR _rank <= _left")
-        .drop("_cut", "_left", "_block", "_rank")
+        .filter("_rank <= _left")
+        .groupBy(feed)
+        .agg(F.max(pos).alias("_end"))
     )
+    return join_small(rows, ends, feed, spread=pos).filter(F.col(pos) <= F.col("_end")).drop("_end")
 
 
 def select_backfill(rows: DataFrame, now: int, per_feed: int | None = None, total: int | None = None,
@@ -94,8 +99,7 @@ def backfill_counters(rows: DataFrame, now: int, per_feed: int | None = None, to
     narrow = rows.select(feed, pos, fresh.alias("_fresh"))
     counts = narrow.groupBy(feed).agg(
         F.count_if("_fresh").alias("eligible"), F.count_if(~F.col("_fresh")).alias("old"))
-    # Used several times below, and no longer than the registry.
-    feeds = feed_quotas(counts, feed, per_feed, total).persist()
+    feeds = feed_quotas(counts, feed, per_feed, total)
     if total is None:
         return feeds.select(
             feed,
@@ -108,7 +112,7 @@ def backfill_counters(rows: DataFrame, now: int, per_feed: int | None = None, to
     limits = feeds.join(stopping, feed).select(feed, (F.col("quota") + 1).alias("quota"))
     stop = first_rows(narrow.filter("_fresh"), limits, feed, pos).groupBy(feed).agg(F.max(pos).alias("_stop"))
     seen_old = (
-        narrow.filter(~F.col("_fresh")).join(stop, feed)
+        join_small(narrow.filter(~F.col("_fresh")), stop, feed, spread=pos)
         .groupBy(feed).agg(F.count_if(F.col(pos) < F.col("_stop")).alias("_old"))
     )
     return (

@@ -168,6 +168,11 @@ def atom_documents(spark: SparkSession, sf: str) -> DataFrame:
         F.timestamp_seconds("timestamp").alias("fetched_at"), "doc_id")
 
 
+def crawl_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """RSS and Atom documents of all feeds: the two of an article were fetched in one second."""
+    return rss_documents(spark, sf).drop("doc_id").unionByName(atom_documents(spark, sf).drop("doc_id"))
+
+
 def page_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Web pages that came in place of feeds; HTML is no well-formed XML."""
     return table(spark, sf, "pages").select(

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from newsloom.functions import alerts as A
 from newsloom.functions import rules as R
-from newsloom.functions import text as T
 from newsloom.functions import times as M
 from newsloom.plans import fixture as X
 from newsloom.plans import queries as Q
@@ -21,8 +20,12 @@ def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# White space of the trimming rule: U+0009-000D, U+001C-0020, U+0085 and the Unicode separators.
+SPACE_CHARS = "".join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 def strip(e: str) -> str:
-    return f"trim({e}, {lit(T.WHITESPACE)})"
+    return f"trim({e}, {lit(SPACE_CHARS)})"
 
 
 def values(rules: R.RuleSet) -> str:
@@ -67,7 +70,7 @@ def hits(name: str, base: str, rules: R.RuleSet, text: str) -> str:
   FROM {base} b JOIN {name}_rules r ON contains(b.{text}, r.keyword) GROUP BY b.doc_id, r.keyword)"""
 
 
-def labels(name: str, limit: int = R.KEYWORD_LIMIT) -> str:
+def labels(name: str, limit: int = 8) -> str:
     """(doc_id, category, keywords) of a hits table, first match wins."""
     return f"""
 {name}_labels AS (
@@ -76,7 +79,7 @@ def labels(name: str, limit: int = R.KEYWORD_LIMIT) -> str:
   FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS rn FROM {name}) GROUP BY doc_id)"""
 
 
-def scored(name: str, limit: int = R.KEYWORD_LIMIT) -> str:
+def scored(name: str, limit: int = 8) -> str:
     """(doc_id, category, score, rank) and labels of a scored rule set."""
     return f"""
 {name}_scores AS (
@@ -96,19 +99,19 @@ def last_index(head: str, mark: str) -> str:
 
 
 def summary(title: str, body: str) -> str:
-    n = T.SUMMARY_LENGTH
+    n = 300
     head = f"left({body}, {n})"
     cases = " ".join(
         f"WHEN {last_index(head, m)} > {n // 2} THEN {strip(f'left({head}, {last_index(head, m)} + {len(m)})')} || '…'"
-        for m in T.SUMMARY_MARKS)
+        for m in (". ", "。", "! ", "? ", "\n"))
     return (f"CASE WHEN {body} = '' THEN {title} WHEN length({body}) <= {n} THEN {body} {cases} "
             f"ELSE {strip(head)} || '…' END")
 
 
 def short_summary(title: str, body: str) -> str:
-    n = T.SHORT_SUMMARY_LENGTH
+    n = 200
     head = f"left({body}, {n})"
-    last = "greatest(" + ", ".join(f"({last_index(head, m)})" for m in T.SHORT_SUMMARY_MARKS) + ")"
+    last = "greatest(" + ", ".join(f"({last_index(head, m)})" for m in (". ", "。", "! ")) + ")"
     return (f"CASE WHEN {body} = '' THEN {strip(title)} WHEN length({body}) <= {n} THEN {body} "
             f"WHEN {last} > {n // 2} THEN {strip(f'left({head}, {last} + 1)')} ELSE {strip(head)} || '…' END")
 
@@ -186,7 +189,7 @@ add("summaries", f"{WITH_NEWS} SELECT doc_id, {summary('ttl', 'body')} AS summar
 add("short_summaries", f"{WITH_NEWS} SELECT doc_id, {short_summary('title', 'body')} AS summary FROM keyed")
 add("article_ids", f"{WITH_NEWS} SELECT doc_id, left(url_hash, 32) AS article_id, raw_hash, url_hash FROM keyed")
 
-SPACES = "[" + T.WHITESPACE + "]+"
+SPACES = "[" + SPACE_CHARS + "]+"
 add("canonical_texts", f"""
 WITH padded AS (SELECT conv_id, turn, {lit(" ")} || chr(31) || ' ' || chr(10) || text || chr(9) || ' ' || chr(133) AS p
                 FROM conversations)
@@ -378,6 +381,45 @@ add("alt_counters", f"""{WITH_ALT}
 SELECT (SELECT count(*) FROM alt) AS processed, (SELECT count(*) FROM cells) - (SELECT count(*) FROM alt) AS duplicates,
        (SELECT count(*) FROM news) - (SELECT count(*) FROM cells) AS filtered""")
 
+# Messages: times as text are read, lists as a time and missing times fall back to the envelope's.
+ALT_MESSAGES = f"""
+alt_reasons AS (SELECT doc_id FROM documents WHERE {K} NOT IN (1, 2, 3, 4, 7, 8, 12, 15, 16)),
+sent AS (
+  SELECT doc_id, part, off, source, title, CASE WHEN {K} = 9 THEN '' ELSE content END AS content,
+         CASE {K} WHEN 5 THEN '' WHEN 6 THEN '   ' ELSE url END AS url, ts,
+         CASE WHEN {K} = 11 THEN CAST({X.NOW} AS BIGINT) ELSE ts END AS shown
+  FROM news JOIN alt_reasons USING (doc_id)),
+cells AS (SELECT *, sha256(lower({strip('url')})) AS url_hash, {strip('content')} AS body,
+                 lower(title || ' ' || content) AS t FROM sent WHERE url <> '' AND title <> ''),
+{ttl('cells', 'url_hash', 'ts', 600)},
+alt AS (
+  SELECT * FROM (SELECT c.*, row_number() OVER (PARTITION BY c.url_hash, c.ts ORDER BY part, off) AS rn
+                 FROM cells c JOIN accepted a ON a.url_hash = c.url_hash AND a.s = c.ts) WHERE rn = 1)"""
+WITH_ALT_MESSAGES = f"WITH RECURSIVE {NEWS}, {ALT_MESSAGES}"
+add("alt_process_messages", f"""{WITH_ALT_MESSAGES}, {hits('s', 'alt', R.SCORED_RULES, 't')}, {labels('s')}, {scored('s')}
+SELECT CAST(a.doc_id AS VARCHAR) AS id, title, {short_summary('title', 'body')} AS summary, url,
+       coalesce(l.keywords, '') AS keywords, coalesce(b.category, {lit(R.DEFAULT_CATEGORY)}) AS category, source,
+       shown AS timestamp, CAST({X.NOW} AS BIGINT) AS processed_at
+FROM alt a LEFT JOIN s_labels l ON l.doc_id = a.doc_id LEFT JOIN (SELECT * FROM s_scores WHERE rank = 1) b ON b.doc_id = a.doc_id""")
+add("alt_message_counters", f"""{WITH_ALT_MESSAGES}
+SELECT (SELECT count(*) FROM alt) AS processed, (SELECT count(*) FROM cells) - (SELECT count(*) FROM alt) AS duplicates,
+       (SELECT count(*) FROM sent) - (SELECT count(*) FROM cells) AS filtered""")
+
+ENTRIES = f"""
+entries AS (
+  SELECT e.*, r.feed_ord FROM (SELECT * FROM items UNION ALL SELECT * FROM atoms) e
+  JOIN (SELECT DISTINCT name, feed_ord FROM feed_rules) r ON r.name = e.source)"""
+add("crawl_outcomes", f"""{WITH_NEWS}, {FEEDS}, {LINES}, {ATOM}, {ENTRIES},
+placed AS (SELECT *, row_number() OVER (PARTITION BY lower({strip('url')}) ORDER BY ts, entry_pos) > 1 AS again FROM entries)
+SELECT feed_ord, url, published_ts, CASE WHEN again THEN 'skip_dedup' WHEN published_ts IS NULL THEN 'skip_no_ts'
+         WHEN published_ts < {X.STARTUP} THEN 'skip_old' ELSE 'published' END AS outcome, count(*) AS rows
+FROM placed GROUP BY ALL""")
+add("backfill_documents", f"""{WITH_NEWS}, {FEEDS}, {LINES}, {ATOM}, {ENTRIES},
+counted AS (SELECT feed_ord, count(*) FILTER (published_ts IS NULL OR published_ts >= {X.NOW - Q.DAYS * 86400}) AS fresh,
+                   count(*) AS n FROM entries GROUP BY feed_ord)
+SELECT feed_ord, least(fresh, {3 * Q.PER_FEED}) AS published, n - fresh AS skip_old,
+       fresh - least(fresh, {3 * Q.PER_FEED}) AS skip_per_feed_limit, least(fresh, {3 * Q.PER_FEED}) AS rows FROM counted""")
+
 add("storage_rows", f"""{WITH_PROCESSED}
 SELECT article_id, p.source, matched_feed_name, p.title, summary, p.url, published_at, ingested_at, category, p.raw_hash,
        is_duplicate, should_alert, _published_at_source AS published_at_source, 'processed_news' AS source_topic,
@@ -412,7 +454,7 @@ def preview(e: str) -> str:
 
 def message(title: str, summary_text: str, url: str, source: str, category: str, tags: str) -> str:
     p = f"({preview(summary_text)})"
-    short = f"CASE WHEN length({p}) > {A.PREVIEW_LENGTH} THEN left({p}, {A.PREVIEW_LENGTH - 3}) || '…' ELSE {p} END"
+    short = f"CASE WHEN length({p}) > 300 THEN left({p}, 297) || '…' ELSE {p} END"
     icons = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in A.SOURCE_ICONS.items())
     return f"""concat_ws(chr(10),
       CASE {source} {icons} ELSE {lit(A.DEFAULT_ICON)} END || ' <b>' || {escape(strip(title))} || '</b>',
@@ -453,17 +495,17 @@ WITH rows AS (SELECT event_id, event_id % 6 AS n, CAST(json_extract(props, '$.k'
 SELECT event_id,
        CASE n WHEN 0 THEN 'x' WHEN 1 THEN '' WHEN 2 THEN '0' WHEN 3 THEN 'false' WHEN 4 THEN '[]' ELSE 'none' END AS a,
        n IN (0, 3) AS a_true,
-       CASE n WHEN 0 THEN '' WHEN 1 THEN '[null,1,"é"]' WHEN 2 THEN ' ' WHEN 3 THEN 'two words' WHEN 4 THEN 'True'
+       CASE n WHEN 0 THEN '' WHEN 1 THEN '[null,1,"é",2]' WHEN 2 THEN ' ' WHEN 3 THEN 'two words' WHEN 4 THEN 'True'
               ELSE 'none' END AS b,
-       CASE n WHEN 1 THEN '1|é' WHEN 3 THEN 'two words' WHEN 4 THEN 'True' ELSE '' END AS b_list,
-       CASE WHEN n = 5 THEN kv ELSE '' END AS k,
-       CASE n WHEN 0 THEN '{"a":"x","b":null}' WHEN 1 THEN '{"a":"","b":[null,1,"é"]}' WHEN 2 THEN '{"a":0,"b":" "}'
-              WHEN 3 THEN '{"a":"false","b":"two words"}' WHEN 4 THEN '{"a":[],"b":true}'
-              ELSE '{"k":' || kv || '}' END AS json
+       CASE n WHEN 1 THEN '1|é|2.0' WHEN 3 THEN 'two words' WHEN 4 THEN 'True' ELSE '' END AS b_list,
+       kv AS k,
+       '{' || CASE n WHEN 0 THEN '"a":"x","b":null,' WHEN 1 THEN '"a":"","b":[null,1,"é",2],' WHEN 2 THEN '"a":0,"b":" ",'
+              WHEN 3 THEN '"a":"false","b":"two words",' WHEN 4 THEN '"a":[],"b":true,' ELSE '' END || '"k":' || kv || '}' AS json
 FROM rows""")
 
 # Streams give what their batch forms give ---------------------------------------------------
 
 add("stream_first", f"{WITH_NEWS} SELECT DISTINCT raw_hash FROM keyed")
 add("stream_window", SQL["dedup_first"])
+add("stream_alt", SQL["alt_process_messages"])
 add("stream_ttl", SQL["dedup_ttl"])

@@ -20,6 +20,7 @@ from newsloom.functions import variant as V
 from newsloom.functions.alerts import hashtags, icon
 from newsloom.operators import alerts, articles, dedup, limits, outcomes, storage
 from newsloom.plans import fixture as X
+from newsloom.plans import jobs as plan_jobs
 from newsloom.session import run_dir
 from newsloom.sources import documents as D
 from newsloom.sources import feeds as feed_registry
@@ -46,9 +47,9 @@ def joined(c: str) -> Column:
 
 
 def doc_id() -> Column:
-    """doc_id of the packed topic position ``pos``."""
-    pos = F.col("pos")
-    return (pos.bitwiseAND(dedup.OFFSET_LIMIT - 1) * 4 + F.shiftright(pos, 48)).alias("doc_id")
+    """doc_id of the topic position ``pos``."""
+    partition, offset = dedup.place_of(F.col("pos"))
+    return (offset * 4 + partition).alias("doc_id")
 
 
 # Articles ---------------------------------------------------------------------------------
@@ -323,8 +324,9 @@ def atom_entries(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def broken_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents that are no feeds: web pages sent in their place."""
-    docs = D.fetched(X.page_documents(spark, sf))
+    """Documents that are no feeds, among feeds: web pages sent in their place."""
+    feeds_too = X.atom_documents(spark, sf).withColumnRenamed("doc_id", "page_id")
+    docs = D.fetched(X.page_documents(spark, sf).unionByName(feeds_too))
     broken = D.broken_documents(D.parse_documents(docs))
     return broken.select("page_id", "feed_name", F.length("body").alias("chars"))
 
@@ -332,8 +334,7 @@ def broken_documents(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def crawl(spark: SparkSession, sf: str) -> DataFrame:
     """raw_news rows of all fetched documents of enabled feeds, RSS and Atom together."""
-    docs = X.rss_documents(spark, sf).drop("doc_id").unionByName(X.atom_documents(spark, sf).drop("doc_id"))
-    rows = D.crawl(docs, registry(spark, sf))
+    rows = D.crawl(X.crawl_documents(spark, sf), registry(spark, sf))
     return rows.select("id", "title", "url", "source", "timestamp", "published_ts", "should_alert",
                        joined("matched_keywords"), "feed_ord", "entry_pos")
 
@@ -387,12 +388,44 @@ def alt_counters(spark: SparkSession, sf: str) -> DataFrame:
     return articles.alt_counters(X.typed_raw_news(spark, sf))
 
 
+def alt_columns(rows: DataFrame) -> DataFrame:
+    return rows.select("id", "title", "summary", "url", joined("keywords"), "category", "source", "timestamp", "processed_at")
+
+
+@query
+def alt_process_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """The alternative job from JSON messages, some of them without a time."""
+    raw = messages.raw_news(messages.parse_raw_news(X.raw_messages(spark, sf)))
+    return alt_columns(articles.alt_process_articles(raw, now=fixed_now()))
+
+
+@query
+def alt_message_counters(spark: SparkSession, sf: str) -> DataFrame:
+    return articles.alt_counters(messages.raw_news(messages.parse_raw_news(X.raw_messages(spark, sf))), now=fixed_now())
+
+
+@query
+def crawl_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """Realtime outcomes of crawled rows, with several documents of a feed in one second."""
+    rows = D.crawl(X.crawl_documents(spark, sf), registry(spark, sf))
+    labelled = outcomes.realtime_outcomes(rows, X.STARTUP)
+    return labelled.groupBy("feed_ord", "url", "published_ts", "outcome").agg(F.count("*").alias("rows"))
+
+
+@query
+def backfill_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Counters of a backfill over fetched documents, and the rows it publishes."""
+    docs, feeds = X.crawl_documents(spark, sf), registry(spark, sf)
+    rows = plan_jobs.crawled(docs, feeds)
+    kept = plan_jobs.backfill(docs, feeds, 3 * PER_FEED, None, DAYS, X.NOW, rows).groupBy("feed_ord").agg(F.count("*").alias("rows"))
+    report = plan_jobs.backfill_report(docs, feeds, 3 * PER_FEED, None, DAYS, X.NOW, rows)
+    return report.join(kept, "feed_ord", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+
+
 def processed_messages(spark: SparkSession, sf: str) -> DataFrame:
     """processed_news messages, keyed by article, at the positions of their raw messages."""
-    place = {
-        "topic": F.lit("processed_news"), "partition": F.shiftright("pos", 48).cast("int"),
-        "offset": F.col("pos").bitwiseAND(dedup.OFFSET_LIMIT - 1),
-    }
+    partition, offset = dedup.place_of(F.col("pos"))
+    place = {"topic": F.lit("processed_news"), "partition": partition, "offset": offset}
     return messages.to_messages(processed(spark, sf), "article_id", ("raw_payload",), place)
 
 
@@ -451,12 +484,13 @@ def hashtag_lines(spark: SparkSession, sf: str) -> DataFrame:
 def json_fields(spark: SparkSession, sf: str) -> DataFrame:
     """Defaults, truthiness, list coercion and canonical JSON on event properties."""
     n = F.col("event_id") % 6
-    extra = (
-        F.when(n == 0, F.lit('{"b": null, "a": "x"}')).when(n == 1, F.lit('{"b": [null, 1, "é"], "a": ""}'))
-        .when(n == 2, F.lit('{"b": " ", "a": 0}')).when(n == 3, F.lit('{"b": "two words", "a": "false"}'))
-        .when(n == 4, F.lit('{"b": true, "a": []}')).otherwise(F.col("props"))
+    more = (
+        F.when(n == 0, F.lit(', "b": null, "a": "x"}')).when(n == 1, F.lit(', "b": [null, 1, "é", 2.0], "a": ""}'))
+        .when(n == 2, F.lit(', "b": " ", "a": 0}')).when(n == 3, F.lit(', "b": "two words", "a": "false"}'))
+        .when(n == 4, F.lit(', "b": true, "a": []}')).otherwise(F.lit("}"))
     )
-    rows = X.table(spark, sf, "events").select("event_id", F.try_parse_json(extra).alias("m"))
+    props = F.concat(F.regexp_replace("props", r"\}\s*$", ""), more)
+    rows = X.table(spark, sf, "events").select("event_id", F.try_parse_json(props).alias("m"))
     a, b, k = (V.field(F.col("m"), name) for name in "abk")
     return rows.select(
         "event_id", V.text_or(a, "none").alias("a"), V.truthy(a).alias("a_true"), V.text_or(b, "none").alias("b"),
@@ -522,6 +556,12 @@ def stream_ttl(spark: SparkSession, sf: str) -> DataFrame:
     return finished(state.ttl_stream(rows, "user_id", "seconds", "event_id", 6 * 3600), "stream_ttl")
 
 
+@query
+def stream_alt(spark: SparkSession, sf: str) -> DataFrame:
+    """The alternative job as a stream."""
+    return alt_columns(finished(jobs.alt_stream(X.messages(news_stream(spark, sf)), now=fixed_now()), "stream_alt"))
+
+
 @query
 def stream_processor(spark: SparkSession, sf: str) -> DataFrame:
     """The streaming processor over JSON messages."""

@@ -41,7 +41,7 @@ QUARANTINE = "topic string, partition int, offset bigint, value string, reason s
 OUTBOX = "article_id string, source_topic string, kafka_partition bigint, kafka_offset bigint, message string"
 
 # Keys of an article that were accepted before.
-SEEN_URLS = "url_hash string, seq bigint"
+SEEN_URLS = "url_hash string, seq decimal(38,0)"
 
 
 def columns(ddl: str) -> list[str]:

@@ -121,21 +121,39 @@ def entry_id(feed: Column, url: Column, title: Column, published_ts: Column) ->
     return F.substring(F.sha2(F.concat_ws("|", feed, url, title, published_ts.cast("string")), 256), 1, 32)
 
 
-def crawl_position(seconds: Column, feed_ord: Column, entry_pos: Column) -> Column:
-    """(fetch time, feed, entry) packed in one long that sorts the same way.
+# Digits of a document's key and of an entry's number in a position. No text holds 10^8 entries.
+KEY_DIGITS, ENTRY_DIGITS = 9, 8
 
-    It holds 4,096 feeds and 65,536 entries a document; more raise an error.
-    """
-    packed = F.shiftleft(seconds.cast("long"), 28).bitwiseOR(
-        F.shiftleft(feed_ord.cast("long"), 16)).bitwiseOR(entry_pos.cast("long"))
-    fits = feed_ord.between(0, (1 << 12) - 1) & entry_pos.between(0, (1 << 16) - 1)
-    return F.when(fits, packed).otherwise(F.raise_error(F.lit("feed or entry number too large to pack")).cast("long"))
+
+def document_key(body: Column) -> Column:
+    """Number that tells the documents of one feed and second apart, the same whenever they are read."""
+    return F.pmod(F.xxhash64(body), F.lit(10 ** KEY_DIGITS))
+
+
+def _digits(number: Column, places: int) -> Column:
+    return number.cast("decimal(38,0)") * F.lit(str(10 ** places)).cast(f"decimal({places + 1},0)")
+
+
+def feed_position(seconds: Column, key: Column, entry_pos: Column) -> Column:
+    """Order of a feed's entries: fetch time, document, entry."""
+    number = _digits(seconds.cast("decimal(11,0)"), KEY_DIGITS + ENTRY_DIGITS) + _digits(key, ENTRY_DIGITS) + entry_pos.cast("decimal(10,0)")
+    return number.cast("decimal(28,0)")
+
+
+def crawl_position(seconds: Column, feed_ord: Column, key: Column, entry_pos: Column) -> Column:
+    """Arrival order over all feeds: fetch time, feed (any int from 0 on), document, entry."""
+    places = KEY_DIGITS + ENTRY_DIGITS
+    inside = (_digits(key, ENTRY_DIGITS) + entry_pos.cast("decimal(10,0)")).cast("decimal(17,0)")
+    number = (_digits(seconds.cast("decimal(11,0)"), 10) + feed_ord.cast("decimal(10,0)")).cast("decimal(21,0)")
+    return (number * F.lit(str(10 ** places)).cast(f"decimal({places + 1},0)") + inside).cast("decimal(38,0)")
 
 
 def crawl(documents: DataFrame, feeds: DataFrame) -> DataFrame:
-    """raw_news rows, with ``feed_ord``, ``entry_pos`` and ``pos``, from fetched documents of known feeds."""
+    """raw_news rows, with ``feed_ord``, ``entry_pos``, ``feed_pos`` (order in the feed) and ``pos`` (order of arrival),
+    from fetched documents of known feeds."""
     rules = feeds.select(F.col("name").alias("feed_name"), "feed_ord", "include_keywords", "exclude_keywords")
-    known = join_small(fetched(documents), rules, "feed_name", spread="body")
+    keyed = fetched(documents).withColumn("_key", document_key(F.col("body")))
+    known = join_small(keyed, rules, "feed_name", spread="_key")
     rows = with_alert(entries(parse_documents(known))).withColumn("source", F.col("feed_name"))
     return rows.select(
         entry_id(F.col("feed_name"), F.col("url"), F.col("title"), F.col("published_ts")).alias("id"),
@@ -150,6 +168,7 @@ def crawl(documents: DataFrame, feeds: DataFrame) -> DataFrame:
         "matched_keywords",
         "feed_ord",
         "entry_pos",
-        crawl_position(F.unix_seconds("fetched_at"), F.col("feed_ord"), F.col("entry_pos")).alias("pos"),
+        feed_position(F.unix_seconds("fetched_at"), F.col("_key"), F.col("entry_pos")).alias("feed_pos"),
+        crawl_position(F.unix_seconds("fetched_at"), F.col("feed_ord"), F.col("_key"), F.col("entry_pos")).alias("pos"),
     )
 

@@ -32,7 +32,7 @@ def _parse(path: Path) -> Any:
 def _row(i: int, entry: Any, path: Path) -> tuple:
     if not isinstance(entry, dict):
         raise ValueError(f"{path}: feed {i} is not a mapping")
-    texts = {key: str(entry.get(key, "")).strip() for key in ("name", "url")}
+    texts = {key: str("" if entry.get(key) is None else entry[key]).strip() for key in ("name", "url")}
     for key, value in texts.items():
         if not value:
             raise ValueError(f"{path}: feed {i} has no {key}")

@@ -9,7 +9,7 @@ from newsloom.functions import variant as V
 from newsloom.functions.text import raw_hash, strip
 from newsloom.functions.times import number_from_text
 from newsloom.functions.rules import FIRST_MATCH_RULES, RuleSet
-from newsloom.operators.articles import FROM_FEED, FROM_INGESTION, normalize
+from newsloom.operators.articles import FROM_FEED, FROM_INGESTION, Classifier, normalize
 from newsloom.operators.dedup import first_of_each, position
 
 BAD_JSON, NOT_AN_OBJECT, MISSING_URL, PROCESS_ERROR = "bad_json", "not_an_object", "missing_url", "process_error"
@@ -100,13 +100,14 @@ def unpacked(unique: DataFrame) -> DataFrame:
     return _raw_fields(unique).select(*article_columns(), "raw_hash", "pos")
 
 
-def process_messages(parsed: DataFrame, rules: RuleSet = FIRST_MATCH_RULES, now: Column | None = None) -> DataFrame:
+def process_messages(parsed: DataFrame, rules: RuleSet = FIRST_MATCH_RULES, now: Column | None = None,
+                     classifier: Classifier | None = None) -> DataFrame:
     """Whole batch step over parsed raw_news messages.
 
     Only key, position and the parsed message are shuffled; the fields, some
     of which repeat its content, are taken out of the survivors.
     """
-    return normalize(unpacked(first_of_each(keyed(parsed, "_m"), "raw_hash")), rules, now)
+    return normalize(unpacked(first_of_each(keyed(parsed, "_m"), "raw_hash")), rules, now, classifier)
 
 
 def raw_news(parsed: DataFrame) -> DataFrame:
@@ -115,6 +116,7 @@ def raw_news(parsed: DataFrame) -> DataFrame:
     It takes texts as they are and has no quarantine of its own: rows whose
     url, title or content is not a text are left to ``parse_raw_news``.
     """
+    parsed = parsed.withColumn("_sent", F.col("timestamp"))
     good = parsed.filter(V.is_text(F.col("_url")) & V.is_text(F.col("_title"))
                          & (V.absent(F.col("_content")) | V.is_text(F.col("_content"))))
     return good.select(
@@ -128,6 +130,7 @@ def raw_news(parsed: DataFrame) -> DataFrame:
         _seconds(F.col("_published_ts")).cast("long").alias("published_ts"),
         V.truthy(F.col("_should_alert")).alias("should_alert"),
         V.text_list(F.col("_matched_keywords")).alias("matched_keywords"),
+        F.unix_seconds("_sent").alias("sent_at"),
         position(F.col("partition"), F.col("offset")).alias("pos"),
     )
 

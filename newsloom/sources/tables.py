@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from newsloom.operators.outcomes import latest_urls
-from newsloom.operators.storage import unstored
+from newsloom.operators.storage import PLACE, unstored
 from newsloom.schemas import SEEN_URLS, STORAGE_ROW
 
 # Table properties.
@@ -91,25 +91,25 @@ def append_new(rows: DataFrame, table: str, iceberg: bool = False) -> int:
     """Append the rows whose topic position is not stored yet and return their number.
 
     A batch that is delivered again after a failure therefore adds nothing.
-    Rows are written in ranges of offsets. That keeps the range of every file
+    Rows are written in ranges of topic, partition and offset. That keeps the range of every file
     narrow for the check of the next batch, and lets AQE merge small ranges
-    into files of a sensible size.
+    into files of a sensible size. A snapshot carries the number of its records.
     """
     spark = rows.sparkSession
-    count = Observation()
-    # The batch is used twice: for its offset range and for the append.
+    # The batch is used several times: for its offset ranges, the count and the append.
     rows = rows.persist()
     try:
         fresh = unstored(rows, spark.table(table))
         if fresh is None:
             return 0
-        ranges = fresh.repartitionByRange("kafka_offset").sortWithinPartitions("kafka_offset", "kafka_partition")
-        counted = ranges.observe(count, F.count("*").alias("n"))
+        count = fresh.count()
+        ordered = fresh.repartitionByRange(*PLACE).sortWithinPartitions(*PLACE)
         if iceberg:
-            counted.writeTo(table).option("snapshot-property.ingest.source", "newsloom").append()
-        else:
-            counted.write.format("parquet").mode("append").saveAsTable(table)
-        return int(count.get["n"])
+            (ordered.writeTo(table).option("snapshot-property.ingest.source", "newsloom")
+             .option("snapshot-property.ingest.records", str(count)).append())
+        elif count:
+            ordered.write.format("parquet").mode("append").saveAsTable(table)
+        return count
     finally:
         rows.unpersist()
 

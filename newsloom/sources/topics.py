@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader, DataStreamWriter
@@ -38,16 +39,43 @@ def kafka_batch(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     return _text_envelope(spark.read.format("kafka").options(**options).load())
 
 
+# Bits of an offset that count the messages of one run and task.
+RUN_BITS = 33
+
+
+def write_files(sent: DataFrame, path: str, run: str, base: int) -> None:
+    """Write ``(key, value)`` rows of one run to a file topic: envelope rows in JSON lines, in a folder of their own.
+
+    A run that is done again replaces its folder. The writing task is the partition; offsets
+    count from ``base``, which grows from run to run.
+    """
+    number = F.monotonically_increasing_id().bitwiseAND((1 << RUN_BITS) - 1)
+    topic = path.rstrip("/").rsplit("/", 1)[-1]
+    envelope = sent.select(
+        F.lit(topic).alias("topic"), F.spark_partition_id().alias("partition"), (number + base).alias("offset"),
+        F.current_timestamp().alias("timestamp"), "key", "value")
+    envelope.write.mode("overwrite").json(f"{path.rstrip('/')}/{run}")
+
+
+def next_offset(spark: SparkSession, path: str) -> int:
+    """First offset behind all messages of a file topic."""
+    try:
+        last = file_batch(spark, path).agg(F.max("offset")).first()[0]
+    except AnalysisException:  # no such folder yet
+        return 0
+    return 0 if last is None else last + 1
+
+
 def file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Streaming read of envelope rows from JSON-lines files."""
-    reader = spark.readStream.schema(ENVELOPE)
+    """Streaming read of envelope rows from JSON-lines files in a folder and those below it."""
+    reader = spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(path)
 
 
 def file_batch(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(ENVELOPE).json(path)
+    return spark.read.schema(ENVELOPE).option("recursiveFileLookup", True).json(path)
 
 
 def peek(messages: DataFrame, n: int) -> DataFrame:

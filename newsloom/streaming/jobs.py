@@ -7,16 +7,18 @@ micro-batch is run again as a whole.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from newsloom.functions.once import computed
 from newsloom.functions.text import url_fingerprint
 from newsloom.operators.alerts import alert_outbox
-from newsloom.operators.articles import alt_candidates, alt_normalize, normalize
+from newsloom.operators.articles import Classifier, alt_candidates, alt_normalize, arrival_seconds, normalize
 from newsloom.operators.outcomes import NO_TIME, OLD, PUBLISHED, REPEATED, realtime_outcome
 from newsloom.operators.storage import storage_rows
 from newsloom.session import shared_dir
@@ -79,24 +81,39 @@ def writer_interval(seconds: int = STORE_SECONDS) -> str:
     return f"{seconds} seconds"
 
 
+def startup_time(spark: SparkSession, run: Run, given: int | None = None) -> int:
+    """Start time of a query, kept beside its checkpoint: a restart gets the first one back."""
+    path = f"{run.folder}/startup/{run.name}"
+    try:
+        return int(spark.read.text(path).first()[0])
+    except AnalysisException:
+        started = int(time.time()) if given is None else given
+        spark.createDataFrame([(str(started),)], "value string").coalesce(1).write.text(path)
+        return started
+
+
 def alert_pace(interval: float = ALERT_SECONDS, trigger_seconds: int = 60) -> tuple[str, int]:
     """Trigger and ``maxOffsetsPerTrigger`` that keep at least ``interval`` seconds a message."""
     return f"{trigger_seconds} seconds", int(trigger_seconds / interval)
 
 
 def _send(rows: DataFrame, out: str, key: str, servers: str | None, json_columns: tuple[str, ...] = ()) -> DataStreamWriter:
-    """Messages to the Kafka topic ``out``, or without servers to JSON files below it."""
+    """Messages to the Kafka topic ``out``, or without servers to the file topic in that folder."""
     sent = messages.to_messages(rows, key, json_columns)
     if servers:
         return topics.kafka_sink(sent, servers, out)
-    return sent.writeStream.format("json").option("path", out)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        topics.write_files(batch, out, f"batch-{batch_id:012d}", batch_id << topics.RUN_BITS)
+
+    return sent.writeStream.foreachBatch(write)
 
 
 # Processing -------------------------------------------------------------------------------
 
 
 def processed_stream(envelope: DataFrame, window: int | None = PROCESSOR_WINDOW, buckets: int = 1,
-                     now: Column | None = None) -> DataFrame:
+                     now: Column | None = None, classifier: Classifier | None = None) -> DataFrame:
     """processed_news rows of a raw_news stream. ``window=None`` remembers every hash."""
     # The state functions see the message text only; it is parsed again behind them.
     keyed = messages.keyed(messages.parse_raw_news(envelope), "value")
@@ -104,7 +121,7 @@ def processed_stream(envelope: DataFrame, window: int | None = PROCESSOR_WINDOW,
         unique = first_stream(keyed, "raw_hash")
     else:
         unique = window_stream(keyed, "raw_hash", size=window, buckets=buckets)
-    return normalize(messages.unpacked(computed(unique, _m=F.parse_json("value"))), now=now)
+    return normalize(messages.unpacked(computed(unique, _m=F.parse_json("value"))), now=now, classifier=classifier)
 
 
 def quarantine_stream(envelope: DataFrame) -> DataFrame:
@@ -125,8 +142,9 @@ def start_quarantine(envelope: DataFrame, out: str, run: Run) -> StreamingQuery:
 def alt_stream(envelope: DataFrame, now: Column | None = None, retention: int | None = None) -> DataFrame:
     """The alternative job: time-to-live dedup by url, then scoring."""
     raw = messages.raw_news(messages.parse_raw_news(envelope))
-    keyed = alt_candidates(raw).withColumn("url_hash", url_fingerprint(F.col("url")))
-    return alt_normalize(ttl_stream(keyed, "url_hash", "timestamp", retention=retention), now=now)
+    seen = alt_candidates(raw)
+    keyed = seen.withColumns({"url_hash": url_fingerprint(F.col("url")), "arrival": arrival_seconds(seen, now)})
+    return alt_normalize(ttl_stream(keyed, "url_hash", "arrival", retention=retention), now=now)
 
 
 def start_alt_processor(envelope: DataFrame, out: str, run: Run, servers: str | None = None,
@@ -158,7 +176,7 @@ def start_crawler(docs: DataFrame, feeds: DataFrame, out: str, run: Run, startup
     """Landing documents to raw_news messages. ``startup_ts`` is fixed when the query is
     created; keep it with the query's settings so a restart uses the same one."""
     rows = crawl_stream(docs, feeds, startup_ts, **options).filter(F.col("outcome") == PUBLISHED)
-    rows = rows.drop("outcome", "url_hash", "pos", "feed_ord", "entry_pos")
+    rows = rows.drop("outcome", "url_hash", "pos", "feed_pos", "feed_ord", "entry_pos")
     return run.start(_send(rows, out, "id", servers))
 
 

@@ -73,9 +73,23 @@ def test_hot_keys_are_cut_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
-def test_position_sorts_and_refuses_overflow(rows_of):
-    data = [(0, 5), (1, 0), (3, 2**48 - 1)]
-    got = rows_of(data, "p int, o long", dedup.position(F.col("p"), F.col("o")))
-    assert got == sorted(got) and len(set(got)) == 3
-    with pytest.raises(Exception, match="too large"):
-        rows_of([(0, 2**48)], "p int, o long", dedup.position(F.col("p"), F.col("o")))
+def test_position_sorts_and_names_what_is_missing(rows_of):
+    data = [(0, 5), (1, 0), (3, 2**63 - 1), (4, 0), (2**31 - 1, 2**63 - 1)]
+    pos = dedup.position(F.col("p"), F.col("o"))
+    got = rows_of(data, "p int, o long", pos, *dedup.place_of(pos))
+    assert got == sorted(got) and len(set(got)) == 5
+    assert [r[1:] for r in got] == data
+    with pytest.raises(Exception, match="no partition or no offset"):
+        rows_of([(0, None)], "p int, o long", pos)
+
+
+def test_rows_that_share_a_position_stay_rows(spark):
+    rows = spark.createDataFrame([("a", 0, 1), ("a", 0, 1), ("a", 9, 2), ("b", 5, 3)], "key string, seconds long, pos long")
+    for flags in (dedup.flag_repeats(rows, "key"), dedup.ttl_flags(rows, "key", "seconds", ttl=100)):
+        assert sorted((r["pos"], r["is_duplicate"]) for r in flags.collect()) == [(1, False), (1, True), (2, True), (3, False)]
+
+
+def test_rows_without_a_time_touch_no_others(spark):
+    data = [("a", s, i) for i, s in enumerate([None, 0, 50, None, 101, 150])] + [("b", None, 90), ("b", 7, 91), ("b", 8, 92)]
+    rows = spark.createDataFrame(data, "key string, seconds long, pos long")
+    assert sorted(r["pos"] for r in dedup.ttl_first(rows, "key", "seconds", ttl=100).collect()) == [0, 1, 3, 4, 90, 91]

@@ -4,15 +4,15 @@ from pyspark.sql import functions as F
 from newsloom.functions import rules as R
 
 TITLES = [
-    ("OpenAI releases new ChatGPT update", "", "Công nghệ"),
-    ("Trí tuệ nhân tạo thay đổi thế giới", "", "Công nghệ"),
-    ("VN-Index tăng mạnh trong phiên chiều", "", "Kinh tế"),
-    ("Thủ tướng phát biểu tại cuộc họp quốc hội", "", "Chính trị"),
-    ("Premier League: Manchester City win the title", "", "Thể thao"),
-    ("WHO cảnh báo về dịch bệnh mới", "", "Sức khỏe"),
-    ("Lorem ipsum dolor sit amet consectetur", "", "Tin tức"),
-    ("Bitcoin Price Surges", "", "Công nghệ"),
-    ("Tin mới nhất", "chứng khoán Mỹ tăng điểm", "Kinh tế"),
+    ("A cheap quantum-proof semiconductor", "", "Công nghệ"),
+    ("Bảo mật cho người dùng phổ thông", "", "Công nghệ"),
+    ("Lãi suất giữ nguyên hết quý", "", "Kinh tế"),
+    ("The senate sits until late", "", "Chính trị"),
+    ("Golfer misses the cut", "", "Thể thao"),
+    ("Tim mạch: lời khuyên cho mùa đông", "", "Sức khỏe"),
+    ("Five hundred loose bricks", "", "Tin tức"),
+    ("Ethereum fork delayed", "", "Công nghệ"),
+    ("Buổi sớm", "tín dụng nới rộng", "Kinh tế"),
     # "UN" is listed in upper case and never meets lower-cased text.
     ("UN meets", "", "Tin tức"),
     # Substring, not word: "said" holds "ai".
@@ -36,20 +36,26 @@ def test_rule_sets_are_whole():
 
 
 def test_keywords_in_rule_order_and_capped(rows_of):
-    text = "OpenAI và Bitcoin tăng mạnh, OpenAI tiếp tục dẫn đầu AI; bitcoin, apple, google, meta, cloud, chip, app, nato"
-    (keywords,), (none,) = rows_of([(text, ""), ("Lorem ipsum", "dolor sit")], "t string, c string",
+    text = "Startup bán chip và phần mềm, chip cho cloud; fintech, web3, nvidia, ransomware, iphone, android, uav, chip"
+    (keywords,), (none,) = rows_of([(text, ""), ("Five loose", "bricks")], "t string, c string",
                                    R.top_keywords(hits(R.FIRST_MATCH_RULES)))
     found = [k for k in R.FIRST_MATCH_RULES.keywords() if k in (text + " ").lower()]
     assert keywords == found[:8] and len(found) > 8 and none == []
 
 
-def test_one_pass_equals_look_up(rows_of, monkeypatch):
+def test_one_pass_equals_look_up(rows_of):
     words = R.FIRST_MATCH_RULES.keywords()
     data = [(" ".join(words[i::7]), "x" * i) for i in range(7)] + [("", ""), ("sức khỏe champions league", "aiai")]
-    fast = rows_of(data, "t string, c string", hits(R.FIRST_MATCH_RULES))
-    monkeypatch.setattr(R, "ahocorasick", None)
-    slow = rows_of(data, "t string, c string", hits(R.FIRST_MATCH_RULES))
-    assert fast == slow == [([k for k in words if k in f"{t} {c}".lower()],) for t, c in data]
+    found = rows_of(data, "t string, c string", hits(R.FIRST_MATCH_RULES))
+    assert found == [([k for k in words if k in f"{t} {c}".lower()],) for t, c in data]
+
+
+@pytest.mark.parametrize("more", [0, 40])
+def test_an_empty_keyword_is_in_every_text(rows_of, more):
+    words = ["w3", "", *(f"k{i}" for i in range(more))]
+    got = rows_of([("W3 w3", ""), ("", ""), (None, "")], "t string, c string", R.keyword_hits(F.lower("t"), words))
+    assert got == [(["w3", ""],), ([""],), (None,)]
+    assert rows_of([("x",)], "t string", R.keyword_hits(F.col("t"), [""])) == [([""],)]
 
 
 def test_scores_and_ties(rows_of):
@@ -60,9 +66,16 @@ def test_scores_and_ties(rows_of):
     assert [r[0] for r in got] == ["Kinh tế", "Chính trị", "Chính trị", "Tin tức", "Thế giới"]
 
 
-def test_rules_from_a_table(spark, monkeypatch):
+def test_rules_from_a_table(spark):
     table = R.SCORED_RULES.table(spark)
     assert R.RuleSet.from_table(table.repartition(5)) == R.SCORED_RULES
-    monkeypatch.setattr(R, "RULES_BYTES", 100)
-    with pytest.raises(ValueError):
-        R.RuleSet.from_table(table)
+
+
+def test_a_large_rules_table_is_served(spark, rows_of):
+    """70 MB of keywords, more than was once allowed."""
+    table = spark.range(700).select(F.lit(0).alias("cat_ord"), F.lit("c").alias("category"), F.col("id").cast("int").alias("kw_ord"),
+                                    F.concat(F.col("id").cast("string"), F.repeat(F.lit("x"), 100_000)).alias("keyword"))
+    rules = R.RuleSet.from_table(table)
+    assert sum(len(k) for k in rules.keywords()) > 70_000_000
+    got = rows_of([("7" + "x" * 100_000,), ("none",)], "t string", F.size(R.keyword_hits(F.col("t"), rules.keywords())))
+    assert got == [(1,), (0,)]

@@ -127,7 +127,7 @@ def test_processor_quarantine_store_and_alerts(spark, tmp_path):
         stream = topics.file_stream(spark, str(raw))
         run(jobs.start_processor(stream, str(done), run_of["process"], buckets=2, now=F.timestamp_seconds(F.lit(1711240000))))
         run(jobs.start_quarantine(stream, str(bad), run_of["bad"]))
-    sent = [json.loads(r["value"]) for r in spark.read.json(str(done)).collect()]
+    sent = [json.loads(r["value"]) for r in topics.file_batch(spark, str(done)).collect()]
     assert {(m["title"], m["category"]) for m in sent} == {
         ("AI chip", "Công nghệ"), ("AI chip, updated", "Công nghệ"), ("quiet", "Tin tức"), ("new", "Tin tức")}
     first = next(m for m in sent if m["title"] == "AI chip")
@@ -153,17 +153,20 @@ def test_processor_quarantine_store_and_alerts(spark, tmp_path):
 def test_alternative_processor(spark, tmp_path):
     raw = tmp_path / "raw"
     values = [changed(timestamp=1000, title=" government "), changed(timestamp=1500), changed(timestamp=1601),
-              changed(title="", url="https://x"), changed(url="")]
+              changed(title="", url="https://x"), changed(url=""), changed(timestamp=None, url="https://no-time"),
+              changed(timestamp="soon", url="https://no-time")]
     put(raw, "0", values)
     run(jobs.start_alt_processor(topics.file_stream(spark, str(raw)), str(tmp_path / "out"), jobs.Run("alt", str(tmp_path))))
-    got = [json.loads(r["value"]) for r in spark.read.json(str(tmp_path / "out")).collect()]
-    assert sorted((m["timestamp"], m["title"], m["category"], m["summary"]) for m in got) == [
+    got = [json.loads(r["value"]) for r in topics.file_batch(spark, str(tmp_path / "out")).collect()]
+    assert sorted((m["timestamp"], m["title"], m["category"], m["summary"]) for m in got if m["url"] != "https://no-time") == [
         (1000, " government ", "Chính trị", "C"), (1601, " T ", "Tin tức", "C")]
+    # Messages without a time count from their envelope's.
+    assert [m["title"] for m in got if m["url"] == "https://no-time"] == [" T "]
     assert set(got[0]) == {"id", "title", "summary", "url", "keywords", "category", "source", "timestamp", "processed_at"}
     # Rows without a flag are always sent.
     put(tmp_path / "alt", "0", got, topic="processed_news")
     rows = messages.processed_news(topics.file_batch(spark, str(tmp_path / "alt")))
-    assert [r["should_alert"] for r in rows.collect()] == [None, None]
+    assert [r["should_alert"] for r in rows.collect()] == [None, None, None]
 
 
 def test_crawler_counts_and_restart(spark, tmp_path):
@@ -184,7 +187,7 @@ def test_crawler_counts_and_restart(spark, tmp_path):
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     finally:
         spark.streams.removeListener(listener)
-    sent = [json.loads(r["value"]) for r in spark.read.json(str(tmp_path / "raw")).collect()]
+    sent = [json.loads(r["value"]) for r in topics.file_batch(spark, str(tmp_path / "raw")).collect()]
     assert [(m["url"], m["should_alert"], m["matched_keywords"]) for m in sent] == [("https://a/1", True, ["ai"])]
     counts = {}
     for _, batch, name, value in listener.rows:
