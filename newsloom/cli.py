@@ -41,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
     crawl.add_argument("--days", type=positive_int, help="[backfill] age limit; articles without a time are kept")
     crawl.add_argument("--skip-report", action="store_true", help="[backfill] no counters, which read the documents again")
     crawl.add_argument("--startup-ts", type=int, help="[realtime] oldest publish time (default: when the job first began)")
+    crawl.add_argument("--seen", help="[realtime] table of registered urls, read at the first start and added to")
     crawl.add_argument("--report", help="[backfill] folder for the counters of every feed")
     crawl.add_argument("--window", type=positive_int, default=int(env("CRAWLER_STATE_MAX_URLS", jobs.CRAWLER_WINDOW)))
 
@@ -113,8 +114,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             return
         docs = documents.read_documents(spark, args.documents, stream=True, max_files=args.max_per_trigger)
         startup = jobs.startup_time(spark, progress, args.startup_ts)
+        # The window of a new query begins with the urls of earlier ones.
+        seen = tables.load_seen(spark, args.seen, args.window) if args.seen else None
         queries = [jobs.start_crawler(docs, registry, run=progress, startup_ts=startup, window=args.window,
-                                      buckets=args.buckets, **where)]
+                                      buckets=args.buckets, seen=seen, save_seen=args.seen, **where)]
     elif args.command == "process":
         stream = source(spark, args)
         queries = [jobs.start_processor(stream, run=progress, window=args.window or None, buckets=args.buckets, **where),

@@ -117,7 +117,7 @@ def append_new(rows: DataFrame, table: str, iceberg: bool = False) -> int:
 def load_seen(spark: SparkSession, path: str, size: int) -> DataFrame:
     """The ``size`` latest registered urls; none when nothing was saved or files are unreadable."""
     try:
-        saved = spark.read.schema(SEEN_URLS).option("ignoreCorruptFiles", True).parquet(path)
+        saved = spark.read.schema(SEEN_URLS).option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).parquet(path)
     except AnalysisException:
         saved = spark.createDataFrame([], SEEN_URLS)
     first = saved.groupBy("url_hash").agg(F.min("seq").alias("seq"))

@@ -172,12 +172,28 @@ def crawl_stream(docs: DataFrame, feeds: DataFrame, startup_ts: int, window: int
 
 
 def start_crawler(docs: DataFrame, feeds: DataFrame, out: str, run: Run, startup_ts: int, servers: str | None = None,
-                  **options) -> StreamingQuery:
+                  save_seen: str | None = None, **options) -> StreamingQuery:
     """Landing documents to raw_news messages. ``startup_ts`` is fixed when the query is
-    created; keep it with the query's settings so a restart uses the same one."""
-    rows = crawl_stream(docs, feeds, startup_ts, **options).filter(F.col("outcome") == PUBLISHED)
-    rows = rows.drop("outcome", "url_hash", "pos", "feed_pos", "feed_ord", "entry_pos")
-    return run.start(_send(rows, out, "id", servers))
+    created; :func:`startup_time` keeps it. ``save_seen`` names the table of registered urls each batch adds its own to."""
+    inner = ("outcome", "url_hash", "pos", "feed_pos", "feed_ord", "entry_pos")
+    labelled = crawl_stream(docs, feeds, startup_ts, **options)
+    if save_seen is None:
+        return run.start(_send(labelled.filter(F.col("outcome") == PUBLISHED).drop(*inner), out, "id", servers))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            sent = messages.to_messages(batch.filter(F.col("outcome") == PUBLISHED).drop(*inner), "id")
+            if servers:
+                topics.write_kafka(sent, servers, out)
+            else:
+                topics.write_files(sent, out, f"batch-{batch_id:012d}", batch_id << topics.RUN_BITS)
+            new = batch.filter(F.col("outcome") != REPEATED).select("url_hash", F.col("pos").alias("seq"))
+            new.write.mode("overwrite").parquet(f"{save_seen}/{run.name}-{batch_id:012d}")
+        finally:
+            batch.unpersist()
+
+    return run.start(labelled.writeStream.foreachBatch(write))
 
 
 # Storing and alerting ---------------------------------------------------------------------

@@ -69,6 +69,21 @@ def test_commands_read_each_others_folders(spark, tmp_path, monkeypatch):
     assert urls("processed_news") == ["https://a/1", "https://a/2"] and spark.table("cli_news.processed_news").count() == 2
 
 
+def test_seen_urls_outlive_a_query(spark, tmp_path, monkeypatch):
+    folder = run_dir(spark, "cli-seen")
+    monkeypatch.setattr(cli.jobs, "shared_dir", lambda _: folder)
+    (tmp_path / "feeds.json").write_text(json.dumps({"feeds": [{"name": "A", "url": "u"}]}))
+    (tmp_path / "docs").mkdir()
+    doc = {"feed_name": "A", "status": 200, "body": RSS, "fetched_at": "2024-03-23T12:00:00Z"}
+    (tmp_path / "docs" / "0.json").write_text(json.dumps(doc) + "\n")
+    for name, sent in (("first", True), ("second", False)):
+        out = tmp_path / name
+        cli.run(spark, cli.parser().parse_args(
+            ["crawl", "--feeds", str(tmp_path / "feeds.json"), "--documents", str(tmp_path / "docs"), "--output", str(out),
+             "--seen", str(tmp_path / "seen"), "--name", name, "--startup-ts", "0"]))
+        assert bool(topics.file_batch(spark, str(out)).count()) == sent
+
+
 def test_start_time_is_kept(spark, tmp_path):
     run = cli.jobs.Run("c", str(tmp_path))
     assert [cli.jobs.startup_time(spark, run, given) for given in (5, 9, None)] == [5, 5, 5]
