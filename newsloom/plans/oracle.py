@@ -507,5 +507,15 @@ FROM rows""")
 
 add("stream_first", f"{WITH_NEWS} SELECT DISTINCT raw_hash FROM keyed")
 add("stream_window", SQL["dedup_first"])
+add("stream_window_evicts", f"""WITH RECURSIVE {NEWS}, {KEYED},
+ordered AS (SELECT doc_id, raw_hash, row_number() OVER (ORDER BY part, off) AS i FROM keyed),
+walk AS (
+  SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS held, CAST(NULL AS BIGINT) AS doc_id, '' AS raw_hash, FALSE AS fresh
+  UNION ALL
+  SELECT o.i, CASE WHEN list_contains(w.held, o.raw_hash) THEN w.held
+                   ELSE list_slice(list_append(w.held, o.raw_hash), greatest(1, len(w.held) + 2 - 100), len(w.held) + 1) END,
+         o.doc_id, o.raw_hash, NOT list_contains(w.held, o.raw_hash)
+  FROM walk w JOIN ordered o ON o.i = w.i + 1)
+SELECT doc_id, raw_hash FROM walk WHERE fresh""")
 add("stream_alt", SQL["alt_process_messages"])
 add("stream_ttl", SQL["dedup_ttl"])

@@ -548,6 +548,16 @@ def stream_window(spark: SparkSession, sf: str) -> DataFrame:
     return finished(kept, "stream_window").select("doc_id", "raw_hash")
 
 
+EVICTING = 100
+
+
+@query
+def stream_window_evicts(spark: SparkSession, sf: str) -> DataFrame:
+    """A window so short that hashes leave it and come back; one group, as an order over all rows demands."""
+    rows = articles.with_raw_hash(news_stream(spark, sf).select("doc_id", "url", "title", "pos"))
+    return finished(state.window_stream(rows, "raw_hash", size=EVICTING), "stream_window_evicts").select("doc_id", "raw_hash")
+
+
 @query
 def stream_ttl(spark: SparkSession, sf: str) -> DataFrame:
     """Streaming form of dedup_ttl."""
