@@ -29,6 +29,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,12 +46,15 @@ SCALE = 20               # frequencies add up to 2^20
 LOW = np.uint64(1 << 31)  # states lie between 2^31 and 2^63
 MAGIC = b"NLTK"
 HEADER = "<4sHIIIQIIII"
-ADJACENT = re.compile(r"\s\s")
+# Marks of the word cutter, and the texts it must handle apart: with white space in a row, or with a mark.
+BEGIN, LINE, LAST = "\x01", "\x02", "\x03"
+IN_A_ROW = "[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2}|[\x01-\x03]"
+HELD = re.compile("[\x01-\x03]")
 PIECES = re.compile(r"(?<=\S)(?= )")
 MARKS = ".,;:!?"
-REMEMBERED = 600_000     # words whose ids a worker keeps
+REMEMBERED = 800_000     # words whose ids a worker keeps: some 160 MB
 LONGEST = 64             # characters a remembered word has on average, at most
-GULP = 1_000_000         # characters tokenized at a time
+GULP = 2_000_000         # bytes tokenized at a time
 
 
 # --- tokenizing ---------------------------------------------------------------------------------------------------------
@@ -59,29 +64,25 @@ def _worker() -> dict:
     return sys.modules.setdefault("newsloom_worker", types.ModuleType("newsloom_worker")).__dict__
 
 
-def lines(text: str) -> list[list[str]]:
-    """Parts of a text that tokenize alike alone and together: lines, and their words.
-
-    The byte-level pattern never joins a blank to what comes before it, and takes a
-    line feed between other characters alone, so no token crosses a cut. All but the first word of a line lack
-    their leading blank. A text with white space in a row is one line, cut before
-    blanks that follow a character which is no space.
-    """
-    if not ADJACENT.search(text):
-        return [line.split(" ") for line in text.split("\n")]
-    first, *rest = PIECES.split(text)
-    return [[first, *(p[1:] for p in rest)]]
+class Encoder:
+    """Token ids of whole columns of texts.
 
+    Words are cut and numbered in Arrow, each different one is tokenized once and remembered, and the
+    ids are gathered by word number. That is exact: the byte-level pattern never joins a
+    blank to what comes before it, and takes a line feed between other characters alone, so no token crosses a cut.
+    A word stands for itself with its leading blank; ``LINE`` before it stands for a line feed and
+    no blank, ``BEGIN`` for no blank; ``LAST`` is the end of a document.
 
-class Encoder:
-    """Ids of texts as bytes of ``dtype``; remembers the ids of the words it met."""
+    A text with white space in a row is cut before blanks that follow a character which is no space.
+    A text that holds one of the marks is tokenized as it is.
+    """
 
     def __init__(self, tokenizer: str, dtype: str):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.dtype = Tokenizer.from_str(tokenizer), dtype
-        self.known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}  # by what stands before the word
-        self.feed = self._ids(["\n"])[0]
+        self.known: dict[str, bytes] = {}
+        self.feed, self.end = self._ids(["\n"])[0], np.array([END], dtype=dtype).tobytes()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -89,38 +90,58 @@ class Encoder:
             return [struct.pack(f"<{len(ids)}H", *ids) for ids in (e.ids for e in found)]
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
 
-    def _learn(self, blank: str, words: set[str]) -> dict[str, bytes]:
-        """Ids of all the words, from memory where they are known.
+    def _plain(self, word: str) -> str:
+        return word[1:] if word[:1] in (BEGIN, LINE) else " " + word
+
+    def _looked_up(self, words: list[str]) -> list[bytes]:
+        """Ids of different words.
 
         A mark that ends a word of letters is a token apart, so words that differ in it share the rest.
         """
-        known = self.known[blank]
-        new = {w for w in words if w not in known}
-        if not new:
-            return known
+        known = self.known
+        new = [w for w in words if w not in known]
         ends = {w: core for w in new if (core := w.rstrip(MARKS)) != w and core and core[-1] < "\u0250" and core[-1].isalnum()}
         whole = list({w for w in new if w not in ends} | {core for core in ends.values() if core not in known})
-        if len(known) + len(whole) + len(ends) > REMEMBERED:  # forget what is not used now
-            known = self.known[blank] = {w: known[w] for w in words | set(ends.values()) if w in known}
-        found = dict(zip(whole, self._ids([blank + w for w in whole])))
-        marks = list({w[len(core):] for w, core in ends.items()})
-        tails = dict(zip(marks, self._ids(marks)))
-        found.update({w: (found.get(core) or known[core]) + tails[w[len(core):]] for w, core in ends.items()})
+        if len(known) + len(whole) > REMEMBERED:  # forget what is not used now
+            known = self.known = {w: known[w] for w in {*words, *ends.values()} if w in known}
+        ids = self._ids([self._plain(w) for w in whole])
+        found = {w: self.feed + i if w[:1] == LINE else self.end if w == LAST else i for w, i in zip(whole, ids)}
         if sum(map(len, found)) > LONGEST * (len(found) + 1000):  # long ones are not remembered
             known.update((w, i) for w, i in found.items() if len(w) <= LONGEST)
-            return {**known, **found}
-        known.update(found)
-        return known
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [lines(t) for t in texts]
-        first, rest = set(), set()
-        for part in parts:
-            for words in part:
-                first.add(words[0])
-                rest.update(words[1:])
-        first, rest = self._learn("", first).__getitem__, self._learn(" ", rest).__getitem__
-        return [self.feed.join([first(words[0]) + b"".join(map(rest, words[1:])) for words in part]) for part in parts]
+            known = {**known, **found}
+        else:
+            known.update(found)
+        marks = list({w[len(core):] for w, core in ends.items()})
+        tails = dict(zip(marks, self._ids(marks)))
+        return [known[w] if w not in ends else known[ends[w]] + tails[w[len(ends[w]):]] for w in words]
+
+    def _words(self, texts: pa.Array) -> pa.Array:
+        """The words of each text, as lists."""
+        marked = pc.binary_join_element_wise(BEGIN, pc.replace_substring(texts, "\n", " " + LINE), " " + LAST, "")
+        words = pc.split_pattern(marked, " ")
+        odd = pc.match_substring_regex(texts, IN_A_ROW)
+        if not pc.any(odd).as_py():
+            return words
+        lists = words.to_pylist()
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+            text = texts[i].as_py()
+            first, *rest = PIECES.split(text)
+            lists[i] = [BEGIN + first, *(p[1:] for p in rest), LAST] if not HELD.search(text) else [BEGIN + text, LAST]
+        return pa.array(lists, pa.list_(pa.string()))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, each with the end id, and the number of ids of each text."""
+        words = self._words(pc.fill_null(texts, ""))
+        coded = words.flatten().dictionary_encode()
+        each = self._looked_up(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, each), dtype=np.int64, count=len(each)) // np.dtype(self.dtype).itemsize
+        flat, starts = np.frombuffer(b"".join(each), dtype=self.dtype), np.cumsum(sizes) - sizes
+        number = coded.indices.to_numpy()
+        long = sizes[number]
+        before = np.r_[0, np.cumsum(long)]
+        ids = flat[np.repeat(starts[number] - before[:-1], long) + np.arange(before[-1])]
+        bounds = before[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        return ids, np.diff(bounds)
 
 
 def _encoder(tokenizer: str, dtype: str) -> Encoder:
@@ -131,27 +152,27 @@ def _encoder(tokenizer: str, dtype: str) -> Encoder:
 
 
 def _tokenized(tokenizer: str, dtype: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = _encoder(tokenizer, dtype), TaskContext.get().partitionId()
-        end, width = np.array([END], dtype=dtype).tobytes(), np.dtype(dtype).itemsize
         docs, sizes, body, seq, start, held = [], [], [], 0, 0, 0
 
-        def block():
-            return pd.DataFrame({"part": [part], "seq": [seq], "start": [start], "n": [held], "docs": [docs], "sizes": [sizes], "ids": [b"".join(body)]})
+        def block() -> pa.RecordBatch:
+            columns = [[part], [seq], [start], [held], [docs], [sizes], [b"".join(body)]]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, BLOCK_FIELDS)], schema=BLOCK_FIELDS)
 
         for batch in batches:
-            names, texts = batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None).tolist(), [t or "" for t in batch["text"]]
+            names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            lengths = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
             at = 0
-            while at < len(texts):
-                upto, chars = at, 0
-                while upto < len(texts) and (upto == at or chars + len(texts[upto]) <= GULP):
-                    chars += len(texts[upto])
-                    upto += 1
-                for name, ids in zip(names[at:upto], encoder.encode(texts[at:upto])):
+            while at < len(names):
+                upto = max(at + 1, int(np.searchsorted(lengths, (lengths[at - 1] if at else 0) + GULP, side="right")))
+                ids, counts = encoder.encode(texts.slice(at, upto - at))
+                ends = np.cumsum(counts)
+                for name, size, end in zip(names[at:upto], counts.tolist(), ends.tolist()):
                     docs.append(name)
-                    sizes.append(len(ids) // width + 1)
-                    body += (ids, end)
-                    held += sizes[-1]
+                    sizes.append(size)
+                    body.append(ids[end - size:end].tobytes())
+                    held += size
                     if held >= BLOCK:
                         yield block()
                         docs, sizes, body, seq, start, held = [], [], [], seq + 1, start + held, 0
@@ -161,6 +182,8 @@ def _tokenized(tokenizer: str, dtype: str):
     return run
 
 
+BLOCK_FIELDS = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("start", pa.int64()), ("n", pa.int64()),
+                          ("docs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("ids", pa.binary())])
 TOKEN_BLOCKS = "part int, seq int, start long, n long, docs array<long>, sizes array<long>, ids binary"
 
 
@@ -328,7 +351,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str) -> None:
     spark = docs.sparkSession
     dtype = "<u2" if Tokenizer.from_str(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
     ranged = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc()).sortWithinPartitions(F.col("doc_id").asc(), "text")
-    blocks = saved(ranged.mapInPandas(_tokenized(tokenizer, dtype), TOKEN_BLOCKS), "token-ids")
+    blocks = saved(ranged.mapInArrow(_tokenized(tokenizer, dtype), TOKEN_BLOCKS), "token-ids")
     counts = blocks.select("ids").mapInPandas(_histogram(dtype), "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
     # At most as many rows as the tokenizer has ids.
     table = frequencies({row.id: row.n for row in counts.collect()})

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -280,8 +281,12 @@ def test_words_tokenize_alike_alone_and_together():
     encoder = tokens.Encoder(open(TOKENIZER, encoding="utf-8").read(), "<u4")
     texts = ["".join(rnd.choice(" \n\t 　ab.,!é²1'́s\x1c<|endoftext|>)") for _ in range(rnd.randrange(30))) for _ in range(6000)]
     texts += [" a", " ", "", "a  b", "a\n", "\n\na", "x" * 500 + " y.", "it's, don't! 12.5, a.b.", "<|endoftext|> hi", "中文 字。 ok"]
-    for text, ids in zip(texts, encoder.encode(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
+    texts += ["\x02a b", "a \x03", "\x01"]
+    for low in range(0, len(texts), 500):
+        own = texts[low:low + 500]
+        ids, sizes = encoder.encode(pa.array(own))
+        for text, end, size in zip(own, np.cumsum(sizes), sizes):
+            assert ids[end - size:end].tolist() == [*whole.encode(text, add_special_tokens=False).ids, 0], repr(text)
 
 
 @pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 5000, 200_000])
