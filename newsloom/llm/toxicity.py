@@ -36,6 +36,7 @@ TOKEN = re.compile(r"\w+")
 PREFIXES = (5, 4)
 PRIOR = 10_000.0       # weight of the prior, in tokens
 CLEAREST = 3.0         # standard errors from 0 from which a log-odds counts
+STRONG = 2.5           # smallest log-odds that counts
 LEXICON = 50_000       # entries kept, the clearest ones: bounds what is sent to the tasks
 CALIBRATION = 20_000   # labelled rows the curve is fitted on, at most; chosen by hash
 DRIFT = 0.15           # taken from every token
@@ -84,11 +85,21 @@ class Scorer(dict):
         self[token] = value = min(CAP, found) - DRIFT
         return value
 
-    def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
-        """Number of tokens and the maximal segments (first token, end token, score)."""
+    def values(self, text: str | None) -> np.ndarray:
+        """Score of each token. A toxic one counts where it first stands: a text that repeats a word says nothing new."""
         words = tokens(text)
         values = np.fromiter(map(self.__getitem__, words), dtype=float, count=len(words))
-        return len(words), maximal_segments(values)
+        seen = set()
+        for at in np.flatnonzero(values > 0).tolist():
+            if words[at] in seen:
+                values[at] = -DRIFT
+            seen.add(words[at])
+        return values
+
+    def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
+        """Number of tokens and the maximal segments (first token, end token, score)."""
+        values = self.values(text)
+        return len(values), maximal_segments(values)
 
     def evidence(self, text: str | None) -> tuple[float, list[tuple[int, int, float]]]:
         """Evidence of the text and its toxic passages (first token, end token, score)."""
@@ -169,7 +180,7 @@ def log_odds(labelled: DataFrame) -> list[dict[str, float]]:
         rated = sums.withColumn("bad", y_toxic + prior).withColumn("good", y_clean + prior).filter("bad > 0")
         odds = F.log(F.col("bad") / (toxic + PRIOR - F.col("bad"))) - F.log(F.col("good") / (clean + PRIOR - F.col("good")))
         rated = rated.select("key", odds.alias("odds"), (odds / F.sqrt(1 / F.col("bad") + 1 / F.col("good"))).alias("z"))
-        clear = rated.filter(F.abs("z") >= CLEAREST).orderBy(F.abs("z").desc(), "key").limit(LEXICON)
+        clear = rated.filter((F.abs("z") >= CLEAREST) & (F.abs("odds") >= STRONG)).orderBy(F.abs("z").desc(), "key").limit(LEXICON)
         found.append({row.key: row.odds for row in clear.collect()})
     return found
 
@@ -227,10 +238,10 @@ def fit(labelled: DataFrame, rows: int = CALIBRATION) -> Model:
         for batch in batches:
             out, spread = [], Counter()
             for text, label, part in zip(batch["text"], batch["label"], batch["fold"]):
-                n, found = scorers[part].segments(text)
-                out.append((int(label), n, [s[2] for s in found]))
+                values = scorers[part].values(text)
+                out.append((int(label), len(values), [s[2] for s in maximal_segments(values)]))
                 if not label:
-                    spread.update(round(scorers[part][t], 1) for t in tokens(text))
+                    spread.update(np.round(values, 1).tolist())
             first_row = [True] + [False] * (len(out) - 1)
             yield pd.DataFrame({"label": [r[0] for r in out], "n": [r[1] for r in out], "found": [r[2] for r in out],
                                 "spread": [list(map(float, spread)) if one else [] for one in first_row],
