@@ -115,6 +115,8 @@ def plan(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOS
     stops = ends.join(high, F.col("_s").eqNullSafe(F.col("_h")), "left").select(
         "_s", "end", (F.col("end") / CELLS).alias("low"), F.coalesce("high", F.lit(-1.0)).alias("high"),
         (F.col("left") - F.coalesce("got", "before")).alias("gap"))
+    # One row a source, written, so the planner knows how small it is and does not shuffle a hot source to it.
+    stops = saved(stops, "mix-stops")
     # What is left is smaller than the next document: the remaining one nearest in size closes the gap.
     over = drawn.join(stops, F.col("source").eqNullSafe(F.col("_s"))).filter(
         "rank >= low and rank > high and size < 2 * gap").withColumn("_far", F.abs(F.col("size") - F.col("gap")))
