@@ -382,9 +382,12 @@ def read_table(spark: SparkSession, folder: str) -> np.ndarray:
     return table
 
 
-def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, ids) of every document of a token file; ids are unsigned 32-bit, little-endian."""
-    table = read_table(spark, folder)
+def read_tokens(spark: SparkSession, folder: str, ids: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32, ids) of every document of a token file; ids are unsigned 32-bit, little-endian.
+
+    With ``ids=False`` they are decoded for their checksum, but not handed on.
+    """
+    table, wanted = read_table(spark, folder), ids
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = Coder(table)
@@ -393,17 +396,18 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                 block = unpack(data, coder.mark)
                 body, ends = block_ids(coder, block).astype("<u4").tobytes(), np.cumsum(block["sizes"].astype(np.int64))
                 own = [body[4 * (end - size):4 * end] for size, end in zip(block["sizes"].tolist(), ends.tolist())]
-                yield pd.DataFrame({"doc_id": pd.array(block["docs"], dtype="Int64"), "start": block["start"] + ends - block["sizes"],
-                                    "n_tokens": block["sizes"].astype(np.int64), "ids_crc32": [zlib.crc32(i) for i in own], "ids": own})
+                rows = pd.DataFrame({"doc_id": pd.array(block["docs"], dtype="Int64"), "start": block["start"] + ends - block["sizes"],
+                                     "n_tokens": block["sizes"].astype(np.int64), "ids_crc32": [zlib.crc32(i) for i in own]})
+                yield rows.assign(ids=own) if wanted else rows
 
     blocks = spark.read.schema("part int, seq int, block binary").parquet(f"{folder}/blocks").select("block")
-    return blocks.mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
+    return blocks.mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * ids)
 
 
-def round_trip(docs: DataFrame, tokenizer_file: str) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer_file: str, ids: bool = True) -> DataFrame:
     """Write the documents' token file below ``spark.checkpoint.dir`` and read it back."""
     with open(tokenizer_file, encoding="utf-8") as file:
         text = file.read()
     folder = run_dir(docs.sparkSession, "token-file")
     write_tokens(docs, text, folder)
-    return read_tokens(docs.sparkSession, folder)
+    return read_tokens(docs.sparkSession, folder, ids)
