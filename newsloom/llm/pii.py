@@ -4,11 +4,13 @@ Four kinds of base span follow fixed rules and always stay. Looser generators pr
 more spans (written-out e-mail addresses, numbers without a country code, card
 numbers that fail their checksum or are too short, addresses with other separators), which
 overlap each other and the base spans. Gradient-boosted trees judge a proposal by
-its format and the words before it. They learn from the documents: a proposal
-that a base rule confirms is an example of its kind, one that no rule confirms is a counter-example
-of lesser weight, as some of them are what the trees are to find. The threshold of a kind
-is the lowest score at which nearly no counter-example is selected; proposals that score above it
-and overlap no stronger span are added.
+its format and the words before it. Their target is not given away by what makes a base span:
+examples are base spans of the documents rewritten into the forms the generators look for, where they
+stand; counter-examples are random runs of digits or words in the same forms at random places. Both
+must be proposed by the generator of their kind. A few thousand made-up texts are learned from as well, so
+a kind without a base span has examples too. The threshold of a kind is the lowest score that
+at most ``1 - PRECISION`` of the counter-examples reach that the trees did not learn from, whatever the number of
+base spans; proposals that reach it and overlap no stronger span are added.
 
 Only DataFrame expressions touch the texts, inside one row: no shuffle, no Python.
 The trees see a few small discrete features, so the documents are reduced to a count for each
@@ -21,7 +23,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.once import computed
@@ -59,8 +61,9 @@ CUES = {
 
 SAMPLE = 20_000        # documents the trees learn from, at most; chosen by hash
 ROUNDS, DEPTH, RATE = 40, 3, 0.3
-UNCONFIRMED = 0.2      # weight of a proposal that no rule confirms
-PRECISION = 0.98       # share of confirmed weight asked for above a threshold
+PRECISION = 0.98       # share of the held-out counter-examples that stay below a threshold
+MADE = 4096            # made-up texts that are learned from besides the documents
+DOMAINS = r"(?i)[.\x20\])}>](?:com|org|net|edu|gov|info|biz|io|eu|uk|de|fr|es|it|nl|ch|at|pl|pt|br|jp|cn|in|ru|au|ca|us|vn|example)$"
 
 
 # --- spans of one pattern ---------------------------------------------------------------------------------------------
@@ -152,8 +155,21 @@ def _features(kind: str, value: Column, before: Column, after: Column) -> list[C
     """Small integers only; their number of combinations bounds what learning gathers."""
     digits = _digits(value)
     groups = F.size(F.regexp_extract_all(value, F.lit("[0-9]+"), F.lit(0)))
-    checksum = F.when(F.length(digits).between(13, 19), _luhn(digits)).otherwise(False) if kind == "card" \
-        else F.forall(F.split(value, r"[^0-9]+"), lambda p: p.rlike(OCTET)) if kind == "ip" else F.lit(False)
+    if kind == "card":
+        checksum = F.when(F.length(digits).between(13, 19), _luhn(digits)).otherwise(False)
+    elif kind == "ip":
+        checksum = F.forall(F.split(value, r"[^0-9]+"), lambda p: p.rlike(OCTET))
+    else:
+        # No checksum: a known end of an address, four digits at the end of a number.
+        checksum = value.rlike(DOMAINS if kind == "email" else "[^0-9][0-9]{4}$")
+    # How the value begins; of an address whether its local part is more than letters, of a card the usual groups.
+    if kind == "email":
+        prefix = value.rlike(r"^[A-Za-z]*[0-9._%+-]").cast("int")
+    elif kind == "card":
+        prefix = F.when(value.rlike(r"^[0-9]{4}([\x20.-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}$"), 1).when(
+            value.rlike(r"^[0-9]{4}[\x20.-][0-9]{6}[\x20.-][0-9]{5}$"), 2).otherwise(0)
+    else:
+        prefix = F.when(value.rlike(r"^\+"), 3).when(value.rlike("^00"), 2).when(value.rlike(r"^\("), 1).otherwise(0)
     return [
         F.lit(KINDS.index(kind)),
         F.least(F.floor(F.length(value) / 6), F.lit(6)),
@@ -164,7 +180,7 @@ def _features(kind: str, value: Column, before: Column, after: Column) -> list[C
         F.greatest(*[F.when(before.rlike(CUES[k]), KINDS.index(k) + 1).otherwise(0) for k in KINDS]),
         F.when(F.trim(before) == "", 0).when(before.rlike(r"[:=#]\x20?$"), 1).when(before.rlike(r"\s$"), 2).otherwise(3),
         F.when(F.trim(after) == "", 0).when(after.rlike(r"^[\s.,;:!?)]"), 1).otherwise(2),
-        F.when(value.rlike(r"^\+"), 3).when(value.rlike("^00"), 2).when(value.rlike(r"^\("), 1).otherwise(0),
+        prefix,
     ]
 
 
@@ -179,23 +195,140 @@ def _with_base(docs: DataFrame, text: str) -> DataFrame:
     return computed(docs, _taken=F.flatten(F.array(*[F.transform(f"_base_{k}", lambda m: F.struct(m["start"], m["end"])) for k in KINDS])))
 
 
-def _with_proposals(docs: DataFrame, confirmed: bool) -> DataFrame:
-    """Add ``_proposed``, an array of (kind, start, end, confirmed, features): what the loose generators
-    find outside the base spans, and the base spans themselves if ``confirmed`` ones are wanted."""
+def _with_proposals(docs: DataFrame) -> DataFrame:
+    """Add ``_proposed``, an array of (kind, start, end, features): what the loose generators find outside the base spans."""
     text = F.col("_text")
     docs = computed(docs, **{f"_loose_{kind}": F.filter(_matches(text, LOOSE[kind], text.rlike(HINTS[kind])), lambda m: ~F.exists(
         "_taken", lambda t: (t["start"] < m["end"]) & (m["start"] < t["end"]))) for kind in KINDS})
+    out = [F.transform(f"_loose_{kind}", lambda m: F.struct(
+        F.lit(KINDS.index(kind)).alias("kind"), m["start"].alias("start"), m["end"].alias("end"),
+        _numbers(kind, m["value"], _before(text, m["start"]), F.substring(text, m["end"] + 1, F.lit(2))).alias("features"))) for kind in KINDS]
+    return computed(docs, _proposed=F.flatten(F.array(*out)))
+
+
+def _before(text: Column, at: Column) -> Column:
+    return F.substring(text, F.greatest(at - CONTEXT, F.lit(0)) + 1, F.least(at, F.lit(CONTEXT)))
+
+
+def _numbers(kind: str, value: Column, before: Column, after: Column) -> Column:
+    return F.array(*[c.cast("int") for c in _features(kind, value, before, after)])
+
+
+# --- examples and counter-examples ------------------------------------------------------------------------------------
+
+def _draw(n: int, *seed) -> Column:
+    """A number from 0 to n - 1 by hash."""
+    return F.pmod(F.xxhash64(*[s if isinstance(s, Column) else F.lit(s) for s in seed]), F.lit(n)).cast("int")
+
+
+def _one_of(at: Column, values) -> Column:
+    return F.get(F.array(*[v if isinstance(v, Column) else F.lit(v) for v in values]), at)
+
+
+def _cut(digits: Column, separator: Column, *sizes) -> Column:
+    """Runs of digits of these sizes with the separator between them; empty ones are left out."""
+    parts, at = [], F.lit(1)
+    for size in sizes:
+        size = size if isinstance(size, Column) else F.lit(size)
+        parts.append(F.substring(digits, at, size))
+        at = at + size
+    return F.replace(F.array_join(F.filter(F.array(*parts), lambda p: p != ""), "~"), F.lit("~"), separator)
+
+
+def _checked(digits: Column) -> Column:
+    """The digits and one more that makes the checksum hold."""
+    ends = F.array(*[F.lit(str(d)) for d in range(10)])
+    return _let(digits, lambda known: F.concat(known, F.get(F.filter(ends, lambda d: _luhn(F.concat(known, d))), 0)))
+
+
+def _rewritten(kind: str, value: Column, h: Column) -> Column:
+    """A base span in a form the base rule does not match; ``h`` chooses the form."""
+    if kind == "email":
+        dot = _one_of(_draw(3, h, 1), (" dot ", "[dot]", "."))
+        at = _one_of(_draw(4, h, 2), (" at ", " [at] ", "(at)", " @ "))
+        return F.concat(F.substring_index(value, "@", 1), at, F.replace(F.substring_index(value, "@", -1), F.lit("."), dot))
+    if kind == "ip":
+        return F.replace(value, F.lit("."), _one_of(_draw(5, h, 1), ("[.]", "(.)", ",", "_", "-")))
+    if kind == "card":
+        digits = _digits(value)
+        wrong = F.concat(F.substring(digits, F.lit(1), F.length(digits) - 1), ((F.substring(digits, -1, 1).cast("int") + 1) % 10).cast("string"))
+        short = _checked(F.substring(digits, 1, 14))
+        return _one_of(_draw(5, h, 1), (
+            _cut(digits, F.lit("."), 4, 4, 4, 7), wrong, _cut(wrong, F.lit(" "), 4, 4, 4, 7), short, _cut(short, F.lit(" "), 4, 6, 5)))
+    national = F.regexp_replace(value, r"^\+[0-9]{1,3}[ .-]*", "")
+    plain = F.regexp_replace(F.regexp_replace(national, r"[^0-9]+", " "), r"^ ", "")
+    return _one_of(_draw(5, h, 1), (
+        national, F.replace(plain, F.lit(" "), F.lit("-")), F.replace(plain, F.lit(" "), F.lit(".")),
+        F.concat(F.lit("0"), plain), F.concat(F.lit("00"), F.regexp_replace(F.substring(value, 2, 40), r"[^0-9]+", " "))))
+
+
+def _random(kind: str, h: Column, digits: Column, near: Column) -> Column:
+    """A run of random digits, or of words ``near`` a place, in a form the generator of the kind looks for."""
+    if kind == "email":
+        words = F.concat(F.get(near, 1), _one_of(_draw(2, h, 21), (" at ", " @ ")), F.get(near, 2), F.lit("."), F.get(near, 3))
+        price = F.concat(_cut(digits, F.lit(""), _draw(3, h, 22) + 1), F.lit(" @ "), _cut(digits, F.lit("."), _draw(3, h, 23) + 1, 2))
+        return F.when((_draw(4, h, 24) > 0) & (F.size(near) > 3), words).otherwise(price)
+    if kind == "ip":
+        return _cut(digits, _one_of(_draw(3, h, 31), (",", "-", "_")), *[_draw(3, h, 32 + i) + 1 for i in range(4)])
+    if kind == "card":
+        run = F.substring(digits, F.lit(1), _draw(7, h, 41) + 13)
+        return F.when(_draw(2, h, 42) == 0, run).otherwise(
+            _cut(run, _one_of(_draw(3, h, 43), (" ", "-", ".")), *[_draw(5, h, 44 + i) + 2 for i in range(3)], 19))
+    sizes = [_draw(4, h, 52) + 2, _draw(4, h, 53) + 2, *[F.when(_draw(2, h, 54 + i) == 0, 0).otherwise(_draw(4, h, 57 + i) + 2) for i in range(3)]]
+    groups = _cut(F.substring(digits, 4, 40), _one_of(_draw(4, h, 51), (" ", "-", ".", "/")), *sizes)
+    return _one_of(_draw(5, h, 50), (
+        *[F.concat(F.lit("0"), F.substring(digits, F.lit(1), _draw(15, h, 60) + 5))] * 2,
+        *[F.concat(F.substring(digits, 1, 3), _one_of(_draw(3, h, 61), (" ", "-", ".")), groups)] * 2,
+        F.concat(F.lit("("), F.substring(digits, F.lit(1), _draw(2, h, 62) + 2), F.lit(") "), groups)))
+
+
+def _with_examples(docs: DataFrame) -> DataFrame:
+    """Add ``_examples``, an array of (features, example): the base spans rewritten, where they stand, and a
+    counter-example of each kind at a random place outside the base spans."""
+    text = F.col("_text")
+    docs = computed(docs, _h=F.xxhash64(text))
+    docs = computed(docs, _place=_draw(1 << 30, F.col("_h"), 70) % F.greatest(F.length(text), F.lit(1)),
+                    _run=F.regexp_replace(F.sha2(F.col("_h").cast("string"), 512), "[^0-9]", ""))
+    docs = computed(docs, _front=F.regexp_replace(_before(text, F.col("_place")), r"\S*$", ""), _behind=F.substring(text, F.col("_place") + 1, F.lit(160)))
+    docs = computed(docs, _near=F.regexp_extract_all("_behind", F.lit("[A-Za-z0-9-]+"), F.lit(0)),
+                    _back=F.regexp_extract("_behind", r"(?s)^[^\s.,;:!?)]*(.{0,2})", 1))
+    free = ~F.exists("_taken", lambda t: (t["start"] <= F.col("_place")) & (F.col("_place") <= t["end"]))
     out = []
     for kind in KINDS:
-        for source, sure in ((f"_loose_{kind}", False), (f"_base_{kind}", True))[:1 + confirmed]:
-            out.append(F.transform(source, lambda m: F.struct(
-                F.lit(KINDS.index(kind)).alias("kind"), m["start"].alias("start"), m["end"].alias("end"),
-                F.lit(sure).alias("confirmed"),
-                F.array(*[c.cast("int") for c in _features(
-                    kind, m["value"],
-                    F.substring(text, F.greatest(m["start"] - CONTEXT, F.lit(0)) + 1, F.least(m["start"], F.lit(CONTEXT))),
-                    F.substring(text, m["end"] + 1, F.lit(2)))]).alias("features"))))
-    return computed(docs, _proposed=F.flatten(F.array(*out)))
+        docs = computed(docs, **{f"_random_{kind}": F.when(free, _random(kind, F.col("_h"), F.col("_run"), F.col("_near")))})
+        docs = computed(docs, **{f"_seen_{kind}": F.concat(
+            F.transform(f"_base_{kind}", lambda m: F.struct(
+                _rewritten(kind, m["value"], F.xxhash64(m["value"], m["start"])).alias("value"), _before(text, m["start"]).alias("before"),
+                F.substring(text, m["end"] + 1, F.lit(2)).alias("after"), F.lit(True).alias("example"))),
+            F.array(F.struct(F.col(f"_random_{kind}").alias("value"), F.col("_front").alias("before"), F.col("_back").alias("after"),
+                             F.lit(False).alias("example"))))})
+        proposed = F.filter(f"_seen_{kind}", lambda s: s["value"].rlike(f"^(?:{LOOSE[kind]})$"))
+        out.append(F.transform(proposed, lambda s: F.struct(_numbers(kind, s["value"], s["before"], s["after"]).alias("features"), s["example"].alias("example"))))
+    return computed(docs, _examples=F.flatten(F.array(*out)))
+
+
+def _made(spark: SparkSession) -> DataFrame:
+    """``MADE`` texts ``_given`` with a base span of each kind in turn, half of them behind a word that announces it."""
+    common = ("the", "of", "and", "for", "with", "page", "list", "number", "order", "report", "meeting", "house", "garden", "water", "year", "people")
+    h = F.xxhash64("id", F.lit(80))
+    word = lambda n: _one_of(_draw(len(common), h, n), common)
+    digits = F.regexp_replace(F.sha2(h.cast("string"), 512), "[^0-9]", "")
+    code = _one_of(_draw(4, h, 81), ("1", "44", "49", "84"))
+    value = {
+        "email": F.concat(word(82), _one_of(_draw(4, h, 83), (".", "_", "", "")), word(84), _one_of(_draw(2, h, 85), ("", F.substring(digits, 1, 2))),
+                          F.lit("@"), word(86), F.lit("."), _one_of(_draw(4, h, 87), ("com", "org", "net", "de"))),
+        "ip": F.concat_ws(".", *[_draw(256, h, 88 + i).cast("string") for i in range(4)]),
+        "card": _cut(_checked(F.concat(_one_of(_draw(4, h, 93), ("3", "4", "5", "6")), F.substring(digits, 1, 14))),
+                     _one_of(_draw(3, h, 94), ("", " ", "-")), 4, 4, 4, 4),
+        "phone": F.concat(F.lit("+"), code, _one_of(_draw(3, h, 95), (
+            F.concat(F.lit(" ("), F.substring(digits, 1, 3), F.lit(") "), _cut(F.substring(digits, 4, 7), F.lit("-"), 3, 4)),
+            F.concat(F.lit(" "), _cut(digits, F.lit(" "), 2, 4, 4)), F.concat(F.lit("-"), _cut(digits, F.lit("-"), 3, 3, 4))))),
+    }
+    cue = {"email": "email", "ip": "server", "card": "card:", "phone": "call"}
+    kind = F.pmod("id", F.lit(len(KINDS))).cast("int")
+    announced = F.when(_draw(2, h, 96) == 0, _one_of(kind, [cue[k] for k in KINDS])).otherwise(word(97))
+    return spark.range(0, MADE, 1, 2).select(F.concat_ws(
+        " ", *[word(100 + i) for i in range(8)], announced, _one_of(kind, [value[k] for k in KINDS]), *[word(110 + i) for i in range(8)]).alias("_given"))
 
 
 # --- boosted trees over the table of feature combinations ---------------------------------------------------------------
@@ -209,7 +342,11 @@ class Trees:
     thresholds: tuple[float, ...] = (math.inf,) * len(KINDS)
 
     def score(self, cell) -> float:
-        return self.bias + sum(_leaf(tree, cell) for tree in self.trees)
+        """Added up in the order of :meth:`column`, so both are equal to the last bit."""
+        total = self.bias
+        for tree in self.trees:
+            total += _leaf(tree, cell)
+        return total
 
     def column(self, features: Column) -> Column:
         """The score as an expression over the array of features: all trees are one constant
@@ -268,14 +405,18 @@ def _grow(cells, gradient, bend, rows, depth):
     return feature, value, _grow(cells, gradient, bend, low, depth - 1), _grow(cells, gradient, bend, high, depth - 1)
 
 
-def boost(table: list[tuple[tuple[int, ...], float, float]]) -> Trees:
-    """Trees from (features, confirmed, unconfirmed) counts of each combination.
+def boost(table: list[tuple[tuple[int, ...], float, float]], held: dict[tuple[int, ...], float] | None = None) -> Trees:
+    """Trees from (features, examples, counter-examples) counts of each combination; ``held`` counts the
+    counter-examples kept for the thresholds, else those of the table serve.
 
-    A kind without confirmed or unconfirmed examples adds nothing: its threshold is
+    Examples weigh as much as counter-examples in each kind. A kind without either adds nothing: its threshold is
     infinite.
     """
     cells = [c for c, _, _ in table]
-    good, bad = [float(p) for _, p, _ in table], [UNCONFIRMED * float(n) for _, _, n in table]
+    yes, no = [0.0] * len(KINDS), [0.0] * len(KINDS)
+    for c, p, n in table:
+        yes[c[0]], no[c[0]] = yes[c[0]] + p, no[c[0]] + n
+    good, bad = [float(p) * (no[c[0]] / yes[c[0]] if p and no[c[0]] else 1.0) for c, p, _ in table], [float(n) for _, _, n in table]
     if not sum(good) or not sum(bad):
         return Trees(0.0)
     bias = math.log(sum(good) / sum(bad))
@@ -287,27 +428,39 @@ def boost(table: list[tuple[tuple[int, ...], float, float]]) -> Trees:
         tree = _grow(cells, gradient, bend, range(len(cells)), DEPTH)
         trees.append(tree)
         scores = [s + _leaf(tree, c) for s, c in zip(scores, cells)]
+    grown, held = Trees(bias, trees), {c: n for c, _, n in table} if held is None else held
     thresholds = []
     for kind in range(len(KINDS)):
-        ranked = sorted((s, g, b) for s, c, g, b in zip(scores, cells, good, bad) if c[0] == kind)
-        top_good = top_bad = 0.0
-        bound = math.inf
-        for s, g, b in reversed(ranked):
-            top_good, top_bad = top_good + g, top_bad + b
-            if top_good and top_good / (top_good + top_bad) >= PRECISION:
-                bound = s
-        thresholds.append(bound if sum(b for _, _, b in ranked) else math.inf)
+        reached: dict[float, float] = {}  # counter-examples by score; combinations of one score pass together
+        for c in {*cells, *held}:
+            if c[0] == kind:
+                score = grown.score(c)
+                reached[score] = reached.get(score, 0.0) + held.get(c, 0.0)
+        allowed, above, bound = (1 - PRECISION) * sum(reached.values()), 0.0, math.inf
+        for score in sorted(reached, reverse=True) if yes[kind] and allowed else ():
+            above += reached[score]
+            if above > allowed:
+                break
+            bound = score
+        thresholds.append(bound)
     return Trees(bias, trees, tuple(thresholds))
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Trees:
-    """Trees learned from at most ``sample`` documents or so, chosen by hash of the id."""
+    """Trees learned from the made-up texts and at most ``sample`` documents or so, chosen by hash of the id.
+
+    Counter-examples of every second text, by hash, are kept for the thresholds.
+    """
     size = docs.count()
     if size > sample:
         docs = docs.filter(F.pmod(F.xxhash64(doc_id, F.lit(3)), F.lit(1 << 30)) < int((1 << 30) * sample / size))
-    found = _with_proposals(_with_base(docs.select(F.col(text).alias("_given")), "_given"), True).select(F.explode("_proposed").alias("p"))
-    counted = found.groupBy(F.col("p.features").alias("features")).agg(F.sum(F.col("p.confirmed").cast("long")).alias("yes"), F.sum((~F.col("p.confirmed")).cast("long")).alias("no"))
-    return boost(sorted((tuple(r.features), r.yes, r.no) for r in counted.collect()))
+    texts = docs.select(F.col(text).alias("_given")).unionByName(_made(docs.sparkSession))
+    found = _with_examples(_with_base(texts, "_given")).select(F.explode("_examples").alias("e"), (_draw(2, F.col("_h"), 71) == 1).alias("kept"))
+    number = lambda rows: F.sum(rows.cast("long"))
+    example = F.col("e.example")
+    counted = found.groupBy(F.col("e.features").alias("features")).agg(
+        number(example).alias("yes"), number(~example & ~F.col("kept")).alias("no"), number(~example & F.col("kept")).alias("held")).collect()
+    return boost(sorted((tuple(r.features), r.yes, r.no) for r in counted if r.yes or r.no), {tuple(r.features): r.held for r in counted if r.held})
 
 
 # --- the operator ---------------------------------------------------------------------------------------------------------
@@ -328,7 +481,7 @@ def with_spans(docs: DataFrame, trees: Trees, text: str = "text", into: str = "s
     bounds = F.array(*[F.lit(min(t, 1e300)) for t in trees.thresholds])
     if all(t == math.inf for t in trees.thresholds):
         return computed(rows, _spans=F.array_sort(base)).select(*kept, F.col("_spans").alias(into))
-    rows = _with_proposals(rows, False)
+    rows = _with_proposals(rows)
     rated = F.transform("_proposed", lambda p: F.struct((-trees.column(p["features"])).alias("low"), p["kind"].alias("kind"), p["start"].alias("start"), p["end"].alias("end")))
     rows = computed(rows, _above=F.array_sort(F.filter(rated, lambda p: -p["low"] >= F.get(bounds, p["kind"]))))
     # Strongest first; each is kept if it overlaps none kept before.
