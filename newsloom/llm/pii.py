@@ -59,7 +59,6 @@ CUES = {
     "phone": r"(?i)(?:phone|call|tel|mobil|fax|cell|whatsapp|ruf|appel|llam)",
 }
 
-SAMPLE = 20_000        # documents the trees learn from, at most; chosen by hash
 ROUNDS, DEPTH, RATE = 40, 3, 0.3
 PRECISION = 0.98       # share of the held-out counter-examples that stay below a threshold
 MADE = 4096            # made-up texts that are learned from besides the documents
@@ -446,14 +445,12 @@ def boost(table: list[tuple[tuple[int, ...], float, float]], held: dict[tuple[in
     return Trees(bias, trees, tuple(thresholds))
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Trees:
-    """Trees learned from the made-up texts and at most ``sample`` documents or so, chosen by hash of the id.
+def fit(docs: DataFrame, text: str = "text") -> Trees:
+    """Trees learned from all documents and the made-up texts.
 
     Counter-examples of every second text, by hash, are kept for the thresholds.
+    One scan; map tasks add up the counts, so what is moved is bounded by the combinations of features.
     """
-    size = docs.count()
-    if size > sample:
-        docs = docs.filter(F.pmod(F.xxhash64(doc_id, F.lit(3)), F.lit(1 << 30)) < int((1 << 30) * sample / size))
     texts = docs.select(F.col(text).alias("_given")).unionByName(_made(docs.sparkSession))
     found = _with_examples(_with_base(texts, "_given")).select(F.explode("_examples").alias("e"), (_draw(2, F.col("_h"), 71) == 1).alias("kept"))
     number = lambda rows: F.sum(rows.cast("long"))

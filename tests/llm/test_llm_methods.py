@@ -93,6 +93,17 @@ def test_loose_spans_are_found_whatever_the_number_of_base_spans(spark):
         assert [r.text[s.start:s.end] for s in r.spans] == planted[r.doc_id % 12:][:1], r.text
 
 
+def test_trees_learn_from_every_document(spark, monkeypatch):
+    """A thousand rare spans among 24,000 texts; all of them and no share of them are counted."""
+    docs = spark.range(24_000).repartition(4).selectExpr("id AS doc_id", "IF(id % 24 = 0, concat('the house ', id, 'x mail a', id, '.b@mail.com so'), 'the house by water') AS text")
+    tables = []
+    monkeypatch.setattr(pii, "boost", lambda table, *held: tables.append(table) or pii.Trees(0.0))
+    pii.fit(docs)
+    pii.fit(docs.limit(0))
+    emails = [sum(yes for cell, yes, _ in table if cell[0] == 0) for table in tables]
+    assert emails[0] - emails[1] == 1000
+
+
 def test_tree_column_equals_tree(spark):
     trees = pii.boost([((k, a, b, 0, 0, 0, c, 0, 0, 0), a + 3 * c, b + 1) for k in range(4) for a in range(5) for b in range(4) for c in range(2)])
     cells = [(k, a, b, 0, 0, 0, c, 0, 0, 0) for k in range(4) for a in range(5) for b in range(4) for c in range(2)]
