@@ -86,14 +86,18 @@ class Scorer(dict):
         return value
 
     def values(self, text: str | None) -> np.ndarray:
-        """Score of each token. A toxic one counts where it first stands: a text that repeats a word says nothing new."""
+        """Score of each token. A toxic word that counted a short way before does not count again: it does only
+        where ``DRIFT`` has used up its score since, so repeating a word never raises a segment and a later passage of
+        the same words is scored like the first."""
         words = tokens(text)
         values = np.fromiter(map(self.__getitem__, words), dtype=float, count=len(words))
-        seen = set()
+        counted: dict[str, int] = {}
         for at in np.flatnonzero(values > 0).tolist():
-            if words[at] in seen:
+            last = counted.get(words[at])
+            if last is not None and (at - last) * DRIFT < values[at] + DRIFT:
                 values[at] = -DRIFT
-            seen.add(words[at])
+            else:
+                counted[words[at]] = at
         return values
 
     def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:

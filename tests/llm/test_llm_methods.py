@@ -232,6 +232,22 @@ def test_all_maximal_segments():
         assert [(a, b) for a, b, _ in toxicity.maximal_segments(values)] == plain_segments(values.tolist())
 
 
+def test_every_passage_of_a_long_text_counts():
+    scorer = toxicity.Model({w: 4.0 for w in ("vile", "scum", "filth", "rotter")}, 1.0, 0.1, 1.0, 0.0, 0.1).scorer()
+    dense, gap = ["vile", "scum", "filth", "rotter"], [f"w{i}" for i in range(3000)]
+    once, _ = scorer.evidence(" ".join(dense + gap + gap))
+    both, found = scorer.evidence(" ".join(dense + gap + dense + gap))
+    assert [(a, b) for a, b, _ in found] == [(0, 4), (3004, 3008)] and both > 1.9 * once > 0
+    # Mentions far apart, each below significance, do not use up the words of a later passage.
+    scattered = [w for word in dense for w in [word, *gap[:600]]]
+    assert not scorer.evidence(" ".join(scattered))[1]
+    assert [(a, b) for a, b, _ in scorer.evidence(" ".join(scattered + dense + gap))[1]] == [(len(scattered), len(scattered) + 4)]
+    # One word over and over is one mention, however near or far the repeats.
+    for step in (1, 5, 26, 27, 40):
+        values = scorer.values(" ".join((["vile"] + gap[:step - 1]) * 200))
+        assert max(s for _, _, s in toxicity.maximal_segments(values)) < 4
+
+
 def test_held_out_accuracy(spark):
     rnd = random.Random(3)
     rows, labels = [], []
