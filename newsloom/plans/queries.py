@@ -542,10 +542,9 @@ def stream_first(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_window(spark: SparkSession, sf: str) -> DataFrame:
-    """Bounded first-in-first-out window as a stream."""
-    rows = articles.with_raw_hash(news_stream(spark, sf).select("doc_id", "url", "title", "pos"))
-    kept = state.window_stream(rows, "raw_hash", size=1_000_000, buckets=8)
-    return finished(kept, "stream_window").select("doc_id", "raw_hash")
+    """The window that holds every hash as a stream: state by key, exact however many there are."""
+    rows = articles.with_raw_hash(news_stream(spark, sf).select("doc_id", "url", "title", "pos")).select("doc_id", "raw_hash", "pos")
+    return finished(state.first_position_stream(rows, "raw_hash"), "stream_window").select("doc_id", "raw_hash")
 
 
 EVICTING = 100
@@ -576,7 +575,7 @@ def stream_alt(spark: SparkSession, sf: str) -> DataFrame:
 def stream_processor(spark: SparkSession, sf: str) -> DataFrame:
     """The streaming processor over JSON messages."""
     envelope = X.messages(news_stream(spark, sf))
-    rows = jobs.processed_stream(envelope, window=1_000_000, buckets=8, now=fixed_now())
+    rows = jobs.processed_stream(envelope, window=None, now=fixed_now())
     return finished(rows, "stream_processor").select(
         doc_id(), "article_id", "raw_hash", "title", "summary", "category", joined("keywords"), "published_at",
         "should_alert")

@@ -26,7 +26,7 @@ from newsloom.sources import documents, messages, topics
 from newsloom.sources.tables import append_new
 from newsloom.streaming.metrics import observe_outcomes
 from newsloom.streaming.state import (
-    CRAWLER_WINDOW, PROCESSOR_WINDOW, STATE_RETENTION_SECONDS, first_stream, ttl_stream, window_stream,
+    CRAWLER_WINDOW, PROCESSOR_WINDOW, STATE_RETENTION_SECONDS, first_position_stream, ttl_stream, window_stream,
 )
 
 # Crawl interval, writer batch, writer interval, seconds between alerts.
@@ -118,7 +118,7 @@ def processed_stream(envelope: DataFrame, window: int | None = PROCESSOR_WINDOW,
     # The state functions see the message text only; it is parsed again behind them.
     keyed = messages.keyed(messages.parse_raw_news(envelope), "value")
     if window is None:
-        unique = first_stream(keyed, "raw_hash")
+        unique = first_position_stream(keyed, "raw_hash")
     else:
         unique = window_stream(keyed, "raw_hash", size=window, buckets=buckets)
     return normalize(messages.unpacked(computed(unique, _m=F.parse_json("value"))), now=now, classifier=classifier)

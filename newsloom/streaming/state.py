@@ -54,6 +54,29 @@ class TtlProcessor(StatefulProcessor):
         pass
 
 
+class FirstProcessor(StatefulProcessor):
+    """Keep the row of the smallest position of a key that has not come before; holds one row at a time besides the frame."""
+
+    def __init__(self, pos: str):
+        self.pos = pos
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "seen boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for frame in rows:
+            best = frame.sort_values(self.pos, kind="stable").iloc[:1]
+            if first is None or best[self.pos].iloc[0] < first[self.pos].iloc[0]:
+                first = best
+        if first is not None and not self.seen.exists():
+            self.seen.update((True,))
+            yield first
+
+    def close(self) -> None:
+        pass
+
+
 class WindowProcessor(StatefulProcessor):
     """Keep or mark rows by a window of the last ``size`` accepted hashes of a bucket.
 
@@ -120,10 +143,19 @@ def ttl_stream_built_in(rows: DataFrame, key: str, event_time: str, ttl: int = T
 
 
 def first_stream(rows: DataFrame, key: str) -> DataFrame:
-    """The first row of every key since the query began; the state grows with the keys."""
+    """A row of every key since the query began, any one of a micro-batch; the state grows with the keys."""
     return rows.dropDuplicates([key])
 
 
+def first_position_stream(rows: DataFrame, key: str, pos: str = "pos") -> DataFrame:
+    """The first row of every key since the query began, of a micro-batch the one with the smallest ``pos``.
+
+    Each key has a state of its own, so the keys run in parallel and no number of them makes one forgotten.
+    """
+    return rows.groupBy(key).transformWithStateInPandas(
+        FirstProcessor(pos), outputStructType=rows.schema, outputMode="Append", timeMode="None")
+
+
 def _buckets(rows: DataFrame, key: str, buckets: int) -> DataFrame:
     return rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
 

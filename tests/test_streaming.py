@@ -8,6 +8,7 @@ from tests.plain import ttl_kept, window_kept
 from tests.test_documents import RSS
 from tests.test_messages import changed
 
+from newsloom.plans import queries
 from newsloom.schemas import FEEDS
 from newsloom.session import run_dir
 from newsloom.sources import documents, messages, tables, topics
@@ -196,3 +197,32 @@ def test_crawler_counts_and_restart(spark, tmp_path):
     assert [(c["published"], c["skip_old"], c["skip_no_ts"], c["skip_dedup"]) for c in full] == [(1, 1, 1, 0), (0, 0, 0, 3)]
     n = listener.write(spark, str(tmp_path / "metrics"))
     assert spark.read.json(str(tmp_path / "metrics")).count() == n > 0 and listener.rows == []
+
+
+def test_first_position_over_files_and_restarts(spark, tmp_path):
+    """Of one micro-batch the smallest position counts; a key stays known, also over a restart."""
+    src, out = tmp_path / "src", tmp_path / "run"
+    rnd = random.Random(4)
+    first = [(f"k{rnd.randrange(300)}", 0, p) for p in rnd.sample(range(1000), 1000)]
+    for i in range(4):
+        write_rows(src, f"a{i}", first[i::4])
+    keep(state.first_position_stream(keyed_stream(spark, src), "key"), "first", out)
+    write_rows(src, "b", [(k, 0, 1000 + p) for k, _, p in first] + [("new", 0, 5000), ("new", 0, 4000)])
+    keep(state.first_position_stream(keyed_stream(spark, src), "key"), "first", out)
+    want = {"new": 4000}
+    for k, _, p in first:
+        want[k] = min(p, want.get(k, p))
+    got = [(r.key, r.pos) for r in stored(spark, out, "key string, pos long").collect()]
+    assert sorted(got) == sorted(want.items())
+
+
+def test_registered_streams_forget_no_hash(spark, monkeypatch):
+    """A window far below the number of articles, in place of one far above, changes no row."""
+    short = lambda rows, key, size, buckets: window(rows, key, size=buckets, buckets=buckets)
+    window = state.window_stream
+    monkeypatch.setattr(state, "window_stream", short)
+    monkeypatch.setattr(jobs, "window_stream", short)
+    sf = "/root/testdata/sf0.01"
+    for stream, batch in (("stream_window", "dedup_first"), ("stream_processor", "process_messages")):
+        got, want = (queries.REGISTRY[n](spark, sf).select("doc_id", "raw_hash").collect() for n in (stream, batch))
+        assert sorted(got) == sorted(want) and len(got) < 1000
