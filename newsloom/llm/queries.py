@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import automata, chunks, mixing, packing, pii, sharding, simhash, suffixes, tokens, toxicity, vectors
+from newsloom.llm import automata, chunks, mixing, packing, pii, sharding, simhash, spelling, suffixes, tokens, toxicity, vectors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_groups(_table(spark, folder, "documents"))
+
+
 def op12_substrings(spark: SparkSession, folder: str) -> DataFrame:
     found = automata.deduplicated(_table(spark, folder, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
@@ -86,6 +90,7 @@ REGISTRY = {
     "op8_chunks": op8_chunks,
     "op9_vectors": op9_vectors,
     "op10_simhash": op10_simhash,
+    "op11_spelling": op11_spelling,
     "op12_substrings": op12_substrings,
 }
 
