@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import automata, chunks, mixing, packing, pii, sharding, simhash, spelling, suffixes, tokens, toxicity, vectors
+from newsloom.llm import automata, chunks, mixing, packing, pii, sharding, simhash, spelling, suffixes, tokens, toxicity, tries, vectors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -79,6 +79,10 @@ def op12_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return tries.prefix_trie(_table(spark, folder, "conversations"))
+
+
 REGISTRY = {
     "op1_pii": op1_pii,
     "op2_mixing": op2_mixing,
@@ -92,6 +96,7 @@ REGISTRY = {
     "op10_simhash": op10_simhash,
     "op11_spelling": op11_spelling,
     "op12_substrings": op12_substrings,
+    "op13_trie": op13_trie,
 }
 
 SQL: dict[str, str] = {}
