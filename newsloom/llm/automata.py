@@ -8,18 +8,19 @@ One automaton of everything grows with the corpus and cannot be broadcast, so sh
 grams of a window the one with the least hash names its shard: equal windows name the same shard wherever they stand, and
 neighbouring windows mostly name one too, so a text falls into runs.
 
-1. Grams that hold more than one in ``SHARE`` of all runs are found from counts per block of rows (at most ``2 * SHARE``
-   of them): the *heavy* grams.
+1. Grams that hold more than one in ``SHARE`` of all runs are found from a sample of them (at most ``SHARE``
+   grams): the *heavy* grams.
 2. Narrow rows (gram, document) tell which other grams two documents share. All other runs are unique and stay where they are.
 3. Runs of shared grams are shuffled by gram, in order of the documents; each shard's task lets a document's runs walk its
    automaton, then adds what was new in them.
 4. A heavy gram would make one task too long. Its windows become shards of their own; those windows that are
-   themselves heavy (again at most ``2 * SHARE``) are kept in one automaton, with the first document of each, that is broadcast.
+   themselves heavy (again at most ``SHARE``) are kept in one automaton, with the first document of each, that is broadcast.
 5. Spans go back to the documents, whose words outside them are kept. The texts are shuffled once, for 3 and 5 alike.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,9 +34,10 @@ from pyspark.sql.window import Window
 from newsloom.llm.shared import saved
 
 WINDOW = 13
-GRAM = 3
+GRAM = 5               # longer ones are seldom shared by chance, shorter ones make longer runs
 SHARE = 32_768         # a gram or window is heavy when it holds more than one in so many,
-LEAST_HEAVY = 1_000    # and more than so many
+LEAST_HEAVY = 100      # and more than so many
+ONE_IN = 64            # runs of which one is looked at to find heavy grams
 PART_WORDS = 65_536    # a longer text is cut into parts that overlap by a window less one word
 BLOCK_BYTES = 1 << 21  # texts are hashed together in blocks of about this size
 
@@ -195,38 +197,24 @@ def blocks(rows: Iterator[tuple[int, str | None]]) -> Iterator[Block]:
         yield block
 
 
-def _counted(keys: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys that may be heavy, with their counts in this block.
+def heavy_grams(docs: DataFrame, share: int = SHARE, least: int = LEAST_HEAVY, one_in: int = ONE_IN) -> np.ndarray:
+    """Grams that name more than one in ``share`` of all runs (and ``least``), judged by one run in ``one_in``; at most ``share`` come back.
 
-    A key with more than one in ``share`` of all rows keeps at least half its count if blocks leave it out where
-    it has no more than one in ``2 * share``.
+    The sample only settles how the work is dealt out: a gram that it overlooks or adds changes no result.
     """
-    values, counts = np.unique(keys, return_counts=True)
-    often = counts * 2 * share > len(keys)
-    return values[often], counts[often]
-
-
-def heavy_grams(docs: DataFrame, share: int = SHARE, least: int = LEAST_HEAVY) -> np.ndarray:
-    """Grams that name more than one in ``share`` of all runs (and ``least``); at most ``2 * share`` come back."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = ((0, t) for batch in batches for t in batch.column("text").to_pylist())
         for block in blocks(texts):
             runs = runs_of(block)
             if runs is not None:
-                grams, counts = _counted(runs.gram, share)
-                rows = np.zeros(len(grams), dtype=np.int64)
-                rows[:1] = len(runs.gram)
-                yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(counts), pa.array(rows)], ["gram", "n", "runs"])
-
-    seen = docs.select("text").mapInArrow(count, "gram long, n long, runs long")
-    return _heavy(seen.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("runs").alias("runs")), "gram", share, least)
-
+                seed = np.uint64(zlib.crc32(runs.data))
+                chosen = _mixed((np.arange(len(runs.gram), dtype=np.uint64) + seed) * BASE) % np.uint64(one_in) == 0
+                yield pa.RecordBatch.from_arrays([pa.array(runs.gram[chosen])], ["gram"])
 
-def _heavy(sums: DataFrame, key: str, share: int, least: int) -> np.ndarray:
-    sums = saved(sums, "counts")
-    size = sums.agg(F.sum("runs")).first()[0] or 0
-    top = sums.filter((F.col("n") > least) & (F.col("n") * 2 * share > size)).select(key).collect()
-    return np.sort(np.array([r[0] for r in top], dtype=np.int64))
+    seen = saved(docs.select("text").mapInArrow(sample, "gram long").groupBy("gram").agg(F.count("*").alias("n")), "counts")
+    size = seen.agg(F.sum("n")).first()[0] or 0
+    top = seen.filter((F.col("n") * one_in > least) & (F.col("n") * share > size)).select("gram").collect()
+    return np.sort(np.array([r.gram for r in top], dtype=np.int64))
 
 
 def _windows(runs: Runs, i: int) -> Iterator[tuple[int, bytes]]:
@@ -393,7 +381,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["doc_id", "n_words", "spans", "kept"])
 
 
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: int = SHARE, least: int = LEAST_HEAVY) -> DataFrame:
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: int = SHARE, least: int = LEAST_HEAVY, one_in: int = ONE_IN) -> DataFrame:
     """Every document without the passages that an earlier one holds: (doc_id, n_words, spans, kept).
 
     ``spans`` are the maximal removed spans, as word numbers (start, stop); ``kept`` are the other words, joined by one
@@ -404,7 +392,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     spark = docs.sparkSession
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     named = own.filter(F.col("doc_id").isNotNull())
-    heavy = heavy_grams(named, share, least)
+    heavy = heavy_grams(named, share, least, one_in)
     known = spark.sparkContext.broadcast(heavy_windows(named, heavy, share, least))
     # Both joins below use the one exchange of the texts by id.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -417,4 +405,6 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     found = spans.groupBy("doc_id").agg(F.collect_set(F.struct("row", "start", "stop")).alias("found"))
     rows = texts.join(found, "doc_id", "left").select("doc_id", "text", "row", "found")
     odd = own.filter(F.col("doc_id").isNull()).select("doc_id", "text", F.lit(0).cast("long").alias("row"), F.lit(None).cast(found.schema["found"].dataType).alias("found"))
-    return rows.unionByName(odd).mapInArrow(_kept, "doc_id long, n_words long, spans array<struct<start: int, stop: int>>, kept string")
+    out = "doc_id long, n_words long, spans array<struct<start: int, stop: int>>, kept string"
+    # Put together behind the last step: a union of their inputs would part the two uses of the exchange.
+    return rows.mapInArrow(_kept, out).unionByName(odd.mapInArrow(_kept, out))
