@@ -18,6 +18,8 @@ from pyspark.sql.window import Window
 
 # Fixed value: seconds a url stays blocked in the alternative job.
 TTL_SECONDS = 600
+# A key's time line is walked in blocks of so many seconds at once.
+BLOCK_SECONDS = 1 << 17
 
 POSITION = "decimal(38,0)"
 OFFSETS = 10 ** 19  # more than the largest long
@@ -82,57 +84,144 @@ def unseen(rows: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     return rows.join(seen.select(key), key, "left_anti")
 
 
+def _groups(batch: pd.DataFrame, names: list[str]) -> np.ndarray:
+    """True where a row's group differs from that of the row before; the first one is always True."""
+    begins = np.zeros(len(batch), dtype=bool)
+    begins[:1] = True
+    for name in names:
+        column = batch[name]
+        now, before = column.iloc[1:].reset_index(drop=True), column.iloc[:-1].reset_index(drop=True)
+        begins[1:] |= ~((now == before) | (now.isna() & before.isna())).fillna(False).to_numpy(dtype=bool)
+    return begins
+
+
+def _same(a: tuple | None, b: tuple) -> bool:
+    return a is not None and all(x == y or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
+
+
+def _line(begins: np.ndarray, seconds: np.ndarray, high: int, ttl: int) -> tuple[np.ndarray, int, int]:
+    """Groups laid out one behind the other on one line, too far apart to reach the next by a jump: line, least second, stride."""
+    low = int(seconds.min())
+    stride = max(int(seconds.max()), high) - low + ttl + 2
+    return (np.cumsum(begins) - 1) * stride + seconds - low, low, stride
+
+
+def _block_steps(ttl: int, span: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each (key, block) of rows sorted by key, block, second: how a walk that enters it leaves it.
+
+    A walk enters with the first second it may accept, at most ``ttl`` behind the block's begin. From there on it is
+    fixed, and walks that meet stay together, so the last accepted second is a step function of few steps:
+    up to ``upto`` the walk leaves with ``leave``. Behind the last step it accepts nothing. A block is held
+    until it is whole: at most ``span`` rows.
+    """
+    def steps(frame: pd.DataFrame) -> pd.DataFrame:
+        seconds = frame["second"].to_numpy()
+        begins = _groups(frame, ["key", "block"])
+        starts = np.flatnonzero(begins)
+        group = np.cumsum(begins) - 1
+        ends = np.r_[starts[1:], len(seconds)][group]
+        line, _, _ = _line(begins, seconds, 0, ttl)
+        last = np.searchsorted(line, line + ttl, side="right")
+        last = np.where(last < ends, last, np.arange(len(seconds)))
+        while (last != last[last]).any():
+            last = last[last]
+        leave = seconds[last]
+        first = frame["block"].to_numpy()[starts] * span
+        entered = np.r_[True, seconds[:-1] < (first[group] + ttl)[1:]] | begins  # also the first one behind the last possible entry
+        at = np.flatnonzero(entered)
+        keep = np.r_[(group[at][1:] != group[at][:-1]) | (leave[at][1:] != leave[at][:-1]), True]
+        at = at[keep]
+        cuts = np.flatnonzero(np.r_[False, group[at][1:] != group[at][:-1]])
+        return pd.DataFrame({"key": frame["key"].to_numpy()[starts], "block": frame["block"].to_numpy()[starts],
+                             "upto": np.split(seconds[at], cuts), "leave": np.split(leave[at], cuts)})
+
+    held = None
+    for batch in batches:
+        held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        if held.empty:
+            continue
+        tail = int(np.flatnonzero(_groups(held, ["key", "block"]))[-1])
+        if tail:
+            yield steps(held.iloc[:tail].reset_index(drop=True))
+            held = held.iloc[tail:].reset_index(drop=True)
+    if held is not None and not held.empty:
+        yield steps(held)
+
+
+def _entries(ttl: int, span: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Compose the steps of a key's blocks in order: the first second that may be accepted in each block."""
+    key, release = None, 0
+    for batch in batches:
+        out = []
+        for name, block, upto, leave in zip(batch["key"], batch["block"].tolist(), batch["upto"], batch["leave"]):
+            begin = block * span
+            release = max(begin, release) if _same(key, (name,)) else begin
+            key = (name,)
+            out.append(release)
+            step = int(np.searchsorted(upto, release))
+            if step < len(upto):
+                release = int(leave[step]) + ttl + 1
+        yield pd.DataFrame({"key": batch["key"], "block": batch["block"], "release": np.array(out, dtype="int64")})
+
+
 def _accept(ttl: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Walk (key, second) rows sorted by both and keep the accepted ones.
+    """Walk (key, block, second) rows sorted by all three and keep the accepted ones.
 
-    The anchor of a key is its last accepted second; the next accepted one is
-    the first more than ``ttl`` behind it. All keys of a batch jump at once.
-    Only the last key and its anchor are carried over to the next batch.
+    The first accepted second of a block is the first one from its ``release`` on; the next is the first more than
+    ``ttl`` behind it, and so on. All blocks of a batch jump at once. Only the last block
+    and what it may accept next are carried over to the next batch.
     """
-    key, anchor = None, 0
+    group, carried = None, 0
     for batch in batches:
         if batch.empty:
             continue
-        keys, seconds = batch["key"].to_numpy(), batch["second"].to_numpy()
-        begins = np.r_[True, keys[1:] != keys[:-1]]
+        seconds = batch["second"].to_numpy()
+        begins = _groups(batch, ["key", "block"])
         starts = np.flatnonzero(begins)
-        ends = np.r_[starts[1:], len(keys)]
-        last = seconds[starts]
-        keep = begins.copy()
-        if keys[0] == key:
-            keep[0], last[0] = False, anchor
-        # Keys laid out one behind the other on one line, too far apart to reach the next by a jump.
-        low = seconds.min()
-        stride = seconds.max() - low + ttl + 1
-        line = (np.cumsum(begins) - 1) * stride + seconds - low
+        ends = np.r_[starts[1:], len(seconds)]
+        release = batch["release"].to_numpy()[starts].copy()
+        names = list(zip(batch["key"].iloc[[0, -1]], batch["block"].iloc[[0, -1]]))
+        if _same(group, names[0]):
+            release[0] = carried
+        line, low, stride = _line(begins, seconds, int(release.max()), ttl)
+        keep = np.zeros(len(seconds), dtype=bool)
         walking = np.arange(len(starts))
+        at = np.searchsorted(line, walking * stride + np.maximum(release - low, 0), side="left")
         while walking.size:
-            at = np.searchsorted(line, walking * stride + last[walking] - low + ttl, side="right")
             inside = at < ends[walking]
             walking, at = walking[inside], at[inside]
             keep[at] = True
-            last[walking] = seconds[at]
-        key, anchor = keys[-1], last[-1]
+            release[walking] = seconds[at] + ttl + 1
+            at = np.searchsorted(line, line[at] + ttl, side="right")
+        group, carried = names[1], int(release[-1])
         yield batch.loc[keep, ["pos"]]
 
 
-def ttl_positions(rows: DataFrame, key: str, seconds: str, pos: str = "pos", ttl: int = TTL_SECONDS) -> DataFrame:
+def ttl_positions(rows: DataFrame, key: str, seconds: str, pos: str = "pos", ttl: int = TTL_SECONDS, span: int = BLOCK_SECONDS) -> DataFrame:
     """``pos`` of the rows accepted by a time-to-live window with a fixed anchor.
 
     The first row of a key is accepted; then the next one more than ``ttl``
     seconds after the last *accepted* row, and so on. Duplicates do not move
     the anchor. Arrival order is (second, pos).
 
-    Rows of one second collapse into one in the map tasks, so a key brings at
-    most one row for every second of the time range into the sorted walk, and
-    the walk itself holds one Arrow batch. A row without a time is in no window: it is accepted and
-    touches no other row.
+    Rows of one second collapse into one in the map tasks. The time line of a key is cut into blocks of ``span`` seconds, which run in
+    parallel, so a key that holds all rows still uses the cluster: each block finds how any walk that
+    enters it leaves it, the few steps of that are composed in order of the blocks (one narrow row a block), and then all
+    blocks accept at once. A row without a time is in no window: it is accepted and touches no other row.
     """
+    span = max(span, ttl + 1)
     timed = rows.filter(F.col(seconds).isNotNull())
-    cells = timed.groupBy(F.col(key).alias("key"), F.col(seconds).alias("second")).agg(F.min(pos).alias("pos"))
-    ordered = cells.repartition("key").sortWithinPartitions("key", "second")
-    kind = rows.schema[pos].dataType.simpleString()
-    accepted = ordered.mapInPandas(lambda batches: _accept(ttl, batches), f"pos {kind}")
+    cells = timed.groupBy(F.col(key).alias("key"), F.col(seconds).cast("long").alias("second")).agg(F.min(pos).alias("pos"))
+    placed = cells.withColumn("block", F.floor(F.col("second") / F.lit(span)).cast("long")).repartition("key", "block")
+    kinds = {f.name: f.dataType.simpleString() for f in cells.schema}
+    ordered = placed.sortWithinPartitions("key", "block", "second").select("key", "block", "second")
+    steps = ordered.mapInPandas(lambda batches: _block_steps(ttl, span, batches), f"key {kinds['key']}, block long, upto array<long>, leave array<long>")
+    entries = steps.repartition("key").sortWithinPartitions("key", "block").mapInPandas(
+        lambda batches: _entries(ttl, span, batches), f"key {kinds['key']}, block long, release long")
+    entries = entries.select(F.col("key").alias("_key"), F.col("block").alias("_block"), "release")
+    entered = placed.join(entries, F.col("key").eqNullSafe(F.col("_key")) & (F.col("block") == F.col("_block")))
+    walks = entered.select("key", "block", "second", "pos", "release").sortWithinPartitions("key", "block", "second")
+    accepted = walks.mapInPandas(lambda batches: _accept(ttl, batches), f"pos {kinds['pos']}")
     untimed = rows.filter(F.col(seconds).isNull()).select(pos)
     return accepted.withColumnRenamed("pos", pos).unionByName(untimed)
 

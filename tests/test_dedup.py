@@ -29,14 +29,14 @@ def test_ttl_sequence(spark):
     assert [r["seconds"] for r in kept] == [0, 601, 1300]
 
 
-@pytest.mark.parametrize("batch", [10000, 7, 1])
-def test_ttl_against_plain_model(spark, batch):
-    """Small Arrow batches make the walk cross batch borders inside a key."""
+@pytest.mark.parametrize("batch, span", [(10000, dedup.BLOCK_SECONDS), (10000, 301), (7, 500), (1, 4000)])
+def test_ttl_against_plain_model(spark, batch, span):
+    """Small Arrow batches make the walk cross batch borders inside a block, small spans make it cross blocks."""
     rows = events()
     df = spark.createDataFrame(rows, "key long, seconds long, pos long").repartition(5)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     try:
-        kept = {r["pos"] for r in dedup.ttl_positions(df, "key", "seconds", ttl=300).collect()}
+        kept = {r["pos"] for r in dedup.ttl_positions(df, "key", "seconds", ttl=300, span=span).collect()}
         flags = {r["pos"]: r["is_duplicate"] for r in dedup.ttl_flags(df, "key", "seconds", ttl=300).collect()}
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10000)
@@ -44,15 +44,36 @@ def test_ttl_against_plain_model(spark, batch):
     assert flags == {p: p not in kept for _, _, p in rows}
 
 
-def test_walk_over_any_batch_cut():
-    rows = sorted({(k, s): p for k, s, p in reversed(events(300, 5, 3000))}.items())
-    frame = pd.DataFrame([(k, s, p) for (k, s), p in rows], columns=["key", "second", "pos"])
+@pytest.mark.parametrize("span", [101, 128, 1000, 10 ** 6])
+def test_walk_over_any_batch_cut(span):
+    """The three passes of the parallel walk, over keys that are null or negative in time too."""
+    rng = random.Random(span)
+    rows = sorted({(k if k else None, s - 900): p for k, s, p in reversed(events(400, 5, 3000))}.items(), key=lambda r: (r[0][0] is not None, r[0]) if r[0][0] else (False, (0, r[0][1])))
+    frame = pd.DataFrame([(k, s // span, s, p) for (k, s), p in rows], columns=["key", "block", "second", "pos"])
     want = expected_ttl([(k, s, p) for (k, s), p in rows], 100)
-    rng = random.Random(1)
-    for _ in range(60):
-        cuts = [0, *sorted(rng.sample(range(len(frame)), 6)), len(frame)]
-        batches = (frame.iloc[a:b].reset_index(drop=True) for a, b in zip(cuts, cuts[1:]))
-        assert set(pd.concat(dedup._accept(100, batches))["pos"]) == want
+
+    def cut(table):
+        at = [0, *sorted(rng.sample(range(len(table)), min(6, len(table)))), len(table)]
+        return (table.iloc[a:b].reset_index(drop=True) for a, b in zip(at, at[1:]))
+
+    for _ in range(20):
+        steps = pd.concat(dedup._block_steps(100, span, cut(frame)), ignore_index=True)
+        entries = pd.concat(dedup._entries(100, span, cut(steps)), ignore_index=True)
+        walked = frame.assign(release=frame.merge(entries, on=["key", "block"], how="left")["release"])
+        assert set(pd.concat(dedup._accept(100, cut(walked)))["pos"]) == want
+        assert steps["upto"].map(len).max() <= 101
+
+
+def test_a_hot_key_is_walked_by_several_tasks(spark):
+    rows = spark.range(20_000).select(F.lit("one").alias("key"), (F.col("id") * 7).alias("seconds"), F.col("id").alias("pos"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one task again
+    try:
+        kept = dedup.ttl_positions(rows, "key", "seconds", ttl=600, span=2_000)
+        tasks = kept.select("pos", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({r.task for r in tasks}) > 1
+    assert {r.pos for r in tasks} == set(range(0, 20_000, 86))
 
 
 def test_first_and_flags(spark):
