@@ -1,7 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from newsloom.functions import rules as R
+from newsloom.operators import rulebook
 
 TITLES = [
     ("A cheap quantum-proof semiconductor", "", "Công nghệ"),
@@ -79,3 +82,19 @@ def test_a_large_rules_table_is_served(spark, rows_of):
     assert sum(len(k) for k in rules.keywords()) > 70_000_000
     got = rows_of([("7" + "x" * 100_000,), ("none",)], "t string", F.size(R.keyword_hits(F.col("t"), rules.keywords())))
     assert got == [(1,), (0,)]
+
+
+def test_joined_rules_match_the_broadcast_ones(spark):
+    """Keywords of all lengths, repeated, empty, never hit; texts that are null, empty and repeated."""
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("abcé 😀") for _ in range(n))
+    keywords = [word(rng.randrange(1, 9)) for _ in range(3000)] + ["", "zzzz", "zz", "a"]
+    rules = [(i % 7, f"c{i % 7}", i, k) for i, k in enumerate(keywords + keywords[:50])]
+    table = spark.createDataFrame(rules, "cat_ord int, category string, kw_ord int, keyword string")
+    texts = [(i, word(rng.randrange(200))) for i in range(300)] + [(300, None), (301, ""), (5, "abc abc")]
+    rows = spark.createDataFrame(texts, "n int, t string")
+    got = [(r.n, r.t, None if r.hits is None else [h.keyword for h in r.hits]) for r in rulebook.rule_hits(rows, table, "n", F.col("t")).collect()]
+    order = list(dict.fromkeys(keywords))
+    assert sorted(got, key=repr) == sorted([(n, t, [k for k in order if t is not None and k in t]) for n, t in texts], key=repr)
+    none = rulebook.rule_hits(rows, table.limit(0), "n", F.col("t"))
+    assert {len(r.hits) for r in none.collect()} == {0}
