@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from newsloom.functions import variant as V
@@ -50,20 +50,24 @@ def latest_rows(table: DataFrame, n: int = 10) -> DataFrame:
 PLACE = ["source_topic", "kafka_partition", "kafka_offset"]
 
 
-def unstored(rows: DataFrame, stored: DataFrame) -> DataFrame | None:
-    """Rows whose (topic, partition, offset) is not stored yet; None for no rows at all.
+def place_ranges(rows: DataFrame) -> list[Row]:
+    """Offset range (low, high) of ``rows`` in each topic and partition.
 
-    The stored side is cut to the offset range of ``rows`` in each topic and partition
-    first: one range a partition of the topics. Appended files hold narrow offset ranges of few partitions,
-    so the filter skips nearly all of them by their Parquet statistics. A row without a place is an
-    error, as it could be stored twice or never.
+    One row a partition of the topics. A row without a place is an error, as it could be stored twice or never.
     """
     ranges = rows.groupBy(*PLACE[:2]).agg(F.min(PLACE[2]).alias("low"), F.max(PLACE[2]).alias("high"),
                                           F.count_if(F.col(PLACE[2]).isNull()).alias("lost")).collect()
     if any(r.lost or r[PLACE[0]] is None or r[PLACE[1]] is None for r in ranges):
         raise ValueError("messages without topic, partition or offset cannot be stored")
-    if not ranges:
-        return None
+    return ranges
+
+
+def unstored(rows: DataFrame, stored: DataFrame, ranges: list[Row]) -> DataFrame:
+    """Rows whose (topic, partition, offset) is not stored yet.
+
+    The stored side is cut to the :func:`place_ranges` of ``rows`` first. Appended files hold narrow offset ranges of few partitions,
+    so the filter skips nearly all of them by their Parquet statistics.
+    """
     near = [(F.col(PLACE[0]) == r[0]) & (F.col(PLACE[1]) == r[1]) & F.col(PLACE[2]).between(r.low, r.high) for r in ranges]
     known = stored.filter(reduce(or_, near)).select(*PLACE)
     return rows.join(known, PLACE, "left_anti")

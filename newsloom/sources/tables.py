@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from newsloom.operators.outcomes import latest_urls
-from newsloom.operators.storage import PLACE, unstored
+from newsloom.operators.storage import PLACE, place_ranges, unstored
 from newsloom.schemas import SEEN_URLS, STORAGE_ROW
 
 # Table properties.
@@ -87,28 +87,70 @@ def create_table(spark: SparkSession, config: TableConfig, schema: str = STORAGE
     return config.name
 
 
+def _append(fresh: DataFrame, table: str, iceberg: bool) -> int:
+    """Append rows in ranges of topic, partition and offset; return their number.
+
+    That keeps the range of every file narrow for the check of a later batch, and lets AQE merge small ranges
+    into files of a sensible size. A snapshot carries the number of its records, so only there they are counted before they are written.
+    """
+    ordered = fresh.repartitionByRange(*PLACE).sortWithinPartitions(*PLACE)
+    if iceberg:
+        count = fresh.count()
+        (ordered.writeTo(table).option("snapshot-property.ingest.source", "newsloom")
+         .option("snapshot-property.ingest.records", str(count)).append())
+        return count
+    counted = Observation()
+    ordered.observe(counted, F.count("*").alias("n")).write.format("parquet").mode("append").saveAsTable(table)
+    return counted.get["n"]
+
+
 def append_new(rows: DataFrame, table: str, iceberg: bool = False) -> int:
     """Append the rows whose topic position is not stored yet and return their number.
 
     A batch that is delivered again after a failure therefore adds nothing.
-    Rows are written in ranges of topic, partition and offset. That keeps the range of every file
-    narrow for the check of the next batch, and lets AQE merge small ranges
-    into files of a sensible size. A snapshot carries the number of its records.
+    """
+    # The batch is used several times: for its offset ranges and the append.
+    rows = rows.persist()
+    try:
+        ranges = place_ranges(rows)
+        return _append(unstored(rows, rows.sparkSession.table(table), ranges), table, iceberg) if ranges else 0
+    finally:
+        rows.unpersist()
+
+
+LEDGER = "query string, batch_id bigint, source_topic string, kafka_partition bigint, low bigint, high bigint, rows bigint"
+
+
+def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
+    try:
+        return spark.read.schema(LEDGER).parquet(ledger)
+    except AnalysisException:
+        return spark.createDataFrame([], LEDGER)
+
+
+def append_batch(rows: DataFrame, table: str, ledger: str, query: str, batch_id: int, first: bool, iceberg: bool = False) -> int:
+    """Append one batch of a query and note it in the ``ledger``; return the number of rows it added.
+
+    A batch that the ledger names is done and adds nothing, and its rows are not even read. The ledger also knows the highest offset
+    stored of each topic and partition: a batch that lies behind it cannot be stored yet and is appended
+    without a look at the table. Only the first batch after a start, which may have been appended just before the query ended and
+    not been noted, and a batch that goes back behind the ledger are compared with the stored rows.
     """
     spark = rows.sparkSession
-    # The batch is used several times: for its offset ranges, the count and the append.
+    noted = read_ledger(spark, ledger)
+    if not noted.filter((F.col("query") == query) & (F.col("batch_id") == batch_id)).isEmpty():
+        return 0
     rows = rows.persist()
     try:
-        fresh = unstored(rows, spark.table(table))
-        if fresh is None:
+        ranges = place_ranges(rows)
+        if not ranges:
             return 0
-        count = fresh.count()
-        ordered = fresh.repartitionByRange(*PLACE).sortWithinPartitions(*PLACE)
-        if iceberg:
-            (ordered.writeTo(table).option("snapshot-property.ingest.source", "newsloom")
-             .option("snapshot-property.ingest.records", str(count)).append())
-        elif count:
-            ordered.write.format("parquet").mode("append").saveAsTable(table)
+        # One row for each topic and partition.
+        highest = {(r[0], r[1]): r.high for r in noted.groupBy(*PLACE[:2]).agg(F.max("high").alias("high")).collect()}
+        back = any(r.low <= highest.get((r[0], r[1]), -1) for r in ranges)
+        count = _append(unstored(rows, spark.table(table), ranges) if first or back else rows, table, iceberg)
+        notes = [(query, batch_id, r[0], r[1], r.low, r.high, count) for r in ranges]
+        spark.createDataFrame(notes, LEDGER).coalesce(1).write.mode("append").parquet(ledger)
         return count
     finally:
         rows.unpersist()
