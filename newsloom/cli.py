@@ -104,8 +104,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             if args.servers:
                 topics.write_kafka(sent, args.servers, args.output)
             else:
-                base = topics.next_offset(spark, args.output)
-                topics.write_files(sent, args.output, f"backfill-{base:019d}", base)
+                topics.write_files(sent, args.output, topics.writer_number(spark, args.output))
             if args.skip_report:
                 return
             report = args.report or f"{progress.folder}/reports/{args.name}-{now}"

@@ -179,6 +179,8 @@ add("classify_rules_table", f"""{WITH_NEWS}, {hits('h', 'keyed', SPREAD, 't')},
 SELECT n.doc_id, coalesce(l.category, {lit(R.DEFAULT_CATEGORY)}) AS category, coalesce(l.keywords, '') AS keywords
 FROM news n LEFT JOIN h_labels l USING (doc_id)""")
 
+add("classify_rules_joined", SQL["classify_rules_table"])
+
 SCORED_HITS = f"{hits('s', 'keyed', R.SCORED_RULES, 't')}, {labels('s')}, {scored('s')}"
 add("classify_by_score", f"""{WITH_NEWS}, {SCORED_HITS}
 SELECT n.doc_id, coalesce(b.category, {lit(R.DEFAULT_CATEGORY)}) AS category, coalesce(l.keywords, '') AS keywords
@@ -507,15 +509,27 @@ FROM rows""")
 
 add("stream_first", f"{WITH_NEWS} SELECT DISTINCT raw_hash FROM keyed")
 add("stream_window", SQL["dedup_first"])
-add("stream_window_evicts", f"""WITH RECURSIVE {NEWS}, {KEYED},
-ordered AS (SELECT doc_id, raw_hash, row_number() OVER (ORDER BY part, off) AS i FROM keyed),
+EVICTS = f"""WITH RECURSIVE {NEWS}, {KEYED},
+ordered AS (SELECT doc_id, source, raw_hash, row_number() OVER (PARTITION BY source ORDER BY part, off) AS i, count(*) OVER (PARTITION BY source) AS n FROM keyed),
 walk AS (
-  SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS held, CAST(NULL AS BIGINT) AS doc_id, '' AS raw_hash, FALSE AS fresh
+  SELECT DISTINCT source, CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS held, CAST(NULL AS BIGINT) AS doc_id, '' AS raw_hash, FALSE AS fresh, FALSE AS last
+  FROM keyed
   UNION ALL
-  SELECT o.i, CASE WHEN list_contains(w.held, o.raw_hash) THEN w.held
+  SELECT o.source, o.i, CASE WHEN list_contains(w.held, o.raw_hash) THEN w.held
                    ELSE list_slice(list_append(w.held, o.raw_hash), greatest(1, len(w.held) + 2 - 100), len(w.held) + 1) END,
-         o.doc_id, o.raw_hash, NOT list_contains(w.held, o.raw_hash)
-  FROM walk w JOIN ordered o ON o.i = w.i + 1)
-SELECT doc_id, raw_hash FROM walk WHERE fresh""")
+         o.doc_id, o.raw_hash, NOT list_contains(w.held, o.raw_hash), o.i = o.n
+  FROM walk w JOIN ordered o ON o.source = w.source AND o.i = w.i + 1)"""
+add("stream_window_evicts", f"{EVICTS} SELECT doc_id, source, raw_hash FROM walk WHERE fresh")
+add("stream_window_state", f"""{EVICTS}
+SELECT url_hash, count(*) AS windows FROM (SELECT unnest(held) AS url_hash FROM walk WHERE last) GROUP BY url_hash""")
 add("stream_alt", SQL["alt_process_messages"])
 add("stream_ttl", SQL["dedup_ttl"])
+add("stream_ttl_expiring", SQL["dedup_ttl"])
+# The offsets of a partition are all in one of two batches, or in both halves of a third one.
+add("stored_ledger", f"""{WITH_PROCESSED}, half AS (SELECT quantile_disc(off, 0.5) AS h FROM firsts)
+SELECT 'processed_news' AS source_topic, CAST(part AS BIGINT) AS kafka_partition, CAST(max(off) AS BIGINT) AS high,
+       count(DISTINCT off <= h) + 1 AS batches, count(*) AS rows, count(DISTINCT off) AS offsets
+FROM firsts, half GROUP BY part""")
+add("stored_catalog", f"""{WITH_PROCESSED}
+SELECT category, count(*) AS articles, (SELECT count(*) FROM processed) AS appended, CAST(1 AS BIGINT) AS listed FROM processed GROUP BY category""")
+add("stored_seen", SQL["latest_urls"])

@@ -18,7 +18,7 @@ from newsloom.functions import text as T
 from newsloom.functions import times as M
 from newsloom.functions import variant as V
 from newsloom.functions.alerts import hashtags, icon
-from newsloom.operators import alerts, articles, dedup, limits, outcomes, storage
+from newsloom.operators import alerts, articles, dedup, limits, outcomes, rulebook, storage
 from newsloom.plans import fixture as X
 from newsloom.plans import jobs as plan_jobs
 from newsloom.session import run_dir
@@ -91,6 +91,15 @@ def classify_rules_table(spark: SparkSession, sf: str) -> DataFrame:
                        F.array_join(R.top_keywords(F.col("hits")), "|").alias("keywords"))
 
 
+@query
+def classify_rules_joined(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by a join on rare grams, as rules too many for one machine need it."""
+    rows = X.raw_news(spark, sf).select("doc_id", R.match_text(F.col("title"), F.col("content")).alias("t"))
+    found = rulebook.rule_hits(rows, R.RuleSet.from_text(X.SPREAD_RULES).table(spark), "doc_id", F.col("t"))
+    keywords = F.array_join(R.top_keywords(F.col("hits.keyword")), "|").alias("keywords")
+    return found.select("doc_id", rulebook.first_category().alias("category"), keywords)
+
+
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     rows = X.raw_news(spark, sf).select("doc_id", R.match_text(F.col("title"), F.col("content")).alias("t"))
     hits = rows.select("doc_id", R.hits_in_order(F.col("t"), R.SCORED_RULES).alias("hits"))
@@ -504,9 +513,7 @@ def json_fields(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def stored_latest(spark: SparkSession, sf: str) -> DataFrame:
     """Append to a table twice, the second time in vain, and read its newest rows by SQL."""
-    config = tables.TableConfig(run_dir(spark, "warehouse"), namespace="newsloom",
-                                table="processed_" + run_dir(spark, "t").rsplit("-", 1)[1])
-    name = tables.create_table(spark, config)
+    name = new_table(spark)
     rows = storage.storage_rows(processed_messages(spark, sf))
     tables.append_new(rows, name)
     tables.append_new(rows, name)
@@ -515,6 +522,56 @@ def stored_latest(spark: SparkSession, sf: str) -> DataFrame:
         "ORDER BY kafka_offset DESC, kafka_partition DESC LIMIT 10")
 
 
+def new_table(spark: SparkSession) -> str:
+    config = tables.TableConfig(run_dir(spark, "warehouse"), namespace="newsloom",
+                                table="processed_" + run_dir(spark, "t").rsplit("-", 1)[1])
+    return tables.create_table(spark, config)
+
+
+@query
+def stored_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches appended with a ledger: two new ones, one that was appended but not noted, one that is delivered again, one from another query.
+
+    What the ledger says of each partition, beside what the table holds.
+    """
+    name, ledger = new_table(spark), run_dir(spark, "ledger")
+    rows = storage.storage_rows(processed_messages(spark, sf))
+    folder = run_dir(spark, "rows")
+    rows.write.parquet(folder)
+    rows = spark.read.schema(rows.schema).parquet(folder)
+    half = rows.agg(F.expr("approx_percentile(kafka_offset, 0.5)")).first()[0]
+    early, late = rows.filter(F.col("kafka_offset") <= half), rows.filter(F.col("kafka_offset") > half)
+    tables.append_batch(early, name, ledger, "store", 0, True)
+    tables.append_new(late.filter("kafka_partition = 1"), name)  # the end of a run that did not come to its note
+    tables.append_batch(late, name, ledger, "store", 1, True)
+    tables.append_batch(late, name, ledger, "store", 1, False)
+    tables.append_batch(rows, name, ledger, "other", 0, False)
+    place = ["source_topic", "kafka_partition"]
+    noted = tables.read_ledger(spark, ledger).groupBy(*place).agg(F.max("high").alias("high"), F.count("*").alias("batches"))
+    held = tables.scan(spark, name).groupBy(*place).agg(F.count("*").alias("rows"), F.count_distinct("kafka_offset").alias("offsets"))
+    return noted.join(held, place)
+
+
+@query
+def stored_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """Create a table, append to it, find it in the catalog, and read two of its columns."""
+    name = new_table(spark)
+    added = tables.append_new(storage.storage_rows(processed_messages(spark, sf)), name)
+    schema, table = name.rsplit(".", 1)
+    found = tables.tables(spark, schema).filter(F.col("tableName") == table).count() * tables.schemas(spark).filter(F.col("namespace") == schema).count()
+    counts = tables.scan(spark, name).groupBy("category").agg(F.count("*").alias("articles"))
+    return counts.select("category", "articles", F.lit(added).cast("long").alias("appended"), F.lit(found).cast("long").alias("listed"))
+
+
+@query
+def stored_seen(spark: SparkSession, sf: str) -> DataFrame:
+    """Urls of two crawls saved one after the other; the latest come back to seed a window."""
+    folder = run_dir(spark, "seen")
+    tables.save_seen(X.seen_urls(spark, sf), folder)
+    tables.save_seen(outcomes.registered_urls(X.raw_news(spark, sf)), folder)
+    return tables.load_seen(spark, folder, 50).select("url_hash")
+
+
 def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A table as a stream of its files. The path is a pattern, so it may be a file or a folder."""
     schema = X.table(spark, sf, name).schema
@@ -548,13 +605,58 @@ def stream_window(spark: SparkSession, sf: str) -> DataFrame:
 
 
 EVICTING = 100
+SLICE_ROWS = 2_000_000
+
+
+def narrow_news(spark: SparkSession, sf: str) -> DataFrame:
+    """Hash, source and position of every article, written once: a stream of it is fed in slices."""
+    rows = articles.with_raw_hash(X.raw_news(spark, sf).select("doc_id", "source", "url", "title", "pos")).select("doc_id", "source", "raw_hash", "pos")
+    folder = run_dir(spark, "narrow")
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
+def sliced(rows: DataFrame, by: str, stream: Callable[[DataFrame], DataFrame], name: str) -> tuple[DataFrame, str]:
+    """Feed ``rows`` to a stream in slices of rising ``by``, the query being stopped and started again for each; what it wrote, and its checkpoint.
+
+    At least four slices; more where one would hold over ``SLICE_ROWS`` rows.
+    """
+    spark, folder = rows.sparkSession, run_dir(rows.sparkSession, name)
+    parts = max(4, -(-rows.count() // SLICE_ROWS))
+    number = F.col(by).cast("double")
+    cuts = sorted(set(rows.select(number.alias("n")).approxQuantile("n", [i / parts for i in range(1, parts)], 0.25 / parts)))
+    job = jobs.Run(name, folder)
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        inside = (F.lit(True) if low is None else number > low) & (F.lit(True) if high is None else number <= high)
+        rows.filter(inside).write.mode("append").parquet(f"{folder}/in")
+        out = stream(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"))
+        job.start(out.writeStream.format("parquet").option("path", f"{folder}/out")).awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{folder}/out"), job.checkpoint
+
+
+def evicting(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    return sliced(narrow_news(spark, sf), "pos", lambda rows: state.window_stream(rows, "raw_hash", size=EVICTING, buckets="source"), "stream_window_evicts")
 
 
 @query
 def stream_window_evicts(spark: SparkSession, sf: str) -> DataFrame:
-    """A window so short that hashes leave it and come back; one group, as an order over all rows demands."""
-    rows = articles.with_raw_hash(news_stream(spark, sf).select("doc_id", "url", "title", "pos"))
-    return finished(state.window_stream(rows, "raw_hash", size=EVICTING), "stream_window_evicts").select("doc_id", "raw_hash")
+    """A window for each source so short that hashes leave it and come back, over several micro-batches and restarts."""
+    return evicting(spark, sf)[0].select("doc_id", "source", "raw_hash")
+
+
+@query
+def stream_window_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The hashes these windows hold at the end, read back from the checkpoint."""
+    held = state.held_hashes(spark, evicting(spark, sf)[1])
+    return held.groupBy("url_hash").agg(F.count("*").alias("windows"))
+
+
+@query
+def stream_ttl_expiring(spark: SparkSession, sf: str) -> DataFrame:
+    """dedup_ttl over micro-batches in order of time; a user's state goes by a timer when the watermark has passed its window."""
+    events = X.table(spark, sf, "events").select(
+        "event_id", "user_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("seconds"))
+    return sliced(events, "seconds", lambda rows: state.ttl_stream(rows, "user_id", "seconds", "event_id", 6 * 3600, lateness=0), "stream_ttl_expiring")[0]
 
 
 @query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,31 +41,48 @@ def kafka_batch(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     return _text_envelope(spark.read.format("kafka").options(**options).load())
 
 
-# Bits of an offset that count the messages of one run and task.
-RUN_BITS = 33
+# Bits of an offset that count the messages of one batch and task, and of a partition that number the tasks of a writer.
+BATCH_BITS = 33
+TASK_BITS = 20
 
 
-def write_files(sent: DataFrame, path: str, run: str, base: int) -> None:
-    """Write ``(key, value)`` rows of one run to a file topic: envelope rows in JSON lines, in a folder of their own.
+def writer_number(spark: SparkSession, path: str, kept: str | None = None) -> int:
+    """A number no other writer of this file topic has.
 
-    A run that is done again replaces its folder. The writing task is the partition; offsets
-    count from ``base``, which grows from run to run.
+    It is claimed by creating a file of that name in the topic, which only one writer can do. ``kept`` names the folder of a query's progress, where
+    the number stays: a restarted query is the same writer, one that begins anew is another one.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    note = f"{kept.rstrip('/')}/newsloom-writer/{hashlib.sha256(path.rstrip('/').encode()).hexdigest()[:16]}" if kept else None
+    if note:
+        try:
+            return int(spark.read.text(note).first()[0])
+        except AnalysisException:
+            pass
+    folder = hadoop.Path(f"{path.rstrip('/')}/_writers")
+    files = folder.getFileSystem(conf)
+    files.mkdirs(folder)
+    for number in range(1 << 31 - TASK_BITS):
+        if files.createNewFile(hadoop.Path(folder, str(number))):
+            if note:
+                spark.createDataFrame([(str(number),)], "value string").coalesce(1).write.text(note)
+            return number
+    raise ValueError(f"{path} has had {number + 1} writers; begin a new topic")
+
+
+def write_files(sent: DataFrame, path: str, writer: int, batch: int = 0) -> None:
+    """Write ``(key, value)`` rows of one batch to a file topic: envelope rows in JSON lines, in a folder of their own.
+
+    A batch that is done again replaces its folder; no other writer uses it. Writer and task are the partition; offsets
+    grow from batch to batch, so a position names one message however many write to the topic.
     """
-    number = F.monotonically_increasing_id().bitwiseAND((1 << RUN_BITS) - 1)
+    number = F.monotonically_increasing_id().bitwiseAND((1 << BATCH_BITS) - 1)
     topic = path.rstrip("/").rsplit("/", 1)[-1]
     envelope = sent.select(
-        F.lit(topic).alias("topic"), F.spark_partition_id().alias("partition"), (number + base).alias("offset"),
-        F.current_timestamp().alias("timestamp"), "key", "value")
-    envelope.write.mode("overwrite").json(f"{path.rstrip('/')}/{run}")
-
-
-def next_offset(spark: SparkSession, path: str) -> int:
-    """First offset behind all messages of a file topic."""
-    try:
-        last = file_batch(spark, path).agg(F.max("offset")).first()[0]
-    except AnalysisException:  # no such folder yet
-        return 0
-    return 0 if last is None else last + 1
+        F.lit(topic).alias("topic"), (F.lit(writer << TASK_BITS) + F.spark_partition_id()).alias("partition"),
+        (number + (batch << BATCH_BITS)).alias("offset"), F.current_timestamp().alias("timestamp"), "key", "value")
+    envelope.write.mode("overwrite").json(f"{path.rstrip('/')}/writer-{writer:04d}-batch-{batch:012d}")
 
 
 def file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

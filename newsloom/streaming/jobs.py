@@ -23,10 +23,10 @@ from newsloom.operators.outcomes import NO_TIME, OLD, PUBLISHED, REPEATED, realt
 from newsloom.operators.storage import storage_rows
 from newsloom.session import shared_dir
 from newsloom.sources import documents, messages, topics
-from newsloom.sources.tables import append_new
+from newsloom.sources.tables import append_batch
 from newsloom.streaming.metrics import observe_outcomes
 from newsloom.streaming.state import (
-    CRAWLER_WINDOW, PROCESSOR_WINDOW, STATE_RETENTION_SECONDS, first_position_stream, ttl_stream, window_stream,
+    CRAWLER_WINDOW, LATENESS_SECONDS, PROCESSOR_WINDOW, first_position_stream, ttl_stream, window_stream,
 )
 
 # Crawl interval, writer batch, writer interval, seconds between alerts.
@@ -97,14 +97,16 @@ def alert_pace(interval: float = ALERT_SECONDS, trigger_seconds: int = 60) -> tu
     return f"{trigger_seconds} seconds", int(trigger_seconds / interval)
 
 
-def _send(rows: DataFrame, out: str, key: str, servers: str | None, json_columns: tuple[str, ...] = ()) -> DataStreamWriter:
+def _send(rows: DataFrame, out: str, key: str, servers: str | None, run: Run, json_columns: tuple[str, ...] = ()) -> DataStreamWriter:
     """Messages to the Kafka topic ``out``, or without servers to the file topic in that folder."""
     sent = messages.to_messages(rows, key, json_columns)
     if servers:
         return topics.kafka_sink(sent, servers, out)
 
+    writer = topics.writer_number(rows.sparkSession, out, run.checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        topics.write_files(batch, out, f"batch-{batch_id:012d}", batch_id << topics.RUN_BITS)
+        topics.write_files(batch, out, writer, batch_id)
 
     return sent.writeStream.foreachBatch(write)
 
@@ -131,7 +133,7 @@ def quarantine_stream(envelope: DataFrame) -> DataFrame:
 def start_processor(envelope: DataFrame, out: str, run: Run, servers: str | None = None, **options) -> StreamingQuery:
     """raw_news envelope to processed_news messages, keyed by article id."""
     rows = processed_stream(envelope, **options)
-    return run.start(_send(rows, out, "article_id", servers, ("raw_payload",)))
+    return run.start(_send(rows, out, "article_id", servers, run, ("raw_payload",)))
 
 
 def start_quarantine(envelope: DataFrame, out: str, run: Run) -> StreamingQuery:
@@ -139,19 +141,18 @@ def start_quarantine(envelope: DataFrame, out: str, run: Run) -> StreamingQuery:
     return run.start(quarantine_stream(envelope).writeStream.format("parquet").option("path", out))
 
 
-def alt_stream(envelope: DataFrame, now: Column | None = None, retention: int | None = None) -> DataFrame:
+def alt_stream(envelope: DataFrame, now: Column | None = None, lateness: int | None = None) -> DataFrame:
     """The alternative job: time-to-live dedup by url, then scoring."""
     raw = messages.raw_news(messages.parse_raw_news(envelope))
     seen = alt_candidates(raw)
     keyed = seen.withColumns({"url_hash": url_fingerprint(F.col("url")), "arrival": arrival_seconds(seen, now)})
-    return alt_normalize(ttl_stream(keyed, "url_hash", "arrival", retention=retention), now=now)
+    return alt_normalize(ttl_stream(keyed, "url_hash", "arrival", lateness=lateness), now=now)
 
 
 def start_alt_processor(envelope: DataFrame, out: str, run: Run, servers: str | None = None,
                         **options) -> StreamingQuery:
-    retention = STATE_RETENTION_SECONDS if run.every else None
-    rows = alt_stream(envelope, retention=retention, **options)
-    return run.start(_send(rows, out, "id", servers))
+    rows = alt_stream(envelope, lateness=LATENESS_SECONDS if run.every else None, **options)
+    return run.start(_send(rows, out, "id", servers, run))
 
 
 # Crawling ---------------------------------------------------------------------------------
@@ -178,7 +179,9 @@ def start_crawler(docs: DataFrame, feeds: DataFrame, out: str, run: Run, startup
     inner = ("outcome", "url_hash", "pos", "feed_pos", "feed_ord", "entry_pos")
     labelled = crawl_stream(docs, feeds, startup_ts, **options)
     if save_seen is None:
-        return run.start(_send(labelled.filter(F.col("outcome") == PUBLISHED).drop(*inner), out, "id", servers))
+        return run.start(_send(labelled.filter(F.col("outcome") == PUBLISHED).drop(*inner), out, "id", servers, run))
+
+    writer = None if servers else topics.writer_number(labelled.sparkSession, out, run.checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -187,7 +190,7 @@ def start_crawler(docs: DataFrame, feeds: DataFrame, out: str, run: Run, startup
             if servers:
                 topics.write_kafka(sent, servers, out)
             else:
-                topics.write_files(sent, out, f"batch-{batch_id:012d}", batch_id << topics.RUN_BITS)
+                topics.write_files(sent, out, writer, batch_id)
             new = batch.filter(F.col("outcome") != REPEATED).select("url_hash", F.col("pos").alias("seq"))
             new.write.mode("overwrite").parquet(f"{save_seen}/{run.name}-{batch_id:012d}")
         finally:
@@ -199,11 +202,20 @@ def start_crawler(docs: DataFrame, feeds: DataFrame, out: str, run: Run, startup
 # Storing and alerting ---------------------------------------------------------------------
 
 
-def start_store(envelope: DataFrame, table: str, run: Run, iceberg: bool = False) -> StreamingQuery:
-    """processed_news messages into the storage table; a repeated batch adds nothing."""
+def start_store(envelope: DataFrame, table: str, run: Run, iceberg: bool = False, ledger: str | None = None) -> StreamingQuery:
+    """processed_news messages into the storage table; a repeated batch adds nothing.
+
+    ``ledger`` is the folder of the batches all writers of the table have appended; by default it is kept with the progress, for one writer only.
+    """
+    notes = ledger or f"{run.folder}/ledger/{table}"
+    # A query begun anew counts its batches from 0 again: the number of its writer tells it from the one before.
+    name = f"{run.name}-{topics.writer_number(envelope.sparkSession, notes, run.checkpoint)}"
+    first = True
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        append_new(batch, table, iceberg)
+        nonlocal first
+        append_batch(batch, table, notes, name, batch_id, first, iceberg)
+        first = False
 
     return run.start(storage_rows(envelope).writeStream.foreachBatch(append))
 
@@ -214,7 +226,7 @@ def start_alerts(envelope: DataFrame, out: str, run: Run, only_matched: bool = T
     keep = ("article_id", "source_topic", "kafka_partition", "kafka_offset")
     rows = alert_outbox(messages.processed_news(envelope), only_matched, keep)
     if servers:
-        return run.start(_send(rows, out, "article_id", servers))
+        return run.start(_send(rows, out, "article_id", servers, run))
     return run.start(rows.writeStream.format("parquet").option("path", out))
 
 

@@ -1,54 +1,89 @@
 """Keyed state for duplicate removal in streams.
 
-Both processors see the rows of one key and one micro-batch in frames; they
-sort them by arrival before they touch the state. The number of rows a
+The processors see the rows of one key and one micro-batch in frames; they
+sort keys and positions by arrival before they touch the state, and leave whole rows in their frames. The number of rows a
 micro-batch holds is set by the source (``maxOffsetsPerTrigger``).
 """
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from newsloom.operators.dedup import TTL_SECONDS
 
-# Default expiry of a url's state in a query that runs on. It exceeds the time a
+# How far a message of a query that runs on may lie behind the latest one. It exceeds the time a
 # message can stay in its topic before it is read.
-STATE_RETENTION_SECONDS = 48 * 3600
+LATENESS_SECONDS = 48 * 3600
 
 # Hashes remembered by the processor and by the crawler.
 PROCESSOR_WINDOW = 10_000
 CRAWLER_WINDOW = 50_000
 
 
+def _arranged(frames: list[pd.DataFrame], by: list[str]) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
+    """The rows of several frames in order of ``by``: these columns alone, and each row's frame and place in it."""
+    narrow = pd.concat([f[by] for f in frames], ignore_index=True)
+    frame = np.repeat(np.arange(len(frames)), [len(f) for f in frames])
+    place = np.concatenate([np.arange(len(f)) for f in frames])
+    order = narrow.sort_values(by, kind="stable").index.to_numpy()
+    return narrow.iloc[order], frame[order], place[order]
+
+
+def _picked(frames: list[pd.DataFrame], frame: np.ndarray, place: np.ndarray) -> Iterator[pd.DataFrame]:
+    """The chosen rows, frame by frame; whole rows are never brought together."""
+    for i in np.unique(frame):
+        yield frames[i].iloc[np.sort(place[frame == i])]
+
+
 class TtlProcessor(StatefulProcessor):
-    """Keep a row when it lies more than ``ttl`` seconds behind the last kept row of its key."""
+    """Keep a row when it lies more than ``ttl`` seconds behind the last kept row of its key.
 
-    def __init__(self, seconds: str, pos: str, ttl: int, retention: int | None):
-        self.seconds, self.pos, self.ttl, self.retention = seconds, pos, ttl, retention
+    With ``expires`` the state of a key goes when the watermark has passed its end: a later row is accepted with
+    or without it, and an earlier one is late, so the rows that come out do not depend on when it goes.
+    """
+
+    def __init__(self, seconds: str, pos: str, ttl: int, expires: bool):
+        self.seconds, self.pos, self.ttl, self.expires = seconds, pos, ttl, expires
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        expiry = self.retention * 1000 if self.retention else None
-        self.anchor = handle.getValueState("anchor", "anchor long", ttlDurationMs=expiry)
+        self.handle = handle
+        self.anchor = handle.getValueState("anchor", "anchor long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         stored = self.anchor.get() if self.anchor.exists() else None
         anchor = stored[0] if stored is not None else None
-        frame = pd.concat(list(rows)).sort_values([self.seconds, self.pos], kind="stable")
-        keep = []
-        for i, second in enumerate(frame[self.seconds].to_numpy()):
-            if anchor is None or second - anchor > self.ttl:
-                anchor = int(second)
-                keep.append(i)
+        frames = [f for f in rows if len(f)]
+        if not frames:
+            return
+        ordered, frame, place = _arranged(frames, [self.seconds, self.pos])
+        seconds = ordered[self.seconds].to_numpy()
+        keep, at = [], 0 if anchor is None else int(np.searchsorted(seconds, anchor + self.ttl, side="right"))
+        while at < len(seconds):
+            keep.append(at)
+            at = int(np.searchsorted(seconds, seconds[at] + self.ttl, side="right"))
         if keep:
-            self.anchor.update((anchor,))
-            yield frame.iloc[keep]
+            if self.expires:
+                if anchor is not None:
+                    self.handle.deleteTimer(self._end(anchor))
+                self.handle.registerTimer(self._end(int(seconds[keep[-1]])))
+            self.anchor.update((int(seconds[keep[-1]]),))
+            yield from _picked(frames, frame[keep], place[keep])
+
+    def _end(self, anchor: int) -> int:
+        return (anchor + self.ttl + 1) * 1000
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        stored = self.anchor.get() if self.anchor.exists() else None
+        if stored is not None and self._end(stored[0]) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.anchor.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
@@ -82,58 +117,86 @@ class WindowProcessor(StatefulProcessor):
 
     A hash outside the window is new: it is accepted, and the oldest accepted
     hash leaves a full window. Repeats do not move a hash.
+
+    The window is a ring: accepted hashes are numbered, one map leads from a hash to its number, one from the number
+    to the hash, and two counters are its ends. A batch reads and writes the hashes it meets, not the window.
     """
 
     def __init__(self, key: str, pos: str, size: int, flag: str | None = None):
         self.key, self.pos, self.size, self.flag = key, pos, size, flag
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.window = handle.getListState("window", "hash string")
-
-    def _walk(self, frame: pd.DataFrame) -> list[bool]:
-        order = deque(row[0] for row in self.window.get())
-        known = set(order)
+        self.number = handle.getMapState("number", "hash string", "number long")
+        self.hash = handle.getMapState("hash", "number long", "hash string")
+        self.ends = handle.getValueState("ends", "oldest long, next long")
+
+    def _walk(self, keys: Iterable[str]) -> list[bool]:
+        oldest, after = self.ends.get() if self.ends.exists() else (0, 0)
+        before = after
+        known: dict[str, bool] = {}   # of the hashes met: whether the window holds them now
+        added: dict[int, str] = {}    # accepted in this batch and still held
+        gone: dict[int, str] = {}     # held before this batch and gone now
         fresh = []
-        for key in frame[self.key]:
-            fresh.append(key not in known)
-            if fresh[-1]:
-                if len(order) >= self.size:
-                    known.discard(order.popleft())
-                order.append(key)
-                known.add(key)
-        if any(fresh):
-            self.window.put([(h,) for h in order])
+        for key in keys:
+            if key not in known:
+                known[key] = self.number.containsKey((key,))
+            fresh.append(not known[key])
+            if known[key]:
+                continue
+            if after - oldest >= self.size:
+                last = added.pop(oldest, None)
+                if last is None:
+                    last = gone[oldest] = self.hash.getValue((oldest,))[0]
+                known[last] = False
+                oldest += 1
+            added[after], known[key] = key, True
+            after += 1
+        for number, key in gone.items():
+            self.hash.removeKey((number,))
+            self.number.removeKey((key,))
+        for number, key in added.items():
+            self.hash.updateValue((number,), (key,))
+            self.number.updateValue((key,), (number,))
+        if after != before:
+            self.ends.update((oldest, after))
         return fresh
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows)).sort_values(self.pos, kind="stable")
-        fresh = self._walk(frame)
+        frames = [f for f in rows if len(f)]
+        if not frames:
+            return
+        ordered, frame, place = _arranged(frames, [self.pos, self.key])
+        fresh = np.array(self._walk(ordered[self.key]), dtype=bool)
         if self.flag is None:
-            yield frame[fresh]
-        else:
-            yield frame.assign(**{self.flag: [not f for f in fresh]})
+            yield from _picked(frames, frame[fresh], place[fresh])
+            return
+        for i, rows_of in enumerate(frames):
+            mine = frame == i
+            marks = np.empty(len(rows_of), dtype=bool)
+            marks[place[mine]] = ~fresh[mine]
+            yield rows_of.assign(**{self.flag: marks})
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        ordered = initialState.sort_values("seq", kind="stable")["url_hash"].tail(self.size)
-        self.window.put([(h,) for h in ordered])
+        self._walk(initialState.sort_values("seq", kind="stable")["url_hash"].tail(self.size))
 
     def close(self) -> None:
         pass
 
 
 def ttl_stream(rows: DataFrame, key: str, seconds: str, pos: str = "pos", ttl: int = TTL_SECONDS,
-               retention: int | None = None) -> DataFrame:
+               lateness: int | None = None) -> DataFrame:
     """Rows of a stream accepted by a time-to-live window with a fixed anchor, by event time.
 
-    ``retention`` drops the state of a key so many seconds of processing time
-    after its last change. Spark then plans batches without data as well, so
-    give none for a query that should stop when it has read everything.
+    With ``lateness`` the state of a key is dropped by a timer once the watermark, so many seconds behind the
+    latest row, has passed its window: the state holds the keys of about ``ttl + lateness`` seconds, and a
+    replay gives the same rows. Rows that come later than that are dropped. Without it nothing is late and every key keeps its state.
     """
-    if retention is not None and retention < ttl:
-        raise ValueError(f"state kept for {retention} seconds cannot serve a window of {ttl}")
-    return rows.groupBy(key).transformWithStateInPandas(
-        TtlProcessor(seconds, pos, ttl, retention), outputStructType=rows.schema, outputMode="Append",
-        timeMode="ProcessingTime" if retention else "None")
+    processor = TtlProcessor(seconds, pos, ttl, lateness is not None)
+    schema = rows.schema
+    if lateness is None:
+        return rows.groupBy(key).transformWithStateInPandas(processor, outputStructType=schema, outputMode="Append", timeMode="None")
+    timed = rows.withColumn("_at", F.timestamp_seconds(seconds)).withWatermark("_at", f"{lateness} seconds")
+    return timed.groupBy(key).transformWithStateInPandas(processor, outputStructType=schema, outputMode="Append", timeMode="EventTime")
 
 
 def ttl_stream_built_in(rows: DataFrame, key: str, event_time: str, ttl: int = TTL_SECONDS) -> DataFrame:
@@ -156,22 +219,26 @@ def first_position_stream(rows: DataFrame, key: str, pos: str = "pos") -> DataFr
         FirstProcessor(pos), outputStructType=rows.schema, outputMode="Append", timeMode="None")
 
 
-def _buckets(rows: DataFrame, key: str, buckets: int) -> DataFrame:
+def _buckets(rows: DataFrame, key: str, buckets: int | str) -> DataFrame:
+    if isinstance(buckets, str):
+        return rows.withColumn("bucket", F.col(buckets))
     return rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
 
 
-def window_stream(rows: DataFrame, key: str, pos: str = "pos", size: int = PROCESSOR_WINDOW, buckets: int = 1,
+def window_stream(rows: DataFrame, key: str, pos: str = "pos", size: int = PROCESSOR_WINDOW, buckets: int | str = 1,
                   flag: str | None = None, seen: DataFrame | None = None) -> DataFrame:
     """Rows of a stream that are new to a window of the last ``size`` accepted keys.
 
     With one bucket the window is global and exact, and one task does the work.
     With more buckets each holds ``size / buckets`` keys and they run in
-    parallel; the result differs only after a bucket has overflowed. ``flag``
+    parallel; the result differs only after a bucket has overflowed. The name of a column makes a window of ``size`` keys for each of
+    its values, such as a source; these are exact and parallel. ``flag``
     keeps all rows and names the column that marks repeats. ``seen``
     (``url_hash, seq``) fills the window when the query starts for the first
     time.
     """
-    if size % buckets:
+    own = isinstance(buckets, str)
+    if not own and size % buckets:
         raise ValueError(f"{buckets} buckets do not divide a window of {size}")
     bucketed = _buckets(rows, key, buckets)
     schema = StructType(list(bucketed.schema.fields))
@@ -180,7 +247,14 @@ def window_stream(rows: DataFrame, key: str, pos: str = "pos", size: int = PROCE
     initial = None
     if seen is not None:
         initial = _buckets(seen, "url_hash", buckets).groupBy("bucket")
-    processor = WindowProcessor(key, pos, size // buckets, flag)
+    processor = WindowProcessor(key, pos, size if own else size // buckets, flag)
     kept = bucketed.groupBy("bucket").transformWithStateInPandas(
         processor, outputStructType=schema, outputMode="Append", timeMode="None", initialState=initial)
     return kept.drop("bucket")
+
+
+def held_hashes(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(url_hash, seq) of the window a stopped query has left in its checkpoint, to seed another one's: the state itself is the
+    record, no second table is kept. Numbers of several buckets are interleaved."""
+    state = (spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "hash").load())
+    return state.select(F.col("user_map_value.hash").alias("url_hash"), F.col("user_map_key.number").alias("seq"))

@@ -17,7 +17,7 @@ from newsloom.streaming import jobs, metrics, state
 
 def put(folder, name, values, start=0, topic="raw_news"):
     """One file of envelope rows, as a topic would deliver them."""
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(exist_ok=True, parents=True)
     lines = [json.dumps({"topic": topic, "partition": 0, "offset": start + i, "key": None,
                          "value": v if isinstance(v, str) else json.dumps(v, ensure_ascii=False)}, ensure_ascii=False)
              for i, v in enumerate(values)]
@@ -43,7 +43,7 @@ def stored(spark, folder, schema):
 
 
 def write_rows(folder, name, rows):
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(exist_ok=True, parents=True)
     text = "\n".join(json.dumps({"key": k, "seconds": s, "pos": p}) for k, s, p in rows)
     (folder / f"{name}.json").write_text(text + "\n")
 
@@ -99,10 +99,72 @@ def test_ttl_against_plain_model_over_restarts(spark, tmp_path):
     assert {r["pos"] for r in stored(spark, tmp_path / "run", "pos long").collect()} == want
 
 
-def test_ttl_state_must_outlive_the_window(spark, tmp_path):
-    write_rows(tmp_path / "src", "0", [("a", 0, 0)])
-    with pytest.raises(ValueError):
-        state.ttl_stream(keyed_stream(spark, tmp_path / "src"), "key", "seconds", ttl=600, retention=60)
+def live(spark, run, variable, name):
+    """Rows a query's last checkpoint holds of one state variable."""
+    rows = spark.read.format("statestore").option("path", f"{run}/checkpoints/{name}").option("stateVarName", variable).load()
+    return rows.filter("value is not null").collect()
+
+
+def test_ttl_state_expires_by_event_time(spark, tmp_path):
+    """Keys that come once each: the state keeps those of the last window only, and a replay gives the same rows."""
+    rng = random.Random(3)
+    rows = [(f"k{i // 2 if i % 5 else i % 7}", 20 * i + rng.randrange(15), i) for i in range(1200)]
+    want = set()
+    for key in {k for k, _, _ in rows}:
+        own = sorted((s, p) for k, s, p in rows if k == key)
+        want |= {own[i][1] for i in ttl_kept([s for s, _ in own], 600)}
+    for name in ("first", "replay"):
+        folder = tmp_path / name
+        for i in range(4):
+            write_rows(folder / "src", str(i), rng.sample(rows[300 * i:300 * i + 300], 300))
+            keep(state.ttl_stream(keyed_stream(spark, folder / "src"), "key", "seconds", ttl=600, lateness=30), "ttl", folder)
+        got = [r["pos"] for r in stored(spark, folder, "pos long").collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+        held = live(spark, folder, "anchor", "ttl")
+        assert 7 <= len(held) < 60 < len({k for k, _, _ in rows})
+
+
+def test_windows_by_column_and_their_state(spark, tmp_path):
+    """A window for each value of a column; the checkpoint tells what they hold, which seeds the next query."""
+    rng = random.Random(8)
+    rows = [(f"k{rng.randrange(25)}", rng.randrange(3), p) for p in range(240)]
+    for i in range(4):
+        write_rows(tmp_path / "src", str(i), rng.sample(rows[60 * i:60 * i + 60], 60))
+        keep(state.window_stream(keyed_stream(spark, tmp_path / "src"), "key", size=5, buckets="seconds"), "window", tmp_path / "run")
+    got = sorted(r["pos"] for r in stored(spark, tmp_path / "run", "pos long").collect())
+    want, last = [], []
+    for source in range(3):
+        own = [(k, p) for k, s, p in rows if s == source]
+        kept = window_kept([k for k, _ in own], 5)
+        want += [own[i][1] for i in kept]
+        last += [own[i][0] for i in kept][-5:]
+    assert got == sorted(want)
+    held = state.held_hashes(spark, f"{tmp_path}/run/checkpoints/window")
+    assert sorted(r.url_hash for r in held.collect()) == sorted(last)
+    write_rows(tmp_path / "more", "0", [(k, 0, i) for i, k in enumerate(sorted(set(last)) + ["new"])])
+    keep(state.window_stream(keyed_stream(spark, tmp_path / "more"), "key", size=50, seen=held), "seeded", tmp_path / "seeded")
+    assert [r["key"] for r in stored(spark, tmp_path / "seeded", "key string").collect()] == ["new"]
+
+
+def test_two_jobs_and_a_fresh_start_share_a_topic(spark, tmp_path):
+    """Both processors publish to one topic, one of them a second time from nothing: no message replaces another."""
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    put(raw, "0", [changed(title=f"t{i}", url=f"https://x/{i}", timestamp=1000 + i) for i in range(6)])
+    stream = topics.file_stream(spark, str(raw))
+    first, again, alt = (jobs.Run(n, str(tmp_path / f)) for n, f in (("process", "runs"), ("process", "fresh"), ("alt", "runs")))
+    run(jobs.start_processor(stream, out, first))
+    run(jobs.start_alt_processor(stream, out, alt))
+    assert topics.file_batch(spark, out).count() == 12
+    run(jobs.start_processor(stream, out, again))
+    put(raw, "1", [changed(title="later", url="https://x/later", timestamp=5000)], start=100)
+    for job, start in ((first, jobs.start_processor), (alt, jobs.start_alt_processor)):
+        run(start(stream, out, job))
+    sent = topics.file_batch(spark, out).collect()
+    assert len(sent) == 20 == len({(r.partition, r.offset) for r in sent})
+    by_partition = {}
+    for r in sent:
+        by_partition.setdefault(r.partition >> topics.TASK_BITS, set()).add(json.loads(r["value"])["title"])
+    assert sorted(map(len, by_partition.values())) == [6, 7, 7]
 
 
 def test_built_in_relatives(spark, tmp_path):
