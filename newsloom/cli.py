@@ -50,6 +50,7 @@ def parser() -> argparse.ArgumentParser:
     process.add_argument("--window", type=int, default=int(env("DEDUP_WINDOW_SIZE", jobs.PROCESSOR_WINDOW)),
                          help="hashes remembered; 0 remembers all")
     alt = commands.add_parser("alt-process", help="raw_news to processed_news, scored rules")
+    alt.add_argument("--quarantine", help="folder for messages that cannot be taken; without it they are left out")
 
     store = commands.add_parser("store", help="processed_news to the storage table")
     store.add_argument("--warehouse", default=env("ICEBERG_WAREHOUSE"), required="ICEBERG_WAREHOUSE" not in os.environ)
@@ -119,10 +120,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
                                       buckets=args.buckets, seen=seen, save_seen=args.seen, **where)]
     elif args.command == "process":
         stream = source(spark, args)
-        queries = [jobs.start_processor(stream, run=progress, window=args.window or None, buckets=args.buckets, **where),
-                   jobs.start_quarantine(stream, args.quarantine, jobs.Run(args.name + "-quarantine", progress.folder, args.every))]
+        queries = [jobs.start_processor(stream, run=progress, quarantine=args.quarantine, window=args.window or None, buckets=args.buckets, **where)]
     elif args.command == "alt-process":
-        queries = [jobs.start_alt_processor(source(spark, args), run=progress, **where)]
+        queries = [jobs.start_alt_processor(source(spark, args), run=progress, quarantine=args.quarantine, **where)]
     elif args.command == "store":
         if args.servers and args.every and not args.max_per_trigger:
             args.max_per_trigger = args.flush_messages

@@ -533,3 +533,10 @@ FROM firsts, half GROUP BY part""")
 add("stored_catalog", f"""{WITH_PROCESSED}
 SELECT category, count(*) AS articles, (SELECT count(*) FROM processed) AS appended, CAST(1 AS BIGINT) AS listed FROM processed GROUP BY category""")
 add("stored_seen", SQL["latest_urls"])
+add("stream_exits", f"""{WITH_GOOD}, {GOOD_KEYED}
+SELECT doc_id, reason FROM reasons WHERE reason IS NOT NULL UNION ALL SELECT doc_id, NULL FROM good_keyed WHERE rn = 1""")
+add("stream_alt_exits", f"""{WITH_ALT_MESSAGES}
+SELECT doc_id, CASE {K} WHEN 1 THEN 'bad_json' WHEN 2 THEN 'not_an_object' ELSE 'process_error' END AS reason
+FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM alt_reasons)
+UNION ALL SELECT doc_id, NULL FROM alt""")
+add("stream_counters", SQL["processor_counters"])

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from newsloom.functions import html as H
 from newsloom.functions import rules as R
@@ -25,7 +26,7 @@ from newsloom.session import run_dir
 from newsloom.sources import documents as D
 from newsloom.sources import feeds as feed_registry
 from newsloom.sources import messages, tables, topics
-from newsloom.streaming import jobs, state
+from newsloom.streaming import jobs, metrics, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -681,3 +682,43 @@ def stream_processor(spark: SparkSession, sf: str) -> DataFrame:
     return finished(rows, "stream_processor").select(
         doc_id(), "article_id", "raw_hash", "title", "summary", "category", joined("keywords"), "published_at",
         "should_alert")
+
+
+def run_job(start: Callable[..., StreamingQuery], spark: SparkSession, sf: str, name: str, **options) -> tuple[str, str, StreamingQuery]:
+    """Run a job with two exits over all messages: its topic, its quarantine, and the finished query."""
+    folder = run_dir(spark, name)
+    out, bad = f"{folder}/processed_news", f"{folder}/bad"
+    done = start(X.messages(news_stream(spark, sf)), out, jobs.Run(name, folder), quarantine=bad, now=fixed_now(), **options)
+    done.awaitTermination()
+    return out, bad, done
+
+
+def exits(spark: SparkSession, out: str, bad: str, own: str) -> DataFrame:
+    """The document of every message a job has sent or set apart, and why; ``own``: where a sent message has the document's number."""
+    sent = topics.file_batch(spark, out).select(F.get_json_object("value", own).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("reason"))
+    return sent.unionByName(jobs.read_quarantine(spark, bad).select((F.col("offset") * 4 + F.col("partition")).alias("doc_id"), "reason"))
+
+
+@query
+def stream_exits(spark: SparkSession, sf: str) -> DataFrame:
+    """The streaming processor in one pass: articles to the topic, bad messages to quarantine."""
+    out, bad, _ = run_job(jobs.start_processor, spark, sf, "stream_exits", window=None)
+    return exits(spark, out, bad, "$.raw_payload.id")
+
+
+@query
+def stream_alt_exits(spark: SparkSession, sf: str) -> DataFrame:
+    """The alternative job in one pass, with a quarantine of its own."""
+    out, bad, _ = run_job(jobs.start_alt_processor, spark, sf, "stream_alt_exits")
+    return exits(spark, out, bad, "$.id")
+
+
+@query
+def stream_counters(spark: SparkSession, sf: str) -> DataFrame:
+    """What the processor has counted as it ran: all messages, articles it published, duplicates it dropped, errors."""
+    done = run_job(jobs.start_processor, spark, sf, "stream_counters", window=None)[2]
+    seen = metrics.counters(done)
+    read, unique = seen["stream_counters_read"], seen["stream_counters_unique"]
+    published = unique["total"] - unique["errors"]
+    row = (read["total"], published, read["total"] - read["errors"] - published, read["errors"])
+    return spark.createDataFrame([row], "total long, published long, dropped_duplicates long, errors long")

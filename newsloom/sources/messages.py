@@ -89,6 +89,16 @@ def keyed(parsed: DataFrame, *carried: str) -> DataFrame:
         position(F.col("partition"), F.col("offset")).alias("pos"), *carried)
 
 
+def with_exits(parsed: DataFrame) -> DataFrame:
+    """All messages for one pass with two exits: ``raw_hash``, ``pos``, ``reason`` and the message as it came.
+
+    A bad message gets a key of its own, its place, so it neither meets another row nor gathers with the other bad ones.
+    """
+    place = F.concat_ws("/", F.lit("bad"), "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    key = F.when(F.col("reason").isNull(), raw_hash(_text("_url"), _text("_title"))).otherwise(place)
+    return parsed.select(key.alias("raw_hash"), position(F.col("partition"), F.col("offset")).alias("pos"), "topic", "partition", "offset", "value", "reason")
+
+
 def articles(parsed: DataFrame) -> DataFrame:
     """Article frame of all good messages, repeats included."""
     pos = position(F.col("partition"), F.col("offset")).alias("pos")
@@ -110,16 +120,28 @@ def process_messages(parsed: DataFrame, rules: RuleSet = FIRST_MATCH_RULES, now:
     return normalize(unpacked(first_of_each(keyed(parsed, "_m"), "raw_hash")), rules, now, classifier)
 
 
+def _alt_takes() -> Column:
+    return F.coalesce(V.is_text(F.col("_url")) & V.is_text(F.col("_title")) & (V.absent(F.col("_content")) | V.is_text(F.col("_content"))), F.lit(False))
+
+
+def raw_news_with_exits(parsed: DataFrame) -> DataFrame:
+    """Like :func:`raw_news` for every message, with the ``reason`` of those the alternative job cannot take, and these as they came."""
+    reason = F.when(F.col("_m").isNull(), BAD_JSON).when(~F.col("_is_object"), NOT_AN_OBJECT).when(~_alt_takes(), PROCESS_ERROR)
+    names = ("topic", "partition", "offset", "value")
+    place = [F.when(F.col("_reason").isNotNull(), F.col(c)).alias(c) for c in names]
+    return parsed.withColumns({"_sent": F.col("timestamp"), "_reason": reason}).select(*_raw_news_columns(), F.col("_reason").alias("reason"), *place)
+
+
 def raw_news(parsed: DataFrame) -> DataFrame:
     """Typed ``raw_news`` columns and ``pos`` of object messages, for the alternative job.
 
-    It takes texts as they are and has no quarantine of its own: rows whose
-    url, title or content is not a text are left to ``parse_raw_news``.
+    It takes texts as they are: rows whose url, title or content is not a text are left out.
     """
-    parsed = parsed.withColumn("_sent", F.col("timestamp"))
-    good = parsed.filter(V.is_text(F.col("_url")) & V.is_text(F.col("_title"))
-                         & (V.absent(F.col("_content")) | V.is_text(F.col("_content"))))
-    return good.select(
+    return parsed.withColumn("_sent", F.col("timestamp")).filter(_alt_takes()).select(*_raw_news_columns())
+
+
+def _raw_news_columns() -> list[Column]:
+    return [
         V.as_text(F.col("_id")).alias("id"),
         _text("_title").alias("title"),
         _text("_content").alias("content"),
@@ -132,7 +154,7 @@ def raw_news(parsed: DataFrame) -> DataFrame:
         V.text_list(F.col("_matched_keywords")).alias("matched_keywords"),
         F.unix_seconds("_sent").alias("sent_at"),
         position(F.col("partition"), F.col("offset")).alias("pos"),
-    )
+    ]
 
 
 def processed_news(messages: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ micro-batch is run again as a whole.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
@@ -24,7 +25,7 @@ from newsloom.operators.storage import storage_rows
 from newsloom.session import shared_dir
 from newsloom.sources import documents, messages, topics
 from newsloom.sources.tables import append_batch
-from newsloom.streaming.metrics import observe_outcomes
+from newsloom.streaming.metrics import attach, observe_exits, observe_outcomes
 from newsloom.streaming.state import (
     CRAWLER_WINDOW, LATENESS_SECONDS, PROCESSOR_WINDOW, first_position_stream, ttl_stream, window_stream,
 )
@@ -36,6 +37,8 @@ STORE_SECONDS = 60
 ALERT_SECONDS = 1.1
 MODES = ("realtime", "backfill")
 
+QUARANTINE = "topic string, partition int, offset bigint, value string, reason string"
+
 
 def query_name(base: str, mode: str, scoped: bool = True) -> str:
     """Name of a reader per crawl mode, so that the modes keep separate progress."""
@@ -66,6 +69,7 @@ class Run:
         return f"{self.folder}/checkpoints/{self.name}"
 
     def start(self, writer: DataStreamWriter) -> StreamingQuery:
+        attach(writer._spark, f"{self.folder}/metrics")
         writer = writer.queryName(self.name).option("checkpointLocation", self.checkpoint)
         trigger = {"processingTime": self.every} if self.every else {"availableNow": True}
         return writer.trigger(**trigger).start()
@@ -114,45 +118,103 @@ def _send(rows: DataFrame, out: str, key: str, servers: str | None, run: Run, js
 # Processing -------------------------------------------------------------------------------
 
 
+def _unique(rows: DataFrame, window: int | None, buckets: int, passes: str | None = None) -> DataFrame:
+    if window is None:
+        return first_position_stream(rows, "raw_hash", passes=passes)
+    return window_stream(rows, "raw_hash", size=window, buckets=buckets, passes=passes)
+
+
+def _processed(unique: DataFrame, now: Column | None, classifier: Classifier | None) -> DataFrame:
+    # The state functions see the message text only; it is parsed again behind them.
+    return normalize(messages.unpacked(computed(unique, _m=F.parse_json("value"))), now=now, classifier=classifier)
+
+
 def processed_stream(envelope: DataFrame, window: int | None = PROCESSOR_WINDOW, buckets: int = 1,
                      now: Column | None = None, classifier: Classifier | None = None) -> DataFrame:
     """processed_news rows of a raw_news stream. ``window=None`` remembers every hash."""
-    # The state functions see the message text only; it is parsed again behind them.
     keyed = messages.keyed(messages.parse_raw_news(envelope), "value")
-    if window is None:
-        unique = first_position_stream(keyed, "raw_hash")
-    else:
-        unique = window_stream(keyed, "raw_hash", size=window, buckets=buckets)
-    return normalize(messages.unpacked(computed(unique, _m=F.parse_json("value"))), now=now, classifier=classifier)
+    return _processed(_unique(keyed, window, buckets), now, classifier)
 
 
 def quarantine_stream(envelope: DataFrame) -> DataFrame:
     return messages.quarantine(messages.parse_raw_news(envelope))
 
 
-def start_processor(envelope: DataFrame, out: str, run: Run, servers: str | None = None, **options) -> StreamingQuery:
-    """raw_news envelope to processed_news messages, keyed by article id."""
-    rows = processed_stream(envelope, **options)
-    return run.start(_send(rows, out, "article_id", servers, run, ("raw_payload",)))
+BAD = ("topic", "partition", "offset", "value", "reason")
+
+
+def _two_exits(rows: DataFrame, process: Callable[[DataFrame], DataFrame], key: str, out: str, quarantine: str, run: Run,
+               servers: str | None, json_columns: tuple[str, ...] = ()) -> StreamingQuery:
+    """Good rows to the topic, bad ones to the quarantine folder: one read and one parse of the input, one batch number for both.
+
+    A batch that runs again replaces its own folders in both.
+    """
+    spark = rows.sparkSession
+    writer = None if servers else topics.writer_number(spark, out, run.checkpoint)
+    bin_number = topics.writer_number(spark, quarantine, run.checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            bad = batch.filter("reason IS NOT NULL").select(*BAD)
+            bad.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/writer-{bin_number:04d}-batch-{batch_id:012d}")
+            good = batch.filter("reason IS NULL").drop(*[c for c in BAD if c != "value"])
+            sent = messages.to_messages(process(good), key, json_columns)
+            if servers:
+                topics.write_kafka(sent, servers, out)
+            else:
+                topics.write_files(sent, out, writer, batch_id)
+        finally:
+            batch.unpersist()
+
+    return run.start(rows.writeStream.foreachBatch(write))
+
+
+def read_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """The bad messages of all batches."""
+    return spark.read.schema(QUARANTINE).option("recursiveFileLookup", True).parquet(folder)
+
+
+def start_processor(envelope: DataFrame, out: str, run: Run, servers: str | None = None, quarantine: str | None = None,
+                    window: int | None = PROCESSOR_WINDOW, buckets: int = 1, now: Column | None = None,
+                    classifier: Classifier | None = None) -> StreamingQuery:
+    """raw_news envelope to processed_news messages, keyed by article id; with ``quarantine``, bad messages to that folder."""
+    if quarantine is None:
+        rows = processed_stream(envelope, window, buckets, now, classifier)
+        return run.start(_send(rows, out, "article_id", servers, run, ("raw_payload",)))
+    rows = observe_exits(messages.with_exits(messages.parse_raw_news(envelope)), f"{run.name}_read")
+    unique = observe_exits(_unique(rows, window, buckets, "reason"), f"{run.name}_unique")
+    return _two_exits(unique, lambda good: _processed(good, now, classifier), "article_id", out, quarantine, run, servers, ("raw_payload",))
 
 
 def start_quarantine(envelope: DataFrame, out: str, run: Run) -> StreamingQuery:
-    """Messages that cannot be processed, whole, with the reason."""
+    """Messages that cannot be processed, whole, with the reason, as a query of its own."""
     return run.start(quarantine_stream(envelope).writeStream.format("parquet").option("path", out))
 
 
+def _alt_keyed(candidates: DataFrame, now: Column | None) -> DataFrame:
+    return candidates.withColumns({"url_hash": url_fingerprint(F.col("url")), "arrival": arrival_seconds(candidates, now)})
+
+
 def alt_stream(envelope: DataFrame, now: Column | None = None, lateness: int | None = None) -> DataFrame:
     """The alternative job: time-to-live dedup by url, then scoring."""
     raw = messages.raw_news(messages.parse_raw_news(envelope))
-    seen = alt_candidates(raw)
-    keyed = seen.withColumns({"url_hash": url_fingerprint(F.col("url")), "arrival": arrival_seconds(seen, now)})
-    return alt_normalize(ttl_stream(keyed, "url_hash", "arrival", lateness=lateness), now=now)
+    return alt_normalize(ttl_stream(_alt_keyed(alt_candidates(raw), now), "url_hash", "arrival", lateness=lateness), now=now)
 
 
-def start_alt_processor(envelope: DataFrame, out: str, run: Run, servers: str | None = None,
-                        **options) -> StreamingQuery:
-    rows = alt_stream(envelope, lateness=LATENESS_SECONDS if run.every else None, **options)
-    return run.start(_send(rows, out, "id", servers, run))
+def start_alt_processor(envelope: DataFrame, out: str, run: Run, servers: str | None = None, quarantine: str | None = None,
+                        now: Column | None = None) -> StreamingQuery:
+    """The alternative job; with ``quarantine``, messages it cannot take go to that folder."""
+    lateness = LATENESS_SECONDS if run.every else None
+    if quarantine is None:
+        return run.start(_send(alt_stream(envelope, now, lateness), out, "id", servers, run))
+    raw = observe_exits(messages.raw_news_with_exits(messages.parse_raw_news(envelope)), f"{run.name}_read")
+    usable = raw.filter(F.col("reason").isNotNull() | ((F.col("url") != "") & (F.col("title") != "")))
+    keyed = _alt_keyed(usable, now)
+    # A bad message meets no other row: its key is its place.
+    own = keyed.withColumn("url_hash", F.when(F.col("reason").isNull(), F.col("url_hash")).otherwise(F.concat(F.lit("bad/"), F.col("pos").cast("string"))))
+    unique = observe_exits(ttl_stream(own, "url_hash", "arrival", lateness=lateness, passes="reason"), f"{run.name}_unique")
+    return _two_exits(unique, lambda good: alt_normalize(good.drop("value"), now=now), "id", out, quarantine, run, servers)
 
 
 # Crawling ---------------------------------------------------------------------------------
@@ -217,7 +279,8 @@ def start_store(envelope: DataFrame, table: str, run: Run, iceberg: bool = False
         append_batch(batch, table, notes, name, batch_id, first, iceberg)
         first = False
 
-    return run.start(storage_rows(envelope).writeStream.foreachBatch(append))
+    stored = storage_rows(envelope).observe(f"{run.name}_read", F.count("*").alias("total"))
+    return run.start(stored.writeStream.foreachBatch(append))
 
 
 def start_alerts(envelope: DataFrame, out: str, run: Run, only_matched: bool = True,

@@ -36,6 +36,14 @@ def _arranged(frames: list[pd.DataFrame], by: list[str]) -> tuple[pd.DataFrame,
     return narrow.iloc[order], frame[order], place[order]
 
 
+def _parted(frame: pd.DataFrame, passes: str | None) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Rows whose ``passes`` column is set, which go through untouched, and the others."""
+    if passes is None:
+        return frame.iloc[:0], frame
+    passing = frame[passes].notna().to_numpy()
+    return frame[passing], frame[~passing]
+
+
 def _picked(frames: list[pd.DataFrame], frame: np.ndarray, place: np.ndarray) -> Iterator[pd.DataFrame]:
     """The chosen rows, frame by frame; whole rows are never brought together."""
     for i in np.unique(frame):
@@ -49,8 +57,8 @@ class TtlProcessor(StatefulProcessor):
     or without it, and an earlier one is late, so the rows that come out do not depend on when it goes.
     """
 
-    def __init__(self, seconds: str, pos: str, ttl: int, expires: bool):
-        self.seconds, self.pos, self.ttl, self.expires = seconds, pos, ttl, expires
+    def __init__(self, seconds: str, pos: str, ttl: int, expires: bool, passes: str | None = None):
+        self.seconds, self.pos, self.ttl, self.expires, self.passes = seconds, pos, ttl, expires, passes
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -59,7 +67,13 @@ class TtlProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         stored = self.anchor.get() if self.anchor.exists() else None
         anchor = stored[0] if stored is not None else None
-        frames = [f for f in rows if len(f)]
+        frames = []
+        for rows_of in rows:
+            passing, rows_of = _parted(rows_of, self.passes)
+            if len(passing):
+                yield passing
+            if len(rows_of):
+                frames.append(rows_of)
         if not frames:
             return
         ordered, frame, place = _arranged(frames, [self.seconds, self.pos])
@@ -92,8 +106,8 @@ class TtlProcessor(StatefulProcessor):
 class FirstProcessor(StatefulProcessor):
     """Keep the row of the smallest position of a key that has not come before; holds one row at a time besides the frame."""
 
-    def __init__(self, pos: str):
-        self.pos = pos
+    def __init__(self, pos: str, passes: str | None = None):
+        self.pos, self.passes = pos, passes
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "seen boolean")
@@ -101,6 +115,11 @@ class FirstProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = None
         for frame in rows:
+            passing, frame = _parted(frame, self.passes)
+            if len(passing):
+                yield passing
+            if frame.empty:
+                continue
             best = frame.sort_values(self.pos, kind="stable").iloc[:1]
             if first is None or best[self.pos].iloc[0] < first[self.pos].iloc[0]:
                 first = best
@@ -122,8 +141,8 @@ class WindowProcessor(StatefulProcessor):
     to the hash, and two counters are its ends. A batch reads and writes the hashes it meets, not the window.
     """
 
-    def __init__(self, key: str, pos: str, size: int, flag: str | None = None):
-        self.key, self.pos, self.size, self.flag = key, pos, size, flag
+    def __init__(self, key: str, pos: str, size: int, flag: str | None = None, passes: str | None = None):
+        self.key, self.pos, self.size, self.flag, self.passes = key, pos, size, flag, passes
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.number = handle.getMapState("number", "hash string", "number long")
@@ -162,7 +181,13 @@ class WindowProcessor(StatefulProcessor):
         return fresh
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frames = [f for f in rows if len(f)]
+        frames = []
+        for rows_of in rows:
+            passing, rows_of = _parted(rows_of, self.passes)
+            if len(passing):
+                yield passing
+            if len(rows_of):
+                frames.append(rows_of)
         if not frames:
             return
         ordered, frame, place = _arranged(frames, [self.pos, self.key])
@@ -184,14 +209,15 @@ class WindowProcessor(StatefulProcessor):
 
 
 def ttl_stream(rows: DataFrame, key: str, seconds: str, pos: str = "pos", ttl: int = TTL_SECONDS,
-               lateness: int | None = None) -> DataFrame:
+               lateness: int | None = None, passes: str | None = None) -> DataFrame:
     """Rows of a stream accepted by a time-to-live window with a fixed anchor, by event time.
 
     With ``lateness`` the state of a key is dropped by a timer once the watermark, so many seconds behind the
     latest row, has passed its window: the state holds the keys of about ``ttl + lateness`` seconds, and a
     replay gives the same rows. Rows that come later than that are dropped. Without it nothing is late and every key keeps its state.
+    Rows in which the column ``passes`` is set go through untouched.
     """
-    processor = TtlProcessor(seconds, pos, ttl, lateness is not None)
+    processor = TtlProcessor(seconds, pos, ttl, lateness is not None, passes)
     schema = rows.schema
     if lateness is None:
         return rows.groupBy(key).transformWithStateInPandas(processor, outputStructType=schema, outputMode="Append", timeMode="None")
@@ -210,13 +236,13 @@ def first_stream(rows: DataFrame, key: str) -> DataFrame:
     return rows.dropDuplicates([key])
 
 
-def first_position_stream(rows: DataFrame, key: str, pos: str = "pos") -> DataFrame:
+def first_position_stream(rows: DataFrame, key: str, pos: str = "pos", passes: str | None = None) -> DataFrame:
     """The first row of every key since the query began, of a micro-batch the one with the smallest ``pos``.
 
     Each key has a state of its own, so the keys run in parallel and no number of them makes one forgotten.
     """
     return rows.groupBy(key).transformWithStateInPandas(
-        FirstProcessor(pos), outputStructType=rows.schema, outputMode="Append", timeMode="None")
+        FirstProcessor(pos, passes), outputStructType=rows.schema, outputMode="Append", timeMode="None")
 
 
 def _buckets(rows: DataFrame, key: str, buckets: int | str) -> DataFrame:
@@ -226,7 +252,7 @@ def _buckets(rows: DataFrame, key: str, buckets: int | str) -> DataFrame:
 
 
 def window_stream(rows: DataFrame, key: str, pos: str = "pos", size: int = PROCESSOR_WINDOW, buckets: int | str = 1,
-                  flag: str | None = None, seen: DataFrame | None = None) -> DataFrame:
+                  flag: str | None = None, seen: DataFrame | None = None, passes: str | None = None) -> DataFrame:
     """Rows of a stream that are new to a window of the last ``size`` accepted keys.
 
     With one bucket the window is global and exact, and one task does the work.
@@ -235,7 +261,7 @@ def window_stream(rows: DataFrame, key: str, pos: str = "pos", size: int = PROCE
     its values, such as a source; these are exact and parallel. ``flag``
     keeps all rows and names the column that marks repeats. ``seen``
     (``url_hash, seq``) fills the window when the query starts for the first
-    time.
+    time. Rows in which the column ``passes`` is set go through untouched.
     """
     own = isinstance(buckets, str)
     if not own and size % buckets:
@@ -247,7 +273,7 @@ def window_stream(rows: DataFrame, key: str, pos: str = "pos", size: int = PROCE
     initial = None
     if seen is not None:
         initial = _buckets(seen, "url_hash", buckets).groupBy("bucket")
-    processor = WindowProcessor(key, pos, size if own else size // buckets, flag)
+    processor = WindowProcessor(key, pos, size if own else size // buckets, flag, passes)
     kept = bucketed.groupBy("bucket").transformWithStateInPandas(
         processor, outputStructType=schema, outputMode="Append", timeMode="None", initialState=initial)
     return kept.drop("bucket")

@@ -288,3 +288,46 @@ def test_registered_streams_forget_no_hash(spark, monkeypatch):
     for stream, batch in (("stream_window", "dedup_first"), ("stream_processor", "process_messages")):
         got, want = (queries.REGISTRY[n](spark, sf).select("doc_id", "raw_hash").collect() for n in (stream, batch))
         assert sorted(got) == sorted(want) and len(got) < 1000
+
+
+def test_jobs_write_their_counters(spark, tmp_path):
+    """One folder of metrics for the processor, the alternative job and the store, written when a query ends."""
+    raw, out, bad = tmp_path / "raw", str(tmp_path / "processed_news"), str(tmp_path / "bad")
+    put(raw, "0", [changed(url="https://x/1"), changed(url="https://x/1"), "{broken", changed(url=None), changed(url="https://x/2", timestamp=5000)])
+    stream, folder = topics.file_stream(spark, str(raw)), str(tmp_path / "runs")
+    run(jobs.start_processor(stream, out, jobs.Run("process", folder), quarantine=bad))
+    run(jobs.start_alt_processor(stream, str(tmp_path / "alt"), jobs.Run("alt", folder), quarantine=bad))
+    name = tables.create_table(spark, tables.TableConfig(run_dir(spark, "warehouse"), namespace="counted"))
+    run(jobs.start_store(topics.file_stream(spark, out), name, jobs.Run("store", folder)))
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    sums = {(r.query, r.name): r.n for r in spark.read.schema(metrics.METRICS).json(f"{folder}/metrics").groupBy("query", "name").agg(F.sum("value").alias("n")).collect()}
+    assert sums == {("process", "process_read.total"): 5, ("process", "process_read.errors"): 2, ("process", "process_unique.total"): 4,
+                    ("process", "process_unique.errors"): 2, ("alt", "alt_read.total"): 5, ("alt", "alt_read.errors"): 2,
+                    ("alt", "alt_unique.total"): 4, ("alt", "alt_unique.errors"): 2, ("store", "store_read.total"): 2}
+    assert sorted(r.reason for r in jobs.read_quarantine(spark, bad).collect()) == ["bad_json", "bad_json", "missing_url", "process_error"]
+
+
+def test_a_batch_that_was_not_noted_is_not_stored_twice(spark, tmp_path, monkeypatch):
+    """The store ends between append and note; the query goes on, and another one reads everything again."""
+    done = tmp_path / "processed_news"
+    put(done, "0", [{"article_id": f"a{i}"} for i in range(8)], topic="processed_news")
+    name = tables.create_table(spark, tables.TableConfig(run_dir(spark, "warehouse"), namespace="noted"))
+    job, ledger = jobs.Run("store", str(tmp_path / "runs")), str(tmp_path / "ledger")
+    start = lambda r: jobs.start_store(topics.file_stream(spark, str(done)), name, r, ledger=ledger)
+    whole, kept = tables.append_batch, []
+
+    def cut(rows, table, *rest):
+        tables.append_new(rows, table)
+        raise RuntimeError("ended before the note")
+
+    monkeypatch.setattr(jobs, "append_batch", cut)
+    with pytest.raises(Exception, match="ended before the note"):
+        start(job).awaitTermination()
+    monkeypatch.setattr(jobs, "append_batch", lambda *a: kept.append(whole(*a)))
+    run(start(job))
+    put(done, "1", [{"article_id": f"b{i}"} for i in range(3)], start=100, topic="processed_news")
+    run(start(job))
+    run(start(jobs.Run("again", str(tmp_path / "runs"))))
+    assert kept[:2] == [0, 3] and sum(kept) == 3
+    assert spark.table(name).count() == 11
+    assert {r.rows for r in tables.read_ledger(spark, ledger).filter("query like 'store%'").collect()} == {0, 3}
