@@ -21,7 +21,13 @@ def join_small(rows: DataFrame, small: DataFrame, on: str, how: str = "inner", s
     for each part, so a hot key does not end in one task.
     """
     size = small.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
-    if (size or 0) <= max_bytes:
+    return join_sized(rows, small, on, size or 0, how, spread, max_bytes)
+
+
+def join_sized(rows: DataFrame, small: DataFrame, on: str, size: int, how: str = "inner", spread: str = "pos",
+               max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """:func:`join_small` where a bound of the small side's bytes is known already."""
+    if size <= max_bytes:
         return rows.join(F.broadcast(small), on, how)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
     parts = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))

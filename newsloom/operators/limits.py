@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 from pyspark.sql.window import Window
 
-from newsloom.operators.joins import join_small
+from newsloom.operators.joins import join_sized
+from newsloom.session import run_dir
 
 DAY = 86400
 
@@ -15,6 +16,7 @@ DAY = 86400
 # are ranked. A block is 2^16 positions, or the entries of one document.
 BLOCK_BITS = 16
 ENTRIES = 10 ** 8
+FEED_BYTES = 64  # more than a narrow row of one feed takes
 
 
 def recent_enough(published_ts: Column, now: int, days: int | None) -> Column:
@@ -30,11 +32,20 @@ def _block(rows: DataFrame, pos: str) -> Column:
     return F.shiftright(F.col(pos).cast("long"), BLOCK_BITS).alias("block")
 
 
-def _blocks(rows: DataFrame, feed: str, pos: str) -> DataFrame:
-    """Rows per (feed, block) and the rows of the feed in earlier blocks."""
-    counts = rows.groupBy(feed, _block(rows, pos)).agg(F.count("*").alias("n"))
-    order = Window.partitionBy(feed).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
+def block_counts(rows: DataFrame, fresh: Column, feed: str, pos: str) -> DataFrame:
+    """Rows of each (feed, block) that pass ``fresh`` (``eligible``) and that do not (``old``).
+
+    The one pass over all rows: quotas, the blocks in which they end and the counters come from this narrow table,
+    which is written once and read back.
+    """
+    counts = rows.groupBy(feed, _block(rows, pos)).agg(F.count_if(fresh).alias("eligible"), F.count_if(~fresh).alias("old"))
+    folder = run_dir(rows.sparkSession, "block-counts")
+    counts.write.parquet(folder)
+    return rows.sparkSession.read.schema(counts.schema).parquet(folder)
+
+
+def _per_feed(blocks: DataFrame, feed: str) -> DataFrame:
+    return blocks.groupBy(feed).agg(F.sum("eligible").alias("eligible"), F.sum("old").alias("old"))
 
 
 def feed_quotas(counts: DataFrame, feed: str, per_feed: int | None, total: int | None) -> DataFrame:
@@ -50,42 +61,55 @@ def feed_quotas(counts: DataFrame, feed: str, per_feed: int | None, total: int |
     return running.withColumn("quota", F.least("wanted", left))
 
 
-def first_rows(rows: DataFrame, quotas: DataFrame, feed: str, pos: str) -> DataFrame:
+def _cuts(blocks: DataFrame, quotas: DataFrame, feed: str) -> DataFrame:
+    """The block in which the quota of each feed ends (``_cut``), the rows wanted from it (``_left``), and the old rows before it."""
+    order = Window.partitionBy(feed).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = blocks.select(feed, "block", F.coalesce(F.sum("eligible").over(order), F.lit(0)).alias("before"),
+                           F.coalesce(F.sum("old").over(order), F.lit(0)).alias("old_before"))
+    return (
+        before.join(quotas.select(feed, "quota"), feed)
+        .filter("before < quota")
+        .groupBy(feed)
+        .agg(F.max(F.struct("block", (F.col("quota") - F.col("before")).alias("left"), "old_before")).alias("cut"))
+        .select(feed, F.col("cut.block").alias("_cut"), F.col("cut.left").alias("_left"), F.col("cut.old_before").alias("_old_before"))
+    )
+
+
+def _with_feed(rows: DataFrame, small: DataFrame, feeds: int, feed: str, pos: str) -> DataFrame:
+    """Join with a table of at most one narrow row for each of ``feeds`` feeds."""
+    return join_sized(rows, small, feed, feeds * FEED_BYTES, spread=pos)
+
+
+def first_rows(rows: DataFrame, blocks: DataFrame, quotas: DataFrame, feeds: int, feed: str, pos: str) -> DataFrame:
     """The first ``quota`` rows of every feed by ``pos``.
 
     The block counts tell in which block a feed's quota ends. Only feed and position of the rows
     of that block are ranked; what comes out is one last position a feed, and the
     rows up to it are kept in the scan. Whole rows are not shuffled.
     """
-    cuts = (
-        _blocks(rows, feed, pos)
-        .join(quotas.select(feed, "quota"), feed)
-        .filter("before < quota")
-        .groupBy(feed)
-        .agg(F.max(F.struct("block", (F.col("quota") - F.col("before")).alias("left"))).alias("cut"))
-        .select(feed, F.col("cut.block").alias("_cut"), F.col("cut.left").alias("_left"))
-    )
     rank = F.row_number().over(Window.partitionBy(feed).orderBy(pos))
     ends = (
-        join_small(rows.select(feed, pos, _block(rows, pos)), cuts, feed, spread=pos)
+        _with_feed(rows.select(feed, pos, _block(rows, pos)), _cuts(blocks, quotas, feed), feeds, feed, pos)
         .filter("block = _cut")
         .withColumn("_rank", rank)
         .filter("_rank <= _left")
         .groupBy(feed)
         .agg(F.max(pos).alias("_end"))
     )
-    return join_small(rows, ends, feed, spread=pos).filter(F.col(pos) <= F.col("_end")).drop("_end")
+    return _with_feed(rows, ends, feeds, feed, pos).filter(F.col(pos) <= F.col("_end")).drop("_end")
 
 
 def select_backfill(rows: DataFrame, now: int, per_feed: int | None = None, total: int | None = None,
                     days: int | None = None, feed: str = "feed_ord", pos: str = "entry_pos") -> DataFrame:
     """Rows a backfill publishes: age filter, then the per-feed limit, then the total limit,
     feeds in registry order and entries in document order."""
-    eligible = rows.filter(recent_enough(F.col("published_ts"), now, days))
+    fresh = recent_enough(F.col("published_ts"), now, days)
+    eligible = rows.filter(fresh)
     if per_feed is None and total is None:
         return eligible
-    counts = eligible.groupBy(feed).agg(F.count("*").alias("eligible"))
-    return first_rows(eligible, feed_quotas(counts, feed, per_feed, total), feed, pos)
+    blocks = block_counts(rows, fresh, feed, pos)
+    counts = _per_feed(blocks, feed)
+    return first_rows(eligible, blocks, feed_quotas(counts, feed, per_feed, total), counts.count(), feed, pos)
 
 
 def backfill_counters(rows: DataFrame, now: int, per_feed: int | None = None, total: int | None = None,
@@ -96,38 +120,26 @@ def backfill_counters(rows: DataFrame, now: int, per_feed: int | None = None, to
     that point in the same feed are not counted, and later feeds have no row.
     """
     fresh = recent_enough(F.col("published_ts"), now, days)
-    narrow = rows.select(feed, pos, fresh.alias("_fresh"))
-    counts = narrow.groupBy(feed).agg(
-        F.count_if("_fresh").alias("eligible"), F.count_if(~F.col("_fresh")).alias("old"))
-    feeds = feed_quotas(counts, feed, per_feed, total)
+    blocks = block_counts(rows, fresh, feed, pos)
+    feeds = feed_quotas(_per_feed(blocks, feed), feed, per_feed, total)
+    published = [feed, F.col("quota").alias("published")]
+    limited = (F.col("eligible") - F.col("wanted")).alias("skip_per_feed_limit")
     if total is None:
-        return feeds.select(
-            feed,
-            F.col("wanted").alias("published"),
-            F.col("old").alias("skip_old"),
-            (F.col("eligible") - F.col("wanted")).alias("skip_per_feed_limit"),
-        )
-    # The feed that stops the run, and the row at which it stops.
-    stopping = feeds.filter("quota < wanted").agg(F.min(feed).alias(feed))
-    limits = feeds.join(stopping, feed).select(feed, (F.col("quota") + 1).alias("quota"))
-    stop = first_rows(narrow.filter("_fresh"), limits, feed, pos).groupBy(feed).agg(F.max(pos).alias("_stop"))
-    seen_old = (
-        join_small(narrow.filter(~F.col("_fresh")), stop, feed, spread=pos)
-        .groupBy(feed).agg(F.count_if(F.col(pos) < F.col("_stop")).alias("_old"))
-    )
-    return (
-        feeds.join(stop.select(feed, F.lit(True).alias("_stops")), feed, "left")
-        .join(seen_old, feed, "left")
-        .withColumn("_last", F.min(F.when(F.col("_stops"), F.col(feed))).over(Window.partitionBy()))
-        .filter(F.col("_last").isNull() | (F.col(feed) <= F.col("_last")))
-        .select(
-            feed,
-            F.col("quota").alias("published"),
-            F.when(F.col("_stops"), F.coalesce("_old", F.lit(0))).otherwise(F.col("old")).alias("skip_old"),
-            F.when(F.col("_stops"), F.lit(0)).otherwise(F.col("eligible") - F.col("wanted"))
-            .alias("skip_per_feed_limit"),
-        )
-    )
+        return feeds.select(*published, F.col("old").alias("skip_old"), limited)
+    # The feed that stops the run, and the block of the row at which it stops: one row, or none.
+    stopping = feeds.filter("quota < wanted").orderBy(feed).limit(1).select(feed, (F.col("quota") + 1).alias("quota"))
+    stop = _cuts(blocks.join(F.broadcast(stopping.select(feed)), feed, "left_semi"), stopping, feed).first()
+    if stop is None:
+        return feeds.select(*published, F.col("old").alias("skip_old"), limited)
+    # Of the rows of that one block: the old ones before the stopping row.
+    inside = rows.filter((F.col(feed) == stop[feed]) & (_block(rows, pos) == F.lit(stop["_cut"]))).select(pos, fresh.alias("_fresh"))
+    nth = F.sum(F.col("_fresh").cast("long")).over(Window.orderBy(pos).rowsBetween(Window.unboundedPreceding, -1))
+    seen_old = inside.withColumn("_before", F.coalesce(nth, F.lit(0))).filter(~F.col("_fresh") & (F.col("_before") < stop["_left"]))
+    last = F.col(feed) == stop[feed]
+    old = F.lit(stop["_old_before"] + seen_old.count())
+    return feeds.filter(F.col(feed) <= stop[feed]).select(
+        *published, F.when(last, old).otherwise(F.col("old")).alias("skip_old"),
+        F.when(last, F.lit(0)).otherwise(F.col("eligible") - F.col("wanted")).alias("skip_per_feed_limit"))
 
 
 def with_grand_total(counters: DataFrame, feed: str = "feed_ord") -> DataFrame:
