@@ -540,3 +540,16 @@ SELECT doc_id, CASE {K} WHEN 1 THEN 'bad_json' WHEN 2 THEN 'not_an_object' ELSE
 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM alt_reasons)
 UNION ALL SELECT doc_id, NULL FROM alt""")
 add("stream_counters", SQL["processor_counters"])
+
+add("classify_replaced", f"""{WITH_PROCESSED}
+SELECT p.doc_id, CASE WHEN length(p.title) * 20 > length(f.body) THEN 'brief' WHEN contains(p.title, ',') THEN 'listing' ELSE 'report' END AS category, p.keywords
+FROM processed p JOIN firsts f USING (doc_id)""")
+add("fetched_documents", f"""{WITH_NEWS}, {ATOM}
+SELECT doc_id, entry_pos, url FROM atoms WHERE doc_id % 5 <> 0 AND doc_id % 7 <> 0 AND doc_id % 11 <> 0 AND doc_id % 13 <> 0""")
+add("storage_objects", f"""{WITH_NEWS}
+SELECT 'raw_news' AS source_topic, CAST(part AS BIGINT) AS kafka_partition, off AS kafka_offset,
+       CASE {K} WHEN 7 THEN '' WHEN 15 THEN '15' ELSE {strip('title')} END AS title,
+       CASE WHEN {K} IN (3, 4, 5, 6) THEN '' WHEN {K} = 12 THEN '5' WHEN {K} = 16 THEN '0' ELSE {strip('url')} END AS url,
+       {K} = 13 OR ({K} <> 17 AND doc_id % 3 = 0) AS should_alert,
+       CASE WHEN doc_id % 2 = 0 THEN 'the |' || source ELSE '' END AS matched_keywords
+FROM news WHERE {K} NOT IN (1, 2)""")

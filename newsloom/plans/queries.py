@@ -101,6 +101,16 @@ def classify_rules_joined(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", rulebook.first_category().alias("category"), keywords)
 
 
+@query
+def classify_replaced(spark: SparkSession, sf: str) -> DataFrame:
+    """The processor with a classifier of the user's own in place of the rules: by how the title is written."""
+    def by_title(title: Column, content: Column) -> Column:
+        return F.when(F.length(title) * 20 > F.length(content), "brief").when(F.contains(title, F.lit(",")), "listing").otherwise("report")
+
+    rows = articles.process_articles(X.typed_raw_news(spark, sf), now=fixed_now(), classifier=by_title)
+    return rows.select(doc_id(), "category", joined("keywords"))
+
+
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     rows = X.raw_news(spark, sf).select("doc_id", R.match_text(F.col("title"), F.col("content")).alias("t"))
     hits = rows.select("doc_id", R.hits_in_order(F.col("t"), R.SCORED_RULES).alias("hits"))
@@ -332,6 +342,16 @@ def atom_entries(spark: SparkSession, sf: str) -> DataFrame:
     return D.entries(D.parse_documents(docs)).select("doc_id", "entry_pos", "url", "title", "content", "published_ts")
 
 
+@query
+def fetched_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that were fetched, among those whose server answered with an error or with nothing."""
+    number = F.col("doc_id")
+    docs = X.atom_documents(spark, sf).withColumns({
+        "status": F.when(number % 5 == 0, 404).when(number % 7 == 0, 503).when(number % 11 == 0, None).otherwise(F.col("status")),
+        "body": F.when(number % 13 != 0, F.col("body"))})
+    return D.entries(D.parse_documents(D.fetched(docs))).select("doc_id", "entry_pos", "url")
+
+
 @query
 def broken_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents that are no feeds, among feeds: web pages sent in their place."""
@@ -449,6 +469,13 @@ def storage_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.try_variant_get(F.parse_json("raw_payload_json"), "$.content", "string").alias("payload_content"))
 
 
+@query
+def storage_objects(spark: SparkSession, sf: str) -> DataFrame:
+    """The writer over messages some of which are no JSON objects: these are left out, all others become rows."""
+    rows = storage.storage_rows(X.raw_messages(spark, sf))
+    return rows.select("source_topic", "kafka_partition", "kafka_offset", "title", "url", "should_alert", joined("matched_keywords"))
+
+
 @query
 def latest_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = storage.latest_rows(storage.storage_rows(processed_messages(spark, sf)))
