@@ -2,11 +2,12 @@
 
 Learning, from labelled rows only:
 
-1. Token counts of toxic and clean texts give log-odds under a Dirichlet prior that
-   follows the counts of both together (informative prior); a text counts a token once.
+1. Token counts of toxic and clean texts give log-odds under a Dirichlet prior: half a text for every token, and a
+   share of its count in both together (informative prior), so it weighs alike in small and large
+   label sets; a text counts a token once.
    A token is a word; rare words fall back to their first five, then first four letters.
 2. Every token loses a constant ``DRIFT``, so the expected score is negative and
-   segments end. Rows scored with the other fold's log-odds give the extreme-value
+   segments end. Rows scored with the other folds' log-odds give the extreme-value
    constants of clean text: the decay ``lam`` solves E[exp(lam * score)] = 1, the scale
    ``k`` is the likelihood estimate for the best segments of clean texts.
 3. The same rows give a logistic curve from a text's evidence to a probability.
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,10 +36,11 @@ from newsloom.llm.shared import saved
 
 TOKEN = re.compile(r"\w+")
 PREFIXES = (5, 4)
-PRIOR = 10_000.0       # weight of the prior, in tokens
+FLOOR, SPREAD = 0.5, 0.002  # prior of a token: so many texts, and this share of those that hold it
+FOLDS = 4
 CLEAREST = 3.0         # standard errors from 0 from which a log-odds counts
 STRONG = 2.5           # smallest log-odds that counts
-LEXICON = 50_000       # entries kept, the clearest ones: bounds what is sent to the tasks
+RARE = 20_000          # an entry is held by one in so many labelled texts at least: bounds what is sent to the tasks
 CALIBRATION = 20_000   # labelled rows the curve is fitted on, at most; chosen by hash
 DRIFT = 0.15           # taken from every token
 CAP = 8.0              # largest score of one token
@@ -57,7 +60,7 @@ def _keys(token: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Model:
-    """Everything scoring needs; at most ``LEXICON`` entries."""
+    """Everything scoring needs. Entries are at most ``RARE`` times the different words and word starts of an average text."""
 
     scores: dict[str, float]
     lam: float
@@ -160,32 +163,37 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for text in part["text"]:
                 seen.update({key for token in set(tokens(text)) for key in _keys(token)})
             if seen:
-                yield pd.DataFrame({"key": list(seen), "cell": int(2 * fold + label), "n": list(seen.values())})
+                yield pd.DataFrame({"key": [*seen, ""], "cell": int(2 * fold + label), "n": [*seen.values(), len(part)]})
 
 
 def log_odds(labelled: DataFrame) -> list[dict[str, float]]:
-    """Scores of the clearest entries of rows (text, label, fold): from fold 0, from fold 1, from both.
+    """Scores of the clear entries of rows (text, label, fold): without fold 0, 1, ..., and from all.
 
     Batches count their own entries before the shuffle; the sums stay distributed,
-    and only the ``LEXICON`` clearest entries of each come to the driver.
+    and only clear entries come to the driver. An entry counts by its own evidence: an odds ratio of ``STRONG``
+    that is ``CLEAREST`` standard errors from none.
     """
     seen = labelled.mapInPandas(_counts, "key string, cell int, n long")
-    cells = [F.sum(F.when(F.col("cell") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in range(4)]
+    cells = [F.sum(F.when(F.col("cell") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in range(2 * FOLDS)]
     sums = saved(seen.groupBy("key").agg(*cells), "tokens")
-    whole = sums.filter(~F.col("key").endswith("*")).agg(*[F.sum(f"n{c}") for c in range(4)]).first()
+    texts = sums.filter("key = ''").agg(*[F.sum(f"n{c}") for c in range(2 * FOLDS)]).first()
+    whole = sums.filter(~F.col("key").endswith("*") & (F.col("key") != "")).agg(*[F.sum(f"n{c}") for c in range(2 * FOLDS)]).first()
     found = []
-    for folds in ((0,), (1,), (0, 1)):
+    for left_out in (*range(FOLDS), None):
+        folds = [f for f in range(FOLDS) if f != left_out]
         toxic, clean = (float(sum(whole[2 * f + label] or 0 for f in folds)) for label in (1, 0))
         if not toxic or not clean:
             found.append({})
             continue
+        held = sum(texts[2 * f + label] or 0 for f in folds for label in (0, 1))
         y_toxic, y_clean = (sum((F.col(f"n{2 * f + label}") for f in folds), F.lit(0)) for label in (1, 0))
-        prior = PRIOR * (y_toxic + y_clean) / (toxic + clean)
-        rated = sums.withColumn("bad", y_toxic + prior).withColumn("good", y_clean + prior).filter("bad > 0")
-        odds = F.log(F.col("bad") / (toxic + PRIOR - F.col("bad"))) - F.log(F.col("good") / (clean + PRIOR - F.col("good")))
-        rated = rated.select("key", odds.alias("odds"), (odds / F.sqrt(1 / F.col("bad") + 1 / F.col("good"))).alias("z"))
-        clear = rated.filter((F.abs("z") >= CLEAREST) & (F.abs("odds") >= STRONG)).orderBy(F.abs("z").desc(), "key").limit(LEXICON)
-        found.append({row.key: row.odds for row in clear.collect()})
+        prior, mass = FLOOR + SPREAD * (y_toxic + y_clean), SPREAD * (toxic + clean)
+        rated = sums.filter(F.col("key") != "").filter((y_toxic + y_clean) * RARE >= held)
+        rated = rated.withColumn("bad", y_toxic + prior).withColumn("good", y_clean + prior)
+        odds = F.log(F.col("bad") / (toxic + mass + FLOOR - F.col("bad") + 1)) - F.log(F.col("good") / (clean + mass + FLOOR - F.col("good") + 1))
+        rated = rated.filter("bad > 0").select("key", odds.alias("odds"), (odds / F.sqrt(1 / F.col("bad") + 1 / F.col("good"))).alias("z"))
+        clear = rated.filter((F.abs("z") >= CLEAREST) & (F.abs("odds") >= STRONG))
+        found.append({row.key: row.odds for row in clear.select("key", "odds").collect()})
     return found
 
 
@@ -222,20 +230,27 @@ def fit(labelled: DataFrame, rows: int = CALIBRATION) -> Model:
     """Model from rows (key, text, label), label 1 for toxic.
 
     The log-odds come from all rows. For the curve and the extreme-value constants,
-    each of two folds (by hash of the key) is scored with the log-odds of the other one, on at
-    most ``rows`` rows or so. Without both labels the lexicon is empty and every text gets the
-    share of toxic rows, held below the threshold (0 without any rows).
+    each of ``FOLDS`` folds (by hash of the key) is scored with the log-odds of the other ones, on at
+    most ``rows`` rows or so; a fold whose others give no clear entry is left out of this. Without both labels, or with
+    too few rows for any clear entry, the lexicon is empty and every text gets the share of toxic rows, held below the threshold
+    (0 without any rows). Where there are entries but no fold to judge them by, a warning says so and the curve is
+    that of the learned rows themselves.
     """
-    fold = F.pmod(F.xxhash64("key"), F.lit(2)).cast("int").alias("fold")
+    fold = F.pmod(F.xxhash64("key"), F.lit(FOLDS)).cast("int").alias("fold")
     labelled = saved(labelled.filter("label in (0, 1)").select("key", "text", "label", fold), "labelled")
     size, share = labelled.agg(F.count("*"), F.avg("label")).first()
     share = share or 0.0
-    first, second, both = log_odds(labelled)
-    if not (first and second and both):
+    *parts, both = log_odds(labelled)
+    if not both:
         return Model(both, 1.0, 1.0, 1.0, -math.log1p(5.0), min(share, THRESHOLD / 2))
+    if any(parts):
+        labelled = labelled.filter(F.col("fold").isin([f for f, scores in enumerate(parts) if scores]))
+    else:
+        warnings.warn("too few labelled rows to hold some out: toxicity scores are calibrated on the rows they were learned from", stacklevel=2)
+        parts = [both] * FOLDS
     if size > rows:  # a sample of the stated size, spread by hash
         labelled = labelled.filter(F.pmod(F.xxhash64("key", F.lit(7)), F.lit(1 << 30)) < int((1 << 30) * rows / size))
-    models = [Model(scores, 1.0, 1.0, 1.0, 0.0, share) for scores in (second, first)]  # by fold
+    models = [Model(scores, 1.0, 1.0, 1.0, 0.0, share) for scores in parts]  # by fold
 
     def summary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorers = [model.scorer() for model in models]
@@ -252,10 +267,12 @@ def fit(labelled: DataFrame, rows: int = CALIBRATION) -> Model:
                                 "times": [list(map(int, spread.values())) if one else [] for one in first_row]})
 
     schema = "label int, n long, found array<double>, spread array<double>, times array<long>"
-    seen = labelled.mapInPandas(summary, schema).collect()
+    # Sorted, so that sums of floats do not depend on the order in which tasks end.
+    seen = sorted(labelled.mapInPandas(summary, schema).collect(), key=lambda row: (row.label, row.n, row.found))
     spread: Counter[float] = Counter()
     for row in seen:
         spread.update(dict(zip(row.spread, row.times)))
+    spread = Counter(dict(sorted(spread.items())))
     lam = _decay(np.array(list(spread) or [-DRIFT]), np.array(list(spread.values()) or [1], dtype=float))
     clean = [(row.n, max(row.found, default=0.0)) for row in seen if not row.label and row.n]
     k = len(clean) / sum(n * math.exp(-lam * best) for n, best in clean) if clean else 1.0

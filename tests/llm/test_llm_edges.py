@@ -107,14 +107,15 @@ def test_vectors(spark):
 
 def test_stages(spark, odd, none, labels, tmp_path):
     labels.write.parquet(str(tmp_path / "labels.parquet"))
-    for docs in (odd, none):
+    for given in (odd, none):
+        docs = given
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, str(tmp_path))
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert out.dtypes == docs.dtypes
             rows = out.collect()
             docs = spark.createDataFrame(rows, out.schema)
-            assert bool(rows) == (docs is not none and bool(rows))
+            assert bool(rows) == (given is odd)
     assert rows == []
 
 
@@ -122,6 +123,6 @@ def test_masking_keeps_rows_and_counts_characters(spark, odd, tmp_path):
     rows = corpus_pipeline.mask_personal_data(spark, odd, str(tmp_path)).collect()
     assert len(rows) == len(ROWS)
     by_text = {r.doc_id: r for r in rows if r.doc_id in (5,)}
-    assert by_text[5].text == "é😀 ünï [IP], 999.1.1.1 [PHONE] [CARD]" or "[IP]" in by_text[5].text
+    assert by_text[5].text == "é😀 ünï [IP], 999.1.1.1 [PHONE] [CARD]"
     assert all(r.n_chars == len(r.text) for r in rows if r.text is not None)
     assert [r.n_chars for r in rows if r.text is None] == [None]

@@ -272,6 +272,31 @@ def test_held_out_accuracy(spark):
     assert found and all(re.search("vile|scum|filth|rotter|swine", f) for f in found)
 
 
+@pytest.mark.parametrize("size, every", [(200, 6), (420, 6), (900, 2), (5000, 12)])
+def test_label_sets_of_all_sizes_teach_the_same(spark, size, every):
+    """Five words mark every toxic text: they are learned from few labels as from many."""
+    rnd = random.Random(size)
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(rnd.choices(words, k=60) + (["vile", "scum", "filth", "rot", "swine"] if i % every == 0 else []))) for i in range(size)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit_labels(docs, spark.createDataFrame([(i, int(i % every == 0)) for i in range(size)], "doc_id long, toxic int"))
+    score = {r.doc_id: r.t.score for r in docs.select("doc_id", toxicity.scores("text", model).alias("t")).collect()}
+    assert {"vile", "scum", "filth", "rot", "swine"} <= set(model.scores)
+    caught = [score[i] >= toxicity.THRESHOLD for i in range(0, size, every)]
+    false = [score[i] >= toxicity.THRESHOLD for i in range(size) if i % every]
+    assert np.mean(caught) >= 0.9 and np.mean(false) < 0.01
+
+
+def test_too_few_labels_to_hold_out_are_told(spark, monkeypatch):
+    """Entries from all rows together, but none without any fold's share."""
+    monkeypatch.setattr(toxicity, "log_odds", lambda rows: [{}] * toxicity.FOLDS + [{"vile": 4.0, "scum": 4.0}])
+    rows = [(i, "plain words of a text " + ("vile scum" if i < 12 else "and more"), int(i < 12)) for i in range(60)]
+    with pytest.warns(UserWarning, match="too few labelled rows"):
+        model = toxicity.fit(spark.createDataFrame(rows, "key long, text string, label int"))
+    scorer = model.scorer()
+    assert all((scorer.probability(scorer.evidence(t)[0]) >= toxicity.THRESHOLD) == bool(label) for _, t, label in rows)
+
+
 def test_held_out_labels_are_not_read(spark):
     rows = [(i, "good words here" if i % 2 else "bad words there") for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
