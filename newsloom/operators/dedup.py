@@ -8,10 +8,12 @@ about a row is joined back by ``pos``.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -106,7 +108,7 @@ def _line(begins: np.ndarray, seconds: np.ndarray, high: int, ttl: int) -> tuple
     return (np.cumsum(begins) - 1) * stride + seconds - low, low, stride
 
 
-def _block_steps(ttl: int, span: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _block_steps(ttl: int, span: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each (key, block) of rows sorted by key, block, second: how a walk that enters it leaves it.
 
     A walk enters with the first second it may accept, at most ``ttl`` behind the block's begin. From there on it is
@@ -114,9 +116,8 @@ def _block_steps(ttl: int, span: int, batches: Iterator[pd.DataFrame]) -> Iterat
     up to ``upto`` the walk leaves with ``leave``. Behind the last step it accepts nothing. A block is held
     until it is whole: at most ``span`` rows.
     """
-    def steps(frame: pd.DataFrame) -> pd.DataFrame:
-        seconds = frame["second"].to_numpy()
-        begins = _groups(frame, ["key", "block"])
+    def steps(table: pa.Table, begins: np.ndarray) -> pa.RecordBatch:
+        seconds, blocks = table.column("second").to_numpy(), table.column("block").to_numpy()
         starts = np.flatnonzero(begins)
         group = np.cumsum(begins) - 1
         ends = np.r_[starts[1:], len(seconds)][group]
@@ -126,42 +127,49 @@ def _block_steps(ttl: int, span: int, batches: Iterator[pd.DataFrame]) -> Iterat
         while (last != last[last]).any():
             last = last[last]
         leave = seconds[last]
-        first = frame["block"].to_numpy()[starts] * span
+        first = blocks[starts] * span
         entered = np.r_[True, seconds[:-1] < (first[group] + ttl)[1:]] | begins  # also the first one behind the last possible entry
         at = np.flatnonzero(entered)
-        keep = np.r_[(group[at][1:] != group[at][:-1]) | (leave[at][1:] != leave[at][:-1]), True]
-        at = at[keep]
-        cuts = np.flatnonzero(np.r_[False, group[at][1:] != group[at][:-1]])
-        return pd.DataFrame({"key": frame["key"].to_numpy()[starts], "block": frame["block"].to_numpy()[starts],
-                             "upto": np.split(seconds[at], cuts), "leave": np.split(leave[at], cuts)})
+        at = at[np.r_[(group[at][1:] != group[at][:-1]) | (leave[at][1:] != leave[at][:-1]), True]]
+        offsets = pa.array(np.r_[0, np.cumsum(np.bincount(group[at], minlength=len(starts)))].astype("int32"))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(values[at])) for values in (seconds, leave)]
+        rows = pa.array(starts)
+        return pa.RecordBatch.from_arrays([table.column("key").combine_chunks().take(rows), pa.array(blocks[starts]), *lists], ["key", "block", "upto", "leave"])
 
     held = None
     for batch in batches:
-        held = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        if held.empty:
+        held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        if not held.num_rows:
             continue
-        tail = int(np.flatnonzero(_groups(held, ["key", "block"]))[-1])
+        begins = _groups(held.select(["key", "block"]).to_pandas(), ["key", "block"])
+        tail = int(np.flatnonzero(begins)[-1])
         if tail:
-            yield steps(held.iloc[:tail].reset_index(drop=True))
-            held = held.iloc[tail:].reset_index(drop=True)
-    if held is not None and not held.empty:
-        yield steps(held)
+            yield steps(held.slice(0, tail), begins[:tail])
+            held = held.slice(tail)
+    if held is not None and held.num_rows:
+        yield steps(held, _groups(held.select(["key", "block"]).to_pandas(), ["key", "block"]))
 
 
-def _entries(ttl: int, span: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _entries(ttl: int, span: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compose the steps of a key's blocks in order: the first second that may be accepted in each block."""
-    key, release = None, 0
+    key, release, walking = None, 0, False
     for batch in batches:
         out = []
-        for name, block, upto, leave in zip(batch["key"], batch["block"].tolist(), batch["upto"], batch["leave"]):
+        lists = [batch.column(c) for c in ("upto", "leave")]
+        upto, leave = (values.flatten().to_pylist() for values in lists)
+        ends = np.cumsum(lists[0].value_lengths().to_numpy(zero_copy_only=False)).tolist()
+        low = 0
+        for name, block, high in zip(batch.column("key").to_pylist(), batch.column("block").to_pylist(), ends):
             begin = block * span
-            release = max(begin, release) if _same(key, (name,)) else begin
-            key = (name,)
+            same = walking and (name == key or (name != name and key != key))
+            release = max(begin, release) if same else begin
+            key, walking = name, True
             out.append(release)
-            step = int(np.searchsorted(upto, release))
-            if step < len(upto):
-                release = int(leave[step]) + ttl + 1
-        yield pd.DataFrame({"key": batch["key"], "block": batch["block"], "release": np.array(out, dtype="int64")})
+            step = bisect_left(upto, release, low, high)
+            if step < high:
+                release = leave[step] + ttl + 1
+            low = high
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("block"), pa.array(out, pa.int64())], ["key", "block", "release"])
 
 
 def _accept(ttl: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -215,8 +223,8 @@ def ttl_positions(rows: DataFrame, key: str, seconds: str, pos: str = "pos", ttl
     placed = cells.withColumn("block", F.floor(F.col("second") / F.lit(span)).cast("long")).repartition("key", "block")
     kinds = {f.name: f.dataType.simpleString() for f in cells.schema}
     ordered = placed.sortWithinPartitions("key", "block", "second").select("key", "block", "second")
-    steps = ordered.mapInPandas(lambda batches: _block_steps(ttl, span, batches), f"key {kinds['key']}, block long, upto array<long>, leave array<long>")
-    entries = steps.repartition("key").sortWithinPartitions("key", "block").mapInPandas(
+    steps = ordered.mapInArrow(lambda batches: _block_steps(ttl, span, batches), f"key {kinds['key']}, block long, upto array<long>, leave array<long>")
+    entries = steps.repartition("key").sortWithinPartitions("key", "block").mapInArrow(
         lambda batches: _entries(ttl, span, batches), f"key {kinds['key']}, block long, release long")
     entries = entries.select(F.col("key").alias("_key"), F.col("block").alias("_block"), "release")
     entered = placed.join(entries, F.col("key").eqNullSafe(F.col("_key")) & (F.col("block") == F.col("_block")))

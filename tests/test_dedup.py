@@ -1,6 +1,7 @@
 import random
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests.plain import ttl_kept
@@ -56,9 +57,12 @@ def test_walk_over_any_batch_cut(span):
         at = [0, *sorted(rng.sample(range(len(table)), min(6, len(table)))), len(table)]
         return (table.iloc[a:b].reset_index(drop=True) for a, b in zip(at, at[1:]))
 
+    rows_schema = pa.schema([(c, pa.int64()) for c in frame.columns])
+    steps_schema = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("upto", pa.list_(pa.int64())), ("leave", pa.list_(pa.int64()))])
+    arrow = lambda batches: pa.Table.from_batches(list(batches)).to_pandas()
     for _ in range(20):
-        steps = pd.concat(dedup._block_steps(100, span, cut(frame)), ignore_index=True)
-        entries = pd.concat(dedup._entries(100, span, cut(steps)), ignore_index=True)
+        steps = arrow(dedup._block_steps(100, span, (pa.RecordBatch.from_pandas(f, rows_schema, preserve_index=False) for f in cut(frame))))
+        entries = arrow(dedup._entries(100, span, (pa.RecordBatch.from_pandas(f, steps_schema, preserve_index=False) for f in cut(steps))))
         walked = frame.assign(release=frame.merge(entries, on=["key", "block"], how="left")["release"])
         assert set(pd.concat(dedup._accept(100, cut(walked)))["pos"]) == want
         assert steps["upto"].map(len).max() <= 101
