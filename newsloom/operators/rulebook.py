@@ -7,7 +7,6 @@ that no rule is filed under a way through the shuffle. What meets is verified wi
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,46 +27,46 @@ def _grams(word: Column) -> Column:
     return F.array_distinct(F.transform(places, lambda at: F.substring(word, at, size)))
 
 
-def _slot(gram: Column) -> Column:
-    return F.pmod(F.crc32(gram), F.lit(MAP_BITS))
+def _slots(text: str, size: int) -> np.ndarray:
+    """Slot of the gram that begins at each letter, all at once: a polynomial of the letters' code points, mixed."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    total = np.full(max(0, len(points) - size + 1), np.uint64(size), dtype=np.uint64)
+    for i in range(size):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + points[i:i + len(total)]
+    total ^= total >> np.uint64(29)
+    return ((total * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - 23)).astype(np.int64)
 
 
 def _bit_map(grams: DataFrame) -> np.ndarray:
     """One bit for each slot a gram falls in. At most ``MAP_BITS`` bits come to the driver."""
-    slot = _slot(F.col("gram")) + 1  # these functions count from 1
-    parts = grams.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
-    bits = np.zeros(MAP_BITS + 8 * 4096, dtype=np.uint8)
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = [int(_slots(gram, len(gram))[0]) for gram in batch.column("gram").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64())], ["slot"])
+
+    slot = F.col("slot") + 1  # these functions count from 1
+    placed = grams.select("gram").mapInArrow(place, "slot long")
+    parts = placed.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
+    bits = np.zeros(MAP_BITS, dtype=bool)
     for part in parts:
-        own = np.unpackbits(np.frombuffer(part.bits, dtype=np.uint8), bitorder="little")
+        own = np.unpackbits(np.frombuffer(part.bits, dtype=np.uint8), bitorder="little").astype(bool)
         begin = (part.bucket - 1) * len(own)
-        bits[begin:begin + len(own)] |= own[:len(bits) - begin]
-    return np.packbits(bits[:MAP_BITS], bitorder="little")
+        bits[begin:begin + len(own)] |= own
+    return np.packbits(bits, bitorder="little")
 
 
 def _text_grams(rows: DataFrame, sizes: list[int], wanted: np.ndarray) -> DataFrame:
     """(id, gram): the different grams of every text that may be among the wanted ones."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, bool] = {}
-
-        def is_wanted(gram: str) -> bool:
-            slot = zlib.crc32(gram.encode("utf-8", "surrogatepass")) % MAP_BITS
-            return bool(wanted[slot >> 3] >> (slot & 7) & 1)
-
+        bits = np.unpackbits(wanted, bitorder="little").astype(bool)
         for batch in batches:
             places, grams = [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 if text is None:
                     continue
-                own = {text[at:at + size] for size in sizes for at in range(len(text) - size + 1)}
-                if len(known) > 1_000_000:
-                    known.clear()
-                for gram in own:
-                    hit = known.get(gram)
-                    if hit is None:
-                        hit = known[gram] = is_wanted(gram)
-                    if hit:
-                        places.append(i)
-                        grams.append(gram)
+                own = {text[at:at + size] for size in sizes for at in np.flatnonzero(bits[_slots(text, size)]).tolist()}
+                places += [i] * len(own)
+                grams += own
             yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(places, pa.int64())), pa.array(grams, pa.string())], ["id", "gram"])
 
     kind = rows.schema["id"].dataType.simpleString()
