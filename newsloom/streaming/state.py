@@ -26,6 +26,10 @@ LATENESS_SECONDS = 48 * 3600
 PROCESSOR_WINDOW = 10_000
 CRAWLER_WINDOW = 50_000
 
+# Groups the keys of a stream are dealt to by hash. A group's rows come in frames of their own, so the cost of a frame is
+# shared by its keys; a group's share of a micro-batch is held by one Python worker.
+GROUPS = 1024
+
 
 def _arranged(frames: list[pd.DataFrame], by: list[str]) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
     """The rows of several frames in order of ``by``: these columns alone, and each row's frame and place in it."""
@@ -53,12 +57,12 @@ def _picked(frames: list[pd.DataFrame], frame: np.ndarray, place: np.ndarray) ->
 class TtlProcessor(StatefulProcessor):
     """Keep a row when it lies more than ``ttl`` seconds behind the last kept row of its key.
 
-    With ``expires`` the state of a key goes when the watermark has passed its end: a later row is accepted with
+    The state of a key goes when the watermark has passed its end: a later row is accepted with
     or without it, and an earlier one is late, so the rows that come out do not depend on when it goes.
     """
 
-    def __init__(self, seconds: str, pos: str, ttl: int, expires: bool, passes: str | None = None):
-        self.seconds, self.pos, self.ttl, self.expires, self.passes = seconds, pos, ttl, expires, passes
+    def __init__(self, seconds: str, pos: str, ttl: int, passes: str | None = None):
+        self.seconds, self.pos, self.ttl, self.passes = seconds, pos, ttl, passes
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -83,10 +87,9 @@ class TtlProcessor(StatefulProcessor):
             keep.append(at)
             at = int(np.searchsorted(seconds, seconds[at] + self.ttl, side="right"))
         if keep:
-            if self.expires:
-                if anchor is not None:
-                    self.handle.deleteTimer(self._end(anchor))
-                self.handle.registerTimer(self._end(int(seconds[keep[-1]])))
+            if anchor is not None:
+                self.handle.deleteTimer(self._end(anchor))
+            self.handle.registerTimer(self._end(int(seconds[keep[-1]])))
             self.anchor.update((int(seconds[keep[-1]]),))
             yield from _picked(frames, frame[keep], place[keep])
 
@@ -103,28 +106,79 @@ class TtlProcessor(StatefulProcessor):
         pass
 
 
+class TtlGroupProcessor(StatefulProcessor):
+    """:class:`TtlProcessor` for a group of keys, whose state never goes: the last kept second of each key in one map."""
+
+    def __init__(self, seconds: str, pos: str, ttl: int, passes: str | None = None):
+        self.seconds, self.pos, self.ttl, self.passes = seconds, pos, ttl, passes
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.anchors = handle.getMapState("anchors", "key string", "anchor long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        frames = []
+        for rows_of in rows:
+            passing, rows_of = _parted(rows_of, self.passes)
+            if len(passing):
+                yield passing
+            if len(rows_of):
+                frames.append(rows_of)
+        if not frames:
+            return
+        ordered, frame, place = _arranged(frames, ["state_key", self.seconds, self.pos])
+        keys, seconds = ordered["state_key"].to_numpy(), ordered[self.seconds].to_numpy()
+        edges = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True])
+        empty, keep = not self.anchors.exists(), []
+        for start, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            stored = None if empty else self.anchors.getValue((keys[start],))
+            own, at = seconds[start:end], 0 if stored is None else int(np.searchsorted(seconds[start:end], stored[0] + self.ttl, side="right"))
+            last = None
+            while at < len(own):
+                last = at
+                keep.append(start + at)
+                at = int(np.searchsorted(own, own[at] + self.ttl, side="right"))
+            if last is not None:
+                self.anchors.updateValue((keys[start],), (int(own[last]),))
+        if keep:
+            yield from _picked(frames, frame[keep], place[keep])
+
+    def close(self) -> None:
+        pass
+
+
 class FirstProcessor(StatefulProcessor):
-    """Keep the row of the smallest position of a key that has not come before; holds one row at a time besides the frame."""
+    """Of each key of a group, keep the row of the smallest position unless the key has come before; holds one row a key besides the frame."""
 
     def __init__(self, pos: str, passes: str | None = None):
         self.pos, self.passes = pos, passes
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean")
+        self.seen = handle.getMapState("seen", "key string", "seen boolean")
+
+    def _first(self, frames: list[pd.DataFrame]) -> pd.DataFrame:
+        ordered, frame, place = _arranged(frames, ["state_key", self.pos])
+        keys = ordered["state_key"].to_numpy()
+        begins = np.r_[True, keys[1:] != keys[:-1]]
+        return pd.concat(list(_picked(frames, frame[begins], place[begins])), ignore_index=True)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = None
+        held: list[pd.DataFrame] = []
         for frame in rows:
             passing, frame = _parted(frame, self.passes)
             if len(passing):
                 yield passing
-            if frame.empty:
-                continue
-            best = frame.sort_values(self.pos, kind="stable").iloc[:1]
-            if first is None or best[self.pos].iloc[0] < first[self.pos].iloc[0]:
-                first = best
-        if first is not None and not self.seen.exists():
-            self.seen.update((True,))
+            if len(frame):
+                held.append(frame)
+                if len(held) > 1 and sum(map(len, held[1:])) >= len(held[0]):
+                    held = [self._first(held)]
+        if not held:
+            return
+        first = self._first(held)
+        if self.seen.exists():
+            first = first[[not self.seen.containsKey((k,)) for k in first["state_key"]]]
+        for k in first["state_key"]:
+            self.seen.updateValue((k,), (True,))
+        if len(first):
             yield first
 
     def close(self) -> None:
@@ -217,10 +271,9 @@ def ttl_stream(rows: DataFrame, key: str, seconds: str, pos: str = "pos", ttl: i
     replay gives the same rows. Rows that come later than that are dropped. Without it nothing is late and every key keeps its state.
     Rows in which the column ``passes`` is set go through untouched.
     """
-    processor = TtlProcessor(seconds, pos, ttl, lateness is not None, passes)
-    schema = rows.schema
     if lateness is None:
-        return rows.groupBy(key).transformWithStateInPandas(processor, outputStructType=schema, outputMode="Append", timeMode="None")
+        return _by_group(rows, key, TtlGroupProcessor(seconds, pos, ttl, passes))
+    processor, schema = TtlProcessor(seconds, pos, ttl, passes), rows.schema
     timed = rows.withColumn("_at", F.timestamp_seconds(seconds)).withWatermark("_at", f"{lateness} seconds")
     return timed.groupBy(key).transformWithStateInPandas(processor, outputStructType=schema, outputMode="Append", timeMode="EventTime")
 
@@ -239,10 +292,17 @@ def first_stream(rows: DataFrame, key: str) -> DataFrame:
 def first_position_stream(rows: DataFrame, key: str, pos: str = "pos", passes: str | None = None) -> DataFrame:
     """The first row of every key since the query began, of a micro-batch the one with the smallest ``pos``.
 
-    Each key has a state of its own, so the keys run in parallel and no number of them makes one forgotten.
+    The keys are dealt to groups that run in parallel, each with a state of its own, and no number of them makes one forgotten.
     """
-    return rows.groupBy(key).transformWithStateInPandas(
-        FirstProcessor(pos, passes), outputStructType=rows.schema, outputMode="Append", timeMode="None")
+    return _by_group(rows, key, FirstProcessor(pos, passes))
+
+
+def _by_group(rows: DataFrame, key: str, processor: StatefulProcessor) -> DataFrame:
+    """Run a processor over groups of keys. It knows a key by the text ``state_key``, in which a null differs from an empty text."""
+    text = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))
+    grouped = rows.withColumns({"state_key": text, "state_group": F.pmod(F.xxhash64(key), F.lit(GROUPS)).cast("int")})
+    kept = grouped.groupBy("state_group").transformWithStateInPandas(processor, outputStructType=grouped.schema, outputMode="Append", timeMode="None")
+    return kept.drop("state_key", "state_group")
 
 
 def _buckets(rows: DataFrame, key: str, buckets: int | str) -> DataFrame:

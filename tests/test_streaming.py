@@ -331,3 +331,27 @@ def test_a_batch_that_was_not_noted_is_not_stored_twice(spark, tmp_path, monkeyp
     assert kept[:2] == [0, 3] and sum(kept) == 3
     assert spark.table(name).count() == 11
     assert {r.rows for r in tables.read_ledger(spark, ledger).filter("query like 'store%'").collect()} == {0, 3}
+
+
+@pytest.mark.parametrize("kind", ["first", "ttl"])
+def test_keys_share_a_group_state(spark, tmp_path, monkeypatch, kind):
+    """However many keys a stream has, they make at most ``GROUPS`` calls a micro-batch; each key, null included, is judged alone."""
+    monkeypatch.setattr(state, "GROUPS", 4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rng = random.Random(4)
+        rows = [(rng.choice([None, "", *(f"k{i}" for i in range(60))]), 20 * i + rng.randrange(15), i) for i in range(300)]
+        for i in range(3):
+            write_rows(tmp_path / "src", str(i), rng.sample(rows[100 * i:100 * i + 100], 100))
+            stream = keyed_stream(spark, tmp_path / "src")
+            keep(state.first_position_stream(stream, "key") if kind == "first" else state.ttl_stream(stream, "key", "seconds"), kind, tmp_path / "run")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = set()
+    for key in {k for k, _, _ in rows}:
+        own = [(s, p) for k, s, p in rows if k == key]
+        want |= {own[0][1]} if kind == "first" else {own[i][1] for i in ttl_kept([s for s, _ in own], 600)}
+    assert sorted(r["pos"] for r in stored(spark, tmp_path / "run", "pos long").collect()) == sorted(want)
+    held = spark.read.format("statestore").option("path", f"{tmp_path}/run/checkpoints/{kind}")
+    held = held.option("stateVarName", "seen" if kind == "first" else "anchors").load().collect()
+    assert len(held) == len({k for k, _, _ in rows}) and len({r["key"] for r in held}) <= 4
