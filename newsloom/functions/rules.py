@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,8 +105,8 @@ def keyword_hits(text: Column, keywords: list[str]) -> Column:
 
 
 def _one_pass(keywords: tuple[str, ...]):
-    @F.pandas_udf("array<string>")
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<string>")
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         automaton = ahocorasick.Automaton()
         always = {i for i, keyword in enumerate(keywords) if not keyword}
         for i, keyword in enumerate(keywords):
@@ -117,8 +117,10 @@ def _one_pass(keywords: tuple[str, ...]):
         def places(text: str) -> set[int]:
             return always | {i for _, i in automaton.iter(text)} if len(automaton) else always
 
+        # One text at a time becomes a Python string: a batch is held once, as it came.
         for texts in batches:
-            yield texts.map(lambda t: [keywords[i] for i in sorted(places(t))], na_action="ignore")
+            hits = (None if t is None else [keywords[i] for i in sorted(places(t))] for t in (text.as_py() for text in texts))
+            yield pa.array(hits, pa.list_(pa.string()))
 
     return found
 

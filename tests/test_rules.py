@@ -98,3 +98,13 @@ def test_joined_rules_match_the_broadcast_ones(spark):
     assert sorted(got, key=repr) == sorted([(n, t, [k for k in order if t is not None and k in t]) for n, t in texts], key=repr)
     none = rulebook.rule_hits(rows, table.limit(0), "n", F.col("t"))
     assert {len(r.hits) for r in none.collect()} == {0}
+
+
+def test_keyword_hits_take_arrow_batches(spark):
+    """Texts are not copied to pandas, whole batches at a time; null texts have null hits."""
+    from pyspark.util import PythonEvalType
+
+    assert R._one_pass(("ai",)).evalType == PythonEvalType.SQL_SCALAR_ARROW_ITER_UDF
+    rows = spark.createDataFrame([(0, "said who"), (1, None), (2, ""), (3, "x")], "i int, t string")
+    got = rows.select("i", R.keyword_hits(F.col("t"), ["who", "", "ai"]).alias("h")).orderBy("i").collect()
+    assert [r.h for r in got] == [["who", "", "ai"], None, [""], [""]]
