@@ -39,7 +39,8 @@ SHARE = 32_768         # a gram or window is heavy when it holds more than one i
 LEAST_HEAVY = 100      # and more than so many
 ONE_IN = 64            # runs of which one is looked at to find heavy grams
 PART_WORDS = 65_536    # a longer text is cut into parts that overlap by a window less one word
-BLOCK_BYTES = 1 << 21  # texts are hashed together in blocks of about this size
+BLOCK_BYTES = 1 << 19  # texts are hashed together in blocks of about this size; arrays of 8 bytes for each byte are held
+SLICE = 256            # rows of a batch that are Python objects at a time
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -126,7 +127,11 @@ _POWERS: list[np.ndarray] = []
 
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < size:
-        _POWERS[:] = [np.cumprod(np.r_[np.uint64(1), np.full(max(size, BLOCK_BYTES * 2), base)]) for base in (BASE, INVERSE)]
+        _POWERS.clear()
+        for base in (BASE, INVERSE):
+            table = np.full(max(size, BLOCK_BYTES * 2) + 1, base)
+            table[0] = 1
+            _POWERS.append(np.cumprod(table, out=table))
     return _POWERS[0], _POWERS[1]
 
 
@@ -164,7 +169,11 @@ def runs_of(block: Block) -> Runs | None:
     part = np.repeat(full, counts[full])
     number = np.arange(len(part)) - np.repeat(np.cumsum(counts[full]) - counts[full], counts[full])
     powers, inverse = _powers(len(raw))
-    total = np.r_[np.uint64(0), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[:len(raw)])]
+    total = np.zeros(len(raw) + 1, dtype=np.uint64)
+    total[1:] = raw
+    total[1:] += np.uint64(1)
+    total[1:] *= powers[:len(raw)]
+    np.cumsum(total, out=total)
     grams = len(begin) - GRAM + 1
     h = _mixed((total[end[GRAM - 1:]] - total[begin[:grams]]) * inverse[begin[:grams]])
     h[part[:grams] != part[GRAM - 1:]] = np.uint64(2 ** 64 - 1)
@@ -183,6 +192,17 @@ def runs_of(block: Block) -> Runs | None:
                 data, begin, end, first)
 
 
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a batch, one at a time."""
+    return (text.as_py() for text in column)
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def blocks(rows: Iterator[tuple[int, str | None]]) -> Iterator[Block]:
     """Blocks of whole texts (index, text); long ones are cut into overlapping parts."""
     block = Block()
@@ -203,7 +223,7 @@ def heavy_grams(docs: DataFrame, share: int = SHARE, least: int = LEAST_HEAVY, o
     The sample only settles how the work is dealt out: a gram that it overlooks or adds changes no result.
     """
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = ((0, t) for batch in batches for t in batch.column("text").to_pylist())
+        texts = ((0, t) for batch in batches for t in _texts(batch.column("text")))
         for block in blocks(texts):
             runs = runs_of(block)
             if runs is not None:
@@ -235,7 +255,7 @@ def heavy_windows(docs: DataFrame, grams: np.ndarray, share: int = SHARE, least:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            for block in blocks(enumerate(batch.column("text").to_pylist())):
+            for block in blocks(enumerate(_texts(batch.column("text")))):
                 runs = runs_of(block)
                 if runs is None:
                     continue
@@ -255,7 +275,7 @@ def _shared_grams(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            for block in blocks(enumerate(batch.column("text").to_pylist())):
+            for block in blocks(enumerate(_texts(batch.column("text")))):
                 runs = runs_of(block)
                 if runs is None:
                     continue
@@ -278,7 +298,7 @@ def _candidates(heavy: np.ndarray, known):
         for batch in batches:
             ids, rows = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
             lists = batch.column("grams")
-            for block in blocks(enumerate(batch.column("text").to_pylist())):
+            for block in blocks(enumerate(_texts(batch.column("text")))):
                 runs = runs_of(block)
                 if runs is None:
                     continue
@@ -323,7 +343,7 @@ def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     gram = doc = None
     automaton, waiting = Automaton(), []
-    for batch in batches:
+    for batch in _slices(batches):
         out: list[tuple] = []
         for name, number, row, first, text in zip(*(batch.column(c).to_pylist() for c in _NAMES)):
             if name is None:
@@ -366,7 +386,7 @@ def _joined_spans(found: list[dict] | None, row: int, size: int) -> list[tuple[i
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _slices(batches):
         counts, spans, texts = [], [], []
         for text, row, found in zip(*(batch.column(c).to_pylist() for c in ("text", "row", "found"))):
             words = (text or "").encode("utf-8", "surrogatepass").split()

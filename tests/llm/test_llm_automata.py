@@ -104,3 +104,17 @@ def test_runs_cover_every_window_and_name_equal_ones_alike():
             for k in range(start, start + n):
                 assert names.setdefault(k + shift, gram) == gram
     assert len(np.unique(list(names.values()))) > 300
+
+
+def test_block_memory_is_small():
+    """The arrays of a full block: the tables of powers, and what hashing it takes besides."""
+    import tracemalloc
+
+    text = " ".join(f"w{i % 5000}" for i in range(400_000))
+    automata._POWERS.clear()
+    tracemalloc.start()
+    try:
+        n = sum(len(runs.gram) for block in automata.blocks(enumerate([text[:3_000_000 // 40] + f" {i}" for i in range(40)])) if (runs := automata.runs_of(block)) is not None)
+        assert n > 0 and tracemalloc.get_traced_memory()[1] < 60_000_000
+    finally:
+        tracemalloc.stop()
