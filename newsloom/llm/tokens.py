@@ -52,8 +52,10 @@ IN_A_ROW = "[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u
 HELD = re.compile("[\x01-\x03]")
 PIECES = re.compile(r"(?<=\S)(?= )")
 MARKS = ".,;:!?"
-REMEMBERED = 800_000     # words whose ids a worker keeps: some 160 MB
-LONGEST = 64             # characters a remembered word has on average, at most
+CORE = "[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]$"
+REMEMBERED = 800_000     # words whose ids a worker keeps, as Arrow and Numpy columns: some 30 MB
+LONGEST = 64             # bytes of a remembered word, at most
+TOGETHER = 5_000         # words tokenized as lines of one text
 GULP = 2_000_000         # bytes tokenized at a time
 
 
@@ -64,15 +66,25 @@ def _worker() -> dict:
     return sys.modules.setdefault("newsloom_worker", types.ModuleType("newsloom_worker")).__dict__
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of all ranges in a row."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Encoder:
     """Token ids of whole columns of texts.
 
-    Words are cut and numbered in Arrow, each different one is tokenized once and remembered, and the
+    Words are cut and numbered in Arrow, each different one of a column is tokenized once, and the
     ids are gathered by word number. That is exact: the byte-level pattern never joins a
     blank to what comes before it, and takes a line feed between other characters alone, so no token crosses a cut.
     A word stands for itself with its leading blank; ``LINE`` before it stands for a line feed and
     no blank, ``BEGIN`` for no blank; ``LAST`` is the end of a document.
 
+    Many words are tokenized at once as the lines of one text, whose line feeds show in the ids where words end. Words with
+    other white space, empty ones and those that hold a special token are tokenized apart.
+    A mark that ends a word of letters is a token apart, so words that differ in it share the rest.
+
     A text with white space in a row is cut before blanks that follow a character which is no space.
     A text that holds one of the marks is tokenized as it is.
     """
@@ -81,39 +93,94 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.dtype = Tokenizer.from_str(tokenizer), dtype
-        self.known: dict[str, bytes] = {}
-        self.feed, self.end = self._ids(["\n"])[0], np.array([END], dtype=dtype).tobytes()
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.apart = re.compile("|".join([r"\s", *special]))
+        feed = self._ids("\n")
+        self.feed_id = int(feed[0])
+        # Without a line feed of its own id, words are tokenized one by one.
+        self.feed = int(feed[0]) if len(feed) == 1 and self._ids("a\n b")[1:-1].tolist() == feed.tolist() else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.known_sizes, self.known_ids = pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, self.dtype)
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        if self.dtype == "<u2":
-            return [struct.pack(f"<{len(ids)}H", *ids) for ids in (e.ids for e in found)]
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
 
     def _plain(self, word: str) -> str:
         return word[1:] if word[:1] in (BEGIN, LINE) else " " + word
 
-    def _looked_up(self, words: list[str]) -> list[bytes]:
-        """Ids of different words.
-
-        A mark that ends a word of letters is a token apart, so words that differ in it share the rest.
-        """
-        known = self.known
-        new = [w for w in words if w not in known]
-        ends = {w: core for w in new if (core := w.rstrip(MARKS)) != w and core and core[-1] < "\u0250" and core[-1].isalnum()}
-        whole = list({w for w in new if w not in ends} | {core for core in ends.values() if core not in known})
-        if len(known) + len(whole) > REMEMBERED:  # forget what is not used now
-            known = self.known = {w: known[w] for w in {*words, *ends.values()} if w in known}
-        ids = self._ids([self._plain(w) for w in whole])
-        found = {w: self.feed + i if w[:1] == LINE else self.end if w == LAST else i for w, i in zip(whole, ids)}
-        if sum(map(len, found)) > LONGEST * (len(found) + 1000):  # long ones are not remembered
-            known.update((w, i) for w, i in found.items() if len(w) <= LONGEST)
-            known = {**known, **found}
+    def _tokenized(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different words in a row, and the number of ids of each."""
+        plain = [self._plain(w) for w in words]
+        sizes, found = np.zeros(len(words), np.int64), []
+        for at in range(0, len(words), TOGETHER):
+            some = plain[at:at + TOGETHER]
+            text = "\n".join(some)
+            # Exact unless a word brings white space besides its leading blank, a special token, or nothing.
+            inner = "".join([t[1:] if t[:1] == " " else t for t in some])
+            if self.feed is not None and "" not in some and " " not in some and not self.apart.search(inner):
+                ids = self._ids(text)
+                ends = np.flatnonzero(ids == self.feed)
+                sizes[at:at + len(some)] = np.diff(np.r_[-1, ends, len(ids)]) - 1
+                found.append(ids[ids != self.feed])
+                continue
+            each = [self._ids(t) for t in some]
+            sizes[at:at + len(some)] = list(map(len, each))
+            found += each
+        return np.concatenate(found) if found else np.zeros(0, self.dtype), sizes
+
+    def _looked_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different words: ids in a row, and where each word's begin and how many they are."""
+        place = pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        fresh = words.take(pa.array(new))
+        texts = fresh.to_pylist()
+        last = np.array([w == LAST for w in texts], dtype=bool)
+        ahead = np.array([w[:1] == LINE for w in texts], dtype=bool) | last
+        ids, own = self._tokenized([w for w in texts if w != LAST])
+        counts = np.zeros(len(texts), np.int64)
+        counts[~last] = own
+        # A line feed before a word, the end id for the end of a document.
+        ids = np.insert(ids, (np.cumsum(counts) - counts)[ahead], np.where(last[ahead], END, self.feed_id).astype(self.dtype))
+        counts += ahead
+        flat, sizes = np.r_[self.known_ids, ids], np.r_[self.known_sizes, counts]
+        starts = np.cumsum(sizes) - sizes
+        place[new] = len(self.known) + np.arange(len(new))
+        short = pc.binary_length(fresh).to_numpy(zero_copy_only=False) <= LONGEST
+        if len(self.known) + len(new) > REMEMBERED:  # forget what is not used now
+            self._forget()
+            kept = pc.binary_length(words).to_numpy(zero_copy_only=False) <= LONGEST
+            self._remember(words, kept, flat[_ranges(starts[place[kept]], sizes[place[kept]])], sizes[place[kept]])
         else:
-            known.update(found)
-        marks = list({w[len(core):] for w, core in ends.items()})
-        tails = dict(zip(marks, self._ids(marks)))
-        return [known[w] if w not in ends else known[ends[w]] + tails[w[len(ends[w]):]] for w in words]
+            self._remember(fresh, short, ids[np.repeat(short, counts)], counts[short])
+        return flat, starts[place], sizes[place]
+
+    def _remember(self, words: pa.Array, kept: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.known = pa.concat_arrays([self.known, words.filter(pa.array(kept))])
+        self.known_ids, self.known_sizes = np.r_[self.known_ids, ids], np.r_[self.known_sizes, sizes]
+
+    def _with_marks(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Like :meth:`_looked_up`; a mark that ends a word of letters is looked up apart."""
+        cores = pc.utf8_rtrim(words, characters=MARKS)
+        parted = pc.and_(pc.not_equal(cores, words), pc.match_substring_regex(cores, CORE)).to_numpy(zero_copy_only=False)
+        whole = pc.if_else(pa.array(parted), cores, words).dictionary_encode()
+        flat, starts, sizes = self._looked_up(whole.dictionary)
+        number = whole.indices.to_numpy()
+        starts, sizes = starts[number], sizes[number]
+        if parted.any():
+            # Few different ones; the regular expression takes the core off.
+            tails = pc.replace_substring_regex(words.filter(pa.array(parted)), f"(?s)^.*[^{MARKS}]", "").dictionary_encode()
+            each = [self._ids(t) for t in tails.dictionary.to_pylist()]
+            long, which = np.array(list(map(len, each))), tails.indices.to_numpy()
+            more, rest = long[which], np.concatenate(each)[_ranges((np.cumsum(long) - long)[which], long[which])]
+            old, size = starts[parted], sizes[parted]
+            joined = np.insert(flat[_ranges(old, size)], np.repeat(np.cumsum(size), more), rest)
+            # Words with marks get ids of their own behind the others.
+            sizes[parted] = size + more
+            starts[parted] = len(flat) + np.cumsum(sizes[parted]) - sizes[parted]
+            flat = np.r_[flat, joined]
+        return flat, starts, sizes
 
     def _words(self, texts: pa.Array) -> pa.Array:
         """The words of each text, as lists."""
@@ -133,13 +200,11 @@ class Encoder:
         """Ids of all texts in a row, each with the end id, and the number of ids of each text."""
         words = self._words(pc.fill_null(texts, ""))
         coded = words.flatten().dictionary_encode()
-        each = self._looked_up(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, each), dtype=np.int64, count=len(each)) // np.dtype(self.dtype).itemsize
-        flat, starts = np.frombuffer(b"".join(each), dtype=self.dtype), np.cumsum(sizes) - sizes
         number = coded.indices.to_numpy()
+        flat, starts, sizes = self._with_marks(coded.dictionary)
         long = sizes[number]
         before = np.r_[0, np.cumsum(long)]
-        ids = flat[np.repeat(starts[number] - before[:-1], long) + np.arange(before[-1])]
+        ids = flat[_ranges(starts[number], long)]
         bounds = before[words.offsets.to_numpy() - words.offsets[0].as_py()]
         return ids, np.diff(bounds)
 
@@ -243,7 +308,8 @@ class Coder:
             full = x >= (f << np.uint64(63 - SCALE))
             words = (x[full] & np.uint64(0xFFFFFFFF)).astype("<u4")
             x = np.where(full, x >> np.uint64(32), x)
-            state[:upto - at] = ((x // f) << np.uint64(SCALE)) + x % f + low[at:upto]
+            share = x // f
+            state[:upto - at] = (share << np.uint64(SCALE)) + (x - share * f) + low[at:upto]
             out.append(words)
             made += len(words)
             if step and step % CHECK == 0:
