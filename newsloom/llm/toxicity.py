@@ -42,6 +42,7 @@ CLEAREST = 3.0         # standard errors from 0 from which a log-odds counts
 STRONG = 2.5           # smallest log-odds that counts
 RARE = 20_000          # an entry is held by one in so many labelled texts at least: bounds what is sent to the tasks
 CALIBRATION = 20_000   # labelled rows the curve is fitted on, at most; chosen by hash
+REMEMBERED = 50_000    # words whose scores a scorer keeps: some 8 MB, and a task of the fit has a scorer for each fold
 DRIFT = 0.15           # taken from every token
 CAP = 8.0              # largest score of one token
 CHANCE = 0.05
@@ -81,7 +82,7 @@ class Scorer(dict):
         self.model = model
 
     def __missing__(self, token: str) -> float:
-        if len(self) > 500_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         known = self.model.scores
         found = next((known[key] for key in _keys(token) if key in known), 0.0)
