@@ -26,6 +26,7 @@ import sys
 import types
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -52,10 +53,11 @@ IN_A_ROW = "[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u
 HELD = re.compile("[\x01-\x03]")
 PIECES = re.compile(r"(?<=\S)(?= )")
 MARKS = ".,;:!?"
-CORE = "[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]$"
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+CORE = f"[0-9{LETTERS}]$"
 REMEMBERED = 800_000     # words whose ids a worker keeps, as Arrow and Numpy columns: some 30 MB
 LONGEST = 64             # bytes of a remembered word, at most
-TOGETHER = 5_000         # words tokenized as lines of one text
+TOGETHER = 100           # words tokenized as lines of one text; with longer texts a word takes up to twice the time
 GULP = 2_000_000         # bytes tokenized at a time
 
 
@@ -66,10 +68,10 @@ def _worker() -> dict:
     return sys.modules.setdefault("newsloom_worker", types.ModuleType("newsloom_worker")).__dict__
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers start, start + 1, ... of all ranges in a row."""
-    ends = np.cumsum(sizes)
-    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+def _taken(ids: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids in a row and the number of ids of each word, for the words ``which`` of others given alike."""
+    lists = pa.LargeListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)]), pa.array(ids))
+    return lists.take(pa.array(which)).flatten().to_numpy(), sizes[which]
 
 
 class Encoder:
@@ -81,7 +83,8 @@ class Encoder:
     A word stands for itself with its leading blank; ``LINE`` before it stands for a line feed and
     no blank, ``BEGIN`` for no blank; ``LAST`` is the end of a document.
 
-    Many words are tokenized at once as the lines of one text, whose line feeds show in the ids where words end. Words with
+    A word of Latin letters, with or without a blank before it, is one piece for the pattern, so it goes straight to the tokenizer's model, in the
+    byte-level alphabet. Other words are tokenized many at once as the lines of one text, whose line feeds show in the ids where words end. Words with
     other white space, empty ones and those that hold a special token are tokenized apart.
     A mark that ends a word of letters is a token apart, so words that differ in it share the rest.
 
@@ -91,10 +94,17 @@ class Encoder:
 
     def __init__(self, tokenizer: str, dtype: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer, self.dtype = Tokenizer.from_str(tokenizer), dtype
-        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.apart = re.compile("|".join([r"\s", *special]))
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.apart = re.compile("|".join([r"\s", *map(re.escape, special)]))
+        self.model, letters = self.tokenizer.model, [c for c in map(chr, range(0x250)) if re.match(f"[ {LETTERS}]", c)]
+        self.alphabet = str.maketrans({c: ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(c)[0][0] for c in letters})
+        # A special token of letters could hide in a word, and another tokenizer could change or cut words of letters.
+        self.direct = (self.tokenizer.normalizer is None and isinstance(self.tokenizer.pre_tokenizer, ByteLevel)
+                       and not any(re.fullmatch(f"[ {LETTERS}]+", t) for t in special)
+                       and all(self._model_ids([w])[0] == self._ids(w).tolist() for w in ["".join(letters), "".join(letters[1:])]))
         feed = self._ids("\n")
         self.feed_id = int(feed[0])
         # Without a line feed of its own id, words are tokenized one by one.
@@ -103,84 +113,104 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known, self.known_sizes, self.known_ids = pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, self.dtype)
+        self.again = np.zeros(0, dtype=bool)  # known words that were looked up again
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
 
-    def _plain(self, word: str) -> str:
-        return word[1:] if word[:1] in (BEGIN, LINE) else " " + word
+    def _model_ids(self, words: list[str]) -> list[list[int]]:
+        """Ids of words of letters."""
+        return [[t.id for t in self.model.tokenize(w)] for w in "\n".join(words).translate(self.alphabet).split("\n")]
 
-    def _tokenized(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _tokenized(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of different words in a row, and the number of ids of each."""
-        plain = [self._plain(w) for w in words]
-        sizes, found = np.zeros(len(words), np.int64), []
-        for at in range(0, len(words), TOGETHER):
-            some = plain[at:at + TOGETHER]
-            text = "\n".join(some)
+        marked = pc.or_(pc.starts_with(words, pattern=BEGIN), pc.starts_with(words, pattern=LINE))
+        plain = pc.if_else(marked, pc.utf8_slice_codeunits(words, 1), pc.binary_join_element_wise(" ", words, ""))
+        direct = np.zeros(len(words), dtype=bool)
+        if self.direct:
+            direct = pc.match_substring_regex(plain, f"^ ?[{LETTERS}]+$").to_numpy(zero_copy_only=False)
+        found, sizes = [np.zeros(0, self.dtype)], []
+        texts = plain.filter(pa.array(direct)).to_pylist()
+        for at in range(0, len(texts), TOGETHER):
+            each = self._model_ids(texts[at:at + TOGETHER])
+            sizes += map(len, each)
+            found.append(np.array(list(chain.from_iterable(each)), dtype=self.dtype))
+        texts = plain.filter(pa.array(~direct)).to_pylist()
+        for at in range(0, len(texts), TOGETHER):
+            some = texts[at:at + TOGETHER]
             # Exact unless a word brings white space besides its leading blank, a special token, or nothing.
             inner = "".join([t[1:] if t[:1] == " " else t for t in some])
             if self.feed is not None and "" not in some and " " not in some and not self.apart.search(inner):
-                ids = self._ids(text)
+                ids = self._ids("\n".join(some))
                 ends = np.flatnonzero(ids == self.feed)
-                sizes[at:at + len(some)] = np.diff(np.r_[-1, ends, len(ids)]) - 1
+                sizes += (np.diff(np.r_[-1, ends, len(ids)]) - 1).tolist()
                 found.append(ids[ids != self.feed])
                 continue
             each = [self._ids(t) for t in some]
-            sizes[at:at + len(some)] = list(map(len, each))
+            sizes += map(len, each)
             found += each
-        return np.concatenate(found) if found else np.zeros(0, self.dtype), sizes
-
-    def _looked_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of different words: ids in a row, and where each word's begin and how many they are."""
-        place = pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        # Back to the order of the words.
+        place = np.empty(len(words), np.int64)
+        place[np.r_[np.flatnonzero(direct), np.flatnonzero(~direct)]] = np.arange(len(words))
+        return _taken(np.concatenate(found), np.array(sizes, np.int64), place)
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where different words stand among the known ones, -1 for new words."""
+        # The known words are looked up among those at hand, so only these few go into a new hash table for each call.
+        found = pc.fill_null(pc.index_in(self.known, value_set=words), -1).to_numpy(zero_copy_only=False)
+        at, place = np.flatnonzero(found >= 0), np.full(len(words), -1)
+        place[found[at]] = at
+        return place
+
+    def _looked_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different words in a row, and how many each has."""
+        place = self._places(words)
         new = np.flatnonzero(place < 0)
+        self.again[place[place >= 0]] = True
         fresh = words.take(pa.array(new))
-        texts = fresh.to_pylist()
-        last = np.array([w == LAST for w in texts], dtype=bool)
-        ahead = np.array([w[:1] == LINE for w in texts], dtype=bool) | last
-        ids, own = self._tokenized([w for w in texts if w != LAST])
-        counts = np.zeros(len(texts), np.int64)
+        last = pc.equal(fresh, LAST).to_numpy(zero_copy_only=False)
+        ahead = pc.starts_with(fresh, pattern=LINE).to_numpy(zero_copy_only=False) | last
+        ids, own = self._tokenized(fresh.filter(pa.array(~last)))
+        counts = np.zeros(len(fresh), np.int64)
         counts[~last] = own
         # A line feed before a word, the end id for the end of a document.
         ids = np.insert(ids, (np.cumsum(counts) - counts)[ahead], np.where(last[ahead], END, self.feed_id).astype(self.dtype))
         counts += ahead
-        flat, sizes = np.r_[self.known_ids, ids], np.r_[self.known_sizes, counts]
-        starts = np.cumsum(sizes) - sizes
         place[new] = len(self.known) + np.arange(len(new))
-        short = pc.binary_length(fresh).to_numpy(zero_copy_only=False) <= LONGEST
-        if len(self.known) + len(new) > REMEMBERED:  # forget what is not used now
+        all_ids, sizes = _taken(np.r_[self.known_ids, ids], np.r_[self.known_sizes, counts], place)
+        if len(self.known) + len(new) > REMEMBERED:  # forget words that were used once, or, if they are few, all that are not used now
+            often, known, known_ids, known_sizes = np.flatnonzero(self.again), self.known, self.known_ids, self.known_sizes
             self._forget()
-            kept = pc.binary_length(words).to_numpy(zero_copy_only=False) <= LONGEST
-            self._remember(words, kept, flat[_ranges(starts[place[kept]], sizes[place[kept]])], sizes[place[kept]])
+            if len(often) + len(new) <= REMEMBERED // 2:
+                self._remember(known.take(pa.array(often)), *_taken(known_ids, known_sizes, often))
+                self._remember(fresh, ids, counts)
+            else:
+                self._remember(words, all_ids, sizes)
         else:
-            self._remember(fresh, short, ids[np.repeat(short, counts)], counts[short])
-        return flat, starts[place], sizes[place]
+            self._remember(fresh, ids, counts)
+        return all_ids, sizes
 
-    def _remember(self, words: pa.Array, kept: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.known = pa.concat_arrays([self.known, words.filter(pa.array(kept))])
+    def _remember(self, words: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        short = np.flatnonzero(pc.binary_length(words).to_numpy(zero_copy_only=False) <= LONGEST)
+        ids, sizes = _taken(ids, sizes, short)
+        self.known = pa.concat_arrays([self.known, words.take(pa.array(short))])
         self.known_ids, self.known_sizes = np.r_[self.known_ids, ids], np.r_[self.known_sizes, sizes]
+        self.again = np.r_[self.again, np.zeros(len(short), dtype=bool)]
 
-    def _with_marks(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _with_marks(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Like :meth:`_looked_up`; a mark that ends a word of letters is looked up apart."""
         cores = pc.utf8_rtrim(words, characters=MARKS)
         parted = pc.and_(pc.not_equal(cores, words), pc.match_substring_regex(cores, CORE)).to_numpy(zero_copy_only=False)
         whole = pc.if_else(pa.array(parted), cores, words).dictionary_encode()
-        flat, starts, sizes = self._looked_up(whole.dictionary)
-        number = whole.indices.to_numpy()
-        starts, sizes = starts[number], sizes[number]
+        ids, sizes = _taken(*self._looked_up(whole.dictionary), whole.indices.to_numpy())
         if parted.any():
             # Few different ones; the regular expression takes the core off.
             tails = pc.replace_substring_regex(words.filter(pa.array(parted)), f"(?s)^.*[^{MARKS}]", "").dictionary_encode()
             each = [self._ids(t) for t in tails.dictionary.to_pylist()]
-            long, which = np.array(list(map(len, each))), tails.indices.to_numpy()
-            more, rest = long[which], np.concatenate(each)[_ranges((np.cumsum(long) - long)[which], long[which])]
-            old, size = starts[parted], sizes[parted]
-            joined = np.insert(flat[_ranges(old, size)], np.repeat(np.cumsum(size), more), rest)
-            # Words with marks get ids of their own behind the others.
-            sizes[parted] = size + more
-            starts[parted] = len(flat) + np.cumsum(sizes[parted]) - sizes[parted]
-            flat = np.r_[flat, joined]
-        return flat, starts, sizes
+            rest, more = _taken(np.concatenate(each), np.array(list(map(len, each))), tails.indices.to_numpy())
+            ids = np.insert(ids, np.repeat(np.cumsum(sizes)[parted], more), rest)
+            sizes[parted] += more
+        return ids, sizes
 
     def _words(self, texts: pa.Array) -> pa.Array:
         """The words of each text, as lists."""
@@ -200,11 +230,8 @@ class Encoder:
         """Ids of all texts in a row, each with the end id, and the number of ids of each text."""
         words = self._words(pc.fill_null(texts, ""))
         coded = words.flatten().dictionary_encode()
-        number = coded.indices.to_numpy()
-        flat, starts, sizes = self._with_marks(coded.dictionary)
-        long = sizes[number]
+        ids, long = _taken(*self._with_marks(coded.dictionary), coded.indices.to_numpy())
         before = np.r_[0, np.cumsum(long)]
-        ids = flat[_ranges(starts[number], long)]
         bounds = before[words.offsets.to_numpy() - words.offsets[0].as_py()]
         return ids, np.diff(bounds)
 
@@ -220,10 +247,13 @@ def _tokenized(tokenizer: str, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = _encoder(tokenizer, dtype), TaskContext.get().partitionId()
         docs, sizes, body, seq, start, held = [], [], [], 0, 0, 0
+        total = np.zeros(0, dtype=np.int64)
+
+        def row(*values) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, BLOCK_FIELDS)], schema=BLOCK_FIELDS)
 
         def block() -> pa.RecordBatch:
-            columns = [[part], [seq], [start], [held], [docs], [sizes], [b"".join(body)]]
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, BLOCK_FIELDS)], schema=BLOCK_FIELDS)
+            return row(part, seq, start, held, docs, sizes, b"".join(body), None, None)
 
         for batch in batches:
             names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
@@ -232,6 +262,9 @@ def _tokenized(tokenizer: str, dtype: str):
             while at < len(names):
                 upto = max(at + 1, int(np.searchsorted(lengths, (lengths[at - 1] if at else 0) + GULP, side="right")))
                 ids, counts = encoder.encode(texts.slice(at, upto - at))
+                seen = np.bincount(ids, minlength=len(total))
+                seen[:len(total)] += total
+                total = seen
                 ends = np.cumsum(counts)
                 for name, size, end in zip(names[at:upto], counts.tolist(), ends.tolist()):
                     docs.append(name)
@@ -244,12 +277,18 @@ def _tokenized(tokenizer: str, dtype: str):
                 at = upto
         if docs:
             yield block()
+        used = np.flatnonzero(total)
+        if len(used):
+            yield row(part, COUNTED, 0, 0, None, None, None, used, total[used])
     return run
 
 
+# A row is a block, or, with the sequence number COUNTED, holds the ids of a task and how often each occurs there.
+COUNTED = -1
 BLOCK_FIELDS = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("start", pa.int64()), ("n", pa.int64()),
-                          ("docs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("ids", pa.binary())])
-TOKEN_BLOCKS = "part int, seq int, start long, n long, docs array<long>, sizes array<long>, ids binary"
+                          ("docs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("ids", pa.binary()),
+                          ("seen", pa.list_(pa.int32())), ("times", pa.list_(pa.int64()))])
+TOKEN_BLOCKS = "part int, seq int, start long, n long, docs array<long>, sizes array<long>, ids binary, seen array<int>, times array<long>"
 
 
 # --- the coder ----------------------------------------------------------------------------------------------------------
@@ -390,26 +429,12 @@ def block_ids(coder: Coder, block: dict, first: int = 0, count: int | None = Non
 
 # --- files --------------------------------------------------------------------------------------------------------------
 
-def _histogram(dtype: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(0, dtype=np.int64)
-        for batch in batches:
-            for ids in batch["ids"]:
-                seen = np.bincount(np.frombuffer(ids, dtype))
-                if len(seen) > len(total):
-                    total = np.r_[total, np.zeros(len(seen) - len(total), dtype=np.int64)]
-                total[:len(seen)] += seen
-        used = np.flatnonzero(total)
-        yield pd.DataFrame({"id": used, "n": total[used]})
-    return run
-
-
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str) -> None:
     """Tokenize (doc_id, text) and write a token file to ``folder``.
 
     ``tokenizer`` is the text of a byte-level tokenizer file. Every document ends with
     id ``END``; null texts are empty. Texts cross one shuffle, by ranges of the id; ids are
-    kept once in between, as counts must be complete before the first block is coded.
+    kept once in between, as counts must be complete before the first block is coded; each task counts the ids it makes.
     Repeated rows are written each; an empty table gives a file without blocks.
     """
     from tokenizers import Tokenizer
@@ -417,8 +442,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str) -> None:
     spark = docs.sparkSession
     dtype = "<u2" if Tokenizer.from_str(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
     ranged = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc()).sortWithinPartitions(F.col("doc_id").asc(), "text")
-    blocks = saved(ranged.mapInArrow(_tokenized(tokenizer, dtype), TOKEN_BLOCKS), "token-ids")
-    counts = blocks.select("ids").mapInPandas(_histogram(dtype), "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    rows = saved(ranged.mapInArrow(_tokenized(tokenizer, dtype), TOKEN_BLOCKS), "token-ids")
+    blocks = rows.filter(F.col("seq") != COUNTED).drop("seen", "times")
+    counts = rows.filter(F.col("seq") == COUNTED).select(F.explode(F.arrays_zip("seen", "times")).alias("c"))
+    counts = counts.groupBy(F.col("c.seen").alias("id")).agg(F.sum("c.times").alias("n"))
     # At most as many rows as the tokenizer has ids.
     table = frequencies({row.id: row.n for row in counts.collect()})
     # One row for each task of the range shuffle.
