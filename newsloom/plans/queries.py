@@ -634,6 +634,7 @@ def stream_window(spark: SparkSession, sf: str) -> DataFrame:
 
 EVICTING = 100
 SLICE_ROWS = 2_000_000
+SLICE_FILES = 8
 
 
 def narrow_news(spark: SparkSession, sf: str) -> DataFrame:
@@ -653,10 +654,22 @@ def sliced(rows: DataFrame, by: str, stream: Callable[[DataFrame], DataFrame], n
     parts = max(4, -(-rows.count() // SLICE_ROWS))
     number = F.col(by).cast("double")
     cuts = sorted(set(rows.select(number.alias("n")).approxQuantile("n", [i / parts for i in range(1, parts)], 0.25 / parts)))
+
+    def place(low: int, high: int) -> Column:
+        """The slice of a row that lies in one of ``low`` to ``high``: the number of cuts it lies behind."""
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(number > cuts[middle], place(middle + 1, high)).otherwise(place(low, middle))
+
+    # All slices are written in one pass, each as some files of its own, and so no slice is sought in the whole table.
+    dealt = rows.filter(number.isNotNull() if cuts else F.lit(True)).withColumn("_slice", place(0, len(cuts)))
+    dealt = dealt.repartition("_slice", F.pmod(F.xxhash64(by), F.lit(SLICE_FILES)))
+    dealt.write.partitionBy("_slice").parquet(f"{folder}/slices")
+    slices = spark.read.schema(dealt.schema).parquet(f"{folder}/slices")
     job = jobs.Run(name, folder)
-    for low, high in zip([None, *cuts], [*cuts, None]):
-        inside = (F.lit(True) if low is None else number > low) & (F.lit(True) if high is None else number <= high)
-        rows.filter(inside).write.mode("append").parquet(f"{folder}/in")
+    for i in range(len(cuts) + 1):
+        slices.filter(F.col("_slice") == i).drop("_slice").write.mode("append").parquet(f"{folder}/in")
         out = stream(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"))
         job.start(out.writeStream.format("parquet").option("path", f"{folder}/out")).awaitTermination()
     return spark.read.schema(out.schema).parquet(f"{folder}/out"), job.checkpoint

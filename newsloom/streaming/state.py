@@ -7,7 +7,9 @@ micro-batch holds is set by the source (``maxOffsetsPerTrigger``).
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -30,6 +32,9 @@ CRAWLER_WINDOW = 50_000
 # shared by its keys; a group's share of a micro-batch is held by one Python worker.
 GROUPS = 1024
 
+# Most keys of a page of expiring state: what a batch reads and writes for a key it meets.
+PAGE_KEYS = 512
+
 
 def _arranged(frames: list[pd.DataFrame], by: list[str]) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
     """The rows of several frames in order of ``by``: these columns alone, and each row's frame and place in it."""
@@ -54,23 +59,31 @@ def _picked(frames: list[pd.DataFrame], frame: np.ndarray, place: np.ndarray) ->
         yield frames[i].iloc[np.sort(place[frame == i])]
 
 
+def _page_of(key: str, pages: int) -> int:
+    return crc32(key.encode("utf-8", "surrogatepass")) % pages
+
+
 class TtlProcessor(StatefulProcessor):
-    """Keep a row when it lies more than ``ttl`` seconds behind the last kept row of its key.
+    """Of each key of a group, keep a row when it lies more than ``ttl`` seconds behind the last kept row of the key.
 
-    The state of a key goes when the watermark has passed its end: a later row is accepted with
+    The state of a key goes once the watermark has passed its end: a later row is accepted with
     or without it, and an earlier one is late, so the rows that come out do not depend on when it goes.
+
+    The last kept second of each key lies in pages, to which the keys are dealt by hash. A batch reads and writes the pages of the keys it meets, and
+    pages are split and joined as keys come and go. ``anchor`` holds what the group needs besides: the least second kept when
+    the timer was set, and the numbers of keys and pages. The group's one timer is due ``slack`` seconds behind the end of that least second;
+    then all keys go that have ended, so each is looked at a few times in its life and not by every timer.
     """
 
-    def __init__(self, seconds: str, pos: str, ttl: int, passes: str | None = None):
-        self.seconds, self.pos, self.ttl, self.passes = seconds, pos, ttl, passes
+    def __init__(self, seconds: str, pos: str, ttl: int, slack: int, passes: str | None = None):
+        self.seconds, self.pos, self.ttl, self.slack, self.passes, self.room = seconds, pos, ttl, slack, passes, PAGE_KEYS
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.anchor = handle.getValueState("anchor", "anchor long")
+        self.anchor = handle.getValueState("anchor", "anchor long, keys long, pages int")
+        self.pages = handle.getMapState("pages", "page int", "keys array<string>, anchors array<long>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.anchor.get() if self.anchor.exists() else None
-        anchor = stored[0] if stored is not None else None
         frames = []
         for rows_of in rows:
             passing, rows_of = _parted(rows_of, self.passes)
@@ -80,34 +93,98 @@ class TtlProcessor(StatefulProcessor):
                 frames.append(rows_of)
         if not frames:
             return
-        ordered, frame, place = _arranged(frames, [self.seconds, self.pos])
-        seconds = ordered[self.seconds].to_numpy()
-        keep, at = [], 0 if anchor is None else int(np.searchsorted(seconds, anchor + self.ttl, side="right"))
-        while at < len(seconds):
-            keep.append(at)
-            at = int(np.searchsorted(seconds, seconds[at] + self.ttl, side="right"))
+        ordered, frame, place = _arranged(frames, ["state_key", self.seconds, self.pos])
+        if ordered[self.seconds].hasnans:
+            raise ValueError("a row without a time")
+        keys, seconds = ordered["state_key"].to_numpy(), ordered[self.seconds].tolist()
+        edges = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True]).tolist()
+        due, held, pages = self.anchor.get() if self.anchor.exists() else (None, 0, 1)
+        pages = self._dealt(pages, held + len(edges) - 1)
+        met: dict[int, list[tuple[str, int, int]]] = {}
+        for start, end in zip(edges[:-1], edges[1:]):
+            met.setdefault(_page_of(keys[start], pages), []).append((keys[start], start, end))
+        least, keep = due, []
+        for page, own in met.items():
+            anchors = self._read(page)
+            known, kept = len(anchors), len(keep)
+            for name, start, end in own:
+                last = anchors.get(name)
+                at = start if last is None else bisect_right(seconds, last + self.ttl, start, end)
+                if at == end:
+                    continue
+                while at < end:
+                    last = seconds[at]
+                    keep.append(at)
+                    at = bisect_right(seconds, last + self.ttl, at, end)
+                anchors[name] = int(last)
+                least = int(last) if least is None else min(least, int(last))
+            if len(keep) > kept:
+                self._write(page, anchors)
+            held += len(anchors) - known
         if keep:
-            if anchor is not None:
-                self.handle.deleteTimer(self._end(anchor))
-            self.handle.registerTimer(self._end(int(seconds[keep[-1]])))
-            self.anchor.update((int(seconds[keep[-1]]),))
+            if least != due:
+                if due is not None:
+                    self.handle.deleteTimer(self._due(due))
+                self.handle.registerTimer(self._due(least))
+            self.anchor.update((least, held, pages))
             yield from _picked(frames, frame[keep], place[keep])
 
-    def _end(self, anchor: int) -> int:
-        return (anchor + self.ttl + 1) * 1000
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        stored = self.anchor.get() if self.anchor.exists() else None
-        if stored is not None and self._end(stored[0]) <= expiredTimerInfo.getExpiryTimeInMs():
+        due, held, pages = self.anchor.get()
+        first = timerValues.getCurrentWatermarkInMs() // 1000 - self.ttl  # the least second whose window is still open
+        least, held = None, 0
+        for page in range(pages):
+            anchors = self._read(page)
+            left = {name: last for name, last in anchors.items() if last >= first}
+            if len(left) < len(anchors):
+                self._write(page, left)
+            if left:
+                least = min(left.values()) if least is None else min(least, *left.values())
+                held += len(left)
+        if held:
+            self.handle.registerTimer(self._due(least))
+            self.anchor.update((least, held, self._dealt(pages, held)))
+        else:
             self.anchor.clear()
         return iter(())
 
+    def _due(self, anchor: int) -> int:
+        return (anchor + self.ttl + 1 + self.slack) * 1000
+
+    def _read(self, page: int) -> dict[str, int]:
+        stored = self.pages.getValue((page,))
+        return {} if stored is None else dict(zip(*stored))
+
+    def _write(self, page: int, anchors: dict[str, int]) -> None:
+        if anchors:
+            self.pages.updateValue((page,), (list(anchors), list(anchors.values())))
+        else:
+            self.pages.removeKey((page,))
+
+    def _dealt(self, pages: int, keys: int) -> int:
+        """Deal the state to as many pages as ``keys`` keys need, unless they fit the present number: the new number.
+
+        Numbers of pages are powers of two, so a page's keys come from, or go to, pages that are equal modulo the smaller number.
+        """
+        if keys <= pages * self.room and (pages == 1 or keys > pages * self.room // 8):
+            return pages
+        after = 1 << (-(-keys // self.room) - 1).bit_length()
+        step = min(pages, after)
+        for low in range(step):
+            dealt: dict[int, dict[str, int]] = {page: {} for page in range(low, max(pages, after), step)}
+            for page in range(low, pages, step):
+                for name, last in self._read(page).items():
+                    dealt[_page_of(name, after)][name] = last
+            for page, anchors in dealt.items():
+                self._write(page, anchors)
+        return after
+
     def close(self) -> None:
         pass
 
 
 class TtlGroupProcessor(StatefulProcessor):
-    """:class:`TtlProcessor` for a group of keys, whose state never goes: the last kept second of each key in one map."""
+    """:class:`TtlProcessor` for keys whose state never goes: the last kept second of each key in one map."""
 
     def __init__(self, seconds: str, pos: str, ttl: int, passes: str | None = None):
         self.seconds, self.pos, self.ttl, self.passes = seconds, pos, ttl, passes
@@ -273,9 +350,9 @@ def ttl_stream(rows: DataFrame, key: str, seconds: str, pos: str = "pos", ttl: i
     """
     if lateness is None:
         return _by_group(rows, key, TtlGroupProcessor(seconds, pos, ttl, passes))
-    processor, schema = TtlProcessor(seconds, pos, ttl, passes), rows.schema
+    processor = TtlProcessor(seconds, pos, ttl, (ttl + lateness) // 8, passes)
     timed = rows.withColumn("_at", F.timestamp_seconds(seconds)).withWatermark("_at", f"{lateness} seconds")
-    return timed.groupBy(key).transformWithStateInPandas(processor, outputStructType=schema, outputMode="Append", timeMode="EventTime")
+    return _by_group(timed, key, processor, rows.schema, "EventTime")
 
 
 def ttl_stream_built_in(rows: DataFrame, key: str, event_time: str, ttl: int = TTL_SECONDS) -> DataFrame:
@@ -297,11 +374,11 @@ def first_position_stream(rows: DataFrame, key: str, pos: str = "pos", passes: s
     return _by_group(rows, key, FirstProcessor(pos, passes))
 
 
-def _by_group(rows: DataFrame, key: str, processor: StatefulProcessor) -> DataFrame:
+def _by_group(rows: DataFrame, key: str, processor: StatefulProcessor, schema: StructType | None = None, time_mode: str = "None") -> DataFrame:
     """Run a processor over groups of keys. It knows a key by the text ``state_key``, in which a null differs from an empty text."""
     text = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))
     grouped = rows.withColumns({"state_key": text, "state_group": F.pmod(F.xxhash64(key), F.lit(GROUPS)).cast("int")})
-    kept = grouped.groupBy("state_group").transformWithStateInPandas(processor, outputStructType=grouped.schema, outputMode="Append", timeMode="None")
+    kept = grouped.groupBy("state_group").transformWithStateInPandas(processor, outputStructType=schema or grouped.schema, outputMode="Append", timeMode=time_mode)
     return kept.drop("state_key", "state_group")
 
 

@@ -2,6 +2,7 @@ import datetime
 import json
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from tests.plain import ttl_kept, window_kept
@@ -355,3 +356,125 @@ def test_keys_share_a_group_state(spark, tmp_path, monkeypatch, kind):
     held = spark.read.format("statestore").option("path", f"{tmp_path}/run/checkpoints/{kind}")
     held = held.option("stateVarName", "seen" if kind == "first" else "anchors").load().collect()
     assert len(held) == len({k for k, _, _ in rows}) and len({r["key"] for r in held}) <= 4
+
+
+@pytest.mark.parametrize(("every", "kind"), [(7, "string"), (1000, "long")])
+def test_expiring_keys_share_a_group_state(spark, tmp_path, monkeypatch, every, kind):
+    """Keys whose state expires make at most ``GROUPS`` calls a micro-batch and have as many timers; each key, null included, is judged alone.
+
+    What the groups hold fills several pages, and ended keys have left them.
+    """
+    monkeypatch.setattr(state, "GROUPS", 3)
+    monkeypatch.setattr(state, "PAGE_KEYS", 2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(every))
+    try:
+        rng = random.Random(6)
+        names = [f"k{j}" if kind == "string" else j for j in range(100)]
+        rows = [(rng.choice([None, "" if kind == "string" else -1, *names[i // 8:i // 8 + 40]]), 20 * i + rng.randrange(15), i) for i in range(480)]
+        for i in range(3):
+            write_rows(tmp_path / "src", str(i), rng.sample(rows[160 * i:160 * i + 160], 160))
+            stream = spark.readStream.schema(f"key {kind}, seconds long, pos long").json(str(tmp_path / "src"))
+            keep(state.ttl_stream(stream, "key", "seconds", ttl=600, lateness=30), "ttl", tmp_path / "run")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want, last = set(), {}
+    for key in {k for k, _, _ in rows}:
+        own = [(s, p) for k, s, p in rows if k == key]
+        kept = [own[i] for i in ttl_kept([s for s, _ in own], 600)]
+        want |= {p for _, p in kept}
+        last["" if key is None else f"={key}"] = kept[-1][0]
+    got = stored(spark, tmp_path / "run", f"key {kind}, seconds long, pos long").collect()
+    assert sorted(r["pos"] for r in got) == sorted(want) and {tuple(r) for r in got} <= set(rows)
+    groups = live(spark, tmp_path / "run", "anchor", "ttl")
+    assert 0 < len(groups) <= 3
+    pages = spark.read.format("statestore").option("path", f"{tmp_path}/run/checkpoints/ttl").option("stateVarName", "pages").load().collect()
+    held = {k: a for r in pages for k, a in zip(r["user_map_value"]["keys"], r["user_map_value"]["anchors"])}
+    assert sum(r["value"]["keys"] for r in groups) == len(held) == sum(len(r["user_map_value"]["keys"]) for r in pages)
+    assert len(pages) > 3 and held == {k: last[k] for k in held}
+    watermark, slack = max(s for _, s, _ in rows) - 30, 630 // 8
+    assert {k for k, s in last.items() if s + 601 > watermark} <= set(held)
+    assert all(s + 601 + slack > watermark for s in held.values()) and len(held) < len(last)
+
+
+class HeldState:
+    """The state of one group in memory, and its timers."""
+
+    def __init__(self):
+        self.timers, self.value, self.map = set(), None, {}
+        self.registerTimer, self.deleteTimer = self.timers.add, self.timers.remove
+
+    def getValueState(self, name, schema):
+        return self
+
+    def getMapState(self, name, key, value):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def getValue(self, key):
+        return self.map.get(key)
+
+    def updateValue(self, key, value):
+        self.map[key] = value
+
+    def removeKey(self, key):
+        self.map.pop(key, None)
+
+
+class Watermark:
+    def __init__(self, seconds):
+        self.ms = 1000 * seconds
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs
+
+
+def test_pages_of_expiring_state_grow_and_shrink(monkeypatch):
+    """Bursts of keys and quiet times: pages hold the keys still open and no others, a batch touches pages of its keys only, and nothing stays at the end."""
+    monkeypatch.setattr(state, "PAGE_KEYS", 4)
+    held, rng = HeldState(), random.Random(2)
+    processor = state.TtlProcessor("seconds", "pos", 100, 10)
+    processor.init(held)
+    anchors, most, least = {}, 0, 99
+    for step in range(300):
+        low = 20 * step
+        burst = 60 if step % 60 < 20 else 1
+        rows = sorted((f"k{rng.randrange(3 * burst)}", low + rng.randrange(20), 100 * step + i) for i in range(burst))
+        if step % 60 > 45:
+            rows = []
+        frame = pd.DataFrame(rows, columns=["state_key", "seconds", "pos"])
+        got = [p for f in processor.handleInputRows((0,), iter([frame.iloc[::2], frame.iloc[1::2]]), None) for p in f["pos"]]
+        want = []
+        for key, second, pos in rows:
+            if key not in anchors or second > anchors[key] + 100:
+                anchors[key] = second
+                want.append(pos)
+        assert sorted(got) == sorted(want)
+        watermark = Watermark(low + 20)
+        for due in sorted(t for t in held.timers if t <= watermark.ms):
+            assert not list(processor.handleExpiredTimer((0,), watermark, Watermark(due // 1000)))
+            held.timers.remove(due)
+        pages = {p: dict(zip(*v)) for (p,), v in held.map.items()}
+        left = {k: a for page in pages.values() for k, a in page.items()}
+        assert left == {k: anchors[k] for k in left} and all(pages.values())
+        assert {k for k, a in anchors.items() if a + 100 >= low + 20} <= set(left)
+        if held.value is None:
+            assert not left and not held.timers
+            continue
+        assert len(held.timers) == 1 and min(held.timers) > watermark.ms
+        due, keys, number = held.value
+        assert keys == len(left) and max(pages) < number and min(left.values()) >= due and due + 111 > low + 20
+        most, least = max(most, number), min(least, number)
+    assert most >= 16 and least == 1 and held.value is None and not held.map
